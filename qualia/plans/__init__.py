@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualia.plans import oracle_rules
+from qualia.plans import metric_queries, oracle_metrics, oracle_rules
 from qualia.plans.rules_queries import (
     q_rule_aggregate_uniqueness,
     q_rule_metrics_lineitem,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_metrics_lineitem": q_rule_metrics_lineitem,
     "rule_row_results": q_rule_row_results,
     "rule_aggregate_uniqueness": q_rule_aggregate_uniqueness,
+    **metric_queries.QUERIES,
 }
 
 ORACLE: dict[str, str] = {
@@ -26,4 +27,5 @@ ORACLE: dict[str, str] = {
     "rule_metrics_lineitem": oracle_rules.rule_metrics_lineitem(),
     "rule_row_results": oracle_rules.rule_row_results(),
     "rule_aggregate_uniqueness": oracle_rules.rule_aggregate_uniqueness(),
+    **oracle_metrics.ORACLE,
 }
