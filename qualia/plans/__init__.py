@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualia.plans import metric_queries, oracle_metrics, oracle_rules
+from qualia.plans import metric_queries, oracle_metrics, oracle_profile, oracle_rules, profile_queries
 from qualia.plans.rules_queries import (
     q_rule_aggregate_uniqueness,
     q_rule_metrics_lineitem,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_row_results": q_rule_row_results,
     "rule_aggregate_uniqueness": q_rule_aggregate_uniqueness,
     **metric_queries.QUERIES,
+    **profile_queries.QUERIES,
 }
 
 ORACLE: dict[str, str] = {
@@ -28,4 +29,5 @@ ORACLE: dict[str, str] = {
     "rule_row_results": oracle_rules.rule_row_results(),
     "rule_aggregate_uniqueness": oracle_rules.rule_aggregate_uniqueness(),
     **oracle_metrics.ORACLE,
+    **oracle_profile.ORACLE,
 }
