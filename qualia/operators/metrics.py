@@ -273,13 +273,14 @@ def analyzer_for(name: str, column: str, where: str | None = None) -> Analyzer:
     return cls(column, where=where)
 
 
-def _meta(a: Analyzer, value: Column, name: str | None = None) -> Column:
+def _meta(a: Analyzer, value: Column, key: int = -1) -> Column:
     entity, instance = a.entity_instance()
     return F.struct(
         F.lit(entity).alias("entity"),
         F.lit(instance).alias("instance"),
-        F.lit(name or a.metric_name()).alias("name"),
+        F.lit(a.metric_name()).alias("name"),
         value.cast("double").alias("value"),
+        F.lit(key).alias("metric_key"),
     )
 
 
@@ -290,35 +291,47 @@ def run_metrics(df: DataFrame, analyzers: Sequence[Analyzer], keep_undefined: bo
     (plus a per-value branch for histograms). Analyzers whose column is missing or of the
     wrong type are left out, as the library leaves out failed metrics.
     """
-    scan: list[tuple[Analyzer, Column]] = []
+    out, _ = metric_rows(df, analyzers)
+    out = out.drop("metric_key")
+    if not keep_undefined:
+        out = out.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    return out
+
+
+def metric_rows(df: DataFrame, analyzers: Sequence[Analyzer]) -> tuple[DataFrame, list[Analyzer]]:
+    """Metric rows with a ``metric_key`` column: the position of the analyzer in the
+    returned list of distinct, computable analyzers (histogram value rows get -1)."""
+    scan: list[tuple[int, Analyzer, Column]] = []
     groups: dict[tuple, int] = {}
-    grouped: list[tuple[Analyzer, int]] = []
-    seen = set()
+    grouped: list[tuple[int, Analyzer, int]] = []
+    kept: list[Analyzer] = []
     for a in analyzers:
-        if a in seen:
+        if a in kept:
             continue
-        seen.add(a)
         try:
             if a.grouping:
                 key = a.key(df)
                 if key not in groups:
                     groups[key] = len(groups)
-                grouped.append((a, groups[key]))
+                grouped.append((len(kept), a, groups[key]))
             else:
-                scan.append((a, a.scan_value(df)))
+                scan.append((len(kept), a, a.scan_value(df)))
         except (KeyError, TypeError):
             continue
+        kept.append(a)
     parts: list[DataFrame] = []
     if scan:
-        wide = df.agg(*[v.alias(f"m{i}") for i, (_, v) in enumerate(scan)])
-        parts.append(wide.select(F.inline(F.array(*[_meta(a, F.col(f"m{i}")) for i, (a, _) in enumerate(scan)]))))
+        wide = df.agg(*[v.alias(f"m{j}") for j, (_, _, v) in enumerate(scan)])
+        parts.append(
+            wide.select(F.inline(F.array(*[_meta(a, F.col(f"m{j}"), key=i) for j, (i, a, _) in enumerate(scan)])))
+        )
     if grouped:
         keys = list(groups)
         freq = frequencies(df, [cols for cols, _ in keys], [w for _, w in keys])
         stats = key_set_stats(freq)
-        structs = [F.when(F.col("k") == k, _meta(a, a.from_stats())) for a, k in grouped]
+        structs = [F.when(F.col("k") == k, _meta(a, a.from_stats(), key=i)) for i, a, k in grouped]
         parts.append(stats.select(F.inline(F.filter(F.array(*structs), lambda x: x.isNotNull()))))
-        hist = [(a, k) for a, k in grouped if isinstance(a, Histogram)]
+        hist = [(a, k) for _, a, k in grouped if isinstance(a, Histogram)]
         if hist:
             parts.append(_histogram_rows(freq, stats, hist))
     if not parts:
@@ -326,9 +339,7 @@ def run_metrics(df: DataFrame, analyzers: Sequence[Analyzer], keep_undefined: bo
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    if not keep_undefined:
-        out = out.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    return out
+    return out, kept
 
 
 def _histogram_rows(freq: DataFrame, stats: DataFrame, hist: list[tuple[Histogram, int]]) -> DataFrame:
@@ -354,6 +365,7 @@ def _histogram_rows(freq: DataFrame, stats: DataFrame, hist: list[tuple[Histogra
                         F.lit(instance).alias("instance"),
                         F.concat(F.lit(f"Histogram.{kind}."), label, F.lit(suffix)).alias("name"),
                         value.alias("value"),
+                        F.lit(-1).alias("metric_key"),
                     ),
                 )
             )

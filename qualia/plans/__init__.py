@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualia.plans import metric_queries, oracle_metrics, oracle_profile, oracle_rules, profile_queries
+from qualia.plans import check_queries, metric_queries, oracle_checks, oracle_metrics, oracle_profile, oracle_rules, profile_queries
 from qualia.plans.rules_queries import (
     q_rule_aggregate_uniqueness,
     q_rule_metrics_lineitem,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_aggregate_uniqueness": q_rule_aggregate_uniqueness,
     **metric_queries.QUERIES,
     **profile_queries.QUERIES,
+    **check_queries.QUERIES,
 }
 
 ORACLE: dict[str, str] = {
@@ -30,4 +31,5 @@ ORACLE: dict[str, str] = {
     "rule_aggregate_uniqueness": oracle_rules.rule_aggregate_uniqueness(),
     **oracle_metrics.ORACLE,
     **oracle_profile.ORACLE,
+    **oracle_checks.ORACLE,
 }
