@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualia.plans import check_queries, metric_queries, oracle_checks, oracle_metrics, oracle_profile, oracle_rules, profile_queries
+from qualia.plans import check_queries, metric_queries, misc_queries, oracle_misc, oracle_checks, oracle_metrics, oracle_profile, oracle_rules, profile_queries
 from qualia.plans.rules_queries import (
     q_rule_aggregate_uniqueness,
     q_rule_metrics_lineitem,
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **metric_queries.QUERIES,
     **profile_queries.QUERIES,
     **check_queries.QUERIES,
+    **misc_queries.QUERIES,
 }
 
 ORACLE: dict[str, str] = {
@@ -32,4 +33,5 @@ ORACLE: dict[str, str] = {
     **oracle_metrics.ORACLE,
     **oracle_profile.ORACLE,
     **oracle_checks.ORACLE,
+    **oracle_misc.ORACLE,
 }
