@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualia.plans import check_queries, metric_queries, misc_queries, oracle_misc, oracle_checks, oracle_metrics, oracle_profile, oracle_rules, profile_queries
+from qualia.plans import check_queries, metric_queries, misc_queries, oracle_misc, oracle_store, store_queries, oracle_checks, oracle_metrics, oracle_profile, oracle_rules, profile_queries
 from qualia.plans.rules_queries import (
     q_rule_aggregate_uniqueness,
     q_rule_metrics_lineitem,
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **profile_queries.QUERIES,
     **check_queries.QUERIES,
     **misc_queries.QUERIES,
+    **store_queries.QUERIES,
 }
 
 ORACLE: dict[str, str] = {
@@ -34,4 +35,5 @@ ORACLE: dict[str, str] = {
     **oracle_profile.ORACLE,
     **oracle_checks.ORACLE,
     **oracle_misc.ORACLE,
+    **oracle_store.ORACLE,
 }
