@@ -220,7 +220,7 @@ def column_profiles(
 ) -> DataFrame:
     """Library-style profile, one row per column.
 
-    Columns: ``column_name, completeness, approx_distinct, data_type,
+    Columns: ``column_name, num_rows, completeness, approx_distinct, data_type,
     is_data_type_inferred, type_counts map<string,long>, histogram
     array<struct<value,count,ratio>>, mean, maximum, minimum, sum, std_dev,
     approx_percentiles array<double>``. One aggregation for statistics and type counts,
@@ -279,6 +279,7 @@ def column_profiles(
             F.struct(
                 F.lit(i).alias("k"),
                 F.lit(c).alias("column_name"),
+                F.col("rows").alias("num_rows"),
                 ratio(nn, F.col("rows")).alias("completeness"),
                 F.col(f"acd{i}").alias("approx_distinct"),
                 dtype.alias("data_type"),
@@ -300,7 +301,7 @@ def column_profiles(
         stats.join(F.broadcast(hist.withColumnRenamed("column_name", "hcol")), F.col("column_name") == F.col("hcol"), "left")
         .drop("hcol", "k")
         .select(
-            "column_name", "completeness", "approx_distinct", "data_type", "is_data_type_inferred", "type_counts",
+            "column_name", "num_rows", "completeness", "approx_distinct", "data_type", "is_data_type_inferred", "type_counts",
             "histogram", "mean", "maximum", "minimum", "sum", "std_dev", "approx_percentiles",
         )
     )

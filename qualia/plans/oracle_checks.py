@@ -96,3 +96,41 @@ ORACLE = {
     "check_suite": _suite(ORDERS_METRICS, ON, ORDERS_CONSTRAINTS, ", 'sales' AS source, 'orders' AS entity"),
     "check_suite_warning": _suite(CUSTOMER_METRICS, CN, CUSTOMER_CONSTRAINTS),
 }
+
+_CS = ("(SELECT c_custkey, c_name, c_nationkey, c_acctbal, nullif(c_mktsegment, 'HOUSEHOLD') AS c_mktsegment, "
+       "CAST(c_nationkey AS VARCHAR) AS nation_text FROM customer)")
+
+
+def _complete(c):
+    return (f"SELECT '{c}' AS column_name, 'isComplete' AS constraint, 'Completeness: 1.0' AS current_value, "
+            f"'''{c}'' is not null' AS description, '.isComplete(\"{c}\")' AS code_for_constraint")
+
+
+def _nonneg(c, src):
+    return (f"SELECT '{c}', 'isNonNegative', 'Minimum: ' || CAST(CAST(min({c}) AS DOUBLE) AS VARCHAR), "
+            f"'''{c}'' has no negative values', '.isNonNegative(\"{c}\")' FROM {src}")
+
+
+def _contained(c, src):
+    vals = (f"(SELECT string_agg({{q}} || v || {{q}}, ', ' ORDER BY n DESC, v ASC) FROM "
+            f"(SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {src} WHERE {c} IS NOT NULL GROUP BY 1))")
+    return (f"SELECT '{c}', 'isContainedIn', 'Compliance: 1', '''{c}'' has value range ' || "
+            f"{vals.format(q=chr(39) * 4)}, '.isContainedIn(\"{c}\", [' || {vals.format(q=chr(39) + chr(34) + chr(39))} || '])'")
+
+
+_P = "CAST(count(c_mktsegment) AS DOUBLE) / CAST(count(*) AS DOUBLE)"
+_TARGET = f"floor(({_P} - 1.96 * sqrt({_P} * (1.0 - {_P}) / count(*))) * 100) / 100.0"
+
+ORACLE["suggest_constraints"] = "\nUNION ALL\n".join(
+    [
+        _complete("c_custkey"), _complete("c_name"), _complete("c_nationkey"), _complete("c_acctbal"),
+        _complete("nation_text"),
+        f"SELECT 'c_mktsegment', 'hasCompleteness', 'Completeness: ' || CAST({_P} AS VARCHAR), "
+        f"'''c_mktsegment'' has completeness of at least ' || CAST({_TARGET} AS VARCHAR), "
+        f"'.hasCompleteness(\"c_mktsegment\", lambda x: x >= ' || CAST({_TARGET} AS VARCHAR) || ')' FROM {_CS}",
+        "SELECT 'nation_text', 'hasDataType', 'DataType: Integral', '''nation_text'' has type Integral', "
+        "'.hasDataType(\"nation_text\", ConstrainableDataTypes.Integral)'",
+        _contained("c_nationkey", _CS), _contained("c_mktsegment", _CS), _contained("nation_text", _CS),
+        _nonneg("c_custkey", _CS), _nonneg("c_nationkey", _CS),
+    ]
+)
