@@ -62,6 +62,7 @@ FRACTIONAL_REGEX = r"^[+-]?\d*\.\d+$"
 BOOLEAN_REGEX = r"^(true|false)$"
 
 DEFAULT_HISTOGRAM_THRESHOLD = 120
+HISTOGRAM_CANDIDATE_MARGIN = 1.25
 DEFAULT_PERCENTILES = tuple(round(i / 100, 2) for i in range(1, 100))
 
 
@@ -223,10 +224,11 @@ def column_profiles(
     Columns: ``column_name, num_rows, completeness, approx_distinct, data_type,
     is_data_type_inferred, type_counts map<string,long>, histogram
     array<struct<value,count,ratio>>, mean, maximum, minimum, sum, std_dev,
-    approx_percentiles array<double>``. One aggregation for statistics and type counts,
-    one frequency aggregation for histograms; histograms are kept only for columns with
-    at most ``histogram_threshold`` distinct values (null counts as a value), so the list
-    gathered per column is bounded.
+    approx_percentiles array<double>``. One aggregation for statistics and type counts
+    (run at call time: its single row picks the histogram columns), then one frequency
+    aggregation over the low-cardinality columns only; histograms are kept for columns
+    with at most ``histogram_threshold`` distinct values (null counts as a value), so the
+    list gathered per column is bounded and high-cardinality columns are never shuffled.
     """
     columns = _columns(df, cols)
     data = df.select(*[c for c, _ in columns])
@@ -255,7 +257,20 @@ def column_profiles(
                 aggs.append(
                     F.percentile_approx(d, list(percentiles), percentile_accuracy).cast("array<double>").alias(f"pct{i}")
                 )
-    wide = data.agg(*aggs)
+    # Statistics: one aggregation, read once as a single row (C values per statistic),
+    # then reused as a one-row table so the scan is not repeated for the final join.
+    wide_df = data.agg(*aggs)
+    stats_row = wide_df.first()
+    wide = df.sparkSession.createDataFrame([stats_row], wide_df.schema)
+    # Histograms only for columns that can have at most `histogram_threshold` bins: the
+    # approximate distinct count (plus one bin for null) picks candidates with a wide
+    # margin for sketch error, and the exact bin count then filters them precisely.
+    candidates = [
+        c
+        for i, (c, _) in enumerate(columns)
+        if stats_row[f"acd{i}"] + (1 if stats_row[f"nn{i}"] < stats_row["rows"] else 0)
+        <= histogram_threshold * HISTOGRAM_CANDIDATE_MARGIN + 5
+    ]
     structs = []
     null_d = F.lit(None).cast("double")
     for i, (c, dt) in enumerate(columns):
@@ -296,7 +311,12 @@ def column_profiles(
             )
         )
     stats = wide.select(F.inline(F.array(*structs)))
-    hist = histograms(data, [c for c, _ in columns], histogram_threshold)
+    if candidates:
+        hist = histograms(data, candidates, histogram_threshold)
+    else:
+        hist = df.sparkSession.createDataFrame(
+            [], "column_name string, histogram array<struct<value:string,count:bigint,ratio:double>>"
+        )
     return (
         stats.join(F.broadcast(hist.withColumnRenamed("column_name", "hcol")), F.col("column_name") == F.col("hcol"), "left")
         .drop("hcol", "k")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from qualia.operators.validate import row_results, rule_metrics
 from qualia.plans.common import RUN_TS, table
-from qualia.sources.rules import documents_from_dicts, rules_table, select_rules
+from qualia.sources.rules import expand_documents
 
 ORDERS_DOC = {
     "source": "sales",
@@ -192,8 +192,9 @@ LINEITEM_DOC = {
 }
 
 
-def _selected(spark: SparkSession, doc: dict) -> DataFrame:
-    return select_rules(rules_table(documents_from_dicts(spark, [doc])))
+def _selected(spark: SparkSession, doc: dict) -> list[dict]:
+    """Rules of an in-code document (stored catalogues use ``select_rules(rules_table(...))``)."""
+    return expand_documents([doc])
 
 
 def q_rule_metrics_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -234,3 +234,50 @@ def metric_config_table(spark: SparkSession, profiler_rules: Iterable[Mapping])
     rows = [(r["rule_name"], list(r.get("on_columns") or [])) for r in profiler_rules]
     df = spark.createDataFrame(rows, "rule_name string, on_columns array<string>")
     return df.select("rule_name", F.explode("on_columns").alias("column"))
+
+
+def expand_documents(docs: Iterable[Mapping], kind: str | None = "validation") -> list[dict]:
+    """Driver-side twin of ``select_rules(rules_table(docs))`` for documents that are
+    already Python dicts (configuration in code): same scope, activity and default rules,
+    without a Spark round trip. Stored catalogues go through the DataFrame path."""
+    out: list[dict] = []
+    for d in docs:
+        run_on = set(d.get("rules_run_on") or [])
+        groups = [g for g in ("cde", "kde") if g in run_on]
+        listed = {str(x).lower() for g in groups for x in (d.get(g) or [])}
+        base = {"source": d.get("source"), "entity": d.get("entity")}
+
+        def active(r: Mapping) -> bool:
+            return r.get("is_active") is None or int(r["is_active"]) == 1
+
+        if kind in (None, "validation"):
+            for element, rs in (d.get("single_column_validation_rules") or {}).items():
+                if str(element).lower() not in listed:
+                    continue
+                for r in rs or []:
+                    if active(r):
+                        out.append({**base, "element": element, "level": "column", "kind": "validation",
+                                    "rule_name": r.get("rule_name"), "rule_specification": r.get("rule_specification"),
+                                    "rule": r.get("rule"), "rule_type": r.get("rule_type") or "non_aggregate",
+                                    "dimension": r.get("dimension"), "check_level": r.get("check_level"),
+                                    "slo": r.get("slo"), "is_active": 1})
+            for r in d.get("dataset_level_validation_rules") or []:
+                if active(r):
+                    out.append({**base, "element": "*", "level": "dataset", "kind": "validation",
+                                "rule_name": r.get("rule_name"), "rule_specification": r.get("rule"),
+                                "rule": r.get("rule"), "rule_type": "aggregate", "dimension": "size",
+                                "check_level": r.get("check_level"), "slo": r.get("service_level_objective"),
+                                "is_active": 1})
+        if kind in (None, "profile"):
+            for element, rs in (d.get("single_column_profiler_rules") or {}).items():
+                if str(element).lower() not in listed:
+                    continue
+                for r in rs or []:
+                    if active(r):
+                        dim = r.get("dimension")
+                        out.append({**base, "element": element, "level": "column", "kind": "profile",
+                                    "rule_name": r.get("dimension_instance") or f"{element}_{str(dim).lower()}",
+                                    "rule_specification": dim, "rule": r.get("dimension_rule") or dim,
+                                    "rule_type": "aggregate", "dimension": dim, "check_level": r.get("check_level"),
+                                    "slo": r.get("slo"), "is_active": 1})
+    return out
