@@ -234,15 +234,26 @@ def as_text(c: Column, dt: T.DataType) -> Column:
     return c.cast("string")
 
 
-def sql_literal(v) -> str:
-    """Render a Python value as a SQL literal (strings single-quoted, quotes doubled)."""
+def sql_literal(v, type_name: str | None = None) -> str:
+    """Render a Python value as a Spark SQL literal (strings single-quoted, ``\\`` and ``'``
+    backslash-escaped as the Spark parser expects). ``None`` becomes a typed null when
+    ``type_name`` is given."""
     if v is None:
-        return "NULL"
+        return f"CAST(NULL AS {type_name})" if type_name else "NULL"
     if isinstance(v, bool):
         return "TRUE" if v else "FALSE"
-    if isinstance(v, (int, float)):
-        return repr(v)
-    return "'" + str(v).replace("'", "''") + "'"
+    if isinstance(v, int):
+        return f"{v}L" if abs(v) > 2**31 - 1 else str(v)
+    if isinstance(v, float):
+        if v != v or v in (float("inf"), float("-inf")):
+            return f"double('{v}')"
+        return f"{v!r}D"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def str_lit(v) -> str:
+    """String literal (typed null for ``None``)."""
+    return sql_literal(None if v is None else str(v), "STRING")
 
 
 def quote_ident(name: str) -> str:

@@ -17,16 +17,18 @@ import datetime as _dt
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, fields
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qualia.functions.predicates import (
     RuleError,
     check_rules,
-    compare_by_column,
     parse_slo,
-    pct_half_up,
+    quote_ident,
     resolve_name,
+    sql_literal,
+    str_lit,
 )
 
 # Rules compiled into one plan; more than this means the caller did not pick one entity.
@@ -82,27 +84,38 @@ def as_rules(rules, source: str | None = None, entity: str | None = None) -> lis
     return out
 
 
-def _run_date(run_ts) -> Column:
+def _run_date_sql(run_ts) -> str:
     """The run stamp as ``timestamp_ntz``: fixed when ``run_ts`` is given, else the local now."""
     if run_ts is None:
-        return F.localtimestamp()
+        return "localtimestamp()"
     if isinstance(run_ts, _dt.datetime):
         run_ts = run_ts.isoformat(sep=" ")
-    return F.lit(str(run_ts)).cast("timestamp_ntz")
+    return f"CAST({str_lit(run_ts)} AS TIMESTAMP_NTZ)"
 
 
-def _compiled(df: DataFrame, rules: Sequence[Rule]) -> list[tuple[Rule, str]]:
-    """Pair each row rule with the table's own spelling of its element; check the SQL."""
+def _resolved(df: DataFrame, rules: Sequence[Rule]) -> list[tuple[Rule, str]]:
+    """Pair each row rule with the table's own spelling of its element."""
+    names = {f.name.lower(): f.name for f in df.schema.fields}
     out = []
     for r in rules:
-        try:
-            out.append((r, resolve_name(df, r.element)))
-        except KeyError as e:
-            raise RuleError(r.rule_name, r.rule, str(e)) from e
-    check_rules(df, [(r.rule_name, r.rule) for r, _ in out])
+        col = names.get(str(r.element).lower())
+        if col is None:
+            raise RuleError(r.rule_name, r.rule, f"no column {r.element!r} in {df.columns}")
+        out.append((r, col))
     return out
 
 
+def _build(df: DataFrame, rules: Sequence[tuple[Rule, str]], make):
+    """Build the plan; if analysis fails, analyse rule by rule to name the culprit."""
+    try:
+        return make()
+    except RuleError:
+        raise
+    except Exception:  # noqa: BLE001 - diagnose below, re-raise if no rule is at fault
+        check_rules(df, [(r.rule_name, r.rule) for r, _ in rules])
+        raise
+
+
 def row_results(
     df: DataFrame,
     rules,
@@ -114,30 +127,33 @@ def row_results(
 
     Output: ``pass_through...`` + ``rule_applied_on, source, entity, rule, rule_name,
     dimension, value (string), result (boolean, null when the rule is null), run_date``.
-    One scan of ``df``; ``only_failures`` keeps rows whose result is false.
+    One scan of ``df``: all rules are one ``inline(array(named_struct(...)))`` projection.
+    ``only_failures`` keeps rows whose result is false.
     """
     rs = [r for r in as_rules(rules) if not r.is_aggregate]
     if not rs:
         raise ValueError("no active row rules")
-    compiled = _compiled(df, rs)
+    compiled = _resolved(df, rs)
     structs = [
-        F.struct(
-            F.lit(col).alias("rule_applied_on"),
-            F.lit(r.source).cast("string").alias("source"),
-            F.lit(r.entity).cast("string").alias("entity"),
-            F.lit(r.rule).alias("rule"),
-            F.lit(r.rule_name).alias("rule_name"),
-            F.lit(r.dimension).cast("string").alias("dimension"),
-            F.col(col).cast("string").alias("value"),
-            F.expr(r.rule).alias("result"),
-        )
+        "named_struct("
+        f"'rule_applied_on', {str_lit(col)}, 'source', {str_lit(r.source)}, 'entity', {str_lit(r.entity)}, "
+        f"'rule', {str_lit(r.rule)}, 'rule_name', {str_lit(r.rule_name)}, 'dimension', {str_lit(r.dimension)}, "
+        f"'value', CAST({quote_ident(col)} AS STRING), 'result', ({r.rule}))"
         for r, col in compiled
     ]
-    keep = [resolve_name(df, c) for c in (pass_through or [])]
-    out = df.select(*keep, F.inline(F.array(*structs)))
+    keep = [quote_ident(resolve_name(df, c)) for c in (pass_through or [])]
+
+    def make() -> DataFrame:
+        out = df.selectExpr(*keep, f"inline(array({', '.join(structs)}))", f"{_run_date_sql(run_ts)} AS run_date")
+        bad = [f for f in out.schema.fields if f.name == "result" and not isinstance(f.dataType, T.BooleanType)]
+        if bad:
+            check_rules(df, [(r.rule_name, r.rule) for r, _ in compiled])
+        return out
+
+    out = _build(df, compiled, make)
     if only_failures:
-        out = out.filter(F.col("result") == F.lit(False))
-    return out.withColumn("run_date", _run_date(run_ts))
+        out = out.filter("result = false")
+    return out
 
 
 def rule_metrics(df: DataFrame, rules) -> DataFrame:
@@ -155,7 +171,7 @@ def rule_metrics(df: DataFrame, rules) -> DataFrame:
     rs = as_rules(rules)
     if not rs:
         raise ValueError("no active rules")
-    row_rules = _compiled(df, [r for r in rs if not r.is_aggregate])
+    row_rules = _resolved(df, [r for r in rs if not r.is_aggregate])
     agg_rules = []
     for r in rs:
         if not r.is_aggregate:
@@ -163,81 +179,61 @@ def rule_metrics(df: DataFrame, rules) -> DataFrame:
         kind = (r.rule or "").strip().lower()
         if kind not in AGGREGATE_RULES:
             raise RuleError(r.rule_name, r.rule, f"unknown aggregate rule; use one of {', '.join(AGGREGATE_RULES)}")
-        col = None if kind == "hassize" else resolve_name(df, r.element)
+        col = None if kind == "hassize" else _resolved(df, [r])[0][1]
         agg_rules.append((r, kind, col))
 
-    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs = ["count(1) AS n"]
     for i, (r, _) in enumerate(row_rules):
-        pred = F.expr(r.rule)
-        aggs += [F.count_if(pred).alias(f"s{i}"), F.count_if(~pred).alias(f"f{i}")]
+        aggs += [f"count_if(({r.rule})) AS s{i}", f"count_if(NOT ({r.rule})) AS f{i}"]
     distinct_cols: dict[str, str] = {}
     nonnull_cols: dict[str, str] = {}
     for r, kind, col in agg_rules:
         if kind in ("uniqueness", "distinctness") and col not in distinct_cols:
             distinct_cols[col] = f"d{len(distinct_cols)}"
-            aggs.append(F.count_distinct(F.col(col)).alias(distinct_cols[col]))
+            aggs.append(f"count(DISTINCT {quote_ident(col)}) AS {distinct_cols[col]}")
         if kind in ("distinctness", "completeness") and col not in nonnull_cols:
             nonnull_cols[col] = f"c{len(nonnull_cols)}"
-            aggs.append(F.count(F.col(col)).alias(nonnull_cols[col]))
-    wide = df.agg(*aggs)
+            aggs.append(f"count({quote_ident(col)}) AS {nonnull_cols[col]}")
 
-    def meta(r: Rule, applied_on: str) -> list[Column]:
+    def struct(r: Rule, applied_on: str, succ: str, total: str, on_size: bool, fail: str | None = None) -> str:
         slo = parse_slo(r.slo)
-        return [
-            F.lit(r.source).cast("string").alias("source"),
-            F.lit(r.entity).cast("string").alias("entity"),
-            F.lit(applied_on).cast("string").alias("rule_applied_on"),
-            F.lit(r.rule).cast("string").alias("rule"),
-            F.lit(r.rule_name).cast("string").alias("rule_name"),
-            F.lit(r.dimension).cast("string").alias("dimension"),
-            F.lit(slo[0] if slo else None).cast("string").alias("slo_op"),
-            F.lit(slo[1] if slo else None).cast("double").alias("slo_value"),
-        ]
+        return (
+            "named_struct("
+            f"'source', {str_lit(r.source)}, 'entity', {str_lit(r.entity)}, 'rule_applied_on', {str_lit(applied_on)}, "
+            f"'rule', {str_lit(r.rule)}, 'rule_name', {str_lit(r.rule_name)}, 'dimension', {str_lit(r.dimension)}, "
+            f"'slo_op', {str_lit(slo[0] if slo else None)}, "
+            f"'slo_value', CAST({sql_literal(slo[1] if slo else None, 'DOUBLE')} AS DOUBLE), "
+            f"'success_count', {succ}, 'failure_count', {fail or f'{total} - {succ}'}, 'count', {total}, "
+            f"'on_size', {'TRUE' if on_size else 'FALSE'})"
+        )
 
     structs = []
     for i, (r, col) in enumerate(row_rules):
-        structs.append(
-            F.struct(
-                *meta(r, col),
-                F.col(f"s{i}").alias("success_count"),
-                F.col(f"f{i}").alias("failure_count"),
-                F.col("n").alias("count"),
-                F.lit(False).alias("on_size"),
-            )
-        )
+        # failures are counted directly: null results count in neither
+        structs.append(struct(r, col, f"s{i}", "n", False, fail=f"f{i}"))
     for r, kind, col in agg_rules:
         if kind == "hassize":
-            succ, total, on_size = F.col("n"), F.col("n"), True
+            structs.append(struct(r, r.element or "*", "n", "n", True))
         elif kind == "uniqueness":
-            succ, total, on_size = F.col(distinct_cols[col]), F.col("n"), False
+            structs.append(struct(r, col, distinct_cols[col], "n", False))
         elif kind == "distinctness":
-            succ, total, on_size = F.col(distinct_cols[col]), F.col(nonnull_cols[col]), False
+            structs.append(struct(r, col, distinct_cols[col], nonnull_cols[col], False))
         else:  # completeness
-            succ, total, on_size = F.col(nonnull_cols[col]), F.col("n"), False
-        structs.append(
-            F.struct(
-                *meta(r, col or r.element or "*"),
-                succ.alias("success_count"),
-                (total - succ).alias("failure_count"),
-                total.alias("count"),
-                F.lit(on_size).alias("on_size"),
-            )
-        )
-    long = wide.select(F.inline(F.array(*structs)))
-    pct = pct_half_up("success_count", "count")
-    long = long.withColumn("pass_percentage", F.when(~F.col("on_size"), pct))
-    target = F.when(F.col("on_size"), F.col("count").cast("double")).otherwise(F.col("pass_percentage"))
-    status = compare_by_column(target, F.col("slo_op"), F.col("slo_value"))
-    return long.select(
-        "source",
-        "entity",
-        "rule_applied_on",
-        "rule",
-        "rule_name",
-        "dimension",
-        "success_count",
-        "failure_count",
-        "count",
-        "pass_percentage",
-        status.alias("constraint_status"),
+            structs.append(struct(r, col, nonnull_cols[col], "n", False))
+
+    pct = "CASE WHEN NOT on_size AND count > 0 THEN ((20000 * success_count + count) div (2 * count)) / 100.0D END"
+    target = f"CASE WHEN on_size THEN CAST(count AS DOUBLE) ELSE ({pct}) END"
+    status = " ".join(
+        f"WHEN slo_op = '{op}' THEN {target} {sym} slo_value"
+        for op, sym in (("gt", ">"), ("lt", "<"), ("eq", "="), ("ge", ">="), ("le", "<="))
     )
+
+    def make() -> DataFrame:
+        wide = df.selectExpr(*aggs)
+        long = wide.selectExpr(f"inline(array({', '.join(structs)}))")
+        return long.selectExpr(
+            "source", "entity", "rule_applied_on", "rule", "rule_name", "dimension", "success_count",
+            "failure_count", "count", f"{pct} AS pass_percentage", f"CASE {status} END AS constraint_status",
+        )
+
+    return _build(df, row_rules, make)
