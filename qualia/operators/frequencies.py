@@ -3,9 +3,17 @@
 ``frequencies(df, key_sets)`` returns ``(k int, v string, nn boolean, n long)``: for key set
 number ``k``, each distinct key value ``v`` (text; multi-column keys as a JSON object),
 whether any key part is non-null (``nn``) and its row count ``n``. Null is a value of its
-own. Several key sets share ONE scan: rows are fanned out with ``inline`` and grouped by
-``(k, v)``; partial aggregation before the shuffle collapses hot values, so a value that
-holds a third of the table costs one row per map task, not a third of the shuffle.
+own.
+
+Several key sets share ONE scan. Each input row is fanned out with ``inline`` into one
+element per key set; the key columns go into *typed slots* shared by type and position
+(key set ``(a long)`` and ``(b long, c string)`` use slots ``long_0``, ``long_1`` and
+``string_0``), the other slots stay null. Grouping is therefore on native values (no text
+conversion per input row), the element width is bounded by the number of distinct slot
+types rather than the number of columns, and the text of a key is produced only for the
+distinct values, after aggregation (and only when a consumer reads ``v``). Partial
+aggregation before the shuffle collapses hot values, so a value holding a third of the
+table costs one row per map task.
 """
 
 from __future__ import annotations
@@ -18,17 +26,6 @@ from pyspark.sql import functions as F
 from qualia.functions.predicates import COMPLEX_TYPES, as_text, field_type, resolve_name
 
 
-def _key_text(df: DataFrame, cols: Sequence[str]) -> tuple[Column, Column]:
-    if len(cols) == 1:
-        c = F.col(cols[0])
-        return as_text(c, field_type(df, cols[0])), c.isNotNull()
-    parts = [as_text(F.col(c), field_type(df, c)).alias(str(i)) for i, c in enumerate(cols)]
-    nn = F.lit(False)
-    for c in cols:
-        nn = nn | F.col(c).isNotNull()
-    return F.to_json(F.struct(*parts)), nn
-
-
 def normalize_key_sets(df: DataFrame, key_sets) -> list[tuple[str, ...]]:
     out = []
     for ks in key_sets:
@@ -41,25 +38,67 @@ def normalize_key_sets(df: DataFrame, key_sets) -> list[tuple[str, ...]]:
     return out
 
 
+def _slot_name(type_name: str, pos: int) -> str:
+    return "s_" + "".join(ch if ch.isalnum() else "_" for ch in type_name) + f"_{pos}"
+
+
 def frequencies(df: DataFrame, key_sets, wheres: Sequence[str | None] | None = None) -> DataFrame:
     """Value counts for each key set (optionally each under its own ``where`` filter)."""
     kss = normalize_key_sets(df, key_sets)
     wheres = list(wheres) if wheres is not None else [None] * len(kss)
     if len(kss) == 1 and wheres[0] is None and len(kss[0]) == 1:
-        # One column: group on the typed value, turn only the distinct values into text.
+        # One column: plain typed grouping, text only for the distinct values.
         c = kss[0][0]
         counted = df.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-        v, nn = _key_text(counted, [c])
-        return counted.select(F.lit(0).alias("k"), v.alias("v"), nn.alias("nn"), F.col("n"))
+        return counted.select(
+            F.lit(0).alias("k"), as_text(F.col(c), field_type(df, c)).alias("v"), F.col(c).isNotNull().alias("nn"),
+            F.col("n"),
+        )
+
+    # Slot layout: (type, position-within-type) -> slot column; one layout for all key sets.
+    slot_types: dict[str, object] = {}
+    assign: list[list[str]] = []
+    for cols in kss:
+        seen: dict[str, int] = {}
+        names = []
+        for c in cols:
+            dt = field_type(df, c)
+            t = dt.simpleString()
+            pos = seen.get(t, 0)
+            seen[t] = pos + 1
+            name = _slot_name(t, pos)
+            slot_types[name] = dt
+            names.append(name)
+        assign.append(names)
+    slots = list(slot_types)
+
     items = []
-    for i, (cols, where) in enumerate(zip(kss, wheres)):
-        v, nn = _key_text(df, cols)
-        s = F.struct(F.lit(i).alias("k"), v.alias("v"), nn.alias("nn"))
+    for i, (cols, names, where) in enumerate(zip(kss, assign, wheres)):
+        filled = dict(zip(names, cols))
+        nn = F.lit(False)
+        for c in cols:
+            nn = nn | F.col(c).isNotNull()
+        fields = [F.lit(i).alias("k"), nn.alias("nn")] + [
+            (F.col(filled[s]) if s in filled else F.lit(None)).cast(slot_types[s]).alias(s) for s in slots
+        ]
+        s = F.struct(*fields)
         items.append(F.when(F.expr(where), s) if where else s)
     arr = F.array(*items)
     if any(wheres):
         arr = F.filter(arr, lambda x: x.isNotNull())
-    return df.select(F.inline(arr)).groupBy("k", "v", "nn").agg(F.count(F.lit(1)).alias("n"))
+    counted = df.select(F.inline(arr)).groupBy("k", "nn", *slots).agg(F.count(F.lit(1)).alias("n"))
+
+    # Text of each key, computed on distinct values only.
+    text: Column | None = None
+    for i, (cols, names) in enumerate(zip(kss, assign)):
+        if len(cols) == 1:
+            t = as_text(F.col(names[0]), slot_types[names[0]])
+        else:
+            t = F.to_json(
+                F.struct(*[as_text(F.col(s), slot_types[s]).alias(str(j)) for j, s in enumerate(names)])
+            )
+        text = F.when(F.col("k") == i, t) if text is None else text.when(F.col("k") == i, t)
+    return counted.select("k", text.alias("v"), "nn", "n")
 
 
 def key_set_stats(freq: DataFrame) -> DataFrame:
