@@ -12,6 +12,7 @@ from qualia.plans.rules_queries import (
     q_rule_metrics_lineitem,
     q_rule_metrics_orders,
     q_rule_row_results,
+    q_stream_rule_metrics,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_metrics_lineitem": q_rule_metrics_lineitem,
     "rule_row_results": q_rule_row_results,
     "rule_aggregate_uniqueness": q_rule_aggregate_uniqueness,
+    "stream_rule_metrics": q_stream_rule_metrics,
     **metric_queries.QUERIES,
     **profile_queries.QUERIES,
     **check_queries.QUERIES,
@@ -31,6 +33,7 @@ ORACLE: dict[str, str] = {
     "rule_metrics_lineitem": oracle_rules.rule_metrics_lineitem(),
     "rule_row_results": oracle_rules.rule_row_results(),
     "rule_aggregate_uniqueness": oracle_rules.rule_aggregate_uniqueness(),
+    "stream_rule_metrics": oracle_rules.stream_rule_metrics(),
     **oracle_metrics.ORACLE,
     **oracle_profile.ORACLE,
     **oracle_checks.ORACLE,

@@ -125,3 +125,13 @@ def rule_row_results() -> str:
             f"({_duck(r)}) AS result, TIMESTAMP '2024-01-01 00:00:00' AS run_date FROM orders"
         )
     return "\nUNION ALL\n".join(branches)
+
+
+def stream_rule_metrics() -> str:
+    parts = [
+        row_rule_metric("orders", "sales", "orders", e, _duck(r), n, d, OPS[o], b).replace(
+            f"{_q(_duck(r))} AS rule,", f"{_q(r)} AS rule,"
+        )
+        for e, r, n, d, o, b in ORDERS_ROW_RULES
+    ]
+    return "\nUNION ALL\n".join(parts)

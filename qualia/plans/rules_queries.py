@@ -231,3 +231,13 @@ def q_rule_aggregate_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_metrics(table(spark, sf_dir, "lineitem"), rules).unionByName(
         rule_metrics(table(spark, sf_dir, "orders"), orders_rules)
     )
+
+
+def q_stream_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running rule metrics over orders read as a file stream, run to the end of the input."""
+    from qualia.streaming.validate import read_stream, run_available, stream_rule_metrics
+
+    schema = table(spark, sf_dir, "orders").schema
+    stream = read_stream(spark, sf_dir, schema, pattern="orders.parquet")
+    rules = [r for r in _selected(spark, ORDERS_DOC) if r["rule_type"] != "aggregate"]
+    return run_available(stream_rule_metrics(stream, rules))
