@@ -23,18 +23,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qualia.functions.predicates import COMPLEX_TYPES, as_text, field_type, resolve_name
+from qualia.functions.predicates import COMPLEX_TYPES, as_text
 
 
-def normalize_key_sets(df: DataFrame, key_sets) -> list[tuple[str, ...]]:
+def normalize_key_sets(df: DataFrame, key_sets, fields: dict | None = None) -> list[tuple[str, ...]]:
+    fields = fields if fields is not None else {f.name.lower(): f for f in df.schema.fields}
     out = []
     for ks in key_sets:
-        cols = (ks,) if isinstance(ks, str) else tuple(ks)
-        cols = tuple(resolve_name(df, c) for c in cols)
-        for c in cols:
-            if isinstance(field_type(df, c), COMPLEX_TYPES):
+        cols = []
+        for c in (ks,) if isinstance(ks, str) else tuple(ks):
+            f = fields.get(c.lower())
+            if f is None:
+                raise KeyError(f"no column {c!r} in {df.columns}")
+            if isinstance(f.dataType, COMPLEX_TYPES):
                 raise TypeError(f"column {c!r} has a complex type; frequencies need atomic columns")
-        out.append(cols)
+            cols.append(f.name)
+        out.append(tuple(cols))
     return out
 
 
@@ -44,8 +48,13 @@ def _slot_name(type_name: str, pos: int) -> str:
 
 def frequencies(df: DataFrame, key_sets, wheres: Sequence[str | None] | None = None) -> DataFrame:
     """Value counts for each key set (optionally each under its own ``where`` filter)."""
-    kss = normalize_key_sets(df, key_sets)
+    fields = {f.name.lower(): f for f in df.schema.fields}
+    kss = normalize_key_sets(df, key_sets, fields)
     wheres = list(wheres) if wheres is not None else [None] * len(kss)
+
+    def field_type(_df, c):
+        return fields[c.lower()].dataType
+
     if len(kss) == 1 and wheres[0] is None and len(kss[0]) == 1:
         # One column: plain typed grouping, text only for the distinct values.
         c = kss[0][0]

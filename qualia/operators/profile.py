@@ -24,12 +24,13 @@ from pyspark.sql import types as T
 from qualia.functions.predicates import (
     COMPLEX_TYPES,
     FLOATING_TYPES,
-    is_blank,
-    is_null_or_nan,
+    SPACES_REGEX,
     is_numeric,
-    is_spaces,
+    quote_ident,
     ratio,
     resolve_name,
+    sql_literal,
+    str_lit,
 )
 from qualia.operators.frequencies import frequencies
 
@@ -94,45 +95,30 @@ def profile(
     """
     columns = _columns(df, cols)
     data = df.select(*[c for c, _ in columns])
-    # (1) one global aggregation for all columns
-    aggs = [F.count(F.lit(1)).alias("num_rows")]
+    # (1) one global aggregation for all columns, written as SQL expressions (one call).
+    aggs = ["count(1) AS num_rows"]
+    structs = []
     for i, (c, dt) in enumerate(columns):
-        col = F.col(c)
+        q = quote_ident(c)
         num = is_numeric(dt)
+        null = f"{q} IS NULL OR isnan({q})" if isinstance(dt, FLOATING_TYPES) else f"{q} IS NULL"
+        text = isinstance(dt, T.StringType)
         aggs += [
-            F.count_if(is_null_or_nan(col, dt)).alias(f"null{i}"),
-            F.count_if(is_spaces(col, dt)).alias(f"spaces{i}"),
-            F.count_if(is_blank(col, dt)).alias(f"blank{i}"),
-            F.count(col).alias(f"count{i}"),
-            (F.avg(col.cast("double")) if num else F.lit(None).cast("double")).alias(f"mean{i}"),
-            (F.stddev_samp(col.cast("double")) if num else F.lit(None).cast("double")).alias(f"std{i}"),
-            F.min(col).cast("string").alias(f"min{i}"),
-            F.max(col).cast("string").alias(f"max{i}"),
+            f"count_if({null}) AS null{i}",
+            (f"count_if({q} RLIKE {sql_literal(SPACES_REGEX)})" if text else "0L") + f" AS spaces{i}",
+            (f"count_if({q} = '')" if text else "0L") + f" AS blank{i}",
+            f"count({q}) AS count{i}",
+            (f"avg(CAST({q} AS DOUBLE))" if num else "CAST(NULL AS DOUBLE)") + f" AS mean{i}",
+            (f"stddev_samp(CAST({q} AS DOUBLE))" if num else "CAST(NULL AS DOUBLE)") + f" AS std{i}",
+            f"CAST(min({q}) AS STRING) AS min{i}",
+            f"CAST(max({q}) AS STRING) AS max{i}",
         ]
-    wide = data.agg(*aggs)
-    per_col = wide.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("k"),
-                        F.lit(c).alias("column_names"),
-                        F.lit(dt.simpleString()).alias("data_types"),
-                        F.col("num_rows"),
-                        F.col(f"null{i}").alias("num_null"),
-                        F.col(f"spaces{i}").alias("num_spaces"),
-                        F.col(f"blank{i}").alias("num_blank"),
-                        F.col(f"count{i}").alias("count"),
-                        F.col(f"mean{i}").alias("mean"),
-                        F.col(f"std{i}").alias("stddev"),
-                        F.col(f"min{i}").alias("min"),
-                        F.col(f"max{i}").alias("max"),
-                    )
-                    for i, (c, dt) in enumerate(columns)
-                ]
-            )
+        structs.append(
+            f"named_struct('k', {i}, 'column_names', {str_lit(c)}, 'data_types', {str_lit(dt.simpleString())}, "
+            f"'num_rows', num_rows, 'num_null', null{i}, 'num_spaces', spaces{i}, 'num_blank', blank{i}, "
+            f"'count', count{i}, 'mean', mean{i}, 'stddev', std{i}, 'min', min{i}, 'max', max{i})"
         )
-    )
+    per_col = data.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(structs)}))")
     # (2) one frequency table for the chosen columns
     if frequencies_mode == "none":
         chosen = []

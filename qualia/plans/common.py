@@ -15,6 +15,19 @@ TABLES = (
 ).split()
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's Parquet tables (vectorized scan, filter/column pushdown)."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """One of the driver's Parquet tables (vectorized scan, filter/column pushdown).
+
+    The DataFrame definition (file listing and footer schema, no data) is reused per
+    session and path; DataFrames are immutable, so sharing them between queries is safe.
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
