@@ -119,3 +119,20 @@ def key_set_stats(freq: DataFrame) -> DataFrame:
         F.count_if(F.col("nn")).alias("distinct_nonnull"),
         F.count_if(F.col("nn") & (F.col("n") == 1)).alias("unique_nonnull"),
     )
+
+
+def key_set_totals(freq: DataFrame, n_key_sets: int) -> DataFrame:
+    """The statistics of ``key_set_stats`` for key sets ``0..n-1`` as ONE row (columns
+    ``<stat>_<k>``), from a global aggregation: present even when the input is empty."""
+    k, n, nn = F.col("k"), F.col("n"), F.col("nn")
+    aggs = []
+    for i in range(n_key_sets):
+        mine = k == i
+        aggs += [
+            F.coalesce(F.sum(F.when(mine, n)), F.lit(0)).alias(f"rows_{i}"),
+            F.coalesce(F.sum(F.when(mine & nn, n)), F.lit(0)).alias(f"nonnull_rows_{i}"),
+            F.count_if(mine).alias(f"bins_{i}"),
+            F.count_if(mine & nn).alias(f"distinct_nonnull_{i}"),
+            F.count_if(mine & nn & (n == 1)).alias(f"unique_nonnull_{i}"),
+        ]
+    return freq.agg(*aggs)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qualia.functions.predicates import field_type, is_numeric, ratio, resolve_name
-from qualia.operators.frequencies import frequencies, key_set_stats
+from qualia.operators.frequencies import frequencies, key_set_stats, key_set_totals
 
 METRIC_SCHEMA = "entity string, instance string, name string, value double"
 
@@ -206,24 +206,24 @@ class _Grouping(Analyzer):
 class Distinctness(_Grouping):
     name = "Distinctness"
 
-    def from_stats(self) -> Column:
-        return ratio(F.col("distinct_nonnull"), F.col("nonnull_rows"))
+    def from_stats(self, st) -> Column:
+        return ratio(st("distinct_nonnull"), st("nonnull_rows"))
 
 
 @dataclass(frozen=True, init=False)
 class Uniqueness(_Grouping):
     name = "Uniqueness"
 
-    def from_stats(self) -> Column:
-        return ratio(F.col("unique_nonnull"), F.col("nonnull_rows"))
+    def from_stats(self, st) -> Column:
+        return ratio(st("unique_nonnull"), st("nonnull_rows"))
 
 
 @dataclass(frozen=True, init=False)
 class CountDistinct(_Grouping):
     name = "CountDistinct"
 
-    def from_stats(self) -> Column:
-        return F.col("distinct_nonnull").cast("double")
+    def from_stats(self, st) -> Column:
+        return st("distinct_nonnull").cast("double")
 
 
 @dataclass(frozen=True, init=False)
@@ -232,8 +232,8 @@ class Histogram(_Grouping):
 
     name = "Histogram"
 
-    def from_stats(self) -> Column:
-        return F.col("bins").cast("double")
+    def from_stats(self, st) -> Column:
+        return st("bins").cast("double")
 
     def metric_name(self) -> str:
         return _named("Histogram.bins", self.where)
@@ -328,12 +328,14 @@ def metric_rows(df: DataFrame, analyzers: Sequence[Analyzer]) -> tuple[DataFrame
     if grouped:
         keys = list(groups)
         freq = frequencies(df, [cols for cols, _ in keys], [w for _, w in keys])
-        stats = key_set_stats(freq)
-        structs = [F.when(F.col("k") == k, _meta(a, a.from_stats(), key=i)) for i, a, k in grouped]
-        parts.append(stats.select(F.inline(F.filter(F.array(*structs), lambda x: x.isNotNull()))))
+        # One global aggregation with per-key-set statistics: always exactly one row, so
+        # metrics of an empty table are defined (CountDistinct 0) or null (ratios).
+        stats = key_set_totals(freq, len(keys))
+        structs = [_meta(a, a.from_stats(lambda name, k=k: F.col(f"{name}_{k}")), key=i) for i, a, k in grouped]
+        parts.append(stats.select(F.inline(F.array(*structs))))
         hist = [(a, k) for _, a, k in grouped if isinstance(a, Histogram)]
         if hist:
-            parts.append(_histogram_rows(freq, stats, hist))
+            parts.append(_histogram_rows(freq, key_set_stats(freq), hist))
     if not parts:
         raise ValueError("no metric could be computed")
     out = parts[0]
