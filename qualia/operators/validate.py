@@ -70,6 +70,8 @@ def as_rules(rules, source: str | None = None, entity: str | None = None) -> lis
         items = rules
     out = []
     for r in items:
+        if hasattr(r, "asDict") and not isinstance(r, Mapping):
+            r = r.asDict()
         if isinstance(r, Rule):
             rule = r
         elif isinstance(r, Mapping):

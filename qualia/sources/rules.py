@@ -86,12 +86,92 @@ RULES_SCHEMA = T.StructType(
 )
 
 
+GROUPED_PROFILER_RULE = T.StructType(
+    [T.StructField("rule_name", T.StringType()), T.StructField("on_columns", T.ArrayType(T.StringType()))]
+)
+GROUPED_VALIDATION_RULE = T.StructType(
+    [
+        T.StructField("rule_specification", T.StringType()),
+        T.StructField("rule_name", T.StringType()),
+        T.StructField("rule", T.StringType()),
+    ]
+)
+ENTITY_SCHEMA = T.StructType(
+    [f for f in DOCUMENT_SCHEMA.fields if f.name != "source"]
+    + [
+        T.StructField("run_rules_on", T.ArrayType(T.StringType())),
+        # profiler rules listed per element group: {"cde": [{rule_name, on_columns[]}], ...}
+        T.StructField("profiler_rules", T.MapType(T.StringType(), T.ArrayType(GROUPED_PROFILER_RULE))),
+        T.StructField("validation_rules", T.MapType(T.StringType(), T.ArrayType(GROUPED_VALIDATION_RULE))),
+    ]
+)
+FILE_SCHEMA = T.StructType(DOCUMENT_SCHEMA.fields + [T.StructField("entities", T.ArrayType(ENTITY_SCHEMA))])
+
+
 def read_rule_documents(spark: SparkSession, path: str) -> DataFrame:
-    """JSON rule documents (one object per file, or JSON lines) with the canonical schema.
+    """JSON rule documents with the canonical schema (one object per file, or JSON lines).
 
-    Missing fields read as null; unknown fields are ignored.
+    Two layouts are accepted: flat documents keyed by ``source``/``entity``, and files with
+    a top-level ``source`` and a list of ``entities`` (using ``run_rules_on`` or
+    ``rules_run_on``, and profiler rules either per column or as ``{rule_name,
+    on_columns[]}`` lists per element group). Missing fields read as null; unknown
+    fields are ignored. Validation rules listed per element group name no element, so
+    they are not carried over (see ``grouped_validation_rules``).
     """
-    return spark.read.schema(DOCUMENT_SCHEMA).option("multiLine", "true").json(path)
+    raw = spark.read.schema(FILE_SCHEMA).option("multiLine", "true").json(path)
+    flat = raw.filter(F.col("entities").isNull()).select(*[f.name for f in DOCUMENT_SCHEMA.fields])
+    nested = raw.filter(F.col("entities").isNotNull()).select(
+        F.col("source").alias("_source"), F.explode("entities").alias("e")
+    ).select("_source", "e.*")
+    return flat.unionByName(_entities_to_documents(nested))
+
+
+def _entities_to_documents(ents: DataFrame) -> DataFrame:
+    """Entity records (one per row, with ``_source``) -> canonical documents, per row only."""
+    # {group: [{rule_name, on_columns}]} -> [(column, profiler rule)] -> map column -> rules
+    pairs = F.flatten(
+        F.transform(
+            F.map_values(F.coalesce(F.col("profiler_rules"), F.create_map().cast(ENTITY_SCHEMA["profiler_rules"].dataType))),
+            lambda rules: F.flatten(
+                F.transform(
+                    rules,
+                    lambda r: F.transform(
+                        r["on_columns"],
+                        lambda c: F.struct(
+                            c.alias("col"),
+                            F.struct(
+                                r["rule_name"].alias("dimension"),
+                                F.lit(1).alias("is_active"),
+                                F.lit(None).cast("string").alias("check_level"),
+                                F.lit(None).cast("string").alias("dimension_instance"),
+                                F.lit(None).cast("string").alias("dimension_rule"),
+                                F.lit(None).cast("string").alias("slo"),
+                            ).alias("rule"),
+                        ),
+                    ),
+                )
+            ),
+        )
+    )
+    cols = F.array_distinct(F.transform(pairs, lambda p: p["col"]))
+    grouped = F.map_from_arrays(
+        cols,
+        F.transform(cols, lambda c: F.array_distinct(F.transform(F.filter(pairs, lambda p: p["col"] == c), lambda p: p["rule"]))),
+    )
+    profiler = F.when(F.col("single_column_profiler_rules").isNotNull(), F.col("single_column_profiler_rules")).when(
+        F.size(pairs) > 0, grouped
+    )
+    return ents.select(
+        F.col("_source").alias("source"),
+        "entity",
+        "cde",
+        "kde",
+        F.coalesce(F.col("rules_run_on"), F.col("run_rules_on")).alias("rules_run_on"),
+        "primary_key",
+        "single_column_validation_rules",
+        profiler.cast(DOCUMENT_SCHEMA["single_column_profiler_rules"].dataType).alias("single_column_profiler_rules"),
+        "dataset_level_validation_rules",
+    )
 
 
 def documents_from_dicts(spark: SparkSession, docs: Iterable[Mapping]) -> DataFrame:
