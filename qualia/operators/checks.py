@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qualia.functions.predicates import as_assertion, quote_ident, sql_literal
+from qualia.functions.predicates import as_assertion, quote_ident, sql_literal, str_lit
 from qualia.operators.metrics import Analyzer, Completeness, Compliance, Size, Uniqueness, metric_rows
 
 
@@ -120,39 +120,36 @@ def verify(df: DataFrame, checks: Sequence[Check], tags: Mapping[str, str] | Non
         *[F.max(F.when(F.col("metric_key") == i, F.col("value"))).alias(f"v{i}") for i in needed],
         F.count(F.lit(1)).alias("_rows"),
     )
-    per_check: list[tuple[Check, list[tuple[Constraint, Column, Column]]]] = []
+    # Assertions are Column callables: evaluate them all in one projection of the wide row.
+    oks: dict[str, Column] = {}
+    layout: list[tuple[Check, list[tuple[Constraint, str, str]]]] = []
+    j = 0
     for ch in checks:
         items = []
         for c in ch.constraints:
-            v = F.col(f"v{index[c.analyzer]}") if c.analyzer in index else F.lit(None).cast("double")
-            ok = F.coalesce(c.assertion(v), F.lit(False))
-            items.append((c, v, ok))
-        per_check.append((ch, items))
+            v = f"v{index[c.analyzer]}" if c.analyzer in index else None
+            value = F.col(v) if v else F.lit(None).cast("double")
+            oks[f"ok{j}"] = F.coalesce(c.assertion(value), F.lit(False))
+            items.append((c, v or "CAST(NULL AS DOUBLE)", f"ok{j}"))
+            j += 1
+        layout.append((ch, items))
+    evaluated = wide.withColumns(oks)
     structs = []
-    for ch, items in per_check:
-        all_ok = F.lit(True)
-        for _, _, ok in items:
-            all_ok = all_ok & ok
-        check_status = F.when(all_ok, F.lit(SUCCESS)).otherwise(F.lit(ch.level))
+    for ch, items in layout:
+        all_ok = " AND ".join(ok for _, _, ok in items) or "TRUE"
+        check_status = f"CASE WHEN {all_ok} THEN {str_lit(SUCCESS)} ELSE {str_lit(ch.level)} END"
         for c, v, ok in items:
-            shown = F.coalesce((v.cast("long") if c.integral else v).cast("string"), F.lit("null"))
-            msg = F.concat(F.lit("Value: "), shown, F.lit(" does not meet the constraint requirement!"))
-            if c.hint:
-                msg = F.concat(msg, F.lit(" " + c.hint))
+            shown = f"coalesce(CAST({'CAST(' + v + ' AS BIGINT)' if c.integral else v} AS STRING), 'null')"
+            hint = f" {c.hint}" if c.hint else ""
+            msg = f"concat('Value: ', {shown}, {str_lit(MESSAGE.split('{}')[1] + hint)})"
             structs.append(
-                F.struct(
-                    F.lit(ch.description).alias("check"),
-                    F.lit(ch.level).alias("check_level"),
-                    check_status.alias("check_status"),
-                    F.lit(c.text).alias("constraint"),
-                    F.when(ok, F.lit(SUCCESS)).otherwise(F.lit(FAILURE)).alias("constraint_status"),
-                    F.when(ok, F.lit("")).otherwise(msg).alias("constraint_message"),
-                )
+                f"named_struct('check', {str_lit(ch.description)}, 'check_level', {str_lit(ch.level)}, "
+                f"'check_status', {check_status}, 'constraint', {str_lit(c.text)}, "
+                f"'constraint_status', CASE WHEN {ok} THEN {str_lit(SUCCESS)} ELSE {str_lit(FAILURE)} END, "
+                f"'constraint_message', CASE WHEN {ok} THEN '' ELSE {msg} END)"
             )
-    out = wide.select(F.inline(F.array(*structs)))
-    for k, v in (tags or {}).items():
-        out = out.withColumn(k, F.lit(v))
-    return out
+    tag_cols = [f"{str_lit(v)} AS {quote_ident(k)}" for k, v in (tags or {}).items()]
+    return evaluated.selectExpr(f"inline(array({', '.join(structs)}))", *tag_cols)
 
 
 class VerificationSuite:

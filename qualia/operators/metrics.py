@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qualia.functions.predicates import field_type, is_numeric, ratio, resolve_name
+from qualia.functions.predicates import field_type, is_numeric, ratio, resolve_name, str_lit
 from qualia.operators.frequencies import frequencies, key_set_stats, key_set_totals
 
 METRIC_SCHEMA = "entity string, instance string, name string, value double"
@@ -298,6 +298,14 @@ def run_metrics(df: DataFrame, analyzers: Sequence[Analyzer], keep_undefined: bo
     return out
 
 
+def _meta_sql(a: Analyzer, value_col: str, key: int) -> str:
+    entity, instance = a.entity_instance()
+    return (
+        f"named_struct('entity', {str_lit(entity)}, 'instance', {str_lit(instance)}, 'name', "
+        f"{str_lit(a.metric_name())}, 'value', CAST({value_col} AS DOUBLE), 'metric_key', {key})"
+    )
+
+
 def metric_rows(df: DataFrame, analyzers: Sequence[Analyzer]) -> tuple[DataFrame, list[Analyzer]]:
     """Metric rows with a ``metric_key`` column: the position of the analyzer in the
     returned list of distinct, computable analyzers (histogram value rows get -1)."""
@@ -322,9 +330,7 @@ def metric_rows(df: DataFrame, analyzers: Sequence[Analyzer]) -> tuple[DataFrame
     parts: list[DataFrame] = []
     if scan:
         wide = df.agg(*[v.alias(f"m{j}") for j, (_, _, v) in enumerate(scan)])
-        parts.append(
-            wide.select(F.inline(F.array(*[_meta(a, F.col(f"m{j}"), key=i) for j, (i, a, _) in enumerate(scan)])))
-        )
+        parts.append(wide.selectExpr(f"inline(array({', '.join(_meta_sql(a, f'm{j}', i) for j, (i, a, _) in enumerate(scan))}))"))
     if grouped:
         keys = list(groups)
         freq = frequencies(df, [cols for cols, _ in keys], [w for _, w in keys])
