@@ -42,3 +42,36 @@ def test_unmatched_and_null_keys(spark):
                    ("4", "d", "d"), ("5", "e", "d")]
     left = reconcile(src, ext, "k=kk", ["v=w"], primary_key="id", publish_date=None, how="left")
     assert left.count() == 5
+
+
+def test_hot_key_is_split_by_aqe(spark):
+    """One key holds a third of the source: the left join must be split, results whole."""
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        src = spark.range(0, 30000).selectExpr(
+            "id", "CASE WHEN id < 10000 THEN 7 ELSE id END AS k", "CAST(id % 97 AS STRING) AS v")
+        ext = spark.range(0, 30000, 3).selectExpr("id AS kk", "CAST(id % 97 AS STRING) AS w")
+        out = reconcile(src, ext, "k=kk", ["v=w"], primary_key="id", publish_date=None, run_ts="2024-01-01")
+        n = len(out.collect())  # run this plan so its adaptive plan is final
+        # source rows: 30000 (key 7 matches one external row); external-only: keys not in source
+        src_keys = {7} | set(range(10000, 30000))
+        ext_only = sum(1 for kk in range(0, 30000, 3) if kk not in src_keys)
+        assert n == 30000 + ext_only
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan, plan[:2000]
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
