@@ -185,16 +185,39 @@ def _type_of(dt: T.DataType) -> str:
     return "Unknown"
 
 
-def _inferred_type(counts: dict[str, Column]) -> Column:
-    b, f, i, s, nonnull = counts["Boolean"], counts["Fractional"], counts["Integral"], counts["String"], counts["nn"]
-    return (
-        F.when(nonnull == 0, F.lit("Unknown"))
-        .when(s > 0, F.lit("String"))
-        .when((b > 0) & ((i > 0) | (f > 0)), F.lit("String"))
-        .when(b > 0, F.lit("Boolean"))
-        .when(f > 0, F.lit("Fractional"))
-        .otherwise(F.lit("Integral"))
-    )
+def infer_type(counts: dict[str, int]) -> str:
+    """The narrowest type shared by all non-null text values (Unknown when all are null)."""
+    nonnull = counts["Boolean"] + counts["Fractional"] + counts["Integral"] + counts["String"]
+    if nonnull == 0:
+        return "Unknown"
+    if counts["String"] > 0:
+        return "String"
+    if counts["Boolean"] > 0 and (counts["Integral"] > 0 or counts["Fractional"] > 0):
+        return "String"
+    if counts["Boolean"] > 0:
+        return "Boolean"
+    if counts["Fractional"] > 0:
+        return "Fractional"
+    return "Integral"
+
+
+PROFILE_STATS_SCHEMA = T.StructType(
+    [
+        T.StructField("column_name", T.StringType()),
+        T.StructField("num_rows", T.LongType()),
+        T.StructField("completeness", T.DoubleType()),
+        T.StructField("approx_distinct", T.LongType()),
+        T.StructField("data_type", T.StringType()),
+        T.StructField("is_data_type_inferred", T.BooleanType()),
+        T.StructField("type_counts", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("mean", T.DoubleType()),
+        T.StructField("maximum", T.DoubleType()),
+        T.StructField("minimum", T.DoubleType()),
+        T.StructField("sum", T.DoubleType()),
+        T.StructField("std_dev", T.DoubleType()),
+        T.StructField("approx_percentiles", T.ArrayType(T.DoubleType())),
+    ]
+)
 
 
 def column_profiles(
@@ -218,85 +241,60 @@ def column_profiles(
     """
     columns = _columns(df, cols)
     data = df.select(*[c for c, _ in columns])
-    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggs = ["count(1) AS rows"]
+    pct_list = ", ".join(f"{float(p)!r}D" for p in (percentiles or []))
     for i, (c, dt) in enumerate(columns):
-        col = F.col(c)
-        aggs += [F.count(col).alias(f"nn{i}"), F.approx_count_distinct(col, rsd).alias(f"acd{i}")]
+        q = quote_ident(c)
+        aggs += [f"count({q}) AS nn{i}", f"approx_count_distinct({q}, {float(rsd)!r}D) AS acd{i}"]
         if isinstance(dt, T.StringType):
             aggs += [
-                F.count_if(col.rlike(BOOLEAN_REGEX)).alias(f"tb{i}"),
-                F.count_if(col.rlike(FRACTIONAL_REGEX)).alias(f"tf{i}"),
-                F.count_if(col.rlike(INTEGRAL_REGEX)).alias(f"ti{i}"),
+                f"count_if({q} RLIKE {sql_literal(BOOLEAN_REGEX)}) AS tb{i}",
+                f"count_if({q} RLIKE {sql_literal(FRACTIONAL_REGEX)}) AS tf{i}",
+                f"count_if({q} RLIKE {sql_literal(INTEGRAL_REGEX)}) AS ti{i}",
             ]
         if is_numeric(dt):
-            d = col.cast("double")
+            d = f"CAST({q} AS DOUBLE)"
             if isinstance(dt, FLOATING_TYPES):
-                d = F.when(~F.isnan(col), d)
-            aggs += [
-                F.avg(d).alias(f"mean{i}"),
-                F.max(d).alias(f"max{i}"),
-                F.min(d).alias(f"min{i}"),
-                F.sum(d).alias(f"sum{i}"),
-                F.stddev_pop(d).alias(f"std{i}"),
-            ]
+                d = f"CASE WHEN NOT isnan({q}) THEN {d} END"
+            aggs += [f"avg({d}) AS mean{i}", f"max({d}) AS max{i}", f"min({d}) AS min{i}", f"sum({d}) AS sum{i}",
+                     f"stddev_pop({d}) AS std{i}"]
             if percentiles:
                 aggs.append(
-                    F.percentile_approx(d, list(percentiles), percentile_accuracy).cast("array<double>").alias(f"pct{i}")
+                    f"CAST(percentile_approx({d}, array({pct_list}), {int(percentile_accuracy)}) AS ARRAY<DOUBLE>) "
+                    f"AS pct{i}"
                 )
-    # Statistics: one aggregation, read once as a single row (C values per statistic),
-    # then reused as a one-row table so the scan is not repeated for the final join.
-    wide_df = data.agg(*aggs)
-    stats_row = wide_df.first()
-    wide = df.sparkSession.createDataFrame([stats_row], wide_df.schema)
+    # Statistics: ONE aggregation, read once as a single row (a few values per column);
+    # the per-column result rows are formed from it on the driver (C rows), so the scan
+    # is not repeated for the final table.
+    st = data.selectExpr(*aggs).first()
+    n = st["rows"]
+    rows = []
+    for i, (c, dt) in enumerate(columns):
+        nn = st[f"nn{i}"]
+        if isinstance(dt, T.StringType):
+            tb, tf, ti = st[f"tb{i}"], st[f"tf{i}"], st[f"ti{i}"]
+            counts = {"Boolean": tb, "Fractional": tf, "Integral": ti, "Unknown": n - nn, "String": nn - tb - tf - ti}
+            dtype = infer_type(counts)
+            inferred = dtype not in ("String", "Unknown")
+        else:
+            counts, dtype, inferred = {}, _type_of(dt), False
+        num = is_numeric(dt)
+        rows.append(
+            (
+                c, n, (nn / n) if n else None, st[f"acd{i}"], dtype, inferred, counts,
+                *(st[f"{k}{i}"] if num else None for k in ("mean", "max", "min", "sum", "std")),
+                st[f"pct{i}"] if (num and percentiles) else None,
+            )
+        )
+    stats = df.sparkSession.createDataFrame(rows, PROFILE_STATS_SCHEMA)
     # Histograms only for columns that can have at most `histogram_threshold` bins: the
     # approximate distinct count (plus one bin for null) picks candidates with a wide
     # margin for sketch error, and the exact bin count then filters them precisely.
     candidates = [
         c
         for i, (c, _) in enumerate(columns)
-        if stats_row[f"acd{i}"] + (1 if stats_row[f"nn{i}"] < stats_row["rows"] else 0)
-        <= histogram_threshold * HISTOGRAM_CANDIDATE_MARGIN + 5
+        if st[f"acd{i}"] + (1 if st[f"nn{i}"] < n else 0) <= histogram_threshold * HISTOGRAM_CANDIDATE_MARGIN + 5
     ]
-    structs = []
-    null_d = F.lit(None).cast("double")
-    for i, (c, dt) in enumerate(columns):
-        nn = F.col(f"nn{i}")
-        if isinstance(dt, T.StringType):
-            tb, tf, ti = F.col(f"tb{i}"), F.col(f"tf{i}"), F.col(f"ti{i}")
-            ts = nn - tb - tf - ti
-            inferred = _inferred_type({"Boolean": tb, "Fractional": tf, "Integral": ti, "String": ts, "nn": nn})
-            dtype = inferred
-            is_inferred = ~inferred.isin("String", "Unknown")
-            type_counts = F.create_map(
-                F.lit("Boolean"), tb, F.lit("Fractional"), tf, F.lit("Integral"), ti,
-                F.lit("Unknown"), F.col("rows") - nn, F.lit("String"), ts,
-            )
-        else:
-            dtype = F.lit(_type_of(dt))
-            is_inferred = F.lit(False)
-            type_counts = F.create_map().cast("map<string,bigint>")
-        num = is_numeric(dt)
-        structs.append(
-            F.struct(
-                F.lit(i).alias("k"),
-                F.lit(c).alias("column_name"),
-                F.col("rows").alias("num_rows"),
-                ratio(nn, F.col("rows")).alias("completeness"),
-                F.col(f"acd{i}").alias("approx_distinct"),
-                dtype.alias("data_type"),
-                is_inferred.alias("is_data_type_inferred"),
-                type_counts.alias("type_counts"),
-                (F.col(f"mean{i}") if num else null_d).alias("mean"),
-                (F.col(f"max{i}") if num else null_d).alias("maximum"),
-                (F.col(f"min{i}") if num else null_d).alias("minimum"),
-                (F.col(f"sum{i}") if num else null_d).alias("sum"),
-                (F.col(f"std{i}") if num else null_d).alias("std_dev"),
-                (F.col(f"pct{i}") if (num and percentiles) else F.lit(None).cast("array<double>")).alias(
-                    "approx_percentiles"
-                ),
-            )
-        )
-    stats = wide.select(F.inline(F.array(*structs)))
     if candidates:
         hist = histograms(data, candidates, histogram_threshold)
     else:
@@ -305,7 +303,7 @@ def column_profiles(
         )
     return (
         stats.join(F.broadcast(hist.withColumnRenamed("column_name", "hcol")), F.col("column_name") == F.col("hcol"), "left")
-        .drop("hcol", "k")
+        .drop("hcol")
         .select(
             "column_name", "num_rows", "completeness", "approx_distinct", "data_type", "is_data_type_inferred", "type_counts",
             "histogram", "mean", "maximum", "minimum", "sum", "std_dev", "approx_percentiles",
