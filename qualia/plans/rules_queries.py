@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from qualia.operators.validate import row_results, rule_metrics
 from qualia.plans.common import RUN_TS, table
