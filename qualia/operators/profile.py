@@ -95,6 +95,20 @@ def profile(
     """
     columns = _columns(df, cols)
     data = df.select(*[c for c, _ in columns])
+    # Columns that get a frequency table (step 2).
+    if frequencies_mode == "none":
+        chosen = []
+    elif frequencies_mode == "low_cardinality":
+        approx = data.agg(*[F.approx_count_distinct(c).alias(f"a{i}") for i, (c, _) in enumerate(columns)]).first()
+        chosen = [i for i in range(len(columns)) if approx[f"a{i}"] <= low_cardinality_threshold]
+    elif frequencies_mode == "exact":
+        chosen = list(range(len(columns)))
+    else:
+        raise ValueError("frequencies_mode must be exact, low_cardinality or none")
+    # String min/max come from the frequency table when the column has one (its values are
+    # the strings themselves): step 1 then holds only fixed-width aggregation buffers and
+    # stays a code-generated hash aggregation instead of a sort-based one.
+    text_from_freq = {i for i in chosen if isinstance(columns[i][1], T.StringType)}
     # (1) one global aggregation for all columns, written as SQL expressions (one call).
     aggs = ["count(1) AS num_rows"]
     structs = []
@@ -103,6 +117,11 @@ def profile(
         num = is_numeric(dt)
         null = f"{q} IS NULL OR isnan({q})" if isinstance(dt, FLOATING_TYPES) else f"{q} IS NULL"
         text = isinstance(dt, T.StringType)
+        minmax = (
+            [f"CAST(NULL AS STRING) AS min{i}", f"CAST(NULL AS STRING) AS max{i}"]
+            if i in text_from_freq
+            else [f"CAST(min({q}) AS STRING) AS min{i}", f"CAST(max({q}) AS STRING) AS max{i}"]
+        )
         aggs += [
             f"count_if({null}) AS null{i}",
             (f"count_if({q} RLIKE {sql_literal(SPACES_REGEX)})" if text else "0L") + f" AS spaces{i}",
@@ -110,8 +129,7 @@ def profile(
             f"count({q}) AS count{i}",
             (f"avg(CAST({q} AS DOUBLE))" if num else "CAST(NULL AS DOUBLE)") + f" AS mean{i}",
             (f"stddev_samp(CAST({q} AS DOUBLE))" if num else "CAST(NULL AS DOUBLE)") + f" AS std{i}",
-            f"CAST(min({q}) AS STRING) AS min{i}",
-            f"CAST(max({q}) AS STRING) AS max{i}",
+            *minmax,
         ]
         structs.append(
             f"named_struct('k', {i}, 'column_names', {str_lit(c)}, 'data_types', {str_lit(dt.simpleString())}, "
@@ -120,25 +138,21 @@ def profile(
         )
     per_col = data.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(structs)}))")
     # (2) one frequency table for the chosen columns
-    if frequencies_mode == "none":
-        chosen = []
-    elif frequencies_mode == "low_cardinality":
-        approx = data.agg(*[F.approx_count_distinct(c).alias(f"a{i}") for i, (c, _) in enumerate(columns)]).first()
-        chosen = [i for i in range(len(columns)) if approx[f"a{i}"] <= low_cardinality_threshold]
-    elif frequencies_mode == "exact":
-        chosen = list(range(len(columns)))
-    else:
-        raise ValueError("frequencies_mode must be exact, low_cardinality or none")
     if chosen:
         freq = frequencies(data, [columns[i][0] for i in chosen])
         remap = F.element_at(F.array(*[F.lit(i) for i in chosen]), F.col("k") + 1)
+        value = F.when(F.col("nn"), F.col("v"))
         top = freq.groupBy("k").agg(
             F.count(F.lit(1)).alias("num_distinct"),
             F.min(F.struct((-F.col("n")).alias("neg"), F.col("v"))).alias("most"),
             F.min(F.struct(F.col("n"), F.col("v"))).alias("least"),
+            F.min(value).alias("vmin"),
+            F.max(value).alias("vmax"),
         ).select(
             remap.alias("k"),
             "num_distinct",
+            "vmin",
+            "vmax",
             F.col("most.v").alias("most_freq_value"),
             (-F.col("most.neg")).alias("most_freq_value_count"),
             F.col("least.v").alias("least_freq_value"),
@@ -147,8 +161,12 @@ def profile(
         # One row per column on each side (bounded by the schema): broadcast the frequency summary.
         joined = per_col.join(F.broadcast(top), "k", "left")
         zero = F.when(F.col("num_rows") == 0, F.lit(0).cast("long"))
+        text_k = [F.lit(i) for i in sorted(text_from_freq)]
+        from_freq = F.col("k").isin(*text_k) if text_k else F.lit(False)
         joined = joined.withColumns(
             {
+                "min": F.when(from_freq, F.col("vmin")).otherwise(F.col("min")),
+                "max": F.when(from_freq, F.col("vmax")).otherwise(F.col("max")),
                 "num_distinct": F.coalesce("num_distinct", zero),
                 "most_freq_value_count": F.coalesce("most_freq_value_count", zero),
                 "least_freq_value_count": F.coalesce("least_freq_value_count", zero),
