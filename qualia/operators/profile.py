@@ -67,6 +67,36 @@ HISTOGRAM_CANDIDATE_MARGIN = 1.25
 DEFAULT_PERCENTILES = tuple(round(i / 100, 2) for i in range(1, 100))
 
 
+def _max_fields(df: DataFrame) -> int:
+    """The session's whole-stage codegen field limit (plans wider than it run interpreted)."""
+    try:
+        return max(20, int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100")))
+    except (TypeError, ValueError):
+        return 100
+
+
+def _var_width(dt: T.DataType) -> bool:
+    """Types whose min/max buffers are not fixed-width (sort-based aggregation)."""
+    return isinstance(dt, (T.StringType, T.BinaryType)) or (isinstance(dt, T.DecimalType) and dt.precision > 18)
+
+
+def _pack(items: list[int], cost, limit: int) -> list[list[int]]:
+    """Greedy blocks of consecutive items whose summed cost (+2 shared) stays within limit."""
+    blocks: list[list[int]] = []
+    cur: list[int] = []
+    used = 2
+    for i in items:
+        c = cost(i)
+        if cur and used + c > limit:
+            blocks.append(cur)
+            cur, used = [], 2
+        cur.append(i)
+        used += c
+    if cur:
+        blocks.append(cur)
+    return blocks
+
+
 def _columns(df: DataFrame, cols: Sequence[str] | None) -> list[tuple[str, T.DataType]]:
     names = [resolve_name(df, c) for c in cols] if cols else list(df.columns)
     out = []
@@ -75,6 +105,8 @@ def _columns(df: DataFrame, cols: Sequence[str] | None) -> list[tuple[str, T.Dat
         if isinstance(dt, COMPLEX_TYPES):
             raise TypeError(f"column {n!r} is {dt.simpleString()}; profiles take atomic columns only")
         out.append((n, dt))
+    if not out:
+        raise ValueError("no columns to profile")
     return out
 
 
@@ -109,10 +141,13 @@ def profile(
     # the strings themselves): step 1 then holds only fixed-width aggregation buffers and
     # stays a code-generated hash aggregation instead of a sort-based one.
     text_from_freq = {i for i in chosen if isinstance(columns[i][1], T.StringType)}
-    # (1) one global aggregation for all columns, written as SQL expressions (one call).
-    aggs = ["count(1) AS num_rows"]
-    structs = []
-    for i, (c, dt) in enumerate(columns):
+    # (1) global aggregation of the per-column statistics, written as SQL expressions.
+    # Packed into blocks that fit `spark.sql.codegen.maxFields`, so each block stays a
+    # whole-stage code-generated aggregation (one wide aggregation over that limit runs
+    # interpreted, several times slower); on columnar sources a block reads only its own
+    # columns, so blocks do not multiply I/O. String min/max (sort-based aggregation) get
+    # blocks of their own.
+    def agg_and_struct(i: int, c: str, dt: T.DataType) -> tuple[list[str], str]:
         q = quote_ident(c)
         num = is_numeric(dt)
         null = f"{q} IS NULL OR isnan({q})" if isinstance(dt, FLOATING_TYPES) else f"{q} IS NULL"
@@ -122,7 +157,7 @@ def profile(
             if i in text_from_freq
             else [f"CAST(min({q}) AS STRING) AS min{i}", f"CAST(max({q}) AS STRING) AS max{i}"]
         )
-        aggs += [
+        aggs = [
             f"count_if({null}) AS null{i}",
             (f"count_if({q} RLIKE {sql_literal(SPACES_REGEX)})" if text else "0L") + f" AS spaces{i}",
             (f"count_if({q} = '')" if text else "0L") + f" AS blank{i}",
@@ -131,12 +166,28 @@ def profile(
             (f"stddev_samp(CAST({q} AS DOUBLE))" if num else "CAST(NULL AS DOUBLE)") + f" AS std{i}",
             *minmax,
         ]
-        structs.append(
+        struct = (
             f"named_struct('k', {i}, 'column_names', {str_lit(c)}, 'data_types', {str_lit(dt.simpleString())}, "
             f"'num_rows', num_rows, 'num_null', null{i}, 'num_spaces', spaces{i}, 'num_blank', blank{i}, "
             f"'count', count{i}, 'mean', mean{i}, 'stddev', std{i}, 'min', min{i}, 'max', max{i})"
         )
-    per_col = data.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(structs)}))")
+        return aggs, struct
+
+    def fields_of(i: int, dt: T.DataType) -> int:
+        # 8 output columns + aggregation buffer slots (counts 1, avg 2, stddev 3, min/max 1)
+        return 8 + 4 + (5 if is_numeric(dt) else 0) + (0 if i in text_from_freq else 2)
+
+    sort_based = [i for i, (_, dt) in enumerate(columns) if _var_width(dt) and i not in text_from_freq]
+    hash_based = [i for i in range(len(columns)) if i not in sort_based]
+    blocks = _pack(hash_based, lambda i: fields_of(i, columns[i][1]), _max_fields(df)) + _pack(
+        sort_based, lambda i: fields_of(i, columns[i][1]), _max_fields(df)
+    )
+    per_col = None
+    for block in blocks:
+        parts = [agg_and_struct(i, *columns[i]) for i in block]
+        aggs = ["count(1) AS num_rows"] + [a for p_aggs, _ in parts for a in p_aggs]
+        one = data.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(st for _, st in parts)}))")
+        per_col = one if per_col is None else per_col.unionByName(one)
     # (2) one frequency table for the chosen columns
     if chosen:
         freq = frequencies(data, [columns[i][0] for i in chosen])
