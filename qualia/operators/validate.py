@@ -158,6 +158,24 @@ def row_results(
     return out
 
 
+def _pack_units(units, limit: int) -> list[tuple[list[str], list[str]]]:
+    """Greedy blocks of units whose summed field cost stays within ``limit``."""
+    blocks: list[tuple[list[str], list[str]]] = []
+    cur_aggs: list[str] = []
+    cur_structs: list[str] = []
+    used = 2
+    for aggs, structs, cost in units:
+        if cur_structs and used + cost > limit:
+            blocks.append((cur_aggs, cur_structs))
+            cur_aggs, cur_structs, used = [], [], 2
+        cur_aggs += aggs
+        cur_structs += structs
+        used += cost
+    if cur_structs:
+        blocks.append((cur_aggs, cur_structs))
+    return blocks
+
+
 def rule_metrics(df: DataFrame, rules) -> DataFrame:
     """Per active rule: success / failure / row counts, pass percentage, SLO status.
 
@@ -168,7 +186,8 @@ def rule_metrics(df: DataFrame, rules) -> DataFrame:
     (failure = count - success); dataset rule ``hasSize`` tests the row count itself.
     ``pass_percentage`` is rounded half-up to 2 places; ``constraint_status`` applies the
     rule's ``slo`` (``gt|lt|eq|ge|le(n)``) and is null without one.
-    All rules share ONE aggregation (one scan); Catalyst plans the distinct counts.
+    Row rules share one aggregation (split into blocks only past the session's codegen
+    field limit); aggregate rules needing distinct counts share one more.
     """
     rs = as_rules(rules)
     if not rs:
@@ -184,19 +203,6 @@ def rule_metrics(df: DataFrame, rules) -> DataFrame:
         col = None if kind == "hassize" else _resolved(df, [r])[0][1]
         agg_rules.append((r, kind, col))
 
-    aggs = ["count(1) AS n"]
-    for i, (r, _) in enumerate(row_rules):
-        aggs += [f"count_if(({r.rule})) AS s{i}", f"count_if(NOT ({r.rule})) AS f{i}"]
-    distinct_cols: dict[str, str] = {}
-    nonnull_cols: dict[str, str] = {}
-    for r, kind, col in agg_rules:
-        if kind in ("uniqueness", "distinctness") and col not in distinct_cols:
-            distinct_cols[col] = f"d{len(distinct_cols)}"
-            aggs.append(f"count(DISTINCT {quote_ident(col)}) AS {distinct_cols[col]}")
-        if kind in ("distinctness", "completeness") and col not in nonnull_cols:
-            nonnull_cols[col] = f"c{len(nonnull_cols)}"
-            aggs.append(f"count({quote_ident(col)}) AS {nonnull_cols[col]}")
-
     def struct(r: Rule, applied_on: str, succ: str, total: str, on_size: bool, fail: str | None = None) -> str:
         slo = parse_slo(r.slo)
         return (
@@ -209,19 +215,48 @@ def rule_metrics(df: DataFrame, rules) -> DataFrame:
             f"'on_size', {'TRUE' if on_size else 'FALSE'})"
         )
 
-    structs = []
+    # Units of work: (aggregate expressions, result structs, codegen field cost).
+    row_units = []
     for i, (r, col) in enumerate(row_rules):
         # failures are counted directly: null results count in neither
-        structs.append(struct(r, col, f"s{i}", "n", False, fail=f"f{i}"))
+        row_units.append(
+            ([f"count_if(({r.rule})) AS s{i}", f"count_if(NOT ({r.rule})) AS f{i}"],
+             [struct(r, col, f"s{i}", "n", False, fail=f"f{i}")], 4)
+        )
+    by_col: dict[str, list[tuple[Rule, str]]] = {}
+    size_structs = []
     for r, kind, col in agg_rules:
         if kind == "hassize":
-            structs.append(struct(r, r.element or "*", "n", "n", True))
-        elif kind == "uniqueness":
-            structs.append(struct(r, col, distinct_cols[col], "n", False))
-        elif kind == "distinctness":
-            structs.append(struct(r, col, distinct_cols[col], nonnull_cols[col], False))
-        else:  # completeness
-            structs.append(struct(r, col, nonnull_cols[col], "n", False))
+            size_structs.append(struct(r, r.element or "*", "n", "n", True))
+        else:
+            by_col.setdefault(col, []).append((r, kind))
+    distinct_units = []
+    for j, (col, items) in enumerate(by_col.items()):
+        kinds = {k for _, k in items}
+        aggs = []
+        if kinds & {"uniqueness", "distinctness"}:
+            aggs.append(f"count(DISTINCT {quote_ident(col)}) AS d{j}")
+        if kinds & {"distinctness", "completeness"}:
+            aggs.append(f"count({quote_ident(col)}) AS c{j}")
+        structs = []
+        for r, kind in items:
+            if kind == "uniqueness":
+                structs.append(struct(r, col, f"d{j}", "n", False))
+            elif kind == "distinctness":
+                structs.append(struct(r, col, f"d{j}", f"c{j}", False))
+            else:  # completeness
+                structs.append(struct(r, col, f"c{j}", "n", False))
+        distinct_units.append((aggs, structs, 4 * len(aggs)))
+    # Row rules in blocks that fit the codegen field limit (pure hash aggregations); rules
+    # needing distinct counts in their own block (Catalyst plans the distinct aggregation
+    # over those columns only); blocks read only the columns their rules use.
+    limit = max(20, int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100") or 100))
+    blocks = _pack_units(row_units, limit) + _pack_units(distinct_units, limit)
+    if size_structs:
+        if blocks:
+            blocks[0] = (blocks[0][0], blocks[0][1] + size_structs)
+        else:
+            blocks = [([], size_structs)]
 
     pct = "CASE WHEN NOT on_size AND count > 0 THEN ((20000 * success_count + count) div (2 * count)) / 100.0D END"
     target = f"CASE WHEN on_size THEN CAST(count AS DOUBLE) ELSE ({pct}) END"
@@ -231,8 +266,10 @@ def rule_metrics(df: DataFrame, rules) -> DataFrame:
     )
 
     def make() -> DataFrame:
-        wide = df.selectExpr(*aggs)
-        long = wide.selectExpr(f"inline(array({', '.join(structs)}))")
+        long = None
+        for aggs, structs in blocks:
+            part = df.selectExpr("count(1) AS n", *aggs).selectExpr(f"inline(array({', '.join(structs)}))")
+            long = part if long is None else long.unionByName(part)
         return long.selectExpr(
             "source", "entity", "rule_applied_on", "rule", "rule_name", "dimension", "success_count",
             "failure_count", "count", f"{pct} AS pass_percentage", f"CASE {status} END AS constraint_status",

@@ -212,3 +212,22 @@ def test_entity_file_layout(spark, tmp_path, survey):
     v2 = [r for r in rules if r.entity == "patient_v2" and r.kind == "validation"]
     m = {r.rule_name: r for r in rule_metrics(survey, v2).collect()}
     assert m["record_count"].constraint_status is True and m["patient_id_isnull"].success_count == 8
+
+
+def test_many_rules_split_into_blocks(spark):
+    """More rules than one code-generated aggregation holds: results are unchanged."""
+    df = spark.range(0, 200).selectExpr("id", "id % 7 AS m", "CASE WHEN id % 11 = 0 THEN NULL ELSE id END AS x")
+    rules = [{"element": "x", "rule": f"x > {k}", "rule_name": f"gt{k}", "slo": "ge(50)"} for k in range(0, 200, 3)]
+    rules += [{"element": "m", "rule": "uniqueness", "rule_type": "aggregate", "rule_name": "m_unique"},
+              {"element": "x", "rule": "completeness", "rule_type": "aggregate", "rule_name": "x_complete"}]
+    got = {r.rule_name: r for r in rule_metrics(df, rules).collect()}
+    assert len(got) == len(rules)
+    xs = [None if i % 11 == 0 else i for i in range(200)]
+    for k in range(0, 200, 3):
+        r = got[f"gt{k}"]
+        assert r.success_count == sum(1 for v in xs if v is not None and v > k)
+        assert r.failure_count == sum(1 for v in xs if v is not None and v <= k)
+    assert got["m_unique"].success_count == 7
+    assert got["x_complete"].success_count == sum(1 for v in xs if v is not None)
+    plan = rule_metrics(df, rules)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") >= 2
