@@ -50,6 +50,10 @@ class Analyzer:
 
     name = ""
     grouping = False
+    # aggregation buffer slots + 1 output column: sizes blocks to the codegen field limit
+    cost = 2
+    # imperative aggregates (sketches) run outside whole-stage codegen: keep them apart
+    imperative = False
 
     def entity_instance(self) -> tuple[str, str]:
         return DATASET, "*"
@@ -61,6 +65,7 @@ class Analyzer:
 @dataclass(frozen=True)
 class Size(Analyzer):
     name = "Size"
+    cost = 2
 
     def scan_value(self, df: DataFrame) -> Column:
         return F.count_if(_cond(self.where)).cast("double")
@@ -81,6 +86,7 @@ class _ColumnAnalyzer(Analyzer):
 @dataclass(frozen=True, init=False)
 class Completeness(_ColumnAnalyzer):
     name = "Completeness"
+    cost = 3
 
     def scan_value(self, df: DataFrame) -> Column:
         c = F.col(resolve_name(df, self.column))
@@ -124,6 +130,7 @@ class _Numeric(_ColumnAnalyzer):
 @dataclass(frozen=True, init=False)
 class Mean(_Numeric):
     name = "Mean"
+    cost = 3
     fn = staticmethod(F.avg)
 
 
@@ -138,6 +145,7 @@ class StandardDeviation(_Numeric):
     """Population standard deviation."""
 
     name = "StandardDeviation"
+    cost = 4
     fn = staticmethod(F.stddev_pop)
 
 
@@ -156,6 +164,8 @@ class Maximum(_Numeric):
 @dataclass(frozen=True, init=False)
 class ApproxCountDistinct(_ColumnAnalyzer):
     name = "ApproxCountDistinct"
+    imperative = True
+    cost = 60
 
     def scan_value(self, df: DataFrame) -> Column:
         c = F.col(resolve_name(df, self.column))
@@ -168,6 +178,7 @@ class Compliance(Analyzer):
     predicate: str = ""
 
     name = "Compliance"
+    cost = 3
 
     def __init__(self, instance: str, predicate: str, where: str | None = None):
         object.__setattr__(self, "instance", instance)
@@ -329,8 +340,25 @@ def metric_rows(df: DataFrame, analyzers: Sequence[Analyzer]) -> tuple[DataFrame
         kept.append(a)
     parts: list[DataFrame] = []
     if scan:
-        wide = df.agg(*[v.alias(f"m{j}") for j, (_, _, v) in enumerate(scan)])
-        parts.append(wide.selectExpr(f"inline(array({', '.join(_meta_sql(a, f'm{j}', i) for j, (i, a, _) in enumerate(scan))}))"))
+        # Blocks that fit the codegen field limit; sketch aggregates in blocks of their own.
+        limit = max(20, int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100") or 100))
+        order = [j for j, (_, a, _) in enumerate(scan) if not a.imperative] + [
+            j for j, (_, a, _) in enumerate(scan) if a.imperative
+        ]
+        blocks: list[list[int]] = []
+        used = 0
+        for j in order:
+            a = scan[j][1]
+            new_kind = bool(blocks) and scan[blocks[-1][0]][1].imperative != a.imperative
+            if not blocks or new_kind or used + a.cost > limit:
+                blocks.append([])
+                used = 0
+            blocks[-1].append(j)
+            used += a.cost
+        for block in blocks:
+            wide = df.agg(*[scan[j][2].alias(f"m{j}") for j in block])
+            metas = ", ".join(_meta_sql(scan[j][1], f"m{j}", scan[j][0]) for j in block)
+            parts.append(wide.selectExpr(f"inline(array({metas}))"))
     if grouped:
         keys = list(groups)
         freq = frequencies(df, [cols for cols, _ in keys], [w for _, w in keys])

@@ -67,6 +67,11 @@ HISTOGRAM_CANDIDATE_MARGIN = 1.25
 DEFAULT_PERCENTILES = tuple(round(i / 100, 2) for i in range(1, 100))
 
 
+def _names_of(exprs: list[str]) -> set[str]:
+    """Output names of ``expr AS name`` strings."""
+    return {e.rsplit(" AS ", 1)[1].strip() for e in exprs}
+
+
 def _max_fields(df: DataFrame) -> int:
     """The session's whole-stage codegen field limit (plans wider than it run interpreted)."""
     try:
@@ -310,32 +315,55 @@ def column_profiles(
     """
     columns = _columns(df, cols)
     data = df.select(*[c for c, _ in columns])
-    aggs = ["count(1) AS rows"]
     pct_list = ", ".join(f"{float(p)!r}D" for p in (percentiles or []))
+    stat_units: list[tuple[list[str], int]] = []
+    sketch_units: list[tuple[list[str], int]] = []
     for i, (c, dt) in enumerate(columns):
         q = quote_ident(c)
-        aggs += [f"count({q}) AS nn{i}", f"approx_count_distinct({q}, {float(rsd)!r}D) AS acd{i}"]
+        unit = [f"count({q}) AS nn{i}"]
         if isinstance(dt, T.StringType):
-            aggs += [
+            unit += [
                 f"count_if({q} RLIKE {sql_literal(BOOLEAN_REGEX)}) AS tb{i}",
                 f"count_if({q} RLIKE {sql_literal(FRACTIONAL_REGEX)}) AS tf{i}",
                 f"count_if({q} RLIKE {sql_literal(INTEGRAL_REGEX)}) AS ti{i}",
             ]
+        sketch = [f"approx_count_distinct({q}, {float(rsd)!r}D) AS acd{i}"]
         if is_numeric(dt):
             d = f"CAST({q} AS DOUBLE)"
             if isinstance(dt, FLOATING_TYPES):
                 d = f"CASE WHEN NOT isnan({q}) THEN {d} END"
-            aggs += [f"avg({d}) AS mean{i}", f"max({d}) AS max{i}", f"min({d}) AS min{i}", f"sum({d}) AS sum{i}",
+            unit += [f"avg({d}) AS mean{i}", f"max({d}) AS max{i}", f"min({d}) AS min{i}", f"sum({d}) AS sum{i}",
                      f"stddev_pop({d}) AS std{i}"]
             if percentiles:
-                aggs.append(
+                sketch.append(
                     f"CAST(percentile_approx({d}, array({pct_list}), {int(percentile_accuracy)}) AS ARRAY<DOUBLE>) "
                     f"AS pct{i}"
                 )
-    # Statistics: ONE aggregation, read once as a single row (a few values per column);
-    # the per-column result rows are formed from it on the driver (C rows), so the scan
-    # is not repeated for the final table.
-    st = data.selectExpr(*aggs).first()
+        # output columns + buffer slots (avg 2, stddev 3, others 1)
+        stat_units.append((unit, 2 * len(unit) + (3 if is_numeric(dt) else 0)))
+        sketch_units.append((sketch, 0))
+    # Statistics in blocks that fit the codegen field limit; sketch aggregates (imperative,
+    # never code-generated) in a block of their own so they do not slow the rest. The
+    # blocks are unioned into ONE job (independent stages) and return one row each; on
+    # columnar sources each block reads only its own columns.
+    limit = _max_fields(df)
+    blocks: list[list[str]] = []
+    used = 0
+    for unit, cost in stat_units:
+        if not blocks or (used + cost > limit and blocks[-1]):
+            blocks.append([])
+            used = 2
+        blocks[-1] += unit
+        used += cost
+    blocks.append([e for unit, _ in sketch_units for e in unit])
+    parts = [data.selectExpr(f"{b} AS _block", "count(1) AS rows", *exprs) for b, exprs in enumerate(blocks)]
+    combined = parts[0]
+    for part in parts[1:]:
+        combined = combined.unionByName(part, allowMissingColumns=True)
+    st: dict = {}
+    for r in combined.collect():  # one row per block: keep the columns that block computed
+        owned = _names_of(blocks[r["_block"]]) | {"rows"}
+        st.update({k: v for k, v in r.asDict().items() if k in owned})
     n = st["rows"]
     rows = []
     for i, (c, dt) in enumerate(columns):

@@ -74,3 +74,16 @@ def test_metrics_from_config(survey):
     assert m[("Column", "patient_id", "Completeness")] == pytest.approx(8 / 9)
     assert m[("Column", "Age", "Distinctness")] == pytest.approx(8 / 9)
     assert len(m) == 8
+
+
+def test_many_metrics_split_into_blocks(spark):
+    df = spark.range(0, 100).selectExpr(*[f"CASE WHEN id % {k + 2} = 0 THEN NULL ELSE id END AS c{k}" for k in range(40)])
+    analyzers = [Completeness(f"c{k}") for k in range(40)] + [Mean(f"c{k}") for k in range(40)]
+    analyzers += [ApproxCountDistinct("c0"), Size()]
+    m = as_dict(run_metrics(df, analyzers))
+    for k in range(40):
+        nonnull = [i for i in range(100) if i % (k + 2) != 0]
+        assert m[("Column", f"c{k}", "Completeness")] == len(nonnull) / 100
+        assert m[("Column", f"c{k}", "Mean")] == pytest.approx(sum(nonnull) / len(nonnull))
+    assert m[("Dataset", "*", "Size")] == 100.0
+    assert abs(m[("Column", "c0", "ApproxCountDistinct")] - 50) <= 5
