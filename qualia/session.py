@@ -36,10 +36,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a private one only when unset (tests)."""
+    """Return the shared checkpoint folder from the session.
+
+    Only a local-mode session (tests, the bench) without one gets a private temporary
+    folder; on a cluster the folder must be configured (a machine-local folder is not
+    visible to other executors), so an unset value is an error there.
+    """
     current = checkpoint_dir(spark, required=False)
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder on storage every executor can reach")
     path = tempfile.mkdtemp(prefix="qualia-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
