@@ -101,36 +101,49 @@ _CS = ("(SELECT c_custkey, c_name, c_nationkey, c_acctbal, nullif(c_mktsegment,
        "CAST(c_nationkey AS VARCHAR) AS nation_text FROM customer)")
 
 
-def _complete(c):
+Q = "'"  # single quote, for SQL text built below
+
+
+def _complete(c, src):
     return (f"SELECT '{c}' AS column_name, 'isComplete' AS constraint, 'Completeness: 1.0' AS current_value, "
-            f"'''{c}'' is not null' AS description, '.isComplete(\"{c}\")' AS code_for_constraint")
+            f"'{Q}{Q}{c}{Q}{Q} is not null' AS description, '.isComplete(\"{c}\")' AS code_for_constraint "
+            f"FROM {src} HAVING count({c}) = count(*) AND count(*) > 0")
 
 
 def _nonneg(c, src):
     return (f"SELECT '{c}', 'isNonNegative', 'Minimum: ' || CAST(CAST(min({c}) AS DOUBLE) AS VARCHAR), "
-            f"'''{c}'' has no negative values', '.isNonNegative(\"{c}\")' FROM {src}")
+            f"'{Q}{Q}{c}{Q}{Q} has no negative values', '.isNonNegative(\"{c}\")' FROM {src} HAVING min({c}) >= 0")
 
 
 def _contained(c, src):
-    vals = (f"(SELECT string_agg({{q}} || v || {{q}}, ', ' ORDER BY n DESC, v ASC) FROM "
-            f"(SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {src} WHERE {c} IS NOT NULL GROUP BY 1))")
-    return (f"SELECT '{c}', 'isContainedIn', 'Compliance: 1', '''{c}'' has value range ' || "
-            f"{vals.format(q=chr(39) * 4)}, '.isContainedIn(\"{c}\", [' || {vals.format(q=chr(39) + chr(34) + chr(39))} || '])'")
+    """Seen values by count, then text; only for columns with at most 120 bins (null
+    included) whose distinct non-null values are at most 10% of the non-null rows."""
+    freq = f"(SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {src} GROUP BY 1)"
+    vals = "(SELECT string_agg({q} || v || {q}, ', ' ORDER BY n DESC, v ASC) FROM " + freq + " WHERE v IS NOT NULL)"
+    cond = (f"(SELECT count(*) FROM {freq}) <= 120 AND (SELECT count(*) FROM {freq} WHERE v IS NOT NULL) > 0 "
+            f"AND (SELECT count(*) FROM {freq} WHERE v IS NOT NULL) <= 0.1 * (SELECT count({c}) FROM {src})")
+    single = vals.format(q=Q * 4)
+    double = vals.format(q=Q + '"' + Q)
+    return (f"SELECT '{c}', 'isContainedIn', 'Compliance: 1', '{Q}{Q}{c}{Q}{Q} has value range ' || {single}, "
+            f"'.isContainedIn(\"{c}\", [' || {double} || '])' WHERE {cond}")
 
 
 _P = "CAST(count(c_mktsegment) AS DOUBLE) / CAST(count(*) AS DOUBLE)"
 _TARGET = f"floor(({_P} - 1.96 * sqrt({_P} * (1.0 - {_P}) / count(*))) * 100) / 100.0"
+_DIGITS = ("(SELECT count_if(regexp_matches(nation_text, '^[+-]?\\d+$')) AS i, count(nation_text) AS nn "
+           f"FROM {_CS})")
 
 ORACLE["suggest_constraints"] = "\nUNION ALL\n".join(
     [
-        _complete("c_custkey"), _complete("c_name"), _complete("c_nationkey"), _complete("c_acctbal"),
-        _complete("nation_text"),
+        _complete("c_custkey", _CS), _complete("c_name", _CS), _complete("c_nationkey", _CS),
+        _complete("c_acctbal", _CS), _complete("c_mktsegment", _CS), _complete("nation_text", _CS),
         f"SELECT 'c_mktsegment', 'hasCompleteness', 'Completeness: ' || CAST({_P} AS VARCHAR), "
-        f"'''c_mktsegment'' has completeness of at least ' || CAST({_TARGET} AS VARCHAR), "
-        f"'.hasCompleteness(\"c_mktsegment\", lambda x: x >= ' || CAST({_TARGET} AS VARCHAR) || ')' FROM {_CS}",
-        "SELECT 'nation_text', 'hasDataType', 'DataType: Integral', '''nation_text'' has type Integral', "
-        "'.hasDataType(\"nation_text\", ConstrainableDataTypes.Integral)'",
+        f"'{Q}{Q}c_mktsegment{Q}{Q} has completeness of at least ' || CAST({_TARGET} AS VARCHAR), "
+        f"'.hasCompleteness(\"c_mktsegment\", lambda x: x >= ' || CAST({_TARGET} AS VARCHAR) || ')' FROM {_CS} "
+        f"HAVING {_P} > 0.2 AND {_P} < 1.0",
+        f"SELECT 'nation_text', 'hasDataType', 'DataType: Integral', '{Q}{Q}nation_text{Q}{Q} has type Integral', "
+        f"'.hasDataType(\"nation_text\", ConstrainableDataTypes.Integral)' FROM {_DIGITS} WHERE nn > 0 AND i = nn",
         _contained("c_nationkey", _CS), _contained("c_mktsegment", _CS), _contained("nation_text", _CS),
-        _nonneg("c_custkey", _CS), _nonneg("c_nationkey", _CS),
+        _nonneg("c_custkey", _CS), _nonneg("c_nationkey", _CS), _nonneg("c_acctbal", _CS),
     ]
 )
