@@ -124,7 +124,9 @@ class _Numeric(_ColumnAnalyzer):
         c = resolve_name(df, self.column)
         if not is_numeric(field_type(df, c)):
             raise TypeError(f"{self.name} needs a numeric column, {c} is {field_type(df, c).simpleString()}")
-        return type(self).fn(F.when(_cond(self.where), F.col(c)).cast("double"))
+        v = F.col(c).cast("double")
+        v = F.when(v == 0, F.lit(0.0)).otherwise(v)  # -0.0 reads as 0.0
+        return type(self).fn(F.when(_cond(self.where), v))
 
 
 @dataclass(frozen=True, init=False)

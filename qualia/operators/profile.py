@@ -67,6 +67,14 @@ HISTOGRAM_CANDIDATE_MARGIN = 1.25
 DEFAULT_PERCENTILES = tuple(round(i / 100, 2) for i in range(1, 100))
 
 
+def _canonical_zero(q: str, dt: T.DataType) -> str:
+    """SQL for a column whose floating -0.0 reads as 0.0 (equal values; min/max may return
+    either, so the text of the result is made deterministic)."""
+    if isinstance(dt, FLOATING_TYPES):
+        return f"CASE WHEN {q} = 0 THEN CAST(0 AS {dt.simpleString().upper()}) ELSE {q} END"
+    return q
+
+
 def _names_of(exprs: list[str]) -> set[str]:
     """Output names of ``expr AS name`` strings."""
     return {e.rsplit(" AS ", 1)[1].strip() for e in exprs}
@@ -157,10 +165,11 @@ def profile(
         num = is_numeric(dt)
         null = f"{q} IS NULL OR isnan({q})" if isinstance(dt, FLOATING_TYPES) else f"{q} IS NULL"
         text = isinstance(dt, T.StringType)
+        m = _canonical_zero(q, dt)
         minmax = (
             [f"CAST(NULL AS STRING) AS min{i}", f"CAST(NULL AS STRING) AS max{i}"]
             if i in text_from_freq
-            else [f"CAST(min({q}) AS STRING) AS min{i}", f"CAST(max({q}) AS STRING) AS max{i}"]
+            else [f"CAST(min({m}) AS STRING) AS min{i}", f"CAST(max({m}) AS STRING) AS max{i}"]
         )
         aggs = [
             f"count_if({null}) AS null{i}",
@@ -329,7 +338,7 @@ def column_profiles(
             ]
         sketch = [f"approx_count_distinct({q}, {float(rsd)!r}D) AS acd{i}"]
         if is_numeric(dt):
-            d = f"CAST({q} AS DOUBLE)"
+            d = f"CAST({_canonical_zero(q, dt)} AS DOUBLE)"
             if isinstance(dt, FLOATING_TYPES):
                 d = f"CASE WHEN NOT isnan({q}) THEN {d} END"
             unit += [f"avg({d}) AS mean{i}", f"max({d}) AS max{i}", f"min({d}) AS min{i}", f"sum({d}) AS sum{i}",

@@ -13,6 +13,11 @@ DOCS_DIRTY = (
 )
 
 
+def _canon(c, kind):
+    """Floating -0.0 read as 0.0 (min/max of equal zeros is otherwise engine-dependent)."""
+    return f"CASE WHEN {c} = 0 THEN 0.0::DOUBLE ELSE {c} END" if kind == "float" else c
+
+
 def _u(parts):
     return "\nUNION ALL\n".join(parts)
 
@@ -35,7 +40,7 @@ def _profile_row(c, dtype, src, kind, schema="schema_name", tname="table_name",
         f"'{schema}' AS schema_name", f"'{tname}' AS table_name", f"'{c}' AS column_names",
         f"'{dtype}' AS data_types", "count(*) AS num_rows", f"{nulls} AS num_null", f"{spaces} AS num_spaces",
         f"{blank} AS num_blank", f"count({c}) AS count", f"{mean} AS mean", f"{std} AS stddev",
-        f"CAST(min({c}) AS VARCHAR) AS min", f"CAST(max({c}) AS VARCHAR) AS max",
+        f"CAST(min({_canon(c, kind)}) AS VARCHAR) AS min", f"CAST(max({_canon(c, kind)}) AS VARCHAR) AS max",
     ]
     if freq:
         most = _freq_pick(c, src, "n DESC")
@@ -104,14 +109,14 @@ ORACLE["profile_sample_stats"] = _u(
 
 ORACLE["profile_min_max"] = _u(
     [
-        f"SELECT '{c}' AS column_names, '{t}' AS data_types, CAST(min({c}) AS VARCHAR) AS min, "
-        f"CAST(max({c}) AS VARCHAR) AS max FROM events"
-        for c, t in [
-            ("ts", "timestamp_ntz"),
-            ("event_type", "string"),
-            ("user_id", "bigint"),
-            ("value", "double"),
-            ("props", "string"),
+        f"SELECT '{c}' AS column_names, '{t}' AS data_types, CAST(min({_canon(c, k)}) AS VARCHAR) AS min, "
+        f"CAST(max({_canon(c, k)}) AS VARCHAR) AS max FROM events"
+        for c, t, k in [
+            ("ts", "timestamp_ntz", "other"),
+            ("event_type", "string", "str"),
+            ("user_id", "bigint", "int"),
+            ("value", "double", "float"),
+            ("props", "string", "str"),
         ]
     ]
 )

@@ -82,3 +82,13 @@ def test_percentiles(spark):
     df = spark.range(1, 1001).selectExpr("CAST(id AS DOUBLE) AS x")
     p = column_profiles(df, percentiles=[0.5, 0.9]).first()
     assert p.approx_percentiles == [500.0, 900.0]
+
+
+def test_negative_zero_reads_as_zero(spark):
+    for rows in ([(-0.0,), (0.0,), (2.5,)], [(0.0,), (-0.0,), (2.5,)], [(-0.0,), (-1.0,)]):
+        df = spark.createDataFrame(rows, "d double")
+        p = profile(df).first()
+        want_min = "-1.0" if (-1.0,) in rows else "0.0"
+        assert p["min"] == want_min
+        assert p["max"] in ("2.5", "0.0") and p["max"] != "-0.0"
+        assert column_profiles(df).first().minimum == float(want_min)
