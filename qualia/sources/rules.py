@@ -219,54 +219,67 @@ def rules_table(documents: DataFrame) -> DataFrame:
     Validation rules keep their ``rule_type`` (default ``non_aggregate``); profiler rules
     become ``kind='profile'`` rows whose ``rule`` is the metric name (or the compliance
     predicate); dataset-level rules have ``element='*'`` and are always in scope.
-    ONE pass over the documents: per document, higher-order functions build the array of
-    its rules, and a single ``inline`` emits them (no per-kind branches or unions).
     """
-    empty_map = lambda name: F.create_map().cast(DOCUMENT_SCHEMA[name].dataType)
-
-    def rule(element, level, kind, name, spec, text, rtype, dim, check_level, slo, active, in_scope):
-        return F.struct(
-            element.alias("element"), F.lit(level).alias("level"), F.lit(kind).alias("kind"),
-            name.alias("rule_name"), spec.alias("rule_specification"), text.alias("rule"),
-            rtype.alias("rule_type"), dim.alias("dimension"), check_level.alias("check_level"),
-            slo.alias("slo"), active.alias("is_active"), in_scope.alias("in_scope"),
-        )
-
-    validation = F.flatten(
-        F.transform(
-            F.map_entries(F.coalesce("single_column_validation_rules", empty_map("single_column_validation_rules"))),
-            lambda e: F.transform(
-                e["value"],
-                lambda r: rule(
-                    e["key"], "column", "validation", r["rule_name"], r["rule_specification"], r["rule"],
-                    F.coalesce(r["rule_type"], F.lit("non_aggregate")), r["dimension"], r["check_level"],
-                    r["slo"], r["is_active"], _in_scope(e["key"]),
-                ),
-            ),
+    doc_cols = ["source", "entity", "cde", "kde", "rules_run_on"]
+    validation = (
+        documents.select(*doc_cols, F.explode("single_column_validation_rules").alias("element", "rs"))
+        .select(*doc_cols, "element", F.inline("rs"))
+        .select(
+            "source",
+            "entity",
+            "element",
+            F.lit("column").alias("level"),
+            F.lit("validation").alias("kind"),
+            "rule_name",
+            "rule_specification",
+            "rule",
+            F.coalesce(F.col("rule_type"), F.lit("non_aggregate")).alias("rule_type"),
+            "dimension",
+            "check_level",
+            "slo",
+            F.col("is_active"),
+            _in_scope(F.col("element")).alias("in_scope"),
         )
     )
-    profile = F.flatten(
-        F.transform(
-            F.map_entries(F.coalesce("single_column_profiler_rules", empty_map("single_column_profiler_rules"))),
-            lambda e: F.transform(
-                e["value"],
-                lambda r: rule(
-                    e["key"], "column", "profile",
-                    F.coalesce(r["dimension_instance"], F.concat_ws("_", e["key"], F.lower(r["dimension"]))),
-                    r["dimension"], F.coalesce(r["dimension_rule"], r["dimension"]), F.lit("aggregate"),
-                    r["dimension"], r["check_level"], r["slo"], r["is_active"], _in_scope(e["key"]),
-                ),
+    profile = (
+        documents.select(*doc_cols, F.explode("single_column_profiler_rules").alias("element", "rs"))
+        .select(*doc_cols, "element", F.inline("rs"))
+        .select(
+            "source",
+            "entity",
+            "element",
+            F.lit("column").alias("level"),
+            F.lit("profile").alias("kind"),
+            F.coalesce(F.col("dimension_instance"), F.concat_ws("_", "element", F.lower("dimension"))).alias(
+                "rule_name"
             ),
+            F.col("dimension").alias("rule_specification"),
+            F.coalesce(F.col("dimension_rule"), F.col("dimension")).alias("rule"),
+            F.lit("aggregate").alias("rule_type"),
+            "dimension",
+            "check_level",
+            "slo",
+            F.col("is_active"),
+            _in_scope(F.col("element")).alias("in_scope"),
         )
     )
-    dataset = F.transform(
-        F.coalesce("dataset_level_validation_rules", F.array().cast(DOCUMENT_SCHEMA["dataset_level_validation_rules"].dataType)),
-        lambda r: rule(
-            F.lit("*"), "dataset", "validation", r["rule_name"], r["rule"], r["rule"], F.lit("aggregate"),
-            F.lit("size"), r["check_level"], r["service_level_objective"], r["is_active"], F.lit(True),
-        ),
+    dataset = documents.select("source", "entity", F.inline("dataset_level_validation_rules")).select(
+        "source",
+        "entity",
+        F.lit("*").alias("element"),
+        F.lit("dataset").alias("level"),
+        F.lit("validation").alias("kind"),
+        "rule_name",
+        F.col("rule").alias("rule_specification"),
+        "rule",
+        F.lit("aggregate").alias("rule_type"),
+        F.lit("size").alias("dimension"),
+        "check_level",
+        F.col("service_level_objective").alias("slo"),
+        F.col("is_active"),
+        F.lit(True).alias("in_scope"),
     )
-    out = documents.select("source", "entity", F.inline(F.concat(validation, profile, dataset)))
+    out = validation.unionByName(profile).unionByName(dataset)
     op, bound = slo_parts(F.col("slo"))
     return out.select(
         "source",
