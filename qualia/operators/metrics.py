@@ -3,7 +3,8 @@
 Each analyzer yields metric rows ``(entity, instance, name, value double)``:
 
 * scan-shareable analyzers (Size, Completeness, Compliance, lengths, numeric statistics,
-  approximate distinct count) become expressions of ONE ``agg`` over the table;
+  approximate distinct count) become expressions of one ``agg`` over the table (packed
+  into blocks that fit the session's codegen field limit; sketches apart);
 * grouping analyzers (Distinctness, Uniqueness, CountDistinct, Histogram) share ONE
   frequency table for all their key sets (see ``frequencies``).
 

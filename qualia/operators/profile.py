@@ -1,11 +1,12 @@
 """Column profiles.
 
-``profile(df)`` (Q1) gives one row per column in TWO aggregations whatever the number of
-columns: (1) one global ``agg`` with null / NaN, whitespace-only, empty-string counts,
-non-null count, mean, sample standard deviation, min and max of every column; (2) one
-frequency table for all columns (null is a value) giving the number of distinct values
-and the most and least frequent value. The reference's per-column jobs (7C + 4 actions)
-become two jobs.
+``profile(df)`` (Q1) gives one row per column in TWO aggregation passes whatever the number
+of columns: (1) a global aggregation with null / NaN, whitespace-only, empty-string counts,
+non-null count, mean, sample standard deviation, min and max of every column (packed into
+blocks that fit the session's codegen field limit, read together in one job); (2) one
+frequency table for all columns (null is a value) giving the number of distinct values,
+the most and least frequent value, and string min/max. The reference's per-column jobs
+(7C + 4 actions) become one job.
 
 ``column_profiles(df)`` (P1-P6) is the library-style profile: completeness, approximate
 distinct count, inferred data type with type counts, histogram of low-cardinality

@@ -3,9 +3,10 @@
 Every active rule of one ``(source, entity)`` becomes one expression in a single plan:
 
 * row results: one scan, ``inline(array(struct per rule))`` - no per-rule union;
-* rule metrics: one aggregation holding ``count_if(rule)`` / ``count_if(NOT rule)`` per
-  row rule and ``count``/``count(DISTINCT)`` per aggregate rule, turned long with ``inline``,
-  then the pass percentage and the threshold (SLO) as data-driven columns.
+* rule metrics: one aggregation holding ``count_if(rule)`` / ``count_if(NOT rule)`` for all
+  row rules (split into blocks only past the session's codegen field limit) and one for
+  the ``count``/``count(DISTINCT)`` of aggregate rules, turned long with ``inline``; the
+  pass percentage and the threshold (SLO) are data-driven columns.
 
 Rules are configuration: the selected rules of one entity are read on the driver to
 compile their SQL text into the plan (their number, not the data, bounds that read).
