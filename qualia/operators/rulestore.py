@@ -79,3 +79,40 @@ def update_rules(store: DataFrame, updates: DataFrame) -> DataFrame:
 def put_rule_updated(store: DataFrame, docs: DataFrame) -> DataFrame:
     """Alias of ``put_rules`` (the second whole-item write of the store helpers)."""
     return put_rules(store, docs)
+
+
+def put_rule(store: DataFrame, source: str, entity: str, cde, kde, rules_run_on, single_column_profiler_rules=None,
+             single_column_validation_rules=None, **other) -> DataFrame:
+    """Whole-document write of one ``(source, entity)`` given as values (R2)."""
+    from qualia.sources.rules import documents_from_dicts
+
+    doc = {
+        "source": source, "entity": entity, "cde": cde, "kde": kde, "rules_run_on": rules_run_on,
+        "single_column_profiler_rules": single_column_profiler_rules or None,
+        "single_column_validation_rules": single_column_validation_rules or None, **other,
+    }
+    return put_rules(store, documents_from_dicts(store.sparkSession, [doc]))
+
+
+def update_rule(store: DataFrame, source: str, entity: str, single_column_profiler_rules=None,
+                single_column_validation_rules=None) -> DataFrame:
+    """Partial update of one ``(source, entity)`` given as values."""
+    from qualia.sources.rules import documents_from_dicts
+
+    upd = documents_from_dicts(store.sparkSession, [{
+        "source": source, "entity": entity,
+        "single_column_profiler_rules": single_column_profiler_rules or None,
+        "single_column_validation_rules": single_column_validation_rules or None,
+    }])
+    return update_rules(store, upd)
+
+
+def get_rule_document(store: DataFrame, source: str, entity: str) -> dict | None:
+    """The one document of ``(source, entity)`` as a dict (configuration for
+    ``expand_documents``); ``None`` when absent. Reads at most two rows."""
+    rows = get_rule(store, source, entity).limit(2).collect()
+    if not rows:
+        return None
+    if len(rows) > 1:
+        raise ValueError(f"more than one document for ({source!r}, {entity!r})")
+    return rows[0].asDict(recursive=True)
