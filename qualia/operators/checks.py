@@ -19,7 +19,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qualia.functions.predicates import as_assertion, quote_ident, sql_literal, str_lit
-from qualia.operators.metrics import Analyzer, Completeness, Compliance, Size, Uniqueness, metric_rows
+from qualia.operators.metrics import (
+    Analyzer,
+    Completeness,
+    Compliance,
+    CountDistinct,
+    Distinctness,
+    Size,
+    Uniqueness,
+    metric_rows,
+)
 
 
 class CheckLevel:
@@ -80,6 +89,16 @@ class Check:
         text = f"UniquenessConstraint(Uniqueness(List({', '.join(cols)}),{_opt(where)}))"
         return self._add(Constraint(a, as_assertion(assertion), text, hint))
 
+    def has_distinctness(self, columns, assertion, hint: str | None = None, where: str | None = None) -> "Check":
+        cols = [columns] if isinstance(columns, str) else list(columns)
+        text = f"DistinctnessConstraint(Distinctness(List({', '.join(cols)}),{_opt(where)}))"
+        return self._add(Constraint(Distinctness(cols, where=where), as_assertion(assertion), text, hint))
+
+    def has_number_of_distinct_values(self, column: str, assertion, hint: str | None = None,
+                                      where: str | None = None) -> "Check":
+        text = f"CountDistinctConstraint(CountDistinct(List({column}),{_opt(where)}))"
+        return self._add(Constraint(CountDistinct(column, where=where), as_assertion(assertion), text, hint, True))
+
     def satisfies(self, predicate: str, label: str, assertion=None, hint: str | None = None,
                   where: str | None = None) -> "Check":
         a = Compliance(label, predicate, where=where)
@@ -99,6 +118,8 @@ class Check:
     isUnique = is_unique
     hasUniqueness = has_uniqueness
     isContainedIn = is_contained_in
+    hasDistinctness = has_distinctness
+    hasNumberOfDistinctValues = has_number_of_distinct_values
 
 
 def verify(df: DataFrame, checks: Sequence[Check], tags: Mapping[str, str] | None = None) -> DataFrame:
@@ -152,6 +173,47 @@ def verify(df: DataFrame, checks: Sequence[Check], tags: Mapping[str, str] | Non
     return evaluated.selectExpr(f"inline(array({', '.join(structs)}))", *tag_cols)
 
 
+def checks_from_rules(rules, default_level: str = CheckLevel.Warning) -> list[Check]:
+    """Checks from profiler rules and dataset-level rules of rule documents.
+
+    One Check per ``(source, entity, check_level)`` (level default Warning), described as
+    ``"<source>.<entity> <level>"``. Dimensions: Completeness (SLO, else complete),
+    Distinctness and Uniqueness (SLO, else 1), CountDistinct (SLO required), Compliance
+    (label ``dimension_instance`` or the rule name, predicate ``dimension_rule``; SLO,
+    else 1); dataset ``hasSize`` (SLO required). The SLO text (``ge(0.9)``) is the assertion.
+    """
+    from qualia.operators.validate import as_rules
+
+    one = lambda v: v == F.lit(1.0)
+    checks: dict[tuple, Check] = {}
+    for r in as_rules(rules):
+        kind = (r.rule_specification if r.level != "dataset" else r.rule) or ""
+        dim = (r.dimension or kind or "").strip().lower()
+        level = getattr(r, "check_level", None) or default_level
+        key = (r.source, r.entity, level)
+        ch = checks.setdefault(key, Check(level, f"{r.source}.{r.entity} {level}"))
+        slo = r.slo
+        if r.level == "dataset" or dim in ("size", "hassize"):
+            if not slo:
+                raise ValueError(f"rule {r.rule_name!r}: hasSize needs a service level objective")
+            ch.has_size(slo)
+        elif dim == "completeness":
+            ch.has_completeness(r.element, slo or one)
+        elif dim == "distinctness":
+            ch.has_distinctness(r.element, slo or one)
+        elif dim == "uniqueness":
+            ch.has_uniqueness(r.element, slo or one)
+        elif dim in ("countdistinct", "count_distinct"):
+            if not slo:
+                raise ValueError(f"rule {r.rule_name!r}: CountDistinct needs a service level objective")
+            ch.has_number_of_distinct_values(r.element, slo)
+        elif dim == "compliance":
+            ch.satisfies(r.rule, r.rule_name, slo or one)
+        else:
+            raise ValueError(f"rule {r.rule_name!r}: no check for dimension {r.dimension!r}")
+    return list(checks.values())
+
+
 class VerificationSuite:
     """Builder form: ``VerificationSuite().onData(df).addCheck(c).run()`` -> result table."""
 

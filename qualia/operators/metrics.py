@@ -419,3 +419,21 @@ def metrics_from_config(df: DataFrame, config) -> DataFrame:
     else:
         pairs = [(c["rule_name"], col) for c in config for col in c.get("on_columns", [])]
     return run_metrics(df, [analyzer_for(n, c) for n, c in pairs])
+
+
+def profile_rule_metrics(df: DataFrame, rules) -> DataFrame:
+    """M12 from rule documents: the metric each profiler rule names (``dimension`` on its
+    element; Compliance uses the rule name as label and ``dimension_rule`` as predicate)."""
+    from qualia.operators.validate import as_rules
+
+    analyzers = []
+    for r in as_rules(rules):
+        if r.level == "dataset":
+            analyzers.append(Size())
+            continue
+        dim = (r.dimension or "").strip()
+        if dim.lower() == "compliance":
+            analyzers.append(Compliance(r.rule_name, r.rule))
+        else:
+            analyzers.append(analyzer_for(dim, r.element))
+    return run_metrics(df, analyzers)

@@ -52,6 +52,7 @@ class Rule:
     rule_specification: str | None = None
     is_active: int = 1
     level: str = "column"
+    check_level: str | None = None
 
     @property
     def is_aggregate(self) -> bool:

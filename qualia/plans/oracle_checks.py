@@ -147,3 +147,57 @@ ORACLE["suggest_constraints"] = "\nUNION ALL\n".join(
         _nonneg("c_custkey", _CS), _nonneg("c_nationkey", _CS), _nonneg("c_acctbal", _CS),
     ]
 )
+
+
+def _ratio(a, b):
+    return f"CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE)"
+
+
+_DIST = ("(SELECT CAST(count(*) AS DOUBLE) / CAST(sum(n) AS DOUBLE) FROM "
+         "(SELECT {c}, count(*) AS n FROM " + ON + " WHERE {c} IS NOT NULL GROUP BY {c}))")
+
+_URGENT = _ratio("count_if(o_orderpriority = '1-URGENT')", "count(*)")
+PROFILE_METRICS = (
+    f"SELECT CAST(count(*) AS DOUBLE) AS size, {_ratio('count(o_orderkey)', 'count(*)')} AS compl_key, "
+    f"CAST(count(DISTINCT o_orderkey) AS DOUBLE) AS cd_key, {_DIST.format(c='o_orderkey')} AS dist_key, "
+    f"{_ratio('count(o_orderpriority)', 'count(*)')} AS compl_prio, "
+    f"{_URGENT} AS urgent, "
+    f"CAST(count(DISTINCT o_orderstatus) AS DOUBLE) AS cd_status, {_DIST.format(c='o_custkey')} AS dist_cust "
+    f"FROM {ON}"
+)
+
+ORACLE["rule_profile_metrics"] = "\nUNION ALL\n".join(
+    f"SELECT '{e}' AS entity, '{i}' AS instance, '{n}' AS name, {col} AS value FROM ({PROFILE_METRICS})"
+    for e, i, n, col in [
+        ("Dataset", "*", "Size", "size"),
+        ("Column", "o_orderkey", "Completeness", "compl_key"),
+        ("Column", "o_orderkey", "CountDistinct", "cd_key"),
+        ("Column", "o_orderkey", "Distinctness", "dist_key"),
+        ("Column", "o_orderpriority", "Completeness", "compl_prio"),
+        ("Column", "priority_urgent", "Compliance", "urgent"),
+        ("Column", "o_orderstatus", "CountDistinct", "cd_status"),
+        ("Column", "o_custkey", "Distinctness", "dist_cust"),
+    ]
+)
+
+_E, _W = "sales.orders Error", "sales.orders Warning"
+ORACLE["rule_profile_checks"] = _suite(
+    PROFILE_METRICS,
+    ON,
+    [
+        (_E, "Error", "SizeConstraint(Size(None))", "size", "{v} > 8", None, True),
+        (_E, "Error", "CompletenessConstraint(Completeness(o_orderkey,None))", "compl_key", "{v} = 1.0", None, False),
+        (_W, "Warning", "CountDistinctConstraint(CountDistinct(List(o_orderkey),None))", "cd_key", "{v} >= 1000",
+         None, True),
+        (_W, "Warning", "DistinctnessConstraint(Distinctness(List(o_orderkey),None))", "dist_key", "{v} = 1.0",
+         None, False),
+        (_W, "Warning", "CompletenessConstraint(Completeness(o_orderpriority,None))", "compl_prio", "{v} >= 0.9",
+         None, False),
+        (_W, "Warning", "ComplianceConstraint(Compliance(priority_urgent,o_orderpriority = '1-URGENT',None))",
+         "urgent", "{v} >= 0.5", None, False),
+        (_E, "Error", "CountDistinctConstraint(CountDistinct(List(o_orderstatus),None))", "cd_status", "{v} = 3",
+         None, True),
+        (_W, "Warning", "DistinctnessConstraint(Distinctness(List(o_custkey),None))", "dist_cust", "{v} >= 0.5",
+         None, False),
+    ],
+)
