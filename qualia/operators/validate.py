@@ -109,6 +109,46 @@ def _resolved(df: DataFrame, rules: Sequence[Rule]) -> list[tuple[Rule, str]]:
     return out
 
 
+def rule_errors(df: DataFrame, rules) -> list[RuleError]:
+    """Every active rule that cannot run on ``df`` (unknown element or column, bad syntax,
+    non-boolean row rule, unknown aggregate rule), analysed one by one on the driver
+    (plan analysis only, no Spark job)."""
+    names = {f.name.lower() for f in df.schema.fields}
+    out: list[RuleError] = []
+    for r in as_rules(rules):
+        if r.is_aggregate:
+            kind = (r.rule or "").strip().lower()
+            if kind not in AGGREGATE_RULES:
+                out.append(RuleError(r.rule_name, r.rule, "unknown aggregate rule"))
+            elif kind != "hassize" and str(r.element).lower() not in names:
+                out.append(RuleError(r.rule_name, r.rule, f"no column {r.element!r}"))
+            continue
+        if str(r.element).lower() not in names:
+            out.append(RuleError(r.rule_name, r.rule, f"no column {r.element!r}"))
+            continue
+        try:
+            check_rules(df, [(r.rule_name, r.rule)])
+        except RuleError as e:
+            out.append(e)
+    return out
+
+
+def rule_error_table(df: DataFrame, rules) -> DataFrame:
+    """``rule_errors`` as a table ``(rule_name, rule, error)`` (one row per bad rule)."""
+    rows = [(e.rule_name, e.rule, e.reason) for e in rule_errors(df, rules)]
+    return df.sparkSession.createDataFrame(rows, "rule_name string, rule string, error string")
+
+
+def _usable(df: DataFrame, rules, on_error: str) -> list[Rule]:
+    rs = as_rules(rules)
+    if on_error == "raise":
+        return rs
+    if on_error != "skip":
+        raise ValueError("on_error must be 'raise' or 'skip'")
+    bad = {(e.rule_name, e.rule) for e in rule_errors(df, rs)}
+    return [r for r in rs if (r.rule_name, r.rule) not in bad]
+
+
 def _build(df: DataFrame, rules: Sequence[tuple[Rule, str]], make):
     """Build the plan; if analysis fails, analyse rule by rule to name the culprit."""
     try:
@@ -126,15 +166,17 @@ def row_results(
     pass_through: Sequence[str] | None = None,
     run_ts=None,
     only_failures: bool = False,
+    on_error: str = "raise",
 ) -> DataFrame:
     """One row per (input row, active row rule): value of the element and the rule's verdict.
 
     Output: ``pass_through...`` + ``rule_applied_on, source, entity, rule, rule_name,
     dimension, value (string), result (boolean, null when the rule is null), run_date``.
     One scan of ``df``: all rules are one ``inline(array(named_struct(...)))`` projection.
-    ``only_failures`` keeps rows whose result is false.
+    ``only_failures`` keeps rows whose result is false. ``on_error='skip'`` leaves out rules
+    that cannot run (see ``rule_errors``) instead of failing the batch.
     """
-    rs = [r for r in as_rules(rules) if not r.is_aggregate]
+    rs = [r for r in _usable(df, rules, on_error) if not r.is_aggregate]
     if not rs:
         raise ValueError("no active row rules")
     compiled = _resolved(df, rs)
@@ -178,7 +220,7 @@ def _pack_units(units, limit: int) -> list[tuple[list[str], list[str]]]:
     return blocks
 
 
-def rule_metrics(df: DataFrame, rules) -> DataFrame:
+def rule_metrics(df: DataFrame, rules, on_error: str = "raise") -> DataFrame:
     """Per active rule: success / failure / row counts, pass percentage, SLO status.
 
     Row rules: success = rows where the rule is true, failure = rows where it is false
@@ -190,8 +232,9 @@ def rule_metrics(df: DataFrame, rules) -> DataFrame:
     rule's ``slo`` (``gt|lt|eq|ge|le(n)``) and is null without one.
     Row rules share one aggregation (split into blocks only past the session's codegen
     field limit); aggregate rules needing distinct counts share one more.
+    ``on_error='skip'`` leaves out rules that cannot run (see ``rule_errors``).
     """
-    rs = as_rules(rules)
+    rs = _usable(df, rules, on_error)
     if not rs:
         raise ValueError("no active rules")
     row_rules = _resolved(df, [r for r in rs if not r.is_aggregate])

@@ -231,3 +231,23 @@ def test_many_rules_split_into_blocks(spark):
     assert got["x_complete"].success_count == sum(1 for v in xs if v is not None)
     plan = rule_metrics(df, rules)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate [") >= 2
+
+
+def test_skip_bad_rules_and_report_them(survey):
+    from qualia.operators.validate import rule_error_table
+
+    rules = [
+        {"element": "Age", "rule": "Age < 40", "rule_name": "young", "slo": "gt(50)"},
+        {"element": "Age", "rule": "Agee < 40", "rule_name": "typo"},
+        {"element": "Age", "rule": "Age +", "rule_name": "syntax"},
+        {"element": "Age", "rule": "Age + 1", "rule_name": "not_boolean"},
+        {"element": "nope", "rule": "1 = 1", "rule_name": "no_element"},
+        {"element": "Age", "rule": "sumDistinct", "rule_type": "aggregate", "rule_name": "bad_agg"},
+    ]
+    errs = {r.rule_name: r.error for r in rule_error_table(survey, rules).collect()}
+    assert set(errs) == {"typo", "syntax", "not_boolean", "no_element", "bad_agg"}
+    got = rule_metrics(survey, rules, on_error="skip").collect()
+    assert [r.rule_name for r in got] == ["young"] and got[0].success_count == 7
+    assert row_results(survey, rules, on_error="skip").count() == 9
+    with pytest.raises(RuleError):
+        rule_metrics(survey, rules)
