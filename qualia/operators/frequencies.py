@@ -121,18 +121,15 @@ def key_set_stats(freq: DataFrame) -> DataFrame:
     )
 
 
-def key_set_totals(freq: DataFrame, n_key_sets: int) -> DataFrame:
-    """The statistics of ``key_set_stats`` for key sets ``0..n-1`` as ONE row (columns
-    ``<stat>_<k>``), from a global aggregation: present even when the input is empty."""
-    k, n, nn = F.col("k"), F.col("n"), F.col("nn")
-    aggs = []
-    for i in range(n_key_sets):
-        mine = k == i
-        aggs += [
-            F.coalesce(F.sum(F.when(mine, n)), F.lit(0)).alias(f"rows_{i}"),
-            F.coalesce(F.sum(F.when(mine & nn, n)), F.lit(0)).alias(f"nonnull_rows_{i}"),
-            F.count_if(mine).alias(f"bins_{i}"),
-            F.count_if(mine & nn).alias(f"distinct_nonnull_{i}"),
-            F.count_if(mine & nn & (n == 1)).alias(f"unique_nonnull_{i}"),
-        ]
-    return freq.agg(*aggs)
+def key_set_table(freq: DataFrame, n_key_sets: int) -> DataFrame:
+    """``key_set_stats`` for every key set ``0..n-1``, zeros where a key set has no rows
+    (an empty input still yields one row per key set). Both sides hold at most n rows
+    (a bound set by the caller's metric list)."""
+    ids = freq.sparkSession.range(n_key_sets).select(F.col("id").cast("int").alias("k"))
+    stats = key_set_stats(freq)
+    zero = F.lit(0).cast("long")
+    return ids.join(stats, "k", "left").select(
+        "k",
+        *[F.coalesce(F.col(c), zero).alias(c) for c in ("rows", "nonnull_rows", "bins", "distinct_nonnull",
+                                                            "unique_nonnull")],
+    )

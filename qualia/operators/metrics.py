@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qualia.functions.predicates import field_type, is_numeric, ratio, resolve_name, str_lit
-from qualia.operators.frequencies import frequencies, key_set_stats, key_set_totals
+from qualia.operators.frequencies import frequencies, key_set_stats, key_set_table
 
 METRIC_SCHEMA = "entity string, instance string, name string, value double"
 
@@ -365,14 +365,18 @@ def metric_rows(df: DataFrame, analyzers: Sequence[Analyzer]) -> tuple[DataFrame
     if grouped:
         keys = list(groups)
         freq = frequencies(df, [cols for cols, _ in keys], [w for _, w in keys])
-        # One global aggregation with per-key-set statistics: always exactly one row, so
-        # metrics of an empty table are defined (CountDistinct 0) or null (ratios).
-        stats = key_set_totals(freq, len(keys))
-        structs = [_meta(a, a.from_stats(lambda name, k=k: F.col(f"{name}_{k}")), key=i) for i, a, k in grouped]
-        parts.append(stats.select(F.inline(F.array(*structs))))
-        hist = [(a, k) for _, a, k in grouped if isinstance(a, Histogram)]
+        # Per-key-set statistics, one row per key set (zeros for key sets without rows, so
+        # metrics of an empty table are defined: CountDistinct 0, ratios null). Histograms
+        # take their bins and totals from their own branch; every branch reads the same
+        # counted frequency table, so Spark runs its scan and shuffle once (reused exchange).
+        plain = [(i, a, k) for i, a, k in grouped if not isinstance(a, Histogram)]
+        if plain:
+            stats = key_set_table(freq, len(keys))
+            structs = [F.when(F.col("k") == k, _meta(a, a.from_stats(F.col), key=i)) for i, a, k in plain]
+            parts.append(stats.select(F.inline(F.filter(F.array(*structs), lambda x: x.isNotNull()))))
+        hist = [(i, a, k) for i, a, k in grouped if isinstance(a, Histogram)]
         if hist:
-            parts.append(_histogram_rows(freq, key_set_stats(freq), hist))
+            parts += _histogram_rows(freq, hist)
     if not parts:
         raise ValueError("no metric could be computed")
     out = parts[0]
@@ -381,18 +385,28 @@ def metric_rows(df: DataFrame, analyzers: Sequence[Analyzer]) -> tuple[DataFrame
     return out, kept
 
 
-def _histogram_rows(freq: DataFrame, stats: DataFrame, hist: list[tuple[Histogram, int]]) -> DataFrame:
-    """Per value: absolute count and ratio over all rows of the key set.
-
-    The totals side has one row per key set (a bound set by the caller's metric list),
-    so it is broadcast; the frequency side is never collected.
-    """
-    ks = [k for _, k in hist]
-    totals = F.broadcast(stats.filter(F.col("k").isin(ks)).select("k", "rows"))
-    f = freq.filter(F.col("k").isin(ks)).join(totals, "k")
+def _histogram_rows(freq: DataFrame, hist: list[tuple[int, "Histogram", int]]) -> list[DataFrame]:
+    """``Histogram.bins`` per key set, then absolute count and ratio (over all rows of the
+    key set) per value. The per-key-set totals have one row per key set (a bound set by
+    the caller's metric list) and are broadcast; the frequency side is never collected."""
+    totals = key_set_stats(freq).select("k", "rows", "bins")
+    # `bins` guarded by `rows` (never negative): this branch then needs the counted
+    # frequency table like the others, instead of a pruned copy with a shuffle of its own.
+    bins_value = F.when(F.col("rows") >= 0, F.col("bins"))
+    bins = totals.select(
+        F.inline(F.filter(F.array(*[F.when(F.col("k") == k, _meta(a, bins_value, key=i)) for i, a, k in hist]),
+                          lambda x: x.isNotNull()))
+    )
+    # No filter on k: it would be pushed below the frequency aggregation and change that
+    # subtree, so Spark could no longer reuse the one frequency shuffle.
+    # Null-safe left join on k (every key set has a total; k is never null): an ordinary
+    # equi-join would infer `k IS NOT NULL` filters that Catalyst pushes below the frequency
+    # aggregation, changing that subtree so its shuffle could not be reused.
+    t = totals.select(F.col("k").alias("tk"), "rows")
+    f = freq.join(F.broadcast(t), freq["k"].eqNullSafe(t["tk"]), "left").drop("tk")
     label = F.coalesce(F.col("v"), F.lit(NULL_BIN))
     rows = []
-    for a, k in hist:
+    for _, a, k in hist:
         entity, instance = a.entity_instance()
         suffix = f" (where: {a.where})" if a.where else ""
         for kind, value in (("abs", F.col("n").cast("double")), ("ratio", ratio(F.col("n"), F.col("rows")))):
@@ -408,7 +422,7 @@ def _histogram_rows(freq: DataFrame, stats: DataFrame, hist: list[tuple[Histogra
                     ),
                 )
             )
-    return f.select(F.inline(F.filter(F.array(*rows), lambda x: x.isNotNull())))
+    return [bins, f.select(F.inline(F.filter(F.array(*rows), lambda x: x.isNotNull())))]
 
 
 def metrics_from_config(df: DataFrame, config) -> DataFrame:

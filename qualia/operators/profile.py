@@ -431,7 +431,10 @@ def histogram_long(df: DataFrame, cols: Sequence[str], threshold: int | None = D
     if threshold is not None:
         per = per.filter(F.col("bins") <= threshold)
     label = F.array(*[F.lit(n) for n in names])
-    return freq.join(F.broadcast(per), "k").select(
+    # null-safe key (k is never null): an ordinary equi-join would infer `k IS NOT NULL`
+    # below the frequency aggregation and keep Spark from reusing its shuffle
+    per = per.withColumnRenamed("k", "pk")
+    return freq.join(F.broadcast(per), freq["k"].eqNullSafe(per["pk"])).select(
         F.element_at(label, F.col("k") + 1).alias("column_name"),
         F.coalesce(F.col("v"), F.lit("NullValue")).alias("value"),
         F.col("n").alias("count"),

@@ -48,21 +48,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder on storage every executor can reach")
     path = tempfile.mkdtemp(prefix="qualia-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
+    # spark.checkpoint.dir is a core setting (fixed at startup); the context's checkpoint
+    # folder is what checkpoint_dir() falls back to.
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
 def checkpoint_dir(spark: SparkSession, required: bool = True) -> str | None:
-    """The cluster-wide checkpoint folder named by ``spark.checkpoint.dir``."""
+    """The cluster-wide checkpoint folder named by ``spark.checkpoint.dir`` (or set on the context)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
+        if path and path.startswith("file:"):
+            path = path[len("file:"):]
     if not path and required:
         raise RuntimeError("spark.checkpoint.dir is not set; set it to a folder every executor can reach")
     return path
 
 
+def codegen_field_limit(spark: SparkSession) -> int:
+    """``spark.sql.codegen.maxFields``: plans wider than this run without whole-stage codegen."""
+    try:
+        return max(20, int(spark.conf.get("spark.sql.codegen.maxFields", "100")))
+    except (TypeError, ValueError):
+        return 100
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared checkpoint dir."""
     base = checkpoint_dir(spark)
