@@ -141,31 +141,32 @@ def rule_column(text: str) -> Column:
     return F.expr(text)
 
 
+def rule_sql(text: str) -> str:
+    """A rule's SQL text ready to splice into a larger expression: parenthesised, and ended
+    by a newline so a trailing ``--`` comment cannot swallow what follows."""
+    return f"({text}\n)"
+
+
 def check_rules(df: DataFrame, rules: Sequence[tuple[str, str]]) -> None:
-    """Analyse every ``(rule_name, rule_text)`` against ``df``; raise ``RuleError`` naming the rule.
+    """Analyse every ``(rule_name, rule_text)`` against ``df`` as it is used (a boolean
+    row predicate inside ``count_if``); raise ``RuleError`` naming the first bad rule.
 
-    Analysis runs on the driver over the plan only (no job). One select is tried for all
-    rules; on failure each rule is analysed alone to report the culprit.
+    Analysis runs on the driver over the plan only (no job). One projection is tried for
+    all rules; on failure each rule is analysed alone to report the culprit. Unknown
+    columns, bad syntax, non-boolean results and aggregate functions are all caught.
     """
     if not rules:
         return
     try:
-        schema = df.select([F.expr(r).alias(f"_r{i}") for i, (_, r) in enumerate(rules)]).schema
-    except Exception:  # noqa: BLE001 - fall back to one rule at a time
-        schema = None
-    if schema is not None:
-        bad = [(rules[i], f.dataType) for i, f in enumerate(schema.fields) if not isinstance(f.dataType, T.BooleanType)]
-        if bad:
-            (name, text), dt = bad[0]
-            raise RuleError(name, text, f"must be boolean, is {dt.simpleString()}")
+        df.selectExpr(*[f"count_if({rule_sql(r)}) AS _r{i}" for i, (_, r) in enumerate(rules)]).schema
         return
+    except Exception:  # noqa: BLE001 - fall back to one rule at a time
+        pass
     for name, text in rules:
         try:
-            dt = df.select(F.expr(text)).schema.fields[0].dataType
+            df.selectExpr(f"count_if({rule_sql(text)})").schema
         except Exception as e:  # noqa: BLE001
             raise RuleError(name, text, str(e).splitlines()[0]) from e
-        if not isinstance(dt, T.BooleanType):
-            raise RuleError(name, text, f"must be boolean, is {dt.simpleString()}")
 
 
 def field_type(df: DataFrame, name: str) -> T.DataType:

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from qualia.functions.predicates import field_type, is_numeric, ratio, resolve_name, str_lit
 from qualia.operators.frequencies import frequencies, key_set_stats, key_set_table
+from qualia.session import codegen_field_limit
 
 METRIC_SCHEMA = "entity string, instance string, name string, value double"
 
@@ -284,6 +285,8 @@ def analyzer_for(name: str, column: str, where: str | None = None) -> Analyzer:
     cls = ANALYZERS[key]
     if cls is Size:
         return Size(where=where)
+    if cls is Compliance:
+        raise ValueError("compliance needs a label and a predicate: use Compliance(label, predicate)")
     return cls(column, where=where)
 
 
@@ -333,6 +336,11 @@ def metric_rows(df: DataFrame, analyzers: Sequence[Analyzer]) -> tuple[DataFrame
         try:
             if a.grouping:
                 key = a.key(df)
+                if a.where:
+                    try:
+                        df.filter(a.where).schema  # noqa: B018 - analysis only
+                    except Exception as e:  # noqa: BLE001 - a filter that cannot run
+                        raise KeyError(str(e)) from e
                 if key not in groups:
                     groups[key] = len(groups)
                 grouped.append((len(kept), a, groups[key]))
@@ -342,9 +350,24 @@ def metric_rows(df: DataFrame, analyzers: Sequence[Analyzer]) -> tuple[DataFrame
             continue
         kept.append(a)
     parts: list[DataFrame] = []
+    if scan:
+        # A predicate or filter naming a missing column fails analysis: leave that metric
+        # out (as failed metrics are) instead of failing the run. One analysis for all,
+        # then one per metric only if that fails (plan analysis, no job).
+        try:
+            df.agg(*[v for _, _, v in scan]).schema
+        except Exception:  # noqa: BLE001
+            ok = []
+            for item in scan:
+                try:
+                    df.agg(item[2]).schema
+                    ok.append(item)
+                except Exception:  # noqa: BLE001
+                    continue
+            scan = ok
     if scan:
         # Blocks that fit the codegen field limit; sketch aggregates in blocks of their own.
-        limit = max(20, int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100") or 100))
+        limit = codegen_field_limit(df.sparkSession)
         order = [j for j, (_, a, _) in enumerate(scan) if not a.imperative] + [
             j for j, (_, a, _) in enumerate(scan) if a.imperative
         ]

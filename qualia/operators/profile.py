@@ -34,6 +34,7 @@ from qualia.functions.predicates import (
     str_lit,
 )
 from qualia.operators.frequencies import frequencies
+from qualia.session import codegen_field_limit
 
 PROFILE_COLUMNS = [
     "schema_name",
@@ -83,10 +84,7 @@ def _names_of(exprs: list[str]) -> set[str]:
 
 def _max_fields(df: DataFrame) -> int:
     """The session's whole-stage codegen field limit (plans wider than it run interpreted)."""
-    try:
-        return max(20, int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100")))
-    except (TypeError, ValueError):
-        return 100
+    return codegen_field_limit(df.sparkSession)
 
 
 def _var_width(dt: T.DataType) -> bool:

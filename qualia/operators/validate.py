@@ -28,9 +28,11 @@ from qualia.functions.predicates import (
     parse_slo,
     quote_ident,
     resolve_name,
+    rule_sql,
     sql_literal,
     str_lit,
 )
+from qualia.session import codegen_field_limit
 
 # Rules compiled into one plan; more than this means the caller did not pick one entity.
 MAX_RULES_PER_PLAN = 20000
@@ -109,28 +111,34 @@ def _resolved(df: DataFrame, rules: Sequence[Rule]) -> list[tuple[Rule, str]]:
     return out
 
 
+def _rule_error(df: DataFrame, names: set[str], r: Rule) -> RuleError | None:
+    """Why rule ``r`` cannot run on ``df`` (``None`` when it can)."""
+    try:
+        parse_slo(r.slo)
+    except ValueError as e:
+        return RuleError(r.rule_name, r.rule, str(e))
+    if r.is_aggregate:
+        kind = (r.rule or "").strip().lower()
+        if kind not in AGGREGATE_RULES:
+            return RuleError(r.rule_name, r.rule, "unknown aggregate rule")
+        if kind != "hassize" and str(r.element).lower() not in names:
+            return RuleError(r.rule_name, r.rule, f"no column {r.element!r}")
+        return None
+    if str(r.element).lower() not in names:
+        return RuleError(r.rule_name, r.rule, f"no column {r.element!r}")
+    try:
+        check_rules(df, [(r.rule_name, r.rule)])
+    except RuleError as e:
+        return e
+    return None
+
+
 def rule_errors(df: DataFrame, rules) -> list[RuleError]:
     """Every active rule that cannot run on ``df`` (unknown element or column, bad syntax,
-    non-boolean row rule, unknown aggregate rule), analysed one by one on the driver
-    (plan analysis only, no Spark job)."""
+    non-boolean or aggregate row rule, unknown aggregate rule, malformed SLO), analysed one
+    by one on the driver (plan analysis only, no Spark job)."""
     names = {f.name.lower() for f in df.schema.fields}
-    out: list[RuleError] = []
-    for r in as_rules(rules):
-        if r.is_aggregate:
-            kind = (r.rule or "").strip().lower()
-            if kind not in AGGREGATE_RULES:
-                out.append(RuleError(r.rule_name, r.rule, "unknown aggregate rule"))
-            elif kind != "hassize" and str(r.element).lower() not in names:
-                out.append(RuleError(r.rule_name, r.rule, f"no column {r.element!r}"))
-            continue
-        if str(r.element).lower() not in names:
-            out.append(RuleError(r.rule_name, r.rule, f"no column {r.element!r}"))
-            continue
-        try:
-            check_rules(df, [(r.rule_name, r.rule)])
-        except RuleError as e:
-            out.append(e)
-    return out
+    return [e for e in (_rule_error(df, names, r) for r in as_rules(rules)) if e is not None]
 
 
 def rule_error_table(df: DataFrame, rules) -> DataFrame:
@@ -145,8 +153,8 @@ def _usable(df: DataFrame, rules, on_error: str) -> list[Rule]:
         return rs
     if on_error != "skip":
         raise ValueError("on_error must be 'raise' or 'skip'")
-    bad = {(e.rule_name, e.rule) for e in rule_errors(df, rs)}
-    return [r for r in rs if (r.rule_name, r.rule) not in bad]
+    names = {f.name.lower() for f in df.schema.fields}
+    return [r for r in rs if _rule_error(df, names, r) is None]
 
 
 def _build(df: DataFrame, rules: Sequence[tuple[Rule, str]], make):
@@ -184,7 +192,7 @@ def row_results(
         "named_struct("
         f"'rule_applied_on', {str_lit(col)}, 'source', {str_lit(r.source)}, 'entity', {str_lit(r.entity)}, "
         f"'rule', {str_lit(r.rule)}, 'rule_name', {str_lit(r.rule_name)}, 'dimension', {str_lit(r.dimension)}, "
-        f"'value', CAST({quote_ident(col)} AS STRING), 'result', ({r.rule}))"
+        f"'value', CAST({quote_ident(col)} AS STRING), 'result', {rule_sql(r.rule)})"
         for r, col in compiled
     ]
     keep = [quote_ident(resolve_name(df, c)) for c in (pass_through or [])]
@@ -249,7 +257,10 @@ def rule_metrics(df: DataFrame, rules, on_error: str = "raise") -> DataFrame:
         agg_rules.append((r, kind, col))
 
     def struct(r: Rule, applied_on: str, succ: str, total: str, on_size: bool, fail: str | None = None) -> str:
-        slo = parse_slo(r.slo)
+        try:
+            slo = parse_slo(r.slo)
+        except ValueError as e:
+            raise RuleError(r.rule_name, r.rule, str(e)) from e
         return (
             "named_struct("
             f"'source', {str_lit(r.source)}, 'entity', {str_lit(r.entity)}, 'rule_applied_on', {str_lit(applied_on)}, "
@@ -265,7 +276,7 @@ def rule_metrics(df: DataFrame, rules, on_error: str = "raise") -> DataFrame:
     for i, (r, col) in enumerate(row_rules):
         # failures are counted directly: null results count in neither
         row_units.append(
-            ([f"count_if(({r.rule})) AS s{i}", f"count_if(NOT ({r.rule})) AS f{i}"],
+            ([f"count_if({rule_sql(r.rule)}) AS s{i}", f"count_if(NOT {rule_sql(r.rule)}) AS f{i}"],
              [struct(r, col, f"s{i}", "n", False, fail=f"f{i}")], 4)
         )
     by_col: dict[str, list[tuple[Rule, str]]] = {}
@@ -295,7 +306,7 @@ def rule_metrics(df: DataFrame, rules, on_error: str = "raise") -> DataFrame:
     # Row rules in blocks that fit the codegen field limit (pure hash aggregations); rules
     # needing distinct counts in their own block (Catalyst plans the distinct aggregation
     # over those columns only); blocks read only the columns their rules use.
-    limit = max(20, int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100") or 100))
+    limit = codegen_field_limit(df.sparkSession)
     blocks = _pack_units(row_units, limit) + _pack_units(distinct_units, limit)
     if size_structs:
         if blocks:

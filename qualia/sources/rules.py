@@ -108,8 +108,11 @@ ENTITY_SCHEMA = T.StructType(
 FILE_SCHEMA = T.StructType(DOCUMENT_SCHEMA.fields + [T.StructField("entities", T.ArrayType(ENTITY_SCHEMA))])
 
 
-def read_rule_documents(spark: SparkSession, path: str) -> DataFrame:
-    """JSON rule documents with the canonical schema (one object per file, or JSON lines).
+def read_rule_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """JSON rule documents with the canonical schema.
+
+    ``multi_line=True`` (default): each file holds one document or a JSON array of
+    documents, pretty-printed or not; ``multi_line=False``: JSON Lines, one document per line.
 
     Two layouts are accepted: flat documents keyed by ``source``/``entity``, and files with
     a top-level ``source`` and a list of ``entities`` (using ``run_rules_on`` or
@@ -118,7 +121,7 @@ def read_rule_documents(spark: SparkSession, path: str) -> DataFrame:
     fields are ignored. Validation rules listed per element group name no element, so
     they are not carried over (see ``grouped_validation_rules``).
     """
-    raw = spark.read.schema(FILE_SCHEMA).option("multiLine", "true").json(path)
+    raw = spark.read.schema(FILE_SCHEMA).option("multiLine", str(bool(multi_line)).lower()).json(path)
     flat = raw.filter(F.col("entities").isNull()).select(*[f.name for f in DOCUMENT_SCHEMA.fields])
     nested = raw.filter(F.col("entities").isNotNull()).select(
         F.col("source").alias("_source"), F.explode("entities").alias("e")
@@ -136,7 +139,7 @@ def _entities_to_documents(ents: DataFrame) -> DataFrame:
                 F.transform(
                     rules,
                     lambda r: F.transform(
-                        r["on_columns"],
+                        F.coalesce(r["on_columns"], F.array().cast("array<string>")),
                         lambda c: F.struct(
                             c.alias("col"),
                             F.struct(

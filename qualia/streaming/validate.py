@@ -54,14 +54,24 @@ def read_stream(spark: SparkSession, directory: str, schema: StructType, fmt: st
 
 def run_available(result: DataFrame, path: str | None = None, checkpoint: str | None = None,
                   output_mode: str = "complete") -> DataFrame:
-    """Run a streaming result over all available input; return the snapshot as a batch table."""
+    """Run a streaming result over all available input; return the snapshot as a batch table.
+
+    ``complete``: each micro-batch overwrites the snapshot with the full result.
+    ``append`` (stateless results such as row results): each micro-batch writes its own
+    ``batch_id=<epoch>`` folder with overwrite, so a retried batch replaces its rows
+    instead of adding them twice. An input with no data gives an empty table.
+    """
+    if output_mode not in ("complete", "append"):
+        raise ValueError("output_mode must be 'complete' or 'append' (update mode would keep stale rows)")
     spark = result.sparkSession
     path = path or scratch_path(spark, "stream_snapshot")
     checkpoint = checkpoint or scratch_path(spark, "stream_checkpoint")
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        mode = "overwrite" if output_mode == "complete" else "append"
-        batch.write.mode(mode).parquet(path)
+        if output_mode == "complete":
+            batch.write.mode("overwrite").parquet(path)
+        else:
+            batch.write.mode("overwrite").parquet(f"{path}/batch_id={epoch_id}")
 
     query = (
         result.writeStream.outputMode(output_mode)
@@ -71,4 +81,9 @@ def run_available(result: DataFrame, path: str | None = None, checkpoint: str |
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(path)
+    try:
+        out = spark.read.schema(result.schema).parquet(path) if output_mode == "complete" else spark.read.parquet(path)
+        out.schema  # noqa: B018 - resolve the path now
+    except Exception:  # noqa: BLE001 - no micro-batch ran: nothing was written
+        return spark.createDataFrame([], result.schema)
+    return out.drop("batch_id") if "batch_id" in out.columns else out

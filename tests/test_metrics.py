@@ -87,3 +87,16 @@ def test_many_metrics_split_into_blocks(spark):
         assert m[("Column", f"c{k}", "Mean")] == pytest.approx(sum(nonnull) / len(nonnull))
     assert m[("Dataset", "*", "Size")] == 100.0
     assert abs(m[("Column", "c0", "ApproxCountDistinct")] - 50) <= 5
+
+
+def test_failed_metrics_left_out_not_fatal(survey):
+    m = as_dict(run_metrics(survey, [Size(), Compliance("x", "zzz > 0"), Completeness("Age", where="nope = 1"),
+                                     Uniqueness("Age", where="nope = 1"), Uniqueness("Age")]))
+    assert set(m) == {("Dataset", "*", "Size"), ("Column", "Age", "Uniqueness")}
+
+
+def test_compliance_by_name_needs_predicate():
+    from qualia.operators.metrics import analyzer_for
+
+    with pytest.raises(ValueError, match="predicate"):
+        analyzer_for("compliance", "country")

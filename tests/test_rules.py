@@ -251,3 +251,39 @@ def test_skip_bad_rules_and_report_them(survey):
     assert row_results(survey, rules, on_error="skip").count() == 9
     with pytest.raises(RuleError):
         rule_metrics(survey, rules)
+
+
+def test_rule_text_edge_cases(survey):
+    rules = [
+        {"element": "Age", "rule": "Age < 40 -- younger than forty", "rule_name": "commented", "slo": "gt(50)"},
+        {"element": "Age", "rule": "count(Age) > 0", "rule_name": "aggregate_text"},
+        {"element": "patient_id", "rule": "uniqueness", "rule_type": "aggregate", "rule_name": "uniq"},
+        {"element": "missing", "rule": "uniqueness", "rule_type": "aggregate", "rule_name": "uniq"},
+        {"element": "Age", "rule": "Age > 0", "rule_name": "bad_slo", "slo": "> 90"},
+    ]
+    from qualia.operators.validate import rule_errors
+
+    assert sorted(e.rule_name for e in rule_errors(survey, rules)) == ["aggregate_text", "bad_slo", "uniq"]
+    got = {r.rule_name: r for r in rule_metrics(survey, rules, on_error="skip").collect()}
+    assert set(got) == {"commented", "uniq"}
+    assert got["commented"].success_count == 7 and got["uniq"].success_count == 8
+    assert row_results(survey, rules, on_error="skip").count() == 9
+    with pytest.raises(RuleError, match="bad_slo|aggregate_text|uniq"):
+        rule_metrics(survey, rules)
+
+
+def test_json_lines_and_profiler_rules_without_columns(spark, tmp_path):
+    import json
+
+    from qualia.sources.rules import read_rule_documents
+
+    p = tmp_path / "docs.jsonl"
+    p.write_text("\n".join(json.dumps(dict(DOC, entity=f"e{i}")) for i in range(3)))
+    assert read_rule_documents(spark, str(p), multi_line=False).count() == 3
+    q = tmp_path / "ent.json"
+    q.write_text(json.dumps({"source": "s", "entities": [{
+        "entity": "e", "cde": ["a", "b"], "run_rules_on": ["cde"],
+        "profiler_rules": {"cde": [{"rule_name": "completeness", "on_columns": ["a", "b"]}, {"rule_name": "uniqueness"}]},
+    }]}))
+    rules = select_rules(rules_table(read_rule_documents(spark, str(q))), kind="profile").collect()
+    assert sorted(r.element for r in rules) == ["a", "b"]

@@ -36,3 +36,14 @@ def test_streaming_refuses_distinct_rules(spark):
     with pytest.raises(ValueError, match="distinct"):
         stream_rule_metrics(stream, [{"element": "o_orderkey", "rule": "uniqueness", "rule_type": "aggregate",
                                       "rule_name": "u"}])
+
+
+def test_empty_stream_and_modes(spark, tmp_path):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    stream = read_stream(spark, str(empty), orders.schema)
+    got = run_available(stream_rule_metrics(stream, RULES[:2]), str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert got.count() == 0
+    with pytest.raises(ValueError, match="update"):
+        run_available(stream_rule_metrics(stream, RULES[:2]), output_mode="update")
