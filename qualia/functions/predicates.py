@@ -257,5 +257,10 @@ def str_lit(v) -> str:
     return sql_literal(None if v is None else str(v), "STRING")
 
 
+def qcol(name: str) -> Column:
+    """Column by exact name, quoted so dots or spaces in the name are not read as paths."""
+    return F.col(quote_ident(name))
+
+
 def quote_ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"

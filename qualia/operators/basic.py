@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qualia.functions.predicates import resolve_name
+from qualia.functions.predicates import qcol, resolve_name
 
 
 def count_by(df: DataFrame, by: str | Sequence[str], where: str | None = None,
@@ -21,7 +21,7 @@ def count_by(df: DataFrame, by: str | Sequence[str], where: str | None = None,
         df = df.filter(where)
     if columns:
         df = df.select(*columns)
-    return df.groupBy(*[F.col(resolve_name(df, k)).alias(k) for k in keys]).count()
+    return df.groupBy(*[qcol(resolve_name(df, k)).alias(k) for k in keys]).count()
 
 
 def count_by_country(survey_df: DataFrame) -> DataFrame:

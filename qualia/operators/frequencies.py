@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qualia.functions.predicates import COMPLEX_TYPES, as_text
+from qualia.functions.predicates import COMPLEX_TYPES, as_text, qcol
 
 
 def normalize_key_sets(df: DataFrame, key_sets, fields: dict | None = None) -> list[tuple[str, ...]]:
@@ -58,10 +58,10 @@ def frequencies(df: DataFrame, key_sets, wheres: Sequence[str | None] | None = N
     if len(kss) == 1 and wheres[0] is None and len(kss[0]) == 1:
         # One column: plain typed grouping, text only for the distinct values.
         c = kss[0][0]
-        counted = df.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
+        counted = df.groupBy(qcol(c).alias("_key")).agg(F.count(F.lit(1)).alias("_count"))
         return counted.select(
-            F.lit(0).alias("k"), as_text(F.col(c), field_type(df, c)).alias("v"), F.col(c).isNotNull().alias("nn"),
-            F.col("n"),
+            F.lit(0).alias("k"), as_text(F.col("_key"), field_type(df, c)).alias("v"),
+            F.col("_key").isNotNull().alias("nn"), F.col("_count").alias("n"),
         )
 
     # Slot layout: (type, position-within-type) -> slot column; one layout for all key sets.
@@ -86,9 +86,9 @@ def frequencies(df: DataFrame, key_sets, wheres: Sequence[str | None] | None = N
         filled = dict(zip(names, cols))
         nn = F.lit(False)
         for c in cols:
-            nn = nn | F.col(c).isNotNull()
+            nn = nn | qcol(c).isNotNull()
         fields = [F.lit(i).alias("k"), nn.alias("nn")] + [
-            (F.col(filled[s]) if s in filled else F.lit(None)).cast(slot_types[s]).alias(s) for s in slots
+            (qcol(filled[s]) if s in filled else F.lit(None)).cast(slot_types[s]).alias(s) for s in slots
         ]
         s = F.struct(*fields)
         items.append(F.when(F.expr(where), s) if where else s)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qualia.functions.predicates import field_type, is_numeric, ratio, resolve_name, str_lit
+from qualia.functions.predicates import field_type, is_numeric, qcol, ratio, resolve_name, str_lit
 from qualia.operators.frequencies import frequencies, key_set_stats, key_set_table
 from qualia.session import codegen_field_limit
 
@@ -91,7 +91,7 @@ class Completeness(_ColumnAnalyzer):
     cost = 3
 
     def scan_value(self, df: DataFrame) -> Column:
-        c = F.col(resolve_name(df, self.column))
+        c = qcol(resolve_name(df, self.column))
         w = _cond(self.where)
         return ratio(F.count_if(w & c.isNotNull()), F.count_if(w))
 
@@ -104,7 +104,7 @@ class MaxLength(_ColumnAnalyzer):
         c = resolve_name(df, self.column)
         if not isinstance(field_type(df, c), T.StringType):
             raise TypeError(f"{self.name} needs a string column, {c} is {field_type(df, c).simpleString()}")
-        return F.max(F.when(_cond(self.where), F.length(c))).cast("double")
+        return F.max(F.when(_cond(self.where), F.length(qcol(c)))).cast("double")
 
 
 @dataclass(frozen=True, init=False)
@@ -115,7 +115,7 @@ class MinLength(_ColumnAnalyzer):
         c = resolve_name(df, self.column)
         if not isinstance(field_type(df, c), T.StringType):
             raise TypeError(f"{self.name} needs a string column, {c} is {field_type(df, c).simpleString()}")
-        return F.min(F.when(_cond(self.where), F.length(c))).cast("double")
+        return F.min(F.when(_cond(self.where), F.length(qcol(c)))).cast("double")
 
 
 @dataclass(frozen=True, init=False)
@@ -126,7 +126,7 @@ class _Numeric(_ColumnAnalyzer):
         c = resolve_name(df, self.column)
         if not is_numeric(field_type(df, c)):
             raise TypeError(f"{self.name} needs a numeric column, {c} is {field_type(df, c).simpleString()}")
-        v = F.col(c).cast("double")
+        v = qcol(c).cast("double")
         v = F.when(v == 0, F.lit(0.0)).otherwise(v)  # -0.0 reads as 0.0
         return type(self).fn(F.when(_cond(self.where), v))
 
@@ -172,7 +172,7 @@ class ApproxCountDistinct(_ColumnAnalyzer):
     cost = 60
 
     def scan_value(self, df: DataFrame) -> Column:
-        c = F.col(resolve_name(df, self.column))
+        c = qcol(resolve_name(df, self.column))
         return F.approx_count_distinct(F.when(_cond(self.where), c)).cast("double")
 
 

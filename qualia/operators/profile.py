@@ -27,6 +27,7 @@ from qualia.functions.predicates import (
     FLOATING_TYPES,
     SPACES_REGEX,
     is_numeric,
+    qcol,
     quote_ident,
     ratio,
     resolve_name,
@@ -138,7 +139,7 @@ def profile(
     ``num_distinct`` and most/least frequent values.
     """
     columns = _columns(df, cols)
-    data = df.select(*[c for c, _ in columns])
+    data = df.select(*[qcol(c) for c, _ in columns])
     # Columns that get a frequency table (step 2).
     if frequencies_mode == "none":
         chosen = []
@@ -322,7 +323,7 @@ def column_profiles(
     list gathered per column is bounded and high-cardinality columns are never shuffled.
     """
     columns = _columns(df, cols)
-    data = df.select(*[c for c, _ in columns])
+    data = df.select(*[qcol(c) for c, _ in columns])
     pct_list = ", ".join(f"{float(p)!r}D" for p in (percentiles or []))
     stat_units: list[tuple[list[str], int]] = []
     sketch_units: list[tuple[list[str], int]] = []

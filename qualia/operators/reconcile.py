@@ -29,7 +29,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qualia.functions.predicates import resolve_name
+from qualia.functions.predicates import qcol, resolve_name
 
 RECONCILE_COLUMNS = [
     "primary_key",
@@ -49,7 +49,7 @@ RECONCILE_COLUMNS = [
 def prefix_columns(df: DataFrame, prefix: str, cols: Sequence[str] | None = None) -> DataFrame:
     """every (or the listed) column renamed ``prefix + name``."""
     cols = list(cols) if cols is not None else df.columns
-    return df.select([F.col(c).alias(prefix + c) for c in cols])
+    return df.select([qcol(c).alias(prefix + c) for c in cols])
 
 
 def _pairs(items) -> list[tuple[str, str]]:
@@ -99,35 +99,35 @@ def reconcile(
     e_cols = list(dict.fromkeys([ekey, *e_attrs, *([pub] if pub else [])]))
     src = prefix_columns(source, "src_", s_cols)
     ext = prefix_columns(external, "ext_", e_cols)
-    sk, ek = F.col("src_" + skey), F.col("ext_" + ekey)
+    sk, ek = qcol("src_" + skey), qcol("ext_" + ekey)
 
     def null_cols(cols: Sequence[str], prefix: str, like: DataFrame) -> list[Column]:
         return [F.lit(None).cast(like.schema[prefix + c].dataType).alias(prefix + c) for c in cols]
 
-    all_cols = [F.col("src_" + c) for c in s_cols] + [F.col("ext_" + c) for c in e_cols]
+    all_cols = [qcol("src_" + c) for c in s_cols] + [qcol("ext_" + c) for c in e_cols]
     src_keyed, ext_keyed = src.filter(sk.isNotNull()), ext.filter(ek.isNotNull())
     matched_or_left = src_keyed.join(ext_keyed, sk == ek, "left").select(*all_cols)
-    src_null_key = src.filter(sk.isNull()).select(*[F.col("src_" + c) for c in s_cols], *null_cols(e_cols, "ext_", ext))
+    src_null_key = src.filter(sk.isNull()).select(*[qcol("src_" + c) for c in s_cols], *null_cols(e_cols, "ext_", ext))
     joined = matched_or_left.unionByName(src_null_key)
     if how == "full_outer":
         src_keys = src_keyed.select(sk.alias("_k")).distinct()
         ext_only = ext_keyed.join(src_keys, ek == F.col("_k"), "left_anti").unionByName(ext.filter(ek.isNull()))
         joined = joined.unionByName(
-            ext_only.select(*null_cols(s_cols, "src_", src), *[F.col("ext_" + c) for c in e_cols])
+            ext_only.select(*null_cols(s_cols, "src_", src), *[qcol("ext_" + c) for c in e_cols])
         )
 
     structs = [
         F.struct(
             F.lit(a).alias("attribute_name"),
-            F.col("src_" + sa).cast("string").alias("current_value"),
-            F.col("ext_" + ea).cast("string").alias("expected_value"),
+            qcol("src_" + sa).cast("string").alias("current_value"),
+            qcol("ext_" + ea).cast("string").alias("expected_value"),
         )
         for (a, _), sa, ea in zip(attrs, s_attrs, e_attrs)
     ]
     run_date = _run_date(run_ts)
     out = joined.select(
-        F.col("src_" + pk).cast("string").alias("primary_key_value"),
-        (F.col("ext_" + pub) if pub else F.lit(None).cast("date")).alias("external_data_publish_date"),
+        qcol("src_" + pk).cast("string").alias("primary_key_value"),
+        (qcol("ext_" + pub) if pub else F.lit(None).cast("date")).alias("external_data_publish_date"),
         F.inline(F.array(*structs)),
     )
     return out.select(

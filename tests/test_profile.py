@@ -92,3 +92,16 @@ def test_negative_zero_reads_as_zero(spark):
         assert p["min"] == want_min
         assert p["max"] in ("2.5", "0.0") and p["max"] != "-0.0"
         assert column_profiles(df).first().minimum == float(want_min)
+
+
+def test_awkward_column_names(spark):
+    from qualia.operators.metrics import Completeness, Distinctness, Histogram, Uniqueness, run_metrics
+
+    df = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (None, "y", 3)], "`a.b` int, `n` string, `my col` int")
+    p = {r.column_names: r for r in profile(df).collect()}
+    assert p["a.b"].num_null == 1 and p["a.b"].num_distinct == 2 and p["n"].most_freq_value == "y"
+    m = {(r.instance, r.name): r.value for r in run_metrics(df, [
+        Completeness("a.b"), Distinctness("n"), Uniqueness(["a.b", "my col"]), Histogram("n")]).collect()}
+    assert m[("a.b", "Completeness")] == 2 / 3 and m[("n", "Distinctness")] == 2 / 3
+    assert m[("n", "Histogram.abs.y")] == 2.0
+    assert {r.column_name for r in column_profiles(df).collect()} == {"a.b", "n", "my col"}
