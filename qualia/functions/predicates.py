@@ -118,14 +118,19 @@ def as_assertion(a) -> Callable[[Column], Column]:
 # ---------------------------------------------------------------- arithmetic
 
 
-def pct_half_up(success: str, total: str) -> Column:
-    """``round(success / total * 100, 2)``, rounded half-up on the exact ratio.
+def pct_half_up_sql(success: str, total: str) -> str:
+    """SQL for ``round(success / total * 100, 2)`` rounded half-up on the exact ratio.
 
-    Takes column *names* and uses exact long ``div``, so ties do not depend on
+    Takes column names and uses exact long ``div``, so ties do not depend on
     floating-point rounding; null when ``total`` is 0.
     """
     s, n = quote_ident(success), quote_ident(total)
-    return F.expr(f"CASE WHEN {n} > 0 THEN ((20000 * {s} + {n}) div (2 * {n})) / 100.0D END")
+    return f"CASE WHEN {n} > 0 THEN ((20000 * {s} + {n}) div (2 * {n})) / 100.0D END"
+
+
+def pct_half_up(success: str, total: str) -> Column:
+    """``pct_half_up_sql`` as a Column."""
+    return F.expr(pct_half_up_sql(success, total))
 
 
 def ratio(num: Column, den: Column) -> Column:

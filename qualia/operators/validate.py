@@ -26,6 +26,7 @@ from qualia.functions.predicates import (
     RuleError,
     check_rules,
     parse_slo,
+    pct_half_up_sql,
     quote_ident,
     resolve_name,
     rule_sql,
@@ -314,7 +315,7 @@ def rule_metrics(df: DataFrame, rules, on_error: str = "raise") -> DataFrame:
         else:
             blocks = [([], size_structs)]
 
-    pct = "CASE WHEN NOT on_size AND count > 0 THEN ((20000 * success_count + count) div (2 * count)) / 100.0D END"
+    pct = f"CASE WHEN NOT on_size THEN {pct_half_up_sql('success_count', 'count')} END"
     target = f"CASE WHEN on_size THEN CAST(count AS DOUBLE) ELSE ({pct}) END"
     status = " ".join(
         f"WHEN slo_op = '{op}' THEN {target} {sym} slo_value"

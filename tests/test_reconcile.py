@@ -75,3 +75,11 @@ def test_hot_key_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_awkward_names(spark):
+    src = spark.createDataFrame([(1, 10, "a"), (2, 20, "b")], "`id.x` int, `key col` int, `v.1` string")
+    ext = spark.createDataFrame([(10, "a"), (30, "z")], "`k.k` int, `w w` string")
+    out = reconcile(src, ext, ("key col", "k.k"), [("v.1", "w w")], primary_key="id.x", publish_date=None)
+    got = sorted((r.primary_key_value or "", r.current_value or "", r.expected_value or "") for r in out.collect())
+    assert got == [("", "", "z"), ("1", "a", "a"), ("2", "b", "")]
