@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from qualia.functions.predicates import field_type, is_numeric, qcol, ratio, resolve_name, str_lit
 from qualia.operators.frequencies import frequencies, key_set_stats, key_set_table
-from qualia.session import codegen_field_limit
+from qualia.functions.blocks import codegen_field_limit, pack
 
 METRIC_SCHEMA = "entity string, instance string, name string, value double"
 
@@ -368,19 +368,10 @@ def metric_rows(df: DataFrame, analyzers: Sequence[Analyzer]) -> tuple[DataFrame
     if scan:
         # Blocks that fit the codegen field limit; sketch aggregates in blocks of their own.
         limit = codegen_field_limit(df.sparkSession)
-        order = [j for j, (_, a, _) in enumerate(scan) if not a.imperative] + [
-            j for j, (_, a, _) in enumerate(scan) if a.imperative
-        ]
-        blocks: list[list[int]] = []
-        used = 0
-        for j in order:
-            a = scan[j][1]
-            new_kind = bool(blocks) and scan[blocks[-1][0]][1].imperative != a.imperative
-            if not blocks or new_kind or used + a.cost > limit:
-                blocks.append([])
-                used = 0
-            blocks[-1].append(j)
-            used += a.cost
+        plain = [j for j, (_, a, _) in enumerate(scan) if not a.imperative]
+        sketches = [j for j, (_, a, _) in enumerate(scan) if a.imperative]
+        cost = lambda j: scan[j][1].cost
+        blocks = pack(plain, cost, limit) + pack(sketches, cost, limit)
         for block in blocks:
             wide = df.agg(*[scan[j][2].alias(f"m{j}") for j in block])
             metas = ", ".join(_meta_sql(scan[j][1], f"m{j}", scan[j][0]) for j in block)

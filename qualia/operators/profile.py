@@ -35,7 +35,7 @@ from qualia.functions.predicates import (
     str_lit,
 )
 from qualia.operators.frequencies import frequencies
-from qualia.session import codegen_field_limit
+from qualia.functions.blocks import codegen_field_limit, pack
 
 PROFILE_COLUMNS = [
     "schema_name",
@@ -83,33 +83,11 @@ def _names_of(exprs: list[str]) -> set[str]:
     return {e.rsplit(" AS ", 1)[1].strip() for e in exprs}
 
 
-def _max_fields(df: DataFrame) -> int:
-    """The session's whole-stage codegen field limit (plans wider than it run interpreted)."""
-    return codegen_field_limit(df.sparkSession)
-
-
 def _var_width(dt: T.DataType) -> bool:
     """Types whose min/max buffers are not fixed-width (sort-based aggregation)."""
     return isinstance(dt, (T.StringType, T.BinaryType)) or (isinstance(dt, T.DecimalType) and dt.precision > 18)
 
 
-def _pack(items: list[int], cost, limit: int) -> list[list[int]]:
-    """Greedy blocks of consecutive items whose summed cost (+2 shared) stays within limit."""
-    blocks: list[list[int]] = []
-    cur: list[int] = []
-    used = 2
-    for i in items:
-        c = cost(i)
-        if cur and used + c > limit:
-            blocks.append(cur)
-            cur, used = [], 2
-        cur.append(i)
-        used += c
-    if cur:
-        blocks.append(cur)
-    return blocks
-
-
 def _columns(df: DataFrame, cols: Sequence[str] | None) -> list[tuple[str, T.DataType]]:
     names = [resolve_name(df, c) for c in cols] if cols else list(df.columns)
     out = []
@@ -193,8 +171,9 @@ def profile(
 
     sort_based = [i for i, (_, dt) in enumerate(columns) if _var_width(dt) and i not in text_from_freq]
     hash_based = [i for i in range(len(columns)) if i not in sort_based]
-    blocks = _pack(hash_based, lambda i: fields_of(i, columns[i][1]), _max_fields(df)) + _pack(
-        sort_based, lambda i: fields_of(i, columns[i][1]), _max_fields(df)
+    limit = codegen_field_limit(df.sparkSession)
+    blocks = pack(hash_based, lambda i: fields_of(i, columns[i][1]), limit) + pack(
+        sort_based, lambda i: fields_of(i, columns[i][1]), limit
     )
     per_col = None
     for block in blocks:
@@ -355,15 +334,8 @@ def column_profiles(
     # never code-generated) in a block of their own so they do not slow the rest. The
     # blocks are unioned into ONE job (independent stages) and return one row each; on
     # columnar sources each block reads only its own columns.
-    limit = _max_fields(df)
-    blocks: list[list[str]] = []
-    used = 0
-    for unit, cost in stat_units:
-        if not blocks or (used + cost > limit and blocks[-1]):
-            blocks.append([])
-            used = 2
-        blocks[-1] += unit
-        used += cost
+    limit = codegen_field_limit(df.sparkSession)
+    blocks = [[e for unit, _ in group for e in unit] for group in pack(stat_units, lambda u: u[1], limit)]
     blocks.append([e for unit, _ in sketch_units for e in unit])
     parts = [data.selectExpr(f"{b} AS _block", "count(1) AS rows", *exprs) for b, exprs in enumerate(blocks)]
     combined = parts[0]

@@ -33,7 +33,7 @@ from qualia.functions.predicates import (
     sql_literal,
     str_lit,
 )
-from qualia.session import codegen_field_limit
+from qualia.functions.blocks import codegen_field_limit, pack
 
 # Rules compiled into one plan; more than this means the caller did not pick one entity.
 MAX_RULES_PER_PLAN = 20000
@@ -212,21 +212,11 @@ def row_results(
 
 
 def _pack_units(units, limit: int) -> list[tuple[list[str], list[str]]]:
-    """Greedy blocks of units whose summed field cost stays within ``limit``."""
-    blocks: list[tuple[list[str], list[str]]] = []
-    cur_aggs: list[str] = []
-    cur_structs: list[str] = []
-    used = 2
-    for aggs, structs, cost in units:
-        if cur_structs and used + cost > limit:
-            blocks.append((cur_aggs, cur_structs))
-            cur_aggs, cur_structs, used = [], [], 2
-        cur_aggs += aggs
-        cur_structs += structs
-        used += cost
-    if cur_structs:
-        blocks.append((cur_aggs, cur_structs))
-    return blocks
+    """Blocks of (aggregate expressions, result structs) within the codegen field limit."""
+    return [
+        ([a for aggs, _, _ in group for a in aggs], [st for _, structs, _ in group for st in structs])
+        for group in pack(units, lambda u: u[2], limit)
+    ]
 
 
 def rule_metrics(df: DataFrame, rules, on_error: str = "raise") -> DataFrame:

@@ -66,14 +66,6 @@ def checkpoint_dir(spark: SparkSession, required: bool = True) -> str | None:
     return path
 
 
-def codegen_field_limit(spark: SparkSession) -> int:
-    """``spark.sql.codegen.maxFields``: plans wider than this run without whole-stage codegen."""
-    try:
-        return max(20, int(spark.conf.get("spark.sql.codegen.maxFields", "100")))
-    except (TypeError, ValueError):
-        return 100
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared checkpoint dir."""
     base = checkpoint_dir(spark)
