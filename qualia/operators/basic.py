@@ -20,7 +20,7 @@ def count_by(df: DataFrame, by: str | Sequence[str], where: str | None = None,
     if where:
         df = df.filter(where)
     if columns:
-        df = df.select(*columns)
+        df = df.select(*[qcol(resolve_name(df, c)) for c in columns])
     return df.groupBy(*[qcol(resolve_name(df, k)).alias(k) for k in keys]).count()
 
 

@@ -99,6 +99,21 @@ class Check:
         text = f"CountDistinctConstraint(CountDistinct(List({column}),{_opt(where)}))"
         return self._add(Constraint(CountDistinct(column, where=where), as_assertion(assertion), text, hint, True))
 
+    def is_non_negative(self, column: str, hint: str | None = None) -> "Check":
+        q = quote_ident(column)
+        return self.satisfies(f"COALESCE({q}, 0.0) >= 0", f"{column} is non-negative", lambda v: v == F.lit(1.0), hint)
+
+    def has_data_type(self, column: str, data_type: str, assertion=None, hint: str | None = None) -> "Check":
+        """Share of values (null counts as matching) whose text has ``data_type``
+        (Integral, Fractional, Boolean, String), compared with ``assertion`` (default 1)."""
+        from qualia.operators.profile import BOOLEAN_REGEX, FRACTIONAL_REGEX, INTEGRAL_REGEX
+
+        name = str(data_type).split(".")[-1]
+        patterns = {"Integral": INTEGRAL_REGEX, "Fractional": FRACTIONAL_REGEX, "Boolean": BOOLEAN_REGEX}
+        q = f"CAST({quote_ident(column)} AS STRING)"
+        pred = f"{q} IS NULL OR {q} RLIKE {sql_literal(patterns[name])}" if name in patterns else "TRUE"
+        return self.satisfies(pred, f"{column} has type {name}", assertion, hint)
+
     def satisfies(self, predicate: str, label: str, assertion=None, hint: str | None = None,
                   where: str | None = None) -> "Check":
         a = Compliance(label, predicate, where=where)
@@ -119,6 +134,8 @@ class Check:
     hasUniqueness = has_uniqueness
     isContainedIn = is_contained_in
     hasDistinctness = has_distinctness
+    isNonNegative = is_non_negative
+    hasDataType = has_data_type
     hasNumberOfDistinctValues = has_number_of_distinct_values
 
 
@@ -187,6 +204,8 @@ def checks_from_rules(rules, default_level: str = CheckLevel.Warning) -> list[Ch
     one = lambda v: v == F.lit(1.0)
     checks: dict[tuple, Check] = {}
     for r in as_rules(rules):
+        if r.kind not in (None, "profile") and r.level != "dataset":
+            continue  # validation rules are run by rule_metrics
         kind = (r.rule_specification if r.level != "dataset" else r.rule) or ""
         dim = (r.dimension or kind or "").strip().lower()
         level = getattr(r, "check_level", None) or default_level
@@ -194,9 +213,8 @@ def checks_from_rules(rules, default_level: str = CheckLevel.Warning) -> list[Ch
         ch = checks.setdefault(key, Check(level, f"{r.source}.{r.entity} {level}"))
         slo = r.slo
         if r.level == "dataset" or dim in ("size", "hassize"):
-            if not slo:
-                raise ValueError(f"rule {r.rule_name!r}: hasSize needs a service level objective")
-            ch.has_size(slo)
+            if slo:  # without an objective the size is only measured
+                ch.has_size(slo)
         elif dim == "completeness":
             ch.has_completeness(r.element, slo or one)
         elif dim == "distinctness":
@@ -204,9 +222,8 @@ def checks_from_rules(rules, default_level: str = CheckLevel.Warning) -> list[Ch
         elif dim == "uniqueness":
             ch.has_uniqueness(r.element, slo or one)
         elif dim in ("countdistinct", "count_distinct"):
-            if not slo:
-                raise ValueError(f"rule {r.rule_name!r}: CountDistinct needs a service level objective")
-            ch.has_number_of_distinct_values(r.element, slo)
+            if slo:  # without an objective the count is only measured (profile_rule_metrics)
+                ch.has_number_of_distinct_values(r.element, slo)
         elif dim == "compliance":
             ch.satisfies(r.rule, r.rule_name, slo or one)
         else:

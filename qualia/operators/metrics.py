@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qualia.functions.predicates import field_type, is_numeric, qcol, ratio, resolve_name, str_lit
+from qualia.functions.predicates import COMPLEX_TYPES, field_type, is_numeric, qcol, ratio, resolve_name, str_lit
 from qualia.operators.frequencies import frequencies, key_set_stats, key_set_table
 from qualia.functions.blocks import codegen_field_limit, pack
 
@@ -214,7 +214,11 @@ class _Grouping(Analyzer):
         return MULTICOLUMN, ",".join(self.columns)
 
     def key(self, df: DataFrame):
-        return tuple(resolve_name(df, c) for c in self.columns), self.where
+        cols = tuple(resolve_name(df, c) for c in self.columns)
+        for c in cols:
+            if isinstance(field_type(df, c), COMPLEX_TYPES):
+                raise TypeError(f"column {c!r} has a complex type")
+        return cols, self.where
 
 
 @dataclass(frozen=True, init=False)
@@ -391,8 +395,8 @@ def metric_rows(df: DataFrame, analyzers: Sequence[Analyzer]) -> tuple[DataFrame
         hist = [(i, a, k) for i, a, k in grouped if isinstance(a, Histogram)]
         if hist:
             parts += _histogram_rows(freq, hist)
-    if not parts:
-        raise ValueError("no metric could be computed")
+    if not parts:  # every metric failed: an empty metric table
+        return df.sparkSession.createDataFrame([], METRIC_SCHEMA + ", metric_key int"), kept
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -445,7 +449,7 @@ def metrics_from_config(df: DataFrame, config) -> DataFrame:
     if isinstance(config, DataFrame):
         pairs = [(r["rule_name"], r["column"]) for r in config.select("rule_name", "column").collect()]
     else:
-        pairs = [(c["rule_name"], col) for c in config for col in c.get("on_columns", [])]
+        pairs = [(c["rule_name"], col) for c in config for col in (c.get("on_columns") or [])]
     return run_metrics(df, [analyzer_for(n, c) for n, c in pairs])
 
 
@@ -456,6 +460,8 @@ def profile_rule_metrics(df: DataFrame, rules) -> DataFrame:
 
     analyzers = []
     for r in as_rules(rules):
+        if r.kind not in (None, "profile") and r.level != "dataset":
+            continue  # validation rules are run by rule_metrics
         if r.level == "dataset":
             analyzers.append(Size())
             continue

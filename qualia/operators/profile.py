@@ -122,7 +122,7 @@ def profile(
     if frequencies_mode == "none":
         chosen = []
     elif frequencies_mode == "low_cardinality":
-        approx = data.agg(*[F.approx_count_distinct(c).alias(f"a{i}") for i, (c, _) in enumerate(columns)]).first()
+        approx = data.agg(*[F.approx_count_distinct(qcol(c)).alias(f"a{i}") for i, (c, _) in enumerate(columns)]).first()
         chosen = [i for i in range(len(columns)) if approx[f"a{i}"] <= low_cardinality_threshold]
     elif frequencies_mode == "exact":
         chosen = list(range(len(columns)))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qualia.sources.rules import DOCUMENT_SCHEMA
 
@@ -20,11 +21,34 @@ KEYS = ["source", "entity"]
 UPDATE_RUN_ON = ["cde", "kde"]
 
 
+def _by_name(c, src: T.DataType, dst: T.DataType):
+    """Convert ``c`` from ``src`` to ``dst`` matching struct fields BY NAME (a plain cast
+    matches them by position, which moves values into the wrong fields when the incoming
+    order differs, as with JSON read with an inferred schema)."""
+    if isinstance(dst, T.StructType) and isinstance(src, T.StructType):
+        have = {f.name: f.dataType for f in src.fields}
+        return F.struct(
+            *[
+                (_by_name(c[f.name], have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType))
+                .alias(f.name)
+                for f in dst.fields
+            ]
+        )
+    if isinstance(dst, T.ArrayType) and isinstance(src, T.ArrayType):
+        return F.transform(c, lambda x: _by_name(x, src.elementType, dst.elementType))
+    if isinstance(dst, T.MapType) and isinstance(src, T.MapType):
+        return F.transform_values(c, lambda k, v: _by_name(v, src.valueType, dst.valueType)).cast(dst)
+    return c.cast(dst)
+
+
 def _conform(docs: DataFrame) -> DataFrame:
-    """Documents with exactly the canonical columns (missing ones null), in order."""
+    """Documents with exactly the canonical columns (missing ones null), in order; nested
+    rule structs are matched by field name."""
+    have = {f.name: f.dataType for f in docs.schema.fields}
     return docs.select(
         *[
-            (F.col(f.name) if f.name in docs.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            (_by_name(F.col(f.name), have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType))
+            .alias(f.name)
             for f in DOCUMENT_SCHEMA.fields
         ]
     )
@@ -49,15 +73,12 @@ def update_rules(store: DataFrame, updates: DataFrame) -> DataFrame:
     """Set ``single_column_profiler_rules``, ``single_column_validation_rules`` and
     ``rules_run_on = ['cde', 'kde']`` on matching keys; other attributes keep their
     values. A key missing from the store is inserted with only those attributes."""
-    upd = updates.select(
+    conformed = _conform(updates)
+    upd = conformed.select(
         *KEYS,
         F.lit(True).alias("_upd"),
-        F.col("single_column_profiler_rules").cast(DOCUMENT_SCHEMA["single_column_profiler_rules"].dataType).alias(
-            "_p"
-        ),
-        F.col("single_column_validation_rules")
-        .cast(DOCUMENT_SCHEMA["single_column_validation_rules"].dataType)
-        .alias("_v"),
+        F.col("single_column_profiler_rules").alias("_p"),
+        F.col("single_column_validation_rules").alias("_v"),
     )
     joined = _conform(store).join(upd, KEYS, "full_outer")
     matched = F.coalesce(F.col("_upd"), F.lit(False))

@@ -92,7 +92,13 @@ def suggest_constraints(
     cand("non_negative", F.col("minimum") >= 0, "isNonNegative", F.concat(F.lit("Minimum: "), _s(F.col("minimum"))),
          F.concat(F.lit("'"), col, F.lit("' has no negative values")),
          F.concat(F.lit(".isNonNegative("), q, F.lit(")")))
-    cand("unique", (comp == 1.0) & (F.abs(F.lit(1.0) - F.col("approx_distinct") / n) <= 0.08), "isUnique",
+    cand("unique", (n > 0) & (comp == 1.0) & (F.abs(F.lit(1.0) - F.col("approx_distinct") / F.when(n > 0, n)) <= 0.08),
+         "isUnique",
          F.concat(F.lit("ApproxDistinctness: "), _s(F.col("approx_distinct") / n)),
          F.concat(F.lit("'"), col, F.lit("' is unique")), F.concat(F.lit(".isUnique("), q, F.lit(")")))
+    if not cands:
+        return p.sparkSession.createDataFrame(
+            [], "column_name string, constraint string, current_value string, description string, "
+            "code_for_constraint string"
+        )
     return p.select(col, F.inline(F.filter(F.array(*cands), lambda x: x.isNotNull())))

@@ -56,6 +56,7 @@ class Rule:
     is_active: int = 1
     level: str = "column"
     check_level: str | None = None
+    kind: str | None = None
 
     @property
     def is_aggregate(self) -> bool:
@@ -83,6 +84,9 @@ def as_rules(rules, source: str | None = None, entity: str | None = None) -> lis
             kw = {f.name: r.get(f.name) for f in fields(Rule) if r.get(f.name) is not None}
             kw.setdefault("source", source)
             kw.setdefault("entity", entity)
+            kw.setdefault("element", "*" if kw.get("level") == "dataset" else "")
+            kw.setdefault("rule", "")
+            kw.setdefault("rule_name", kw["rule"] or "(unnamed rule)")
             rule = Rule(**kw)
         else:
             raise TypeError(f"not a rule: {r!r}")
@@ -114,6 +118,8 @@ def _resolved(df: DataFrame, rules: Sequence[Rule]) -> list[tuple[Rule, str]]:
 
 def _rule_error(df: DataFrame, names: set[str], r: Rule) -> RuleError | None:
     """Why rule ``r`` cannot run on ``df`` (``None`` when it can)."""
+    if not (r.rule or "").strip():
+        return RuleError(r.rule_name, r.rule, "no rule text")
     try:
         parse_slo(r.slo)
     except ValueError as e:
@@ -149,7 +155,9 @@ def rule_error_table(df: DataFrame, rules) -> DataFrame:
 
 
 def _usable(df: DataFrame, rules, on_error: str) -> list[Rule]:
-    rs = as_rules(rules)
+    # profiler rules name metrics, not row or aggregate rules: they belong to
+    # profile_rule_metrics / checks_from_rules
+    rs = [r for r in as_rules(rules) if r.kind != "profile"]
     if on_error == "raise":
         return rs
     if on_error != "skip":
@@ -196,6 +204,10 @@ def row_results(
         f"'value', CAST({quote_ident(col)} AS STRING), 'result', {rule_sql(r.rule)})"
         for r, col in compiled
     ]
+    reserved = {"rule_applied_on", "source", "entity", "rule", "rule_name", "dimension", "value", "result", "run_date"}
+    clash = [c for c in (pass_through or []) if c.lower() in reserved]
+    if clash:
+        raise ValueError(f"pass-through columns {clash} clash with output columns; rename them first")
     keep = [quote_ident(resolve_name(df, c)) for c in (pass_through or [])]
 
     def make() -> DataFrame:

@@ -122,8 +122,9 @@ def read_rule_documents(spark: SparkSession, path: str, multi_line: bool = True)
     they are not carried over (see ``grouped_validation_rules``).
     """
     raw = spark.read.schema(FILE_SCHEMA).option("multiLine", str(bool(multi_line)).lower()).json(path)
-    flat = raw.filter(F.col("entities").isNull()).select(*[f.name for f in DOCUMENT_SCHEMA.fields])
-    nested = raw.filter(F.col("entities").isNotNull()).select(
+    is_nested = F.coalesce(F.size("entities") > 0, F.lit(False))
+    flat = raw.filter(~is_nested).select(*[f.name for f in DOCUMENT_SCHEMA.fields])
+    nested = raw.filter(is_nested).select(
         F.col("source").alias("_source"), F.explode("entities").alias("e")
     ).select("_source", "e.*")
     return flat.unionByName(_entities_to_documents(nested))
