@@ -11,10 +11,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry_mod  # noqa: E402
 from compare import rows_of  # noqa: E402
 from conftest import SF_DIR  # noqa: E402
+from qualia.plans import QUERIES as CORE  # noqa: E402
 from qualia.plans.common import TABLES  # noqa: E402
 
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+QUERIES = {name: fn for name, fn in entry_mod.queries().items() if name in CORE}
+ORACLE = {name: sql for name, sql in entry_mod.oracle_sql().items() if name in CORE}
 
 
 @pytest.fixture(scope="module")
