@@ -8,6 +8,7 @@ chunks are encoded together. The ids are those of encoding the whole text (tests
 from __future__ import annotations
 
 import os
+import unicodedata
 
 import numpy as np
 
@@ -19,6 +20,11 @@ _TAIL = ".,;:!?#*$%&-"
 _JOINED = 400
 
 
+def _one_word(stem: str) -> bool:
+    """Whether a chunk is all letters, also after the tokenizer's normalization: one pre-token."""
+    return stem.isalpha() and (stem.isascii() or unicodedata.normalize("NFC", stem).lower().isalpha())
+
+
 class WordBpe:
     """Encoder with a bounded cache of chunk -> ids as little-endian unsigned 32-bit integers."""
 
@@ -55,7 +61,7 @@ class WordBpe:
         parts, words, others = {}, set(), []
         for chunk in chunks:
             stem = chunk.rstrip(_TAIL)
-            if stem.isalpha() and len(stem) < 200:
+            if len(stem) < 200 and _one_word(stem):
                 low = stem.lower() if stem.isascii() else stem
                 tail = chunk[len(stem):]
                 parts[chunk] = (low, tail)
