@@ -61,12 +61,14 @@ class LineRuns:
         self.path = path or scratch_path(spark, "line-runs")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}
 
     def _write(self, run: DataFrame, level: int) -> None:
         name = f"line_run_{uuid.uuid4().hex}"
+        self.paths[name] = f"{self.path}/level-{level}/{name}"
         (
             run.select("key", "n_docs").repartition(self.buckets, "key").write.format("parquet")
-            .bucketBy(self.buckets, "key").sortBy("key").option("path", f"{self.path}/level-{level}/{name}").saveAsTable(name)
+            .bucketBy(self.buckets, "key").sortBy("key").option("path", self.paths[name]).saveAsTable(name)
         )
         while len(self.levels) <= level:
             self.levels.append([])
@@ -75,9 +77,11 @@ class LineRuns:
     def _merged(self, names: list[str]) -> DataFrame:
         if not names:
             return self.spark.createDataFrame([], "key binary, n_docs long")
-        runs = [self.spark.table(n) for n in names]
-        if len(runs) == 1:
-            return runs[0]
+        if len(names) == 1:
+            return self.spark.table(names[0])
+        # Read by path: a union of bucketed tables is taken for bucketed itself, and then equal keys
+        # of two runs are not brought together.
+        runs = [self.spark.read.schema("key binary, n_docs long").parquet(self.paths[n]) for n in names]
         return reduce(DataFrame.unionAll, runs).groupBy("key").agg(F.sum("n_docs").alias("n_docs"))
 
     def line_runs(self) -> DataFrame:

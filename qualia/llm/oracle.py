@@ -9,4 +9,15 @@ SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t
 FROM t JOIN g USING (body)
 """
 
-ORACLE = {"op10_digest_index": OP10}
+OP8 = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+     l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d),
+     k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+     hot AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT k.doc_id, count(*) AS n_lines, count(hot.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE hot.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN hot ON k.key = hot.key GROUP BY k.doc_id
+"""
+
+ORACLE = {"op8_line_runs": OP8, "op10_digest_index": OP10}

@@ -5,7 +5,7 @@ document's score s into P(grade > k) = sigmoid(s - threshold[k]). The expected g
 these, and the tail probability P(grade >= top) selects documents.
 
 Features (each counted once per document, in ``2 ** bits`` buckets): words with A-Z lower-cased, the
-last two bytes of words as written, and whether a word equals the one before it.
+last two bytes of words as written, and steps of the share of words that equal the one before.
 
 The model is fitted on a bounded sample: ``sample_rows`` rated documents, the smallest by a hash of
 the id. Scoring covers every row and whole texts.
@@ -29,6 +29,10 @@ from pyspark.sql import functions as F
 from qualia.llm.batches import LOWER, combine, hash_words, slices, text_bytes, word_spans
 
 
+# A feature says that at least 0.5 ** k of the words equal the word before them.
+REPEATS = (1, 2, 3, 4, 5, 6)
+
+
 @dataclass
 class OrdinalModel:
     """Weights (2 ** bits), ordered thresholds, and the grades 0..len(thresholds)."""
@@ -49,10 +53,12 @@ def features(column: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
     rows = np.repeat(np.arange(len(column)), np.diff(bounds))
     words = hash_words(LOWER[data], starts, ends)
     tails = combine([hash_words(data, np.maximum(starts, ends - 2), ends), np.full(len(starts), 7, np.uint64)])
-    again = np.flatnonzero((words[1:] == words[:-1]) & (rows[1:] == rows[:-1])) + 1
+    again = np.bincount(rows[1:][(words[1:] == words[:-1]) & (rows[1:] == rows[:-1])], minlength=len(column))
+    share = again / np.maximum(np.diff(bounds), 1)
+    often = [np.flatnonzero(share >= 0.5**k) for k in REPEATS]
     shift = np.uint64(64 - bits)
-    keys = np.concatenate([words >> shift, tails >> shift, np.full(len(again), 0, np.uint64)]).astype(np.int64)
-    at = np.concatenate([rows, rows, rows[again]])
+    keys = np.concatenate([words >> shift, tails >> shift, np.repeat(REPEATS, [len(o) for o in often]).astype(np.uint64)]).astype(np.int64)
+    at = np.concatenate([rows, rows, *often])
     pairs = np.unique(at << bits | keys)
     return pairs >> bits, pairs & ((1 << bits) - 1)
 
@@ -63,8 +69,8 @@ def scores_of(column: pa.Array, model: OrdinalModel) -> np.ndarray:
     return np.bincount(rows, weights=model.weights[buckets], minlength=len(column))
 
 
-def fit_ordinal(rows: np.ndarray, buckets: np.ndarray, grades: np.ndarray, bits: int, steps: int = 300, rate: float = 0.05,
-                l2: float = 1e-4, least_rows: int = 5, least_z: float = 4.0) -> OrdinalModel:
+def fit_ordinal(rows: np.ndarray, buckets: np.ndarray, grades: np.ndarray, bits: int, steps: int = 2000, rate: float = 0.05,
+                l2: float = 5e-6, least_rows: int = 5, least_z: float = 4.0) -> OrdinalModel:
     """Full-batch fit of the cumulative-link likelihood (Adam). Only buckets found in ``least_rows``
     documents, and whose mean grade is ``least_z`` standard errors below the overall mean, get a weight,
     and weights are at most 0: features are evidence against a document, so that long clean texts
@@ -117,7 +123,7 @@ def fit_ordinal(rows: np.ndarray, buckets: np.ndarray, grades: np.ndarray, bits:
     return OrdinalModel(bits, weights, theta)
 
 
-def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 6000,
+def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 10_000,
         bits: int = 18) -> OrdinalModel:
     """Fit on a bounded sample of ``ratings`` (``id_col``, grade int from 0)."""
     rated = (
@@ -145,7 +151,7 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
 
 
 def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text",
-          least_tail: float = 0.5) -> DataFrame:
+          least_tail: float = 0.7) -> DataFrame:
     """Per document: doc_id, expected_grade, tail_probability (of the top grade), kept."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -160,7 +166,7 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
     return src.mapInArrow(run, "doc_id long, expected_grade double, tail_probability double, kept boolean")
 
 
-def keep_good(docs: DataFrame, model: OrdinalModel, text_col: str = "text", least_tail: float = 0.5) -> DataFrame:
+def keep_good(docs: DataFrame, model: OrdinalModel, text_col: str = "text", least_tail: float = 0.7) -> DataFrame:
     """The rows that are likely of the top grade, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

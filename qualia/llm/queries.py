@@ -6,8 +6,19 @@ import os
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from qualia.llm import digest_index, ss_pack, token_store
+from pyspark.sql import functions as F
+
+from qualia.llm import (
+    digest_index,
+    host_trust,
+    line_runs,
+    ngram_ratio,
+    ordinal_quality,
+    pair_bpe,
+    ss_pack,
+    token_store,
+    zstd_language,
+)
 from qualia.session import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -29,11 +40,62 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.token_digests(spark, path)
 
 
+URL_RULES = [
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
+]
+
+
+def op2_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the url rules or by its host's trust and distrust."""
+    return host_trust.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op4_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language; the dictionaries are learned from three quarters of the documents."""
+    docs = _documents(spark, sf_dir)
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    dictionaries = zstd_language.learn_dictionaries(docs.where(~held_out))
+    found = zstd_language.predict(docs, dictionaries)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "saved_bytes", "accepted")
+
+
+def op5_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded with the byte-level vocabulary."""
+    return pair_bpe.encode_decode(_documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), full=False)
+
+
+def op6_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document judged against the trusted target: rated good and not toxic."""
+    trusted = _table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+    return ngram_ratio.judge(_documents(spark, sf_dir), trusted)
+
+
 def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into windows of 2048 ids; one row per piece."""
     return ss_pack.pack(_documents(spark, sf_dir), public_tokenizers.path(WORD_BPE), size=2048, end_id=1, with_ids=False)
 
 
+def op8_line_runs(spark: SparkSession, sf_dir: str, batches: int = 2) -> DataFrame:
+    """Every document's lines counted in batches over the runs, then rewritten without common lines."""
+    docs = _documents(spark, sf_dir)
+    runs = line_runs.LineRuns(spark, min_docs=10, fanout=2)
+    for batch in range(batches):
+        runs.add(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == batch))
+    return runs.drop_common(docs, with_text=False)
+
+
+def grades(labels: DataFrame) -> DataFrame:
+    """Graded ratings from labels: 0 low quality, 1 good but toxic, 2 good."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
+    return labels.select("doc_id", grade.alias("grade"))
+
+
+def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's expected grade and probability of the top grade."""
+    docs = _documents(spark, sf_dir)
+    return ordinal_quality.score(docs, ordinal_quality.fit(docs, grades(_table(spark, sf_dir, "labels"))))
+
+
 def op10_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document decided against a new digest index, which then holds all its digests."""
     return digest_index.DigestIndex(spark).decide(_documents(spark, sf_dir)).drop("at")
@@ -41,6 +103,12 @@ def op10_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_store": op1_token_store,
+    "op2_host_trust": op2_host_trust,
+    "op4_zstd_language": op4_zstd_language,
+    "op5_pair_bpe": op5_pair_bpe,
+    "op6_ngram_ratio": op6_ngram_ratio,
     "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
+    "op8_line_runs": op8_line_runs,
+    "op9_ordinal_quality": op9_ordinal_quality,
     "op10_digest_index": op10_digest_index,
 }

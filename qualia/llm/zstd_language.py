@@ -1,9 +1,11 @@
 """Language identification by compression.
 
 For each language a raw-content zstandard dictionary is made of a bounded sample of its labelled
-texts. A text is compressed whole with every dictionary; the language whose dictionary makes it
-smallest is predicted, and the relative saving over the second smallest is its score. A prediction
-is accepted if the saving is ``min_margin`` bytes or more.
+texts. All of a text is compressed with every dictionary, in blocks of ``BLOCK`` bytes so that the
+dictionary and not the text's own beginning tells it; the language with the smallest total is
+predicted, and the relative saving over the second smallest is its score. Where the two smallest
+are equal, another compression level decides. A prediction is accepted if the saving is
+``min_margin`` bytes or more.
 
 The sample: per language ``sample_rows`` texts, the smallest by a hash of the text, of which the
 first ``piece`` characters are used; at most ``max_langs`` languages, those with the most rows. The
@@ -27,6 +29,8 @@ from pyspark.sql import functions as F
 from qualia.llm.batches import slices
 
 UNKNOWN = "und"
+BLOCK = 1500
+LEVELS = (6, 3, 12)
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -58,37 +62,41 @@ def _normal(text: str) -> str:
 
 
 class Compressors:
-    """One compressor per language; a text's size is what its compressed form adds to an empty one."""
+    """One compressor per language and level."""
 
-    def __init__(self, dictionaries: dict[str, bytes], level: int = 3):
+    def __init__(self, dictionaries: dict[str, bytes], levels: tuple[int, ...] = LEVELS):
         self.langs = sorted(dictionaries)
-        params = zstandard.ZstdCompressionParameters.from_level(
-            level, write_content_size=0, write_checksum=0, write_dict_id=0)
-        self.each = []
-        for lang in self.langs:
-            data = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            data.precompute_compress(compression_params=params)
-            self.each.append(zstandard.ZstdCompressor(dict_data=data, compression_params=params))
+        self.by_level = [[_compressor(dictionaries[lang], level) for lang in self.langs] for level in levels]
 
     def predict(self, text: str | None) -> tuple[str, float, int]:
         """Language, score in 0..1, and bytes saved against the second smallest."""
         if not self.langs or text is None or not _LETTER.search(text):
             return UNKNOWN, 0.0, 0
         raw = _normal(text).encode()
-        sizes = [len(c.compress(raw)) for c in self.each]
-        best = min(range(len(sizes)), key=sizes.__getitem__)
-        others = [s for i, s in enumerate(sizes) if i != best]
-        second = min(others) if others else len(raw) + 16
+        blocks = [raw[i:i + BLOCK] for i in range(0, len(raw), BLOCK)]
+        for compressors in self.by_level:
+            sizes = [sum(len(c.compress(b)) for b in blocks) for c in compressors]
+            best = min(range(len(sizes)), key=sizes.__getitem__)
+            second = min((s for i, s in enumerate(sizes) if i != best), default=len(raw) + 16)
+            if second > sizes[best]:
+                break
         return self.langs[best], max(0.0, 1.0 - sizes[best] / max(1, second)), max(0, second - sizes[best])
 
 
+def _compressor(content: bytes, level: int) -> zstandard.ZstdCompressor:
+    params = zstandard.ZstdCompressionParameters.from_level(level, write_content_size=0, write_checksum=0, write_dict_id=0)
+    data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    data.precompute_compress(compression_params=params)
+    return zstandard.ZstdCompressor(dict_data=data, compression_params=params)
+
+
 def predict(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text",
-            level: int = 3, min_margin: int = 1) -> DataFrame:
+            min_margin: int = 1) -> DataFrame:
     """Per document: doc_id, lang_pred, score, saved_bytes, accepted."""
     model = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressors = Compressors(model.value, level)
+        compressors = Compressors(model.value)
         for batch in slices(batches):
             found = [compressors.predict(t) for t in batch.column("text").to_pylist()]
             lang, score, saved = zip(*found)
@@ -101,13 +109,12 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_
     return src.mapInArrow(run, "doc_id long, lang_pred string, score double, saved_bytes long, accepted boolean")
 
 
-def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", level: int = 3,
-                    min_margin: int = 1) -> DataFrame:
+def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", min_margin: int = 1) -> DataFrame:
     """The rows whose language is accepted, with all their columns."""
     model = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressors = Compressors(model.value, level)
+        compressors = Compressors(model.value)
         for batch in slices(batches, text_col):
             found = [compressors.predict(t) for t in batch.column(text_col).to_pylist()]
             yield batch.filter(pa.array([a != UNKNOWN and s >= min_margin for a, _, s in found], pa.bool_()))
