@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from qualia.llm import (
     digest_index,
     host_trust,
+    jaccard_join,
     line_runs,
     ngram_ratio,
     ordinal_quality,
@@ -50,6 +51,11 @@ def op2_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_trust.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate component: five-word shingles, similarity of 0.75 or more."""
+    return jaccard_join.JaccardJoin(_documents(spark, sf_dir)).components().drop("first", "at")
+
+
 def op4_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language; the dictionaries are learned from three quarters of the documents."""
     docs = _documents(spark, sf_dir)
@@ -104,6 +110,7 @@ def op10_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_host_trust": op2_host_trust,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_zstd_language": op4_zstd_language,
     "op5_pair_bpe": op5_pair_bpe,
     "op6_ngram_ratio": op6_ngram_ratio,
