@@ -37,6 +37,14 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", max_bytes: int
             at = stop
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, made longer until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column (null: empty) and its offsets (rows + 1) into them."""
     column = pc.fill_null(column, "")

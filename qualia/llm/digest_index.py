@@ -22,11 +22,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qualia.llm.batches import free_name
 from qualia.session import scratch_path
 
-_AT = "__at"
-
-
 def text_digest(text: Column) -> Column:
     """SHA-256 of the whole text in UTF-8, as 32 bytes."""
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
@@ -84,5 +82,6 @@ class DigestIndex:
 
     def keep(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """The rows of a batch that stay, with all their columns."""
-        kept = self.decide(docs, id_col, text_col).where("kept").select(F.col("at").alias(_AT))
-        return docs.withColumn(_AT, F.monotonically_increasing_id()).join(kept, _AT, "left_semi").drop(_AT)
+        at = free_name(docs.columns, "at")
+        kept = self.decide(docs, id_col, text_col).where("kept").select(F.col("at").alias(at))
+        return docs.withColumn(at, F.monotonically_increasing_id()).join(kept, at, "left_semi").drop(at)

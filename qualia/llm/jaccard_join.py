@@ -36,13 +36,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qualia.llm.batches import combine, hashed_words, mix, slices
+from qualia.llm.batches import combine, free_name, hashed_words, mix, slices
 from qualia.llm.components import connected_components
 from qualia.llm.sketch import bucket_counts
 from qualia.session import scratch_path
 
 PARITY = 8  # 64-bit words of a set's parity bitmap
-_AT = "__at"
 CLASS_SIZE = 8  # frequent prefix tokens of a class, about
 
 
@@ -296,8 +295,9 @@ class JaccardJoin:
     def keep_first(self) -> DataFrame:
         """The first row of each component, with all columns. ``docs`` must be re-readable in the same
         row order (files or a checkpoint), since rows are told apart by their input position."""
-        kept = self.components().where("first").select(F.col("at").alias(_AT))
-        return self.source.withColumn(_AT, F.monotonically_increasing_id()).join(kept, _AT, "left_semi").drop(_AT)
+        at = free_name(self.source.columns, "at")
+        kept = self.components().where("first").select(F.col("at").alias(at))
+        return self.source.withColumn(at, F.monotonically_increasing_id()).join(kept, at, "left_semi").drop(at)
 
     def _result(self, rows: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame:
         rows = rows.select("at", "doc_id", "n", "node")
