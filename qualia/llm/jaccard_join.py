@@ -1,8 +1,8 @@
 """Exact Jaccard similarity join on word shingles with token-combination prefixes.
 
 Sets are the distinct shingles (``words`` words) of a text, as 64-bit hashes. All tokens have one
-global order: by how many documents their hash bucket has (a fixed-size sketch over all documents),
-then by hash, so rare tokens come first and those of shared passages last. Tokens whose bucket count
+global order: by how often their hash bucket occurs (a fixed-size sketch over all documents), then
+by hash, so rare tokens come first and those of shared passages last. Tokens whose bucket count
 stands far out of the mean are *frequent*, the rest *rare*.
 
 Two sets x, y with |x & y| >= t |x | y| share at least k tokens in their prefixes of length
@@ -45,8 +45,8 @@ PARITY = 8  # 64-bit words of a set's parity bitmap
 CLASS_SIZE = 8  # frequent prefix tokens of a class, about
 
 
-def shingle_sets(column: pa.Array, words: int) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text."""
+def shingle_sets(column: pa.Array, words: int, distinct: bool = True) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text (or, cheaper, all of them in text order)."""
     hashes, bounds = hashed_words(column)
     n = np.diff(bounds)
     full = len(hashes) - words + 1
@@ -54,7 +54,13 @@ def shingle_sets(column: pa.Array, words: int) -> list[np.ndarray]:
     out = []
     for row, (start, count) in enumerate(zip(bounds[:-1].tolist(), n.tolist())):
         if count >= words:
-            out.append(np.unique(windows[start:start + count - words + 1]))
+            own = windows[start:start + count - words + 1]
+            if distinct:
+                own = np.sort(own)
+                fresh = own[1:] != own[:-1]
+                if not fresh.all():
+                    own = own[np.concatenate([[True], fresh])]
+            out.append(own)
         elif count:
             out.append(combine([hashes[start + j:start + j + 1] for j in range(count)]))
         else:
@@ -96,7 +102,8 @@ class Scheme:
             return np.zeros(0, np.uint64)
         plain = self.prefix(n)
         counts = self.counts[shingles >> self.shift]
-        order = np.argsort(counts, kind="stable")  # shingles are sorted: ties go by hash
+        # shingles are sorted, so that their index breaks ties by hash
+        order = (np.sort(counts.astype(np.uint64) << np.uint64(32) | np.arange(n, dtype=np.uint64)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
         rare = counts[order] <= self.rare_limit
         if rare[:plain].all():
             return shingles[order[:plain]]
@@ -116,10 +123,14 @@ class Scheme:
         return np.unique(np.concatenate(out))
 
 
-def _parity(shingles: np.ndarray) -> list[int]:
-    bits = np.uint64(1) << (shingles & np.uint64(63))
-    word = (shingles >> np.uint64(6)) % np.uint64(PARITY)
-    return [int(np.bitwise_xor.reduce(bits[word == w], initial=np.uint64(0)).astype(np.int64)) for w in range(PARITY)]
+def parity_bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Per set, ``PARITY`` words whose bits are the parities of the tokens that fall on them."""
+    out = np.zeros((len(sets), PARITY), dtype=np.uint64)
+    tokens = np.concatenate(sets)
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    word = ((tokens >> np.uint64(6)) % np.uint64(PARITY)).astype(np.int64)
+    np.bitwise_xor.at(out.reshape(-1), rows * PARITY + word, np.uint64(1) << (tokens & np.uint64(63)))
+    return out.view(np.int64)
 
 
 def _similar_sizes(num: int, den: int, a: Column, b: Column) -> Column:
@@ -130,7 +141,7 @@ class JaccardJoin:
     """Links and components of ``docs`` at a similarity of ``num / den`` or more."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 75,
-                 den: int = 100, sketch_bits: int = 20, filter_bits: int = 22, hub_rounds: int = 2, rare_excess: int = 200):
+                 den: int = 100, sketch_bits: int = 22, filter_bits: int = 22, hub_rounds: int = 2, rare_excess: int = 200):
         self.spark, self.words, self.num, self.den = docs.sparkSession, words, num, den
         self.sketch_bits, self.filter_bits, self.hub_rounds = sketch_bits, filter_bits, hub_rounds
         self.rare_excess = rare_excess  # a bucket count this far (and 8 deviations) over the mean is frequent
@@ -151,11 +162,11 @@ class JaccardJoin:
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
                 sets = shingle_sets(batch.column("text"), words)
-                parity = zip(*[_parity(s) for s in sets])
+                parity = parity_bitmaps(sets)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("at"), batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
-                     *(pa.array(p, pa.int64()) for p in parity)],
+                     *(pa.array(parity[:, w]) for w in range(PARITY))],
                     names=["at", "doc_id", "n", "node", *(f"p{w}" for w in range(PARITY))])
 
         return self.docs.mapInArrow(run, "at long, doc_id long, n long, node long, " + ", ".join(f"p{w} long" for w in range(PARITY)))
@@ -164,8 +175,8 @@ class JaccardJoin:
         words, shift = self.words, np.uint64(64 - self.sketch_bits)
 
         def buckets(batch: pa.RecordBatch) -> np.ndarray:
-            found = [s >> shift for part in slices([batch]) for s in shingle_sets(part.column("text"), words)]
-            return np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
+            found = [s for part in slices([batch]) for s in shingle_sets(part.column("text"), words, distinct=False)]
+            return (np.concatenate(found) >> shift).astype(np.int64) if found else np.zeros(0, np.int64)
 
         return bucket_counts(self.texts, buckets, self.sketch_bits)
 
@@ -200,11 +211,10 @@ class JaccardJoin:
 
         return self.spark.sparkContext.broadcast(bucket_counts(rows.select(column), buckets, self.filter_bits) > 0)
 
-    def _verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose whole sets are similar."""
-        pairs = self._written(pairs, "pairs")
+    def _sets(self, nodes: DataFrame) -> DataFrame:
+        """node, shingles: the whole sets of ``nodes`` (and of few others, whose hash buckets are the same)."""
         words, shift = self.words, np.uint64(64 - self.filter_bits)
-        wanted = self._filter(pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")), "node")
+        wanted = self._filter(nodes, "node")
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
@@ -222,7 +232,10 @@ class JaccardJoin:
                         [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets)))],
                         names=["node", "shingles"])
 
-        sets = self.texts.mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
+        return self._written(self.texts.mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"]), "sets")
+
+    def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose whole sets are similar."""
         a, b = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
         both = pairs.join(b, "b").join(a, "a")
         common = F.size(F.array_intersect("sa", "sb"))
@@ -251,16 +264,16 @@ class JaccardJoin:
         counts = self._counts()
         mean = float(counts.mean()) if len(counts) else 0.0
         scheme = self.spark.sparkContext.broadcast(Scheme(self.num, self.den, counts, mean + 8 * mean**0.5 + self.rare_excess))
-        # Entries of two nodes or more; copies of a node in several partitions only pass the cheap count.
         shared = self._written(
-            self._index(scheme).groupBy("entry").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("k")).where("k > 1")
+            self._index(scheme).groupBy("entry").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other")
             .select("entry", "hub"), "shared")
         wanted = self._filter(shared, "entry")
         members = self._written(
-            self._index(scheme, wanted).join(shared, "entry").select("entry", "node", "hub"), "members")
+            self._index(scheme, wanted).join(shared, "entry").select("entry", "node", "hub").distinct(), "members")
         tested = members.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         tested = self._written(self._possible(tested, nodes), "tested")
-        links = self._verified(tested)
+        sets = self._sets(members.select("node"))
+        links = self._verified(tested, sets)
         labels = connected_components(links)
         for turn in range(1, self.hub_rounds + 1):
             open_ = self._open(members, labels)
@@ -279,14 +292,14 @@ class JaccardJoin:
             if pairs.isEmpty():
                 continue
             tested = tested.unionAll(pairs)
-            more = self._verified(pairs)
+            more = self._verified(pairs, sets)
             links = links.unionAll(more)
             labels = connected_components(links)
         return self._result(rows, links, labels)
 
     def _open(self, members: DataFrame, labels: DataFrame) -> DataFrame:
         """entry, node, label of the entries that hold several components."""
-        known = members.select("entry", "node").distinct().join(labels, "node", "left").select(
+        known = members.select("entry", "node").join(labels, "node", "left").select(
             "entry", "node", F.coalesce("label", "node").alias("label"))
         known = self._written(known, "known")
         several = known.groupBy("entry").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("entry")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -10,13 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _BLOCK_BITS = 14
-_SALTS = 64
+_SALTS = 16
 
 
 def bucket_counts(rows: DataFrame, buckets_of: Callable[[pa.RecordBatch], np.ndarray], bits: int = 20) -> np.ndarray:
     """``2 ** bits`` counts (4 bytes each, saturating) of the buckets ``buckets_of`` gives for each batch.
 
-    Each task counts into an array of its own; arrays travel in blocks and are added while they
+    Each task counts into an array of its own; arrays travel in compressed blocks and are added while they
     stream, first per (block, salt) and then per block, so no task holds more than the array.
     """
     block = min(1 << bits, 1 << _BLOCK_BITS)
@@ -24,7 +25,7 @@ def bucket_counts(rows: DataFrame, buckets_of: Callable[[pa.RecordBatch], np.nda
 
     def emit(counts: np.ndarray, found: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(found):
-            data = [np.minimum(counts[b * block:(b + 1) * block], top).astype("<u4").tobytes() for b in found]
+            data = [zlib.compress(np.minimum(counts[b * block:(b + 1) * block], top).astype("<u4").tobytes(), 1) for b in found]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found.astype(np.int32)), pa.array(data, pa.binary())], names=["block", "counts"])
 
@@ -38,7 +39,7 @@ def bucket_counts(rows: DataFrame, buckets_of: Callable[[pa.RecordBatch], np.nda
         counts, found = np.zeros(1 << bits, dtype=np.uint64), set()
         for batch in batches:
             for b, data in zip(batch.column("block").to_pylist(), batch.column("counts")):
-                counts[b * block:(b + 1) * block] += np.frombuffer(data.as_py(), dtype="<u4")
+                counts[b * block:(b + 1) * block] += np.frombuffer(zlib.decompress(data.as_py()), dtype="<u4")
                 found.add(b)
         yield from emit(counts, np.array(sorted(found), dtype=np.int64))
 
@@ -48,5 +49,5 @@ def bucket_counts(rows: DataFrame, buckets_of: Callable[[pa.RecordBatch], np.nda
     total = parts.repartition("block").mapInArrow(add, schema)
     out = np.zeros(1 << bits, dtype=np.uint32)
     for row in total.collect():  # 2 ** bits counts at most
-        out[row.block * block:(row.block + 1) * block] = np.frombuffer(row.counts, dtype="<u4")
+        out[row.block * block:(row.block + 1) * block] = np.frombuffer(zlib.decompress(row.counts), dtype="<u4")
     return out

@@ -111,10 +111,12 @@ def test_similar_sets_share_an_entry(frequent):
     assert met > 200
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("local_links", [0, 10**6])
+def test_components_of_chains_and_stars(spark, local_links):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(1, k) for k in range(2, 60)] + [(2, 1), (1, 2), (5, 5)]
-    found = {r.node: r.label for r in connected_components(spark.createDataFrame(chain + star, "a long, b long")).collect()}
+    links = spark.createDataFrame(chain + star, "a long, b long")
+    found = {r.node: r.label for r in connected_components(links, local_links=local_links).collect()}
     assert found == {**{i: 100 for i in range(100, 161)}, **{k: 1 for k in range(1, 60)}}
 
 
