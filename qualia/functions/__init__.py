@@ -5,21 +5,15 @@ from qualia.functions.predicates import (  # noqa: F401
     as_assertion,
     check_rules,
     compare,
-    compare_by_column,
-    contained_in,
     eq,
     format_check,
     ge,
     gt,
-    is_blank,
-    is_null_or_nan,
-    is_spaces,
     le,
     lt,
     matches,
     parse_slo,
     pct_half_up,
     ratio,
-    rule_column,
     slo_parts,
 )

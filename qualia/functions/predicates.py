@@ -66,16 +66,6 @@ def compare(value: Column, op: str, bound: float | Column) -> Column:
     raise ValueError(f"unknown threshold operator {op!r}")
 
 
-def compare_by_column(value: Column, op: Column, bound: Column) -> Column:
-    """Data-driven threshold: operator and bound are columns (one per rule row)."""
-    return (
-        F.when(op == "gt", value > bound)
-        .when(op == "lt", value < bound)
-        .when(op == "eq", value == bound)
-        .when(op == "ge", value >= bound)
-        .when(op == "le", value <= bound)
-    )
-
 
 def slo_parts(text: Column) -> tuple[Column, Column]:
     """Split a threshold text column into (op, bound) columns; unparsable -> null."""
@@ -141,10 +131,6 @@ def ratio(num: Column, den: Column) -> Column:
 # ---------------------------------------------------------------- predicates
 
 
-def rule_column(text: str) -> Column:
-    """A rule's SQL text as a (three-valued) boolean column."""
-    return F.expr(text)
-
 
 def rule_sql(text: str) -> str:
     """A rule's SQL text ready to splice into a larger expression: parenthesised, and ended
@@ -196,25 +182,7 @@ def is_numeric(dt: T.DataType) -> bool:
     return isinstance(dt, NUMERIC_TYPES)
 
 
-def is_null_or_nan(c: Column, dt: T.DataType) -> Column:
-    """Null, or NaN for floating columns only (``isnan`` is not defined on other types)."""
-    if isinstance(dt, FLOATING_TYPES):
-        return c.isNull() | F.isnan(c)
-    return c.isNull()
-
 
-def is_spaces(c: Column, dt: T.DataType) -> Column:
-    """Whitespace-only string; never true for non-string columns."""
-    if isinstance(dt, T.StringType):
-        return c.rlike(SPACES_REGEX)
-    return F.lit(False)
-
-
-def is_blank(c: Column, dt: T.DataType) -> Column:
-    """Empty string; never true for non-string columns."""
-    if isinstance(dt, T.StringType):
-        return c == F.lit("")
-    return F.lit(False)
 
 
 def matches(c: Column, pattern: str) -> Column:
@@ -228,10 +196,6 @@ def format_check(c: Column, fmt: str) -> Column:
     return F.when(text.isNotNull(), F.try_to_timestamp(text, F.lit(fmt)).isNotNull())
 
 
-def contained_in(c: Column, values: Sequence) -> Column:
-    """``c IS NULL OR c IN (values)`` - null passes, as in containment checks."""
-    return c.isNull() | c.isin(list(values))
-
 
 def as_text(c: Column, dt: T.DataType) -> Column:
     """Value as string for frequency keys; -0.0 folded into 0.0 so grouping matches typed grouping."""

@@ -1,11 +1,10 @@
-"""Small relational operators of the survey scripts."""
+"""Small relational operators of the survey scripts (F2, A2/Q6)."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from qualia.functions.predicates import qcol, resolve_name
 
@@ -22,13 +21,3 @@ def count_by(df: DataFrame, by: str | Sequence[str], where: str | None = None,
     if columns:
         df = df.select(*[qcol(resolve_name(df, c)) for c in columns])
     return df.groupBy(*[qcol(resolve_name(df, k)).alias(k) for k in keys]).count()
-
-
-def count_by_country(survey_df: DataFrame) -> DataFrame:
-    """The survey helper: respondents younger than 40 per country."""
-    return count_by(survey_df, "Country", where="Age < 40", columns=["Age", "Gender", "Country", "state"])
-
-
-def tag(df: DataFrame, tags: Mapping[str, object]) -> DataFrame:
-    """add literal columns in one projection."""
-    return df.withColumns({k: F.lit(v) for k, v in tags.items()})

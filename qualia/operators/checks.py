@@ -143,14 +143,15 @@ def verify(df: DataFrame, checks: Sequence[Check], tags: Mapping[str, str] | Non
     """Check results: one row per constraint (``CHECK_RESULT_COLUMNS`` + ``tags``).
 
     ``constraint_status`` is Success when the assertion holds on the metric, else Failure
-    (an undefined metric fails); ``constraint_message`` is empty on success, else
+    (an undefined metric fails, and the message tells why it cannot be computed); ``constraint_message`` is empty on success, else
     ``Value: <v> does not meet the constraint requirement!`` followed by the hint;
     ``check_status`` is the check's level when any of its constraints fails, else Success.
     """
     analyzers = [c.analyzer for ch in checks for c in ch.constraints]
     if not analyzers:
         raise ValueError("no constraints to verify")
-    rows, kept = metric_rows(df, analyzers)
+    rows, kept, failed = metric_rows(df, analyzers)
+    reasons = dict(failed)
     index = {a: i for i, a in enumerate(kept)}
     needed = sorted({index[c.analyzer] for ch in checks for c in ch.constraints if c.analyzer in index})
     # Fold the handful of metric rows into one row: one column per metric.
@@ -179,6 +180,7 @@ def verify(df: DataFrame, checks: Sequence[Check], tags: Mapping[str, str] | Non
         for c, v, ok in items:
             shown = f"coalesce(CAST({'CAST(' + v + ' AS BIGINT)' if c.integral else v} AS STRING), 'null')"
             hint = f" {c.hint}" if c.hint else ""
+            hint += f" ({reasons[c.analyzer]})" if c.analyzer in reasons else ""
             msg = f"concat('Value: ', {shown}, {str_lit(MESSAGE.split('{}')[1] + hint)})"
             structs.append(
                 f"named_struct('check', {str_lit(ch.description)}, 'check_level', {str_lit(ch.level)}, "

@@ -104,8 +104,9 @@ def frequencies(df: DataFrame, key_sets, wheres: Sequence[str | None] | None = N
             t = as_text(F.col(names[0]), slot_types[names[0]])
         else:
             t = F.to_json(
-                F.struct(*[as_text(F.col(s), slot_types[s]).alias(str(j)) for j, s in enumerate(names)])
+                F.struct(*[as_text(F.col(s), slot_types[s]).alias(str(j)) for j, s in enumerate(names)]), {"ignoreNullFields": "false"}
             )
+            t = F.when(F.col("nn"), t)  # all parts null: the null key
         text = F.when(F.col("k") == i, t) if text is None else text.when(F.col("k") == i, t)
     return counted.select("k", text.alias("v"), "nn", "n")
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -305,18 +306,74 @@ def _meta(a: Analyzer, value: Column, key: int = -1) -> Column:
     )
 
 
-def run_metrics(df: DataFrame, analyzers: Sequence[Analyzer], keep_undefined: bool = False) -> DataFrame:
+class MetricError(ValueError):
+    """A metric that cannot be computed on a table."""
+
+    def __init__(self, analyzer: Analyzer, reason: str):
+        self.analyzer, self.reason = analyzer, reason
+        entity, instance = analyzer.entity_instance()
+        super().__init__(f"{analyzer.metric_name()} of {entity} {instance!r}: {reason}")
+
+
+def _reason(e: Exception) -> str:
+    """First line of an analysis error, without the error class and the query context."""
+    return str(e.args[0] if isinstance(e, KeyError) and e.args else e).strip().splitlines()[0]
+
+
+def _failure(df: DataFrame, a: Analyzer) -> str | None:
+    """Why metric ``a`` cannot be computed on ``df`` (plan analysis only, no job)."""
+    try:
+        if a.grouping:
+            a.key(df)
+            if a.where:
+                df.filter(a.where).schema  # noqa: B018 - analysis only
+        else:
+            df.agg(a.scan_value(df)).schema  # noqa: B018
+    except (KeyError, TypeError, ValueError, PySparkException) as e:
+        return _reason(e)
+    return None
+
+
+def _split(df: DataFrame, analyzers: Sequence[Analyzer]) -> tuple[list[Analyzer], list[tuple[Analyzer, str]]]:
+    """Distinct analyzers that can run, and the others with the reason. One analysis for all
+    scan metrics, then one per metric only if that fails."""
+    distinct = list(dict.fromkeys(analyzers))
+    scan = [a for a in distinct if not a.grouping]
+    try:
+        df.agg(*[a.scan_value(df) for a in scan] or [F.count(F.lit(1))]).schema  # noqa: B018
+        sure = set(scan)
+    except (KeyError, TypeError, ValueError, PySparkException):
+        sure = set()
+    failures = {a: None if a in sure else _failure(df, a) for a in distinct}
+    return [a for a in distinct if failures[a] is None], [(a, r) for a, r in failures.items() if r is not None]
+
+
+def metric_errors(df: DataFrame, analyzers: Sequence[Analyzer]) -> DataFrame:
+    """``entity, instance, name, error`` of the metrics that cannot be computed on ``df``."""
+    rows = [(*a.entity_instance(), a.metric_name(), reason) for a, reason in _split(df, analyzers)[1]]
+    return df.sparkSession.createDataFrame(rows, "entity string, instance string, name string, error string")
+
+
+def run_metrics(df: DataFrame, analyzers: Sequence[Analyzer], on_error: str = "raise") -> DataFrame:
     """Compute all analyzers with as few scans as possible; long table of metric rows.
 
     One ``agg`` for scan analyzers, one frequency aggregation for all grouping analyzers
-    (plus a per-value branch for histograms). Analyzers whose column is missing or of the
-    wrong type are left out, as the library leaves out failed metrics.
+    (plus a per-value branch for histograms). Every requested metric has its row: undefined
+    values (no rows, NaN input) stay as null or NaN. A metric that cannot be computed (no
+    such column, wrong type) raises ``MetricError``; with ``on_error='report'`` it has a row
+    with a null value, and the column ``error`` tells why.
     """
-    out, _ = metric_rows(df, analyzers)
+    if on_error not in ("raise", "report"):
+        raise ValueError("on_error must be 'raise' or 'report'")
+    out, _, failed = metric_rows(df, analyzers)
     out = out.drop("metric_key")
-    if not keep_undefined:
-        out = out.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    return out
+    if on_error == "raise":
+        if failed:
+            raise MetricError(*failed[0])
+        return out
+    errors = metric_errors(df, [a for a, _ in failed])
+    return out.withColumn("error", F.lit(None).cast("string")).unionByName(
+        errors.select("entity", "instance", "name", F.lit(None).cast("double").alias("value"), "error"))
 
 
 def _meta_sql(a: Analyzer, value_col: str, key: int) -> str:
@@ -327,48 +384,17 @@ def _meta_sql(a: Analyzer, value_col: str, key: int) -> str:
     )
 
 
-def metric_rows(df: DataFrame, analyzers: Sequence[Analyzer]) -> tuple[DataFrame, list[Analyzer]]:
+def metric_rows(
+    df: DataFrame, analyzers: Sequence[Analyzer]
+) -> tuple[DataFrame, list[Analyzer], list[tuple[Analyzer, str]]]:
     """Metric rows with a ``metric_key`` column: the position of the analyzer in the
-    returned list of distinct, computable analyzers (histogram value rows get -1)."""
-    scan: list[tuple[int, Analyzer, Column]] = []
+    returned list of distinct, computable analyzers (histogram value rows get -1); last the
+    analyzers that cannot be computed, with the reason."""
+    kept, failed = _split(df, analyzers)
+    scan = [(i, a, a.scan_value(df)) for i, a in enumerate(kept) if not a.grouping]
     groups: dict[tuple, int] = {}
-    grouped: list[tuple[int, Analyzer, int]] = []
-    kept: list[Analyzer] = []
-    for a in analyzers:
-        if a in kept:
-            continue
-        try:
-            if a.grouping:
-                key = a.key(df)
-                if a.where:
-                    try:
-                        df.filter(a.where).schema  # noqa: B018 - analysis only
-                    except Exception as e:  # noqa: BLE001 - a filter that cannot run
-                        raise KeyError(str(e)) from e
-                if key not in groups:
-                    groups[key] = len(groups)
-                grouped.append((len(kept), a, groups[key]))
-            else:
-                scan.append((len(kept), a, a.scan_value(df)))
-        except (KeyError, TypeError):
-            continue
-        kept.append(a)
+    grouped = [(i, a, groups.setdefault(a.key(df), len(groups))) for i, a in enumerate(kept) if a.grouping]
     parts: list[DataFrame] = []
-    if scan:
-        # A predicate or filter naming a missing column fails analysis: leave that metric
-        # out (as failed metrics are) instead of failing the run. One analysis for all,
-        # then one per metric only if that fails (plan analysis, no job).
-        try:
-            df.agg(*[v for _, _, v in scan]).schema
-        except Exception:  # noqa: BLE001
-            ok = []
-            for item in scan:
-                try:
-                    df.agg(item[2]).schema
-                    ok.append(item)
-                except Exception:  # noqa: BLE001
-                    continue
-            scan = ok
     if scan:
         # Blocks that fit the codegen field limit; sketch aggregates in blocks of their own.
         limit = codegen_field_limit(df.sparkSession)
@@ -396,11 +422,11 @@ def metric_rows(df: DataFrame, analyzers: Sequence[Analyzer]) -> tuple[DataFrame
         if hist:
             parts += _histogram_rows(freq, hist)
     if not parts:  # every metric failed: an empty metric table
-        return df.sparkSession.createDataFrame([], METRIC_SCHEMA + ", metric_key int"), kept
+        return df.sparkSession.createDataFrame([], METRIC_SCHEMA + ", metric_key int"), kept, failed
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out, kept
+    return out, kept, failed
 
 
 def _histogram_rows(freq: DataFrame, hist: list[tuple[int, "Histogram", int]]) -> list[DataFrame]:
@@ -443,14 +469,16 @@ def _histogram_rows(freq: DataFrame, hist: list[tuple[int, "Histogram", int]]) -
     return [bins, f.select(F.inline(F.filter(F.array(*rows), lambda x: x.isNotNull())))]
 
 
-def metrics_from_config(df: DataFrame, config) -> DataFrame:
+def metrics_from_config(df: DataFrame, config, on_error: str = "report") -> DataFrame:
     """Metrics chosen by configuration ``[{rule_name, on_columns[]}]`` or a
-    ``(rule_name, column)`` DataFrame (small: it lists metric names, not data)."""
+    ``(rule_name, column)`` DataFrame. Every requested metric has a row; ``error`` tells why a
+    metric has no value (see ``run_metrics``). The configuration is compiled into the plan, so
+    it is read on the driver: it lists metric names, not data."""
     if isinstance(config, DataFrame):
-        pairs = [(r["rule_name"], r["column"]) for r in config.select("rule_name", "column").collect()]
+        pairs = [(r["rule_name"], r["column"]) for r in config.select("rule_name", "column").distinct().toLocalIterator()]
     else:
         pairs = [(c["rule_name"], col) for c in config for col in (c.get("on_columns") or [])]
-    return run_metrics(df, [analyzer_for(n, c) for n, c in pairs])
+    return run_metrics(df, [analyzer_for(n, c) for n, c in pairs], on_error)
 
 
 def profile_rule_metrics(df: DataFrame, rules) -> DataFrame:

@@ -66,7 +66,6 @@ FRACTIONAL_REGEX = r"^[+-]?\d*\.\d+$"
 BOOLEAN_REGEX = r"^(true|false)$"
 
 DEFAULT_HISTOGRAM_THRESHOLD = 120
-HISTOGRAM_CANDIDATE_MARGIN = 1.25
 DEFAULT_PERCENTILES = tuple(round(i / 100, 2) for i in range(1, 100))
 
 
@@ -78,11 +77,6 @@ def _canonical_zero(q: str, dt: T.DataType) -> str:
     return q
 
 
-def _names_of(exprs: list[str]) -> set[str]:
-    """Output names of ``expr AS name`` strings."""
-    return {e.rsplit(" AS ", 1)[1].strip() for e in exprs}
-
-
 def _var_width(dt: T.DataType) -> bool:
     """Types whose min/max buffers are not fixed-width (sort-based aggregation)."""
     return isinstance(dt, (T.StringType, T.BinaryType)) or (isinstance(dt, T.DecimalType) and dt.precision > 18)
@@ -107,27 +101,21 @@ def profile(
     schema_name: str = "schema_name",
     table_name: str = "table_name",
     frequencies_mode: str = "exact",
-    low_cardinality_threshold: int = DEFAULT_HISTOGRAM_THRESHOLD,
 ) -> DataFrame:
     """One row per profiled column (see ``PROFILE_COLUMNS``).
 
-    ``frequencies_mode``: ``exact`` (every column), ``low_cardinality`` (only columns whose
-    approximate distinct count is at most ``low_cardinality_threshold``; one small extra
-    job reads those counts) or ``none``. Columns without frequencies get null
-    ``num_distinct`` and most/least frequent values.
+    ``frequencies_mode``: ``exact`` (every column) or ``none`` (null ``num_distinct`` and
+    most/least frequent values).
     """
     columns = _columns(df, cols)
     data = df.select(*[qcol(c) for c, _ in columns])
     # Columns that get a frequency table (step 2).
     if frequencies_mode == "none":
         chosen = []
-    elif frequencies_mode == "low_cardinality":
-        approx = data.agg(*[F.approx_count_distinct(qcol(c)).alias(f"a{i}") for i, (c, _) in enumerate(columns)]).first()
-        chosen = [i for i in range(len(columns)) if approx[f"a{i}"] <= low_cardinality_threshold]
     elif frequencies_mode == "exact":
         chosen = list(range(len(columns)))
     else:
-        raise ValueError("frequencies_mode must be exact, low_cardinality or none")
+        raise ValueError("frequencies_mode must be exact or none")
     # String min/max come from the frequency table when the column has one (its values are
     # the strings themselves): step 1 then holds only fixed-width aggregation buffers and
     # stays a code-generated hash aggregation instead of a sort-based one.
@@ -247,41 +235,6 @@ def _type_of(dt: T.DataType) -> str:
     return "Unknown"
 
 
-def infer_type(counts: dict[str, int]) -> str:
-    """The narrowest type shared by all non-null text values (Unknown when all are null)."""
-    nonnull = counts["Boolean"] + counts["Fractional"] + counts["Integral"] + counts["String"]
-    if nonnull == 0:
-        return "Unknown"
-    if counts["String"] > 0:
-        return "String"
-    if counts["Boolean"] > 0 and (counts["Integral"] > 0 or counts["Fractional"] > 0):
-        return "String"
-    if counts["Boolean"] > 0:
-        return "Boolean"
-    if counts["Fractional"] > 0:
-        return "Fractional"
-    return "Integral"
-
-
-PROFILE_STATS_SCHEMA = T.StructType(
-    [
-        T.StructField("column_name", T.StringType()),
-        T.StructField("num_rows", T.LongType()),
-        T.StructField("completeness", T.DoubleType()),
-        T.StructField("approx_distinct", T.LongType()),
-        T.StructField("data_type", T.StringType()),
-        T.StructField("is_data_type_inferred", T.BooleanType()),
-        T.StructField("type_counts", T.MapType(T.StringType(), T.LongType())),
-        T.StructField("mean", T.DoubleType()),
-        T.StructField("maximum", T.DoubleType()),
-        T.StructField("minimum", T.DoubleType()),
-        T.StructField("sum", T.DoubleType()),
-        T.StructField("std_dev", T.DoubleType()),
-        T.StructField("approx_percentiles", T.ArrayType(T.DoubleType())),
-    ]
-)
-
-
 def column_profiles(
     df: DataFrame,
     cols: Sequence[str] | None = None,
@@ -290,110 +243,113 @@ def column_profiles(
     percentile_accuracy: int = 10000,
     rsd: float = 0.05,
 ) -> DataFrame:
-    """Library-style profile, one row per column.
+    """Library-style profile, one row per column; a lazy DataFrame.
 
-    Columns: ``column_name, num_rows, completeness, approx_distinct, data_type,
+    Columns: ``column_name, num_rows, completeness, approx_distinct, bins, data_type,
     is_data_type_inferred, type_counts map<string,long>, histogram
-    array<struct<value,count,ratio>>, mean, maximum, minimum, sum, std_dev,
-    approx_percentiles array<double>``. One aggregation for statistics and type counts
-    (run at call time: its single row picks the histogram columns), then one frequency
-    aggregation over the low-cardinality columns only; histograms are kept for columns
-    with at most ``histogram_threshold`` distinct values (null counts as a value), so the
-    list gathered per column is bounded and high-cardinality columns are never shuffled.
+    array<struct<value,count,ratio>>, histogram_kept, mean, maximum, minimum, sum, std_dev,
+    approx_percentiles array<double>``. ``bins`` is the exact number of distinct values (null
+    is a value); a histogram is gathered into its row for columns with at most
+    ``histogram_threshold`` bins, and ``histogram_kept`` says so (``histogram_long`` gives
+    the bins of any column). Parts meet by column number, one row per column on each side.
     """
     columns = _columns(df, cols)
     data = df.select(*[qcol(c) for c, _ in columns])
     pct_list = ", ".join(f"{float(p)!r}D" for p in (percentiles or []))
-    stat_units: list[tuple[list[str], int]] = []
-    sketch_units: list[tuple[list[str], int]] = []
-    for i, (c, dt) in enumerate(columns):
+    limit = codegen_field_limit(df.sparkSession)
+    null_double, zero = "CAST(NULL AS DOUBLE)", "0L"
+
+    def stats_of(i: int) -> tuple[list[str], str]:
+        c, dt = columns[i]
         q = quote_ident(c)
-        unit = [f"count({q}) AS nn{i}"]
-        if isinstance(dt, T.StringType):
-            unit += [
-                f"count_if({q} RLIKE {sql_literal(BOOLEAN_REGEX)}) AS tb{i}",
-                f"count_if({q} RLIKE {sql_literal(FRACTIONAL_REGEX)}) AS tf{i}",
-                f"count_if({q} RLIKE {sql_literal(INTEGRAL_REGEX)}) AS ti{i}",
-            ]
-        sketch = [f"approx_count_distinct({q}, {float(rsd)!r}D) AS acd{i}"]
+        aggs = [f"count({q}) AS nn{i}"]
+        text = isinstance(dt, T.StringType)
+        if text:
+            aggs += [f"count_if({q} RLIKE {sql_literal(rx)}) AS {name}{i}"
+                     for name, rx in (("tb", BOOLEAN_REGEX), ("tf", FRACTIONAL_REGEX), ("ti", INTEGRAL_REGEX))]
+        numbers = [null_double] * 5
         if is_numeric(dt):
             d = f"CAST({_canonical_zero(q, dt)} AS DOUBLE)"
             if isinstance(dt, FLOATING_TYPES):
                 d = f"CASE WHEN NOT isnan({q}) THEN {d} END"
-            unit += [f"avg({d}) AS mean{i}", f"max({d}) AS max{i}", f"min({d}) AS min{i}", f"sum({d}) AS sum{i}",
+            aggs += [f"avg({d}) AS mean{i}", f"max({d}) AS max{i}", f"min({d}) AS min{i}", f"sum({d}) AS sum{i}",
                      f"stddev_pop({d}) AS std{i}"]
-            if percentiles:
-                sketch.append(
-                    f"CAST(percentile_approx({d}, array({pct_list}), {int(percentile_accuracy)}) AS ARRAY<DOUBLE>) "
-                    f"AS pct{i}"
-                )
-        # output columns + buffer slots (avg 2, stddev 3, others 1)
-        stat_units.append((unit, 2 * len(unit) + (3 if is_numeric(dt) else 0)))
-        sketch_units.append((sketch, 0))
+            numbers = [f"{name}{i}" for name in ("mean", "max", "min", "sum", "std")]
+        tb, tf, ti = (f"tb{i}", f"tf{i}", f"ti{i}") if text else (zero, zero, zero)
+        values = [
+            ("k", str(i)), ("column_name", str_lit(c)), ("num_rows", "num_rows"), ("nn", f"nn{i}"), ("tb", tb), ("tf", tf), ("ti", ti),
+            ("text", "TRUE" if text else "FALSE"), ("declared", str_lit(_type_of(dt))),
+            *zip(("mean", "maximum", "minimum", "sum", "std_dev"), numbers),
+        ]
+        return aggs, "named_struct(" + ", ".join(f"'{name}', {v}" for name, v in values) + ")"
+
+    def sketch_of(i: int) -> tuple[list[str], str]:
+        c, dt = columns[i]
+        q = quote_ident(c)
+        aggs, pct = [f"approx_count_distinct({q}, {float(rsd)!r}D) AS acd{i}"], "CAST(NULL AS ARRAY<DOUBLE>)"
+        if percentiles and is_numeric(dt):
+            d = f"CAST({q} AS DOUBLE)"
+            if isinstance(dt, FLOATING_TYPES):
+                d = f"CASE WHEN NOT isnan({q}) THEN {d} END"
+            aggs.append(f"CAST(percentile_approx({d}, array({pct_list}), {int(percentile_accuracy)}) AS ARRAY<DOUBLE>) AS pct{i}")
+            pct = f"pct{i}"
+        return aggs, f"named_struct('sk', {i}, 'approx_distinct', acd{i}, 'approx_percentiles', {pct})"
+
+    def rows_of(blocks: list[list[int]], make) -> DataFrame:
+        out = None
+        for block in blocks:
+            parts = [make(i) for i in block]
+            one = data.selectExpr("count(1) AS num_rows", *[a for aggs, _ in parts for a in aggs])
+            one = one.selectExpr(f"inline(array({', '.join(st for _, st in parts)}))")
+            out = one if out is None else out.unionByName(one)
+        return out
+
     # Statistics in blocks that fit the codegen field limit; sketch aggregates (imperative,
-    # never code-generated) in a block of their own so they do not slow the rest. The
-    # blocks are unioned into ONE job (independent stages) and return one row each; on
-    # columnar sources each block reads only its own columns.
-    limit = codegen_field_limit(df.sparkSession)
-    blocks = [[e for unit, _ in group for e in unit] for group in pack(stat_units, lambda u: u[1], limit)]
-    blocks.append([e for unit, _ in sketch_units for e in unit])
-    parts = [data.selectExpr(f"{b} AS _block", "count(1) AS rows", *exprs) for b, exprs in enumerate(blocks)]
-    combined = parts[0]
-    for part in parts[1:]:
-        combined = combined.unionByName(part, allowMissingColumns=True)
-    st: dict = {}
-    for r in combined.collect():  # one row per block: keep the columns that block computed
-        owned = _names_of(blocks[r["_block"]]) | {"rows"}
-        st.update({k: v for k, v in r.asDict().items() if k in owned})
-    n = st["rows"]
-    rows = []
-    for i, (c, dt) in enumerate(columns):
-        nn = st[f"nn{i}"]
-        if isinstance(dt, T.StringType):
-            tb, tf, ti = st[f"tb{i}"], st[f"tf{i}"], st[f"ti{i}"]
-            counts = {"Boolean": tb, "Fractional": tf, "Integral": ti, "Unknown": n - nn, "String": nn - tb - tf - ti}
-            dtype = infer_type(counts)
-            inferred = dtype not in ("String", "Unknown")
-        else:
-            counts, dtype, inferred = {}, _type_of(dt), False
-        num = is_numeric(dt)
-        rows.append(
-            (
-                c, n, (nn / n) if n else None, st[f"acd{i}"], dtype, inferred, counts,
-                *(st[f"{k}{i}"] if num else None for k in ("mean", "max", "min", "sum", "std")),
-                st[f"pct{i}"] if (num and percentiles) else None,
-            )
-        )
-    stats = df.sparkSession.createDataFrame(rows, PROFILE_STATS_SCHEMA)
-    # Histograms only for columns that can have at most `histogram_threshold` bins: the
-    # approximate distinct count (plus one bin for null) picks candidates with a wide
-    # margin for sketch error, and the exact bin count then filters them precisely.
-    candidates = [
-        c
-        for i, (c, _) in enumerate(columns)
-        if st[f"acd{i}"] + (1 if st[f"nn{i}"] < n else 0) <= histogram_threshold * HISTOGRAM_CANDIDATE_MARGIN + 5
-    ]
-    if candidates:
-        hist = histograms(data, candidates, histogram_threshold)
-    else:
-        hist = df.sparkSession.createDataFrame(
-            [], "column_name string, histogram array<struct<value:string,count:bigint,ratio:double>>"
-        )
-    return (
-        stats.join(F.broadcast(hist.withColumnRenamed("column_name", "hcol")), F.col("column_name") == F.col("hcol"), "left")
-        .drop("hcol")
-        .select(
-            "column_name", "num_rows", "completeness", "approx_distinct", "data_type", "is_data_type_inferred", "type_counts",
-            "histogram", "mean", "maximum", "minimum", "sum", "std_dev", "approx_percentiles",
-        )
+    # never code-generated) in blocks of their own so they do not slow the rest.
+    every = list(range(len(columns)))
+    stats = rows_of(pack(every, lambda i: 10 + 8 * is_numeric(columns[i][1]), limit), stats_of)
+    sketches = rows_of(pack(every, lambda i: 2, limit), sketch_of)
+    freq = frequencies(data, [c for c, _ in columns])
+    bins = freq.groupBy("k").agg(F.count(F.lit(1)).alias("bins")).select(F.col("k").alias("bk"), "bins")
+    lists = _bounded_histograms(freq, histogram_threshold)
+    # at most one row per column on each broadcast side
+    out = stats.join(F.broadcast(sketches), F.col("k") == F.col("sk")).join(F.broadcast(bins), F.col("k") == F.col("bk"), "left")
+    out = out.join(F.broadcast(lists), F.col("k") == F.col("hk"), "left")
+    string = "(nn - tb - tf - ti)"
+    data_type = (
+        f"CASE WHEN NOT text THEN declared WHEN nn = 0 THEN 'Unknown' WHEN {string} > 0 OR (tb > 0 AND ti + tf > 0) THEN 'String' "
+        "WHEN tb > 0 THEN 'Boolean' WHEN tf > 0 THEN 'Fractional' ELSE 'Integral' END"
     )
+    counts = f"map('Boolean', tb, 'Fractional', tf, 'Integral', ti, 'Unknown', num_rows - nn, 'String', {string})"
+    return out.selectExpr(
+        "column_name", "num_rows", "CASE WHEN num_rows > 0 THEN CAST(nn AS DOUBLE) / num_rows END AS completeness", "approx_distinct",
+        "coalesce(bins, 0L) AS bins", f"{data_type} AS data_type",
+        f"text AND ({data_type}) NOT IN ('String', 'Unknown') AS is_data_type_inferred",
+        f"CASE WHEN text THEN {counts} ELSE map_filter({counts}, (t, n) -> FALSE) END AS type_counts",
+        "histogram", "histogram IS NOT NULL AS histogram_kept", "mean", "maximum", "minimum", "sum", "std_dev", "approx_percentiles",
+    )
+
 
+def _bounded_histograms(freq: DataFrame, threshold: int) -> DataFrame:
+    """hk, histogram of the key sets with at most ``threshold`` bins (so a gathered list is bounded),
+    by count descending, then value."""
+    per = freq.groupBy("k").agg(F.count(F.lit(1)).alias("bins"), F.sum("n").alias("rows")).where(F.col("bins") <= threshold)
+    per = per.select(F.col("k").alias("hk"), "rows")
+    # null-safe key, as in histogram_long; one row per column is broadcast
+    long = freq.join(F.broadcast(per), freq["k"].eqNullSafe(per["hk"]))
+    item = F.struct((-F.col("n")).alias("o"), F.coalesce(F.col("v"), F.lit("NullValue")).alias("value"), F.col("n").alias("count"),
+                    ratio(F.col("n"), F.col("rows")).alias("ratio"))
+    lists = long.groupBy("hk").agg(F.array_sort(F.collect_list(item)).alias("h"))
+    return lists.select("hk", F.transform("h", lambda x: F.struct(
+        x["value"].alias("value"), x["count"].alias("count"), x["ratio"].alias("ratio"))).alias("histogram"))
 
-def histogram_long(df: DataFrame, cols: Sequence[str], threshold: int | None = DEFAULT_HISTOGRAM_THRESHOLD) -> DataFrame:
-    """``(column_name, value, count, ratio)`` for columns with at most ``threshold`` bins.
 
-    Null is the bin ``NullValue``; ratio is over all rows. ``threshold=None`` keeps every
-    column. The per-column bin counts (one row per column) are broadcast back to the
+def histogram_long(df: DataFrame, cols: Sequence[str], threshold: int | None = None) -> DataFrame:
+    """``(column_name, value, count, ratio)``: every bin of every column.
+
+    Null is the bin ``NullValue``; ratio is over all rows. With a ``threshold`` only columns
+    with at most that many bins are returned (``column_profiles`` has the number of bins of
+    each). The per-column bin counts (one row per column) are broadcast back to the
     frequency table; no group is ever gathered whole.
     """
     names = [resolve_name(df, c) for c in cols]
@@ -411,14 +367,3 @@ def histogram_long(df: DataFrame, cols: Sequence[str], threshold: int | None = D
         F.col("n").alias("count"),
         ratio(F.col("n"), F.col("rows")).alias("ratio"),
     )
-
-
-def histograms(df: DataFrame, cols: Sequence[str], threshold: int = DEFAULT_HISTOGRAM_THRESHOLD) -> DataFrame:
-    """``(column_name, histogram array<struct<value,count,ratio>>)``; at most ``threshold``
-    entries per list, sorted by count descending then value."""
-    long = histogram_long(df, cols, threshold)
-    return long.groupBy("column_name").agg(
-        F.array_sort(
-            F.collect_list(F.struct((-F.col("count")).alias("o"), F.col("value"), F.col("count"), F.col("ratio")))
-        ).alias("h")
-    ).select("column_name", F.transform("h", lambda x: F.struct(x["value"].alias("value"), x["count"].alias("count"), x["ratio"].alias("ratio"))).alias("histogram"))

@@ -6,16 +6,15 @@ attribute_name, current_value, expected_value, external_data_source,
 external_data_publish_date, run_date, year, month, day`` (values as text, because the
 attributes mix types).
 
-Plan, shaped for a skewed key (one key value may hold a third of the source):
+Plan, shaped for skewed keys (one key value may hold a third of either side):
 
-* rows whose join key is null never match: they skip the join (Parquet row-group
-  statistics prune the null branch cheaply);
-* matched and source-only rows come from ONE left outer join: AQE can split a skewed
-  left partition, and an external side below the broadcast threshold is broadcast;
-* external-only rows come from a left-anti join of the external side against the
-  *distinct* source keys (partial aggregation collapses a hot key before its shuffle);
-* every attribute is emitted from the same joined row with ``inline`` (one join for any
-  number of attributes, where a per-attribute union would repeat it).
+* a key-only pass counts the keys of each side; those with more than ``heavy_rows`` rows and
+  a thousandth of the side are heavy (fewer than 2000 in all, so the list is broadcast);
+* matched and unmatched rows of both sides come from ONE join on (key, salt): rows of a heavy
+  key are dealt over the salts, and the other side's rows of that key are repeated for each
+  salt. A repeated row that meets nothing at its salt is dropped: its key is on both sides;
+* rows whose key is null match nothing; they are dealt over the salts too;
+* every attribute is emitted from the same joined row with ``inline``.
 
 ``how='full_outer'`` (default) keeps unmatched rows of both sides; ``how='left'`` keeps the
 source side only.
@@ -71,6 +70,34 @@ def _run_date(run_ts) -> Column:
     return F.lit(str(run_ts)).cast("timestamp_ntz")
 
 
+def _heavy_keys(src: DataFrame, sk: Column, ext: DataFrame, ek: Column, heavy_rows: int) -> DataFrame:
+    """_key, _hs, _he: keys heavy on the source or the external side (fewer than 1000 of each)."""
+
+    def counted(df: DataFrame, key: Column, side: str) -> DataFrame:
+        counts = df.where(key.isNotNull()).groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+        total = counts.select(F.sum("_n")).scalar()
+        return counts.where((F.col("_n") > heavy_rows) & (F.col("_n") * 1000 > total)).select("_key", F.lit(True).alias(side))
+
+    both = counted(src, sk, "_hs").join(counted(ext, ek, "_he"), "_key", "full_outer")
+    return both.select("_key", F.coalesce("_hs", F.lit(False)).alias("_hs"), F.coalesce("_he", F.lit(False)).alias("_he"))
+
+
+def _salted(df: DataFrame, key: Column, heavy: DataFrame, own: str, other: str, salts: int) -> DataFrame:
+    """Rows with a salt: dealt (heavy on the own side, or a null key), repeated for every salt
+    (heavy on the other side only, or dealt there), else salt 0. Keys heavy on both sides are
+    dealt on the source side."""
+    mine, theirs = F.coalesce(f"_h{own}", F.lit(False)), F.coalesce(f"_h{other}", F.lit(False))
+    dealt = key.isNull() | (mine if own == "s" else mine & ~theirs)
+    copied = ~dealt & theirs
+    # fewer than 2000 keys are broadcast
+    rows = df.join(F.broadcast(heavy), key == F.col("_key"), "left")
+    own_salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    rows = rows.select(
+        *[qcol(c) for c in df.columns], F.lit(True).alias(f"_row_{own}"), copied.alias(f"_copy_{own}"),
+        F.when(dealt, F.array(own_salt)).when(copied, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))).alias("_salts"))
+    return rows.select(*[qcol(c) for c in rows.columns if c != "_salts"], F.explode("_salts").alias(f"_salt_{own}"))
+
+
 def reconcile(
     source: DataFrame,
     external: DataFrame,
@@ -81,6 +108,8 @@ def reconcile(
     publish_date: str | None = "publish_date",
     run_ts=None,
     how: str = "full_outer",
+    heavy_rows: int = 100_000,
+    salts: int = 32,
 ) -> DataFrame:
     """Attribute-level comparison; ``key`` is ``'src=ext'`` or ``(src, ext)``;
     ``attributes`` a list of ``'src=ext'`` or ``(src, ext)`` pairs; ``primary_key`` the
@@ -101,20 +130,14 @@ def reconcile(
     ext = prefix_columns(external, "ext_", e_cols)
     sk, ek = qcol("src_" + skey), qcol("ext_" + ekey)
 
-    def null_cols(cols: Sequence[str], prefix: str, like: DataFrame) -> list[Column]:
-        return [F.lit(None).cast(like.schema[prefix + c].dataType).alias(prefix + c) for c in cols]
-
-    all_cols = [qcol("src_" + c) for c in s_cols] + [qcol("ext_" + c) for c in e_cols]
-    src_keyed, ext_keyed = src.filter(sk.isNotNull()), ext.filter(ek.isNotNull())
-    matched_or_left = src_keyed.join(ext_keyed, sk == ek, "left").select(*all_cols)
-    src_null_key = src.filter(sk.isNull()).select(*[qcol("src_" + c) for c in s_cols], *null_cols(e_cols, "ext_", ext))
-    joined = matched_or_left.unionByName(src_null_key)
-    if how == "full_outer":
-        src_keys = src_keyed.select(sk.alias("_k")).distinct()
-        ext_only = ext_keyed.join(src_keys, ek == F.col("_k"), "left_anti").unionByName(ext.filter(ek.isNull()))
-        joined = joined.unionByName(
-            ext_only.select(*null_cols(s_cols, "src_", src), *[qcol("ext_" + c) for c in e_cols])
-        )
+    heavy = _heavy_keys(src, sk, ext, ek, heavy_rows)
+    left = _salted(src, sk, heavy, "s", "e", salts)
+    right = _salted(ext, ek, heavy, "e", "s", salts)
+    joined = left.join(right, (sk == ek) & (F.col("_salt_s") == F.col("_salt_e")), how)
+    # _row is true on every row of a side, so it is null where the side is missing
+    joined = joined.where(
+        ~(F.coalesce("_copy_s", F.lit(False)) & F.col("_row_e").isNull())
+        & ~(F.coalesce("_copy_e", F.lit(False)) & F.col("_row_s").isNull()))
 
     structs = [
         F.struct(

@@ -41,16 +41,17 @@ def _by_name(c, src: T.DataType, dst: T.DataType):
     return c.cast(dst)
 
 
-def _conform(docs: DataFrame) -> DataFrame:
+def _conform(docs: DataFrame, order_col: str | None = None) -> DataFrame:
     """Documents with exactly the canonical columns (missing ones null), in order; nested
-    rule structs are matched by field name."""
+    rule structs are matched by field name. ``order_col`` is kept as ``_order``."""
     have = {f.name: f.dataType for f in docs.schema.fields}
     return docs.select(
         *[
             (_by_name(F.col(f.name), have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType))
             .alias(f.name)
             for f in DOCUMENT_SCHEMA.fields
-        ]
+        ],
+        *([F.col(order_col).alias("_order")] if order_col else []),
     )
 
 
@@ -62,18 +63,30 @@ def get_rule(store: DataFrame, source: str, entity: str | None = None) -> DataFr
     return store.filter(cond)
 
 
-def put_rules(store: DataFrame, docs: DataFrame) -> DataFrame:
-    """R2: whole-document replace by key; new keys are inserted."""
-    new = _conform(docs)
+def _last_per_key(docs: DataFrame, order_col: str | None) -> DataFrame:
+    """One document per key, conformed: the last by ``order_col`` (ties and no order column: the
+    greatest by its JSON text, so the choice does not depend on the input's row order)."""
+    text = F.to_json(F.struct(*[F.col(f.name) for f in DOCUMENT_SCHEMA.fields]))
+    rows = _conform(docs, order_col).withColumn("_text", text)
+    key = F.struct(*([F.col("_order")] if order_col else []), F.col("_text"))
+    best = rows.groupBy(*KEYS).agg(F.max_by(F.struct(*[F.col(f.name) for f in DOCUMENT_SCHEMA.fields if f.name not in KEYS]), key).alias("d"))
+    return best.select(*KEYS, "d.*").select(*[f.name for f in DOCUMENT_SCHEMA.fields])
+
+
+def put_rules(store: DataFrame, docs: DataFrame, order_col: str | None = None) -> DataFrame:
+    """R2: whole-document replace by key; new keys are inserted. Of several documents for one
+    key the last by ``order_col`` is written."""
+    new = _last_per_key(docs, order_col)
     kept = _conform(store).join(new.select(*KEYS), KEYS, "left_anti")
     return kept.unionByName(new)
 
 
-def update_rules(store: DataFrame, updates: DataFrame) -> DataFrame:
+def update_rules(store: DataFrame, updates: DataFrame, order_col: str | None = None) -> DataFrame:
     """Set ``single_column_profiler_rules``, ``single_column_validation_rules`` and
     ``rules_run_on = ['cde', 'kde']`` on matching keys; other attributes keep their
-    values. A key missing from the store is inserted with only those attributes."""
-    conformed = _conform(updates)
+    values. A key missing from the store is inserted with only those attributes. Of several
+    updates of one key the last by ``order_col`` is applied."""
+    conformed = _last_per_key(updates, order_col)
     upd = conformed.select(
         *KEYS,
         F.lit(True).alias("_upd"),
@@ -97,11 +110,6 @@ def update_rules(store: DataFrame, updates: DataFrame) -> DataFrame:
     )
 
 
-def put_rule_updated(store: DataFrame, docs: DataFrame) -> DataFrame:
-    """Alias of ``put_rules`` (the second whole-item write of the store helpers)."""
-    return put_rules(store, docs)
-
-
 def put_rule(store: DataFrame, source: str, entity: str, cde, kde, rules_run_on, single_column_profiler_rules=None,
              single_column_validation_rules=None, **other) -> DataFrame:
     """Whole-document write of one ``(source, entity)`` given as values (R2)."""
@@ -130,7 +138,7 @@ def update_rule(store: DataFrame, source: str, entity: str, single_column_profil
 
 def get_rule_document(store: DataFrame, source: str, entity: str) -> dict | None:
     """The one document of ``(source, entity)`` as a dict (configuration for
-    ``expand_documents``); ``None`` when absent. Reads at most two rows."""
+    ``rules_of``); ``None`` when absent. Reads at most two rows."""
     rows = get_rule(store, source, entity).limit(2).collect()
     if not rows:
         return None

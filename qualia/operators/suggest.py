@@ -1,21 +1,20 @@
 """Constraint suggestion.
 
-Suggestions come from the column profiles (``column_profiles``: one statistics
-aggregation plus one bounded histogram aggregation), and every rule is a Spark
-expression over the profile rows (one row per column). Output: ``column_name,
-constraint, current_value, description, code_for_constraint``.
+Suggestions come from the column profiles (``column_profiles``), and every rule is a Spark
+expression over the profile rows (one row per column). Output: ``column_name, constraint,
+current_value, description, predicate, code_for_constraint``; ``predicate`` is SQL text that
+is true for conforming rows (null for constraints on a whole column).
 
-Default rules (after Schelter et al., PVLDB 11(12), 2018; thresholds are ours):
+Default rules (after Schelter et al., PVLDB 11(12), 2018; the cuts are arguments):
 
 * ``complete``        completeness = 1                         -> isComplete
-* ``retain_completeness`` 0.2 < completeness < 1               -> hasCompleteness(>= lower 95% bound,
+* ``retain_completeness`` ``least_completeness`` < completeness < 1 -> hasCompleteness(>= lower 95% bound,
   ``floor((p - 1.96 * sqrt(p (1 - p) / n)) * 100) / 100``)
 * ``retain_type``     text column whose values all parse as one narrower type -> hasDataType
-* ``categorical_range`` histogram kept (at most 120 bins) and distinct non-null values /
-  non-null rows <= 0.1                                         -> isContainedIn(seen values)
+* ``categorical_range`` at most ``histogram_threshold`` bins and distinct non-null values /
+  non-null rows <= ``categorical_ratio``                       -> isContainedIn(seen values)
 * ``non_negative``    numeric column with minimum >= 0         -> isNonNegative
-* ``unique``          complete and approximate distinct count within 8% of the row count
-  -> isUnique (sketch-based, so not reproducible by exact engines)
+* ``unique``          complete, and as many distinct values as rows (exact) -> isUnique
 """
 
 from __future__ import annotations
@@ -35,22 +34,30 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def _escaped(c: Column, quote: str) -> Column:
+    """Text between ``quote`` marks: backslashes and the mark are escaped by a backslash."""
+    return F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit(quote), F.lit("\\" + quote))
+
+
 def suggest_constraints(
     df: DataFrame,
     cols: Sequence[str] | None = None,
     rules: Sequence[str] = DEFAULT_RULES,
     histogram_threshold: int = DEFAULT_HISTOGRAM_THRESHOLD,
     categorical_ratio: float = 0.1,
+    least_completeness: float = 0.2,
 ) -> DataFrame:
     unknown = set(rules) - set(DEFAULT_RULES)
     if unknown:
         raise ValueError(f"unknown suggestion rules {sorted(unknown)}")
     p = column_profiles(df, cols, histogram_threshold=histogram_threshold)
     col, comp, n = F.col("column_name"), F.col("completeness"), F.col("num_rows")
-    q = F.concat(F.lit('"'), col, F.lit('"'))
+    q = F.concat(F.lit('"'), _escaped(col, '"'), F.lit('"'))
+    sql = F.concat(F.lit("`"), F.replace(col, F.lit("`"), F.lit("``")), F.lit("`"))
     cands: list[Column] = []
 
-    def cand(rule: str, cond: Column, constraint: str, current: Column, desc: Column, code: Column) -> None:
+    def cand(rule: str, cond: Column, constraint: str, current: Column, desc: Column, code: Column,
+             predicate: Column | None = None) -> None:
         if rule in rules:
             cands.append(
                 F.when(
@@ -59,15 +66,17 @@ def suggest_constraints(
                         F.lit(constraint).alias("constraint"),
                         current.alias("current_value"),
                         desc.alias("description"),
+                        (F.lit(None).cast("string") if predicate is None else predicate).alias("predicate"),
                         code.alias("code_for_constraint"),
                     ),
                 )
             )
 
     cand("complete", comp == 1.0, "isComplete", F.concat(F.lit("Completeness: "), _s(comp)),
-         F.concat(F.lit("'"), col, F.lit("' is not null")), F.concat(F.lit(".isComplete("), q, F.lit(")")))
+         F.concat(F.lit("'"), col, F.lit("' is not null")), F.concat(F.lit(".isComplete("), q, F.lit(")")),
+         F.concat(sql, F.lit(" IS NOT NULL")))
     target = F.floor((comp - F.lit(Z_95) * F.sqrt(comp * (F.lit(1.0) - comp) / n)) * 100) / F.lit(100.0)
-    cand("retain_completeness", (comp > 0.2) & (comp < 1.0), "hasCompleteness",
+    cand("retain_completeness", (comp > least_completeness) & (comp < 1.0), "hasCompleteness",
          F.concat(F.lit("Completeness: "), _s(comp)),
          F.concat(F.lit("'"), col, F.lit("' has completeness of at least "), _s(target)),
          F.concat(F.lit(".hasCompleteness("), q, F.lit(", lambda x: x >= "), _s(target), F.lit(")")))
@@ -85,20 +94,21 @@ def suggest_constraints(
         & F.col("data_type").isin("String", "Integral", "Boolean")
     )
     quoted = F.transform(values, lambda v: F.concat(F.lit("'"), v, F.lit("'")))
-    dquoted = F.transform(values, lambda v: F.concat(F.lit('"'), v, F.lit('"')))
+    dquoted = F.transform(values, lambda v: F.concat(F.lit('"'), _escaped(v, '"'), F.lit('"')))
+    squoted = F.transform(values, lambda v: F.concat(F.lit("'"), _escaped(v, "'"), F.lit("'")))
     cand("categorical_range", categorical, "isContainedIn", F.lit("Compliance: 1"),
          F.concat(F.lit("'"), col, F.lit("' has value range "), F.array_join(quoted, ", ")),
-         F.concat(F.lit(".isContainedIn("), q, F.lit(", ["), F.array_join(dquoted, ", "), F.lit("])")))
+         F.concat(F.lit(".isContainedIn("), q, F.lit(", ["), F.array_join(dquoted, ", "), F.lit("])")),
+         F.concat(sql, F.lit(" IS NULL OR "), sql, F.lit(" IN ("), F.array_join(squoted, ", "), F.lit(")")))
     cand("non_negative", F.col("minimum") >= 0, "isNonNegative", F.concat(F.lit("Minimum: "), _s(F.col("minimum"))),
          F.concat(F.lit("'"), col, F.lit("' has no negative values")),
-         F.concat(F.lit(".isNonNegative("), q, F.lit(")")))
-    cand("unique", (n > 0) & (comp == 1.0) & (F.abs(F.lit(1.0) - F.col("approx_distinct") / F.when(n > 0, n)) <= 0.08),
-         "isUnique",
-         F.concat(F.lit("ApproxDistinctness: "), _s(F.col("approx_distinct") / n)),
+         F.concat(F.lit(".isNonNegative("), q, F.lit(")")), F.concat(sql, F.lit(" IS NULL OR "), sql, F.lit(" >= 0")))
+    cand("unique", (n > 0) & (comp == 1.0) & (F.col("bins") == n), "isUnique",
+         F.concat(F.lit("Distinctness: "), _s(F.col("bins") / n)),
          F.concat(F.lit("'"), col, F.lit("' is unique")), F.concat(F.lit(".isUnique("), q, F.lit(")")))
     if not cands:
         return p.sparkSession.createDataFrame(
             [], "column_name string, constraint string, current_value string, description string, "
-            "code_for_constraint string"
+            "predicate string, code_for_constraint string"
         )
     return p.select(col, F.inline(F.filter(F.array(*cands), lambda x: x.isNotNull())))

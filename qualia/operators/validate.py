@@ -3,9 +3,9 @@
 Every active rule of one ``(source, entity)`` becomes one expression in a single plan:
 
 * row results: one scan, ``inline(array(struct per rule))`` - no per-rule union;
-* rule metrics: one aggregation holding ``count_if(rule)`` / ``count_if(NOT rule)`` for all
-  row rules (split into blocks only past the session's codegen field limit) and one for
-  the ``count``/``count(DISTINCT)`` of aggregate rules, turned long with ``inline``; the
+* rule metrics: one aggregation holding ``count_if(rule)`` / ``count(rule)`` for all row rules
+  (split into blocks only past the session's codegen field limit) and a two-level one per
+  column with aggregate rules, turned long with ``inline``; the
   pass percentage and the threshold (SLO) are data-driven columns.
 
 Rules are configuration: the selected rules of one entity are read on the driver to
@@ -35,9 +35,6 @@ from qualia.functions.predicates import (
 )
 from qualia.functions.blocks import codegen_field_limit, pack
 
-# Rules compiled into one plan; more than this means the caller did not pick one entity.
-MAX_RULES_PER_PLAN = 20000
-
 # Aggregate rule names understood in rule documents.
 AGGREGATE_RULES = ("uniqueness", "completeness", "distinctness", "hassize")
 
@@ -64,14 +61,18 @@ class Rule:
 
 
 def as_rules(rules, source: str | None = None, entity: str | None = None) -> list[Rule]:
-    """Rules from a canonical rules DataFrame, ``Rule`` objects or dicts; active ones only."""
+    """Rules of one ``(source, entity)`` from a canonical rules DataFrame, ``Rule`` objects or
+    dicts; active ones in scope only (``in_scope``, where the rules say it). Rules of several
+    entities are refused: pick one with ``source`` and ``entity`` or a filter."""
     if isinstance(rules, DataFrame):
+        if "in_scope" in rules.columns:
+            rules = rules.where(F.coalesce("in_scope", F.lit(True)))
+        for name, value in (("source", source), ("entity", entity)):
+            if value is not None and name in rules.columns:
+                rules = rules.where(F.col(name) == F.lit(value))
         names = [f.name for f in fields(Rule)]
         cols = [F.col(n) if n in rules.columns else F.lit(None).alias(n) for n in names]
-        rows = rules.select(*cols).limit(MAX_RULES_PER_PLAN + 1).collect()
-        if len(rows) > MAX_RULES_PER_PLAN:
-            raise ValueError(f"more than {MAX_RULES_PER_PLAN} rules in one plan; select one entity first")
-        items: Iterable = [r.asDict() for r in rows]
+        items: Iterable = [r.asDict() for r in rules.select(*cols).collect()]
     else:
         items = rules
     out = []
@@ -81,6 +82,8 @@ def as_rules(rules, source: str | None = None, entity: str | None = None) -> lis
         if isinstance(r, Rule):
             rule = r
         elif isinstance(r, Mapping):
+            if r.get("in_scope") is False:
+                continue
             kw = {f.name: r.get(f.name) for f in fields(Rule) if r.get(f.name) is not None}
             kw.setdefault("source", source)
             kw.setdefault("entity", entity)
@@ -92,6 +95,9 @@ def as_rules(rules, source: str | None = None, entity: str | None = None) -> lis
             raise TypeError(f"not a rule: {r!r}")
         if rule.is_active is None or int(rule.is_active) == 1:
             out.append(rule)
+    owners = {(r.source, r.entity) for r in out}
+    if len(owners) > 1:
+        raise ValueError(f"rules of several entities {sorted(owners, key=str)[:5]}; select one source and entity first")
     return out
 
 
@@ -211,16 +217,16 @@ def row_results(
     keep = [quote_ident(resolve_name(df, c)) for c in (pass_through or [])]
 
     def make() -> DataFrame:
-        out = df.selectExpr(*keep, f"inline(array({', '.join(structs)}))", f"{_run_date_sql(run_ts)} AS run_date")
+        items = f"array({', '.join(structs)})"
+        if only_failures:  # dropped before the rows are made
+            items = f"filter({items}, r -> r.result = false)"
+        out = df.selectExpr(*keep, f"inline({items})", f"{_run_date_sql(run_ts)} AS run_date")
         bad = [f for f in out.schema.fields if f.name == "result" and not isinstance(f.dataType, T.BooleanType)]
         if bad:
             check_rules(df, [(r.rule_name, r.rule) for r, _ in compiled])
         return out
 
-    out = _build(df, compiled, make)
-    if only_failures:
-        out = out.filter("result = false")
-    return out
+    return _build(df, compiled, make)
 
 
 def _pack_units(units, limit: int) -> list[tuple[list[str], list[str]]]:
@@ -242,7 +248,7 @@ def rule_metrics(df: DataFrame, rules, on_error: str = "raise") -> DataFrame:
     ``pass_percentage`` is rounded half-up to 2 places; ``constraint_status`` applies the
     rule's ``slo`` (``gt|lt|eq|ge|le(n)``) and is null without one.
     Row rules share one aggregation (split into blocks only past the session's codegen
-    field limit); aggregate rules needing distinct counts share one more.
+    field limit); the aggregate rules of a column share one two-level aggregation.
     ``on_error='skip'`` leaves out rules that cannot run (see ``rule_errors``).
     """
     rs = _usable(df, rules, on_error)
@@ -277,10 +283,10 @@ def rule_metrics(df: DataFrame, rules, on_error: str = "raise") -> DataFrame:
     # Units of work: (aggregate expressions, result structs, codegen field cost).
     row_units = []
     for i, (r, col) in enumerate(row_rules):
-        # failures are counted directly: null results count in neither
+        # failures are the non-null results that are not true: null results count in neither
         row_units.append(
-            ([f"count_if({rule_sql(r.rule)}) AS s{i}", f"count_if(NOT {rule_sql(r.rule)}) AS f{i}"],
-             [struct(r, col, f"s{i}", "n", False, fail=f"f{i}")], 4)
+            ([f"count_if({rule_sql(r.rule)}) AS s{i}", f"count({rule_sql(r.rule)}) AS c{i}"],
+             [struct(r, col, f"s{i}", "n", False, fail=f"c{i} - s{i}")], 4)
         )
     by_col: dict[str, list[tuple[Rule, str]]] = {}
     size_structs = []
@@ -289,28 +295,15 @@ def rule_metrics(df: DataFrame, rules, on_error: str = "raise") -> DataFrame:
             size_structs.append(struct(r, r.element or "*", "n", "n", True))
         else:
             by_col.setdefault(col, []).append((r, kind))
-    distinct_units = []
-    for j, (col, items) in enumerate(by_col.items()):
-        kinds = {k for _, k in items}
-        aggs = []
-        if kinds & {"uniqueness", "distinctness"}:
-            aggs.append(f"count(DISTINCT {quote_ident(col)}) AS d{j}")
-        if kinds & {"distinctness", "completeness"}:
-            aggs.append(f"count({quote_ident(col)}) AS c{j}")
-        structs = []
-        for r, kind in items:
-            if kind == "uniqueness":
-                structs.append(struct(r, col, f"d{j}", "n", False))
-            elif kind == "distinctness":
-                structs.append(struct(r, col, f"d{j}", f"c{j}", False))
-            else:  # completeness
-                structs.append(struct(r, col, f"c{j}", "n", False))
-        distinct_units.append((aggs, structs, 4 * len(aggs)))
-    # Row rules in blocks that fit the codegen field limit (pure hash aggregations); rules
-    # needing distinct counts in their own block (Catalyst plans the distinct aggregation
-    # over those columns only); blocks read only the columns their rules use.
-    limit = codegen_field_limit(df.sparkSession)
-    blocks = _pack_units(row_units, limit) + _pack_units(distinct_units, limit)
+    # Aggregate rules: one two-level aggregation per column (rows per value, then values), which
+    # reads only that column; several count(DISTINCT) in one aggregation would multiply the rows.
+    column_parts = []
+    for col, items in by_col.items():
+        made = {"uniqueness": ("d", "n"), "distinctness": ("d", "c"), "completeness": ("c", "n")}
+        column_parts.append((col, [struct(r, col, *made[kind], False) for r, kind in items], {k for _, k in items} == {"completeness"}))
+    # Row rules in blocks that fit the codegen field limit (pure hash aggregations); blocks
+    # read only the columns their rules use.
+    blocks = _pack_units(row_units, codegen_field_limit(df.sparkSession))
     if size_structs:
         if blocks:
             blocks[0] = (blocks[0][0], blocks[0][1] + size_structs)
@@ -329,6 +322,16 @@ def rule_metrics(df: DataFrame, rules, on_error: str = "raise") -> DataFrame:
         for aggs, structs in blocks:
             part = df.selectExpr("count(1) AS n", *aggs).selectExpr(f"inline(array({', '.join(structs)}))")
             long = part if long is None else long.unionByName(part)
+        for col, structs, counts_only in column_parts:
+            v = quote_ident(col)
+            if counts_only:
+                one = df.selectExpr("count(1) AS n", f"count({v}) AS c", "0L AS d")
+            else:
+                per_value = df.groupBy(F.col(v).alias("v")).agg(F.count(F.lit(1)).alias("rows"))
+                one = per_value.selectExpr(
+                    "coalesce(sum(rows), 0L) AS n", "coalesce(sum(rows) FILTER (WHERE v IS NOT NULL), 0L) AS c", "count(v) AS d")
+            part = one.selectExpr(f"inline(array({', '.join(structs)}))")
+            long = part if long is None else long.unionByName(part)
         return long.selectExpr(
             "source", "entity", "rule_applied_on", "rule", "rule_name", "dimension", "success_count",
             "failure_count", "count", f"{pct} AS pass_percentage", f"CASE {status} END AS constraint_status",

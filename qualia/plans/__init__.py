@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from qualia.plans import check_queries, metric_queries, misc_queries, oracle_misc, oracle_store, store_queries, oracle_checks, oracle_metrics, oracle_profile, oracle_rules, profile_queries
 from qualia.plans.rules_queries import (
     q_rule_aggregate_uniqueness,
+    q_rule_documents_json,
     q_rule_metrics_lineitem,
     q_rule_metrics_orders,
     q_rule_row_results,
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_row_results": q_rule_row_results,
     "rule_aggregate_uniqueness": q_rule_aggregate_uniqueness,
     "stream_rule_metrics": q_stream_rule_metrics,
+    "rule_documents_json": q_rule_documents_json,
     **metric_queries.QUERIES,
     **profile_queries.QUERIES,
     **check_queries.QUERIES,
@@ -34,6 +36,7 @@ ORACLE: dict[str, str] = {
     "rule_row_results": oracle_rules.rule_row_results(),
     "rule_aggregate_uniqueness": oracle_rules.rule_aggregate_uniqueness(),
     "stream_rule_metrics": oracle_rules.stream_rule_metrics(),
+    "rule_documents_json": oracle_rules.rule_documents_json(),
     **oracle_metrics.ORACLE,
     **oracle_profile.ORACLE,
     **oracle_checks.ORACLE,

@@ -138,10 +138,21 @@ def q_metrics_from_config(spark, sf_dir):
     df = table(spark, sf_dir, "customer").withColumn(
         "c_mktsegment", F.expr("nullif(c_mktsegment, 'HOUSEHOLD')")
     )
-    return metrics_from_config(df, CUSTOMER_METRIC_CONFIG)
+    out = metrics_from_config(df, CUSTOMER_METRIC_CONFIG)
+    return out.select("entity", "instance", "name", "value", F.col("error").isNotNull().alias("failed"))
+
+
+def q_metric_errors(spark, sf_dir):
+    """Metrics that cannot be computed, reported beside those that can."""
+    df = table(spark, sf_dir, "orders")
+    wanted = [Size(), Completeness("o_comment_missing"), MaxLength("o_totalprice"), Uniqueness(["o_orderkey", "nowhere"]),
+              Compliance("typo", "o_totalprize > 3"), Mean("o_totalprice", where="o_orderstatus = 'no such status'"), CountDistinct("o_orderstatus")]
+    return run_metrics(df, wanted, on_error="report").select(
+        "entity", "instance", "name", "value", F.col("error").isNotNull().alias("failed"))
 
 
 QUERIES = {
+    "metric_errors": q_metric_errors,
     "metric_size": q_metric_size,
     "metric_completeness": q_metric_completeness,
     "metric_completeness_where": q_metric_completeness_where,

@@ -39,30 +39,25 @@ def _suite(metrics_sql, src, constraints, tags=""):
 
 ORDERS_METRICS = (
     "SELECT CAST(count(*) AS DOUBLE) AS size, "
-    "CAST(count(o_orderkey) AS DOUBLE) / count(*) AS compl_key, "
-    "CAST(count(o_orderpriority) AS DOUBLE) / count(*) AS compl_prio, "
-    "CAST(count_if(o_orderstatus in ('F', 'O')) AS DOUBLE) / count(*) AS status_fo, "
-    "CAST(count_if(o_orderstatus IS NULL OR o_orderstatus IN ('F','O','P')) AS DOUBLE) / count(*) AS in_fop, "
-    "CAST(count_if(o_orderstatus IS NULL OR o_orderstatus IN ('F','O')) AS DOUBLE) / count(*) AS in_fo, "
-    f"{_uniq('o_orderkey', ON)} AS uniq_key, {_uniq('o_custkey,o_orderstatus', ON)} AS uniq_cust FROM {ON}"
+    "CAST(count_if(coalesce(o_totalprice, 0.0) >= 0) AS DOUBLE) / count(*) AS nonneg, "
+    "CAST(count_if(o_orderstatus <> 'F' AND o_totalprice < 480000) AS DOUBLE) / count_if(o_orderstatus <> 'F') AS credit, "
+    "CAST(count(DISTINCT o_orderstatus) AS DOUBLE) AS statuses, "
+    f"(SELECT CAST(count(*) AS DOUBLE) / sum(n) FROM (SELECT count(*) AS n FROM {ON} WHERE o_custkey IS NOT NULL GROUP BY o_custkey)) AS variety, "
+    "CAST(count_if(o_orderpriority IS NOT NULL AND o_totalprice > 300000) AS DOUBLE) / count_if(o_totalprice > 300000) AS prio, "
+    f"{_uniq('o_orderkey,o_custkey', ON)} AS uniq FROM {ON}"
 )
 
-E, W = "Orders Check", "Orders Check1"
+A, C = "Order amounts", "Order customers"
 ORDERS_CONSTRAINTS = [
-    (E, "Error", "SizeConstraint(Size(None))", "size", "{v} >= 100000",
-     "Failed due to less than expected record count", True),
-    (E, "Error", "CompletenessConstraint(Completeness(o_orderkey,None))", "compl_key", "{v} = 1.0", None, False),
-    (E, "Error", "SizeConstraint(Size(None))", "size", "{v} >= 8", None, True),
-    (E, "Error", "UniquenessConstraint(Uniqueness(List(o_orderkey),None))", "uniq_key", "{v} = 1.0", None, False),
-    (E, "Error", "CompletenessConstraint(Completeness(o_orderpriority,None))", "compl_prio", "{v} = 1.0", None, False),
-    (E, "Error", "CompletenessConstraint(Completeness(o_orderpriority,None))", "compl_prio", "{v} > 0.9", None, False),
-    (E, "Error", "ComplianceConstraint(Compliance(status_final_or_open,o_orderstatus in ('F', 'O'),None))",
-     "status_fo", "{v} >= 0.9", None, False),
-    (E, "Error", "ComplianceConstraint(Compliance(o_orderstatus contained in F,O,P,`o_orderstatus` IS NULL OR "
-     "`o_orderstatus` IN ('F','O','P'),None))", "in_fop", "{v} = 1.0", None, False),
-    (E, "Error", "UniquenessConstraint(Uniqueness(List(o_custkey, o_orderstatus),None))", "uniq_cust", "{v} = 1.0", None, False),
-    (W, "Warning", "ComplianceConstraint(Compliance(o_orderstatus contained in F,O,`o_orderstatus` IS NULL OR "
-     "`o_orderstatus` IN ('F','O'),None))", "in_fo", "{v} = 1.0", None, False),
+    (C, "Error", "DistinctnessConstraint(Distinctness(List(o_custkey),None))", "variety", "{v} < 0.25", "customers should come back", False),
+    (C, "Error", "CompletenessConstraint(Completeness(o_orderpriority,Some(o_totalprice > 300000)))", "prio", "{v} >= 0.99", None, False),
+    (C, "Error", "UniquenessConstraint(Uniqueness(List(o_orderkey, o_custkey),None))", "uniq", "{v} = 1.0", None, False),
+    (C, "Error", "SizeConstraint(Size(None))", "size", "{v} < 1000", None, True),
+    (A, "Warning", "ComplianceConstraint(Compliance(o_totalprice is non-negative,COALESCE(`o_totalprice`, 0.0) >= 0,None))",
+     "nonneg", "{v} = 1.0", None, False),
+    (A, "Warning", "ComplianceConstraint(Compliance(within_credit,o_totalprice < 480000,Some(o_orderstatus <> 'F')))",
+     "credit", "{v} > 0.9999", "ask credit control", False),
+    (A, "Warning", "CountDistinctConstraint(CountDistinct(List(o_orderstatus),None))", "statuses", "{v} = 3", None, True),
 ]
 
 CUSTOMER_METRICS = (
@@ -93,7 +88,7 @@ CUSTOMER_CONSTRAINTS = [
 ]
 
 ORACLE = {
-    "check_suite": _suite(ORDERS_METRICS, ON, ORDERS_CONSTRAINTS, ", 'sales' AS source, 'orders' AS entity"),
+    "check_suite": _suite(ORDERS_METRICS, ON, ORDERS_CONSTRAINTS, ", 'billing' AS team"),
     "check_suite_warning": _suite(CUSTOMER_METRICS, CN, CUSTOMER_CONSTRAINTS),
 }
 
@@ -104,15 +99,25 @@ _CS = ("(SELECT c_custkey, c_name, c_nationkey, c_acctbal, nullif(c_mktsegment,
 Q = "'"  # single quote, for SQL text built below
 
 
+def _row(c, constraint, current, description, predicate, code, tail):
+    return (f"SELECT '{c}' AS column_name, '{constraint}' AS constraint, {current} AS current_value, "
+            f"'{Q}{Q}{c}{Q}{Q} ' || {description} AS description, {predicate} AS predicate, {code} AS code_for_constraint {tail}")
+
+
 def _complete(c, src):
-    return (f"SELECT '{c}' AS column_name, 'isComplete' AS constraint, 'Completeness: 1.0' AS current_value, "
-            f"'{Q}{Q}{c}{Q}{Q} is not null' AS description, '.isComplete(\"{c}\")' AS code_for_constraint "
-            f"FROM {src} HAVING count({c}) = count(*) AND count(*) > 0")
+    return _row(c, "isComplete", "'Completeness: 1.0'", "'is not null'", f"'`{c}` IS NOT NULL'", f"'.isComplete(\"{c}\")'",
+                f"FROM {src} HAVING count({c}) = count(*) AND count(*) > 0")
 
 
 def _nonneg(c, src):
-    return (f"SELECT '{c}', 'isNonNegative', 'Minimum: ' || CAST(CAST(min({c}) AS DOUBLE) AS VARCHAR), "
-            f"'{Q}{Q}{c}{Q}{Q} has no negative values', '.isNonNegative(\"{c}\")' FROM {src} HAVING min({c}) >= 0")
+    return _row(c, "isNonNegative", f"'Minimum: ' || CAST(CAST(min({c}) AS DOUBLE) AS VARCHAR)", "'has no negative values'",
+                f"'`{c}` IS NULL OR `{c}` >= 0'", f"'.isNonNegative(\"{c}\")'", f"FROM {src} HAVING min({c}) >= 0")
+
+
+def _unique(c, src):
+    """Complete columns with as many distinct values as rows."""
+    return _row(c, "isUnique", "'Distinctness: 1.0'", "'is unique'", "CAST(NULL AS VARCHAR)", f"'.isUnique(\"{c}\")'",
+                f"FROM {src} HAVING count(DISTINCT {c}) = count(*) AND count(*) > 0")
 
 
 def _contained(c, src):
@@ -122,10 +127,9 @@ def _contained(c, src):
     vals = "(SELECT string_agg({q} || v || {q}, ', ' ORDER BY n DESC, v ASC) FROM " + freq + " WHERE v IS NOT NULL)"
     cond = (f"(SELECT count(*) FROM {freq}) <= 120 AND (SELECT count(*) FROM {freq} WHERE v IS NOT NULL) > 0 "
             f"AND (SELECT count(*) FROM {freq} WHERE v IS NOT NULL) <= 0.1 * (SELECT count({c}) FROM {src})")
-    single = vals.format(q=Q * 4)
-    double = vals.format(q=Q + '"' + Q)
-    return (f"SELECT '{c}', 'isContainedIn', 'Compliance: 1', '{Q}{Q}{c}{Q}{Q} has value range ' || {single}, "
-            f"'.isContainedIn(\"{c}\", [' || {double} || '])' WHERE {cond}")
+    single, double = vals.format(q=Q * 4), vals.format(q=Q + '"' + Q)
+    return _row(c, "isContainedIn", "'Compliance: 1'", f"'has value range ' || {single}",
+                f"'`{c}` IS NULL OR `{c}` IN (' || {single} || ')'", f"'.isContainedIn(\"{c}\", [' || {double} || '])'", f"WHERE {cond}")
 
 
 _P = "CAST(count(c_mktsegment) AS DOUBLE) / CAST(count(*) AS DOUBLE)"
@@ -137,12 +141,13 @@ ORACLE["suggest_constraints"] = "\nUNION ALL\n".join(
     [
         _complete("c_custkey", _CS), _complete("c_name", _CS), _complete("c_nationkey", _CS),
         _complete("c_acctbal", _CS), _complete("c_mktsegment", _CS), _complete("nation_text", _CS),
-        f"SELECT 'c_mktsegment', 'hasCompleteness', 'Completeness: ' || CAST({_P} AS VARCHAR), "
-        f"'{Q}{Q}c_mktsegment{Q}{Q} has completeness of at least ' || CAST({_TARGET} AS VARCHAR), "
-        f"'.hasCompleteness(\"c_mktsegment\", lambda x: x >= ' || CAST({_TARGET} AS VARCHAR) || ')' FROM {_CS} "
-        f"HAVING {_P} > 0.2 AND {_P} < 1.0",
-        f"SELECT 'nation_text', 'hasDataType', 'DataType: Integral', '{Q}{Q}nation_text{Q}{Q} has type Integral', "
-        f"'.hasDataType(\"nation_text\", ConstrainableDataTypes.Integral)' FROM {_DIGITS} WHERE nn > 0 AND i = nn",
+        _row("c_mktsegment", "hasCompleteness", f"'Completeness: ' || CAST({_P} AS VARCHAR)",
+             f"'has completeness of at least ' || CAST({_TARGET} AS VARCHAR)", "CAST(NULL AS VARCHAR)",
+             f"'.hasCompleteness(\"c_mktsegment\", lambda x: x >= ' || CAST({_TARGET} AS VARCHAR) || ')'",
+             f"FROM {_CS} HAVING {_P} > 0.2 AND {_P} < 1.0"),
+        _row("nation_text", "hasDataType", "'DataType: Integral'", "'has type Integral'", "CAST(NULL AS VARCHAR)",
+             "'.hasDataType(\"nation_text\", ConstrainableDataTypes.Integral)'", f"FROM {_DIGITS} WHERE nn > 0 AND i = nn"),
+        *[_unique(c, _CS) for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "nation_text")],
         _contained("c_nationkey", _CS), _contained("c_mktsegment", _CS), _contained("nation_text", _CS),
         _nonneg("c_custkey", _CS), _nonneg("c_nationkey", _CS), _nonneg("c_acctbal", _CS),
     ]

@@ -124,3 +124,15 @@ ORACLE["metrics_from_config"] = _u(
     _m("Column", "c_mktsegment", "MaxLength", "max(length(c_mktsegment))", _C),
     _m("Column", "c_name", "MinLength", "min(length(c_name))", _C),
 )
+
+_FAILED = "SELECT 'Column' AS entity, '{}' AS instance, '{}' AS name, CAST(NULL AS DOUBLE) AS value, TRUE AS failed"
+ORACLE["metrics_from_config"] = (
+    f"SELECT *, FALSE AS failed FROM ({ORACLE['metrics_from_config']}) UNION ALL " + _FAILED.format("c_acctbal", "MinLength")
+)
+ORACLE["metric_errors"] = "\nUNION ALL\n".join([
+    "SELECT 'Dataset' AS entity, '*' AS instance, 'Size' AS name, CAST(count(*) AS DOUBLE) AS value, FALSE AS failed FROM orders",
+    "SELECT 'Column', 'o_orderstatus', 'CountDistinct', CAST(count(DISTINCT o_orderstatus) AS DOUBLE), FALSE FROM orders",
+    "SELECT 'Column', 'o_totalprice', 'Mean (where: o_orderstatus = ''no such status'')', CAST(NULL AS DOUBLE), FALSE",
+    _FAILED.format("o_comment_missing", "Completeness"), _FAILED.format("o_totalprice", "MaxLength"),
+    _FAILED.format("typo", "Compliance"), _FAILED.format("o_orderkey,nowhere", "Uniqueness").replace("'Column'", "'Multicolumn'"),
+])

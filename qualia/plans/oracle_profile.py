@@ -160,10 +160,19 @@ ORACLE["profile_approx_distinct"] = _u(
     ]
 )
 
-ORACLE["profile_percentiles"] = (
-    "SELECT CAST(percentile AS DOUBLE) AS percentile, TRUE AS within_bound FROM (VALUES (0.1), (0.25), (0.5), (0.75), (0.9)) t(percentile)"
+ORACLE["profile_percentiles"] = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST({p} AS DOUBLE) AS percentile, CAST(quantile_disc({c}, {p}) AS DOUBLE) AS value FROM part"
+    for c in ("p_retailprice", "p_size") for p in (0.1, 0.25, 0.5, 0.75, 0.9)
 )
 
+ORACLE["profile_histogram_wide"] = """
+WITH f AS (SELECT CAST(user_id AS VARCHAR) AS v, count(*) AS n FROM events GROUP BY user_id)
+SELECT 'user_id' AS column_name, coalesce(v, 'NullValue') AS value, n AS count,
+  CAST(n AS DOUBLE) / CAST((SELECT sum(n) FROM f) AS DOUBLE) AS ratio, (SELECT count(*) FROM f) AS bins,
+  (SELECT count(*) FROM f) <= 120 AS histogram_kept
+FROM f
+"""
+
 ORACLE["profile_histogram"] = """
 WITH e AS (SELECT CAST(nullif(event_type, 'error') AS VARCHAR) AS v FROM events),
 fe AS (SELECT v, count(*) AS n FROM e GROUP BY v),

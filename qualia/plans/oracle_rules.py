@@ -5,6 +5,8 @@ Written independently of the Spark operators: each rule is one UNION ALL branch.
 
 from __future__ import annotations
 
+import re
+
 
 def _pct(s: str, n: str) -> str:
     return f"CASE WHEN {n} > 0 THEN (({s} * 20000 + {n}) // ({n} * 2)) / 100.0::DOUBLE END"
@@ -14,12 +16,16 @@ def _q(v) -> str:
     return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
 
 
+def _status(pct: str, op, bound) -> str:
+    return "CAST(NULL AS BOOLEAN)" if op is None else f"({pct}) {op} {bound}"
+
+
 def row_rule_metric(table, source, entity, element, rule, name, dim, op, bound) -> str:
     pct = _pct("s", "n")
     return (
         f"SELECT {_q(source)} AS source, {_q(entity)} AS entity, {_q(element)} AS rule_applied_on, "
         f"{_q(rule)} AS rule, {_q(name)} AS rule_name, {_q(dim)} AS dimension, s AS success_count, "
-        f"f AS failure_count, n AS count, {pct} AS pass_percentage, ({pct}) {op} {bound} AS constraint_status "
+        f"f AS failure_count, n AS count, {pct} AS pass_percentage, {_status(pct, op, bound)} AS constraint_status "
         f"FROM (SELECT count_if({rule}) AS s, count_if(NOT ({rule})) AS f, count(*) AS n FROM {table})"
     )
 
@@ -40,18 +46,16 @@ def agg_rule_metric(table, source, entity, element, kind, name, dim, op, bound)
     )
 
 
-OPS = {"gt": ">", "lt": "<", "eq": "=", "ge": ">=", "le": "<="}
+OPS = {None: None, "gt": ">", "lt": "<", "eq": "=", "ge": ">=", "le": "<="}
 
 # (element, rule text, name, dimension, op, bound) of the rules that must run:
 # the inactive rule and the rule on an element outside cde/kde are left out on purpose.
 ORDERS_ROW_RULES = [
-    ("o_orderkey", "o_orderkey is not null", "orderkey_not_null", "completeness", "gt", 90),
-    ("o_orderpriority", "nullif(o_orderpriority, '4-NOT SPECIFIED') is not null", "priority_specified",
-     "completeness", "gt", 90),
-    ("o_orderpriority", "nullif(o_orderpriority, '4-NOT SPECIFIED') in ('1-URGENT', '2-HIGH')",
-     "priority_urgent_or_high", "conformity", "ge", 40),
-    ("o_totalprice", "o_totalprice between 1000 and 400000", "totalprice_range", "validity", "lt", 100),
-    ("o_orderstatus", "o_orderstatus in ('F', 'O')", "status_final_or_open", "conformity", "eq", 100),
+    ("o_totalprice", "o_totalprice > 0", "payable", "validity", "eq", 100),
+    ("o_totalprice", "o_totalprice < 250000 or o_orderstatus = 'F'", "no_credit_review", "consistency", "ge", 80),
+    ("o_custkey", "o_custkey % 3 <> 0", "regional_customer", "conformity", "lt", 70),
+    ("o_orderpriority", "nullif(o_orderpriority, '4-NOT SPECIFIED') rlike '^[1-5]-'", "priority_ranked", "format", "gt", 99),
+    ("o_orderstatus", "o_orderstatus = 'F'", "settled", "timeliness", None, None),
 ]
 
 LINEITEM_ROW_RULES = [
@@ -66,28 +70,28 @@ LINEITEM_ROW_RULES = [
 
 
 def _duck(rule: str) -> str:
-    return rule.replace("timestamp_ntz '", "TIMESTAMP '")
+    rule = rule.replace("timestamp_ntz '", "TIMESTAMP '")
+    return re.sub(r"(nullif\([^)]*\)) rlike ('[^']*')", r"regexp_matches(\1, \2)", rule)
 
 
-def rule_metrics_orders() -> str:
-    parts = [
-        row_rule_metric("orders", "sales", "orders", e, _duck(r), n, d, OPS[o], b).replace(
-            f"{_q(_duck(r))} AS rule,", f"{_q(r)} AS rule,"
-        )
-        for e, r, n, d, o, b in ORDERS_ROW_RULES
+def _row_parts(table: str, source: str, rules) -> list[str]:
+    return [
+        row_rule_metric(table, source, table, e, _duck(r), n, d, OPS[o], b).replace(f"{_q(_duck(r))} AS rule,", f"{_q(r)} AS rule,")
+        for e, r, n, d, o, b in rules
     ]
-    parts.append(agg_rule_metric("orders", "sales", "orders", "o_orderkey", "uniqueness", "orderkey_uniqueness",
-                                 "uniqueness", ">", 90))
-    return "\nUNION ALL\n".join(parts)
+
+
+def _filled() -> str:
+    return agg_rule_metric("orders", "billing", "orders", "o_orderpriority", "completeness", "priority_filled", "completeness", ">", 75)
+
+
+def rule_metrics_orders() -> str:
+    repeat = agg_rule_metric("orders", "billing", "orders", "o_custkey", "distinctness", "repeat_customers", "distinctness", "<=", 50)
+    return "\nUNION ALL\n".join([*_row_parts("orders", "billing", ORDERS_ROW_RULES), repeat, _filled()])
 
 
 def rule_metrics_lineitem() -> str:
-    parts = [
-        row_rule_metric("lineitem", "sales", "lineitem", e, _duck(r), n, d, OPS[o], b).replace(
-            f"{_q(_duck(r))} AS rule,", f"{_q(r)} AS rule,"
-        )
-        for e, r, n, d, o, b in LINEITEM_ROW_RULES
-    ]
+    parts = _row_parts("lineitem", "sales", LINEITEM_ROW_RULES)
     parts += [
         agg_rule_metric("lineitem", "sales", "lineitem", "l_orderkey", "uniqueness", "orderkey_uniqueness",
                         "uniqueness", ">", 90),
@@ -120,7 +124,7 @@ def rule_row_results() -> str:
     branches = []
     for e, r, n, d, _, _ in ORDERS_ROW_RULES:
         branches.append(
-            f"SELECT o_orderkey, {_q(e)} AS rule_applied_on, 'sales' AS source, 'orders' AS entity, "
+            f"SELECT o_orderkey, {_q(e)} AS rule_applied_on, 'billing' AS source, 'orders' AS entity, "
             f"{_q(r)} AS rule, {_q(n)} AS rule_name, {_q(d)} AS dimension, CAST({e} AS VARCHAR) AS value, "
             f"({_duck(r)}) AS result, TIMESTAMP '2024-01-01 00:00:00' AS run_date FROM orders"
         )
@@ -128,10 +132,24 @@ def rule_row_results() -> str:
 
 
 def stream_rule_metrics() -> str:
-    parts = [
-        row_rule_metric("orders", "sales", "orders", e, _duck(r), n, d, OPS[o], b).replace(
-            f"{_q(_duck(r))} AS rule,", f"{_q(r)} AS rule,"
-        )
-        for e, r, n, d, o, b in ORDERS_ROW_RULES
-    ]
-    return "\nUNION ALL\n".join(parts)
+    rules = [r for r in ORDERS_ROW_RULES if r[0] != "o_custkey"]
+    return "\nUNION ALL\n".join([*_row_parts("orders", "billing", rules), _filled()])
+
+
+def rule_documents_json() -> str:
+    pct = _pct("s", "n")
+    named = (
+        "SELECT seg, 'c_name' AS el, 'length(C_Name) > 0' AS rule, 'named' AS name, count_if(length(c_name) > 0) AS s, "
+        "count(length(c_name)) - count_if(length(c_name) > 0) AS f, count(*) AS n FROM c GROUP BY seg"
+    )
+    balance = (
+        "SELECT seg, 'c_acctbal' AS el, 'c_acctbal >= ' || lo AS rule, 'balance_' || seg AS name, count_if(c_acctbal >= lo) AS s, "
+        "count(c_acctbal) - count_if(c_acctbal >= lo) AS f, count(*) AS n FROM c JOIN m USING (seg) GROUP BY seg, lo"
+    )
+    return (
+        "WITH c AS (SELECT lower(c_mktsegment) AS seg, c_name, c_acctbal FROM customer), "
+        "m AS (SELECT seg, CAST(floor(min(c_acctbal) / 2) AS BIGINT) AS lo FROM c GROUP BY seg) "
+        "SELECT 'crm' AS source, seg AS entity, el AS rule_applied_on, rule, name AS rule_name, CAST(NULL AS VARCHAR) AS dimension, "
+        f"s AS success_count, f AS failure_count, n AS count, {pct} AS pass_percentage, CAST(NULL AS BOOLEAN) AS constraint_status "
+        f"FROM ({named} UNION ALL {balance})"
+    )

@@ -36,32 +36,38 @@ RULE_SELECTION = "\nUNION ALL\n".join(
 )
 
 _RUN_ON = ("CASE c_mktsegment WHEN 'BUILDING' THEN 'cde' WHEN 'AUTOMOBILE' THEN 'kde' ELSE 'cde,kde' END")
+# rules as sorted text: element/name/rule/slo, and element/dimension/level/slo
+_VALIDATION = (
+    "'C_NationKey/nation_known/c_nationkey between 0 and ' || c_nationkey || '/eq(100); c_acctbal/balance_floor/c_acctbal >= ' "
+    "|| CAST(floor(c_acctbal) AS BIGINT) || '/ge(50); c_custkey/custkey_not_null/c_custkey is not null/gt(90); "
+    "c_phone/phone_present/c_phone is not null/gt(90)'"
+)
+_PROFILER = "'c_custkey/Completeness/Error/-; c_mktsegment/Compliance/-/ge(0.4)'"
 _STORE = (
     f"SELECT lower(c_mktsegment) AS source, {_ENT} AS entity, 'c_custkey' AS primary_key, {_RUN_ON} AS run_on, "
-    "2 AS n_cde, 4 AS n_validation_elements, 2 AS n_profiler_elements, c_custkey, c_mktsegment, c_acctbal FROM customer"
-)
-_SUMMARY = "source, entity, primary_key, run_on, n_cde, n_validation_elements, n_profiler_elements"
-_SUPPLY = (
-    "SELECT 'supply' AS source, 'supplier_' || CAST(s_suppkey AS VARCHAR) AS entity, 's_suppkey' AS primary_key, "
-    "'cde' AS run_on, 1 AS n_cde, 1 AS n_validation_elements, CAST(NULL AS INTEGER) AS n_profiler_elements FROM supplier"
+    f"'c_custkey,c_acctbal' AS cde, {_VALIDATION} AS validation, {_PROFILER} AS profiler, c_mktsegment, c_acctbal FROM customer"
 )
+_SUMMARY = "source, entity, primary_key, run_on, cde, validation, profiler"
+_SUPPLIED = "'s_suppkey/suppkey_not_null/s_suppkey is not null/gt(90)'"
+_SUPPLIER = "'supplier_' || CAST(s_suppkey AS VARCHAR)"
 
 RULES_GET = f"SELECT {_SUMMARY} FROM ({_STORE}) WHERE source = 'furniture'"
 
 _REPLACED = "source = 'household' AND entity LIKE 'account_1%'"
 RULES_UPSERT = (
     f"SELECT {_SUMMARY} FROM ({_STORE}) WHERE NOT ({_REPLACED})\nUNION ALL\n"
-    f"SELECT source, entity, 'c_name', 'cde', 1, CAST(NULL AS INTEGER), CAST(NULL AS INTEGER) "
-    f"FROM ({_STORE}) WHERE {_REPLACED}\nUNION ALL\n{_SUPPLY}"
+    f"SELECT source, entity, 'c_name', 'cde', 'c_name', '', '' FROM ({_STORE}) WHERE {_REPLACED}\nUNION ALL\n"
+    f"SELECT 'supply', {_SUPPLIER}, 's_suppkey', 'cde', 's_suppkey', {_SUPPLIED}, '' FROM supplier"
 )
 
 _UPDATED = "c_mktsegment = 'FURNITURE' AND c_acctbal > 5000"
+_NEW_RULES = "'c_acctbal/balance_positive/c_acctbal > 0/gt(50); c_name/name_not_null/c_name is not null/gt(99)'"
 RULES_UPDATE = (
-    f"SELECT source, entity, primary_key, CASE WHEN {_UPDATED} THEN 'cde,kde' ELSE run_on END AS run_on, n_cde, "
-    f"CASE WHEN {_UPDATED} THEN 2 ELSE n_validation_elements END AS n_validation_elements, "
-    f"CASE WHEN {_UPDATED} THEN 1 ELSE n_profiler_elements END AS n_profiler_elements FROM ({_STORE})\nUNION ALL\n"
-    "SELECT 'supply', 'supplier_' || CAST(s_suppkey AS VARCHAR), CAST(NULL AS VARCHAR), 'cde,kde', "
-    "CAST(NULL AS INTEGER), 1, 1 FROM supplier"
+    f"SELECT source, entity, primary_key, CASE WHEN {_UPDATED} THEN 'cde,kde' ELSE run_on END AS run_on, cde, "
+    f"CASE WHEN {_UPDATED} THEN {_NEW_RULES} ELSE validation END AS validation, "
+    f"CASE WHEN {_UPDATED} THEN 'c_name/Completeness/Warning/-' ELSE profiler END AS profiler FROM ({_STORE})\nUNION ALL\n"
+    f"SELECT 'supply', {_SUPPLIER}, CAST(NULL AS VARCHAR), 'cde,kde', CAST(NULL AS VARCHAR), {_SUPPLIED}, "
+    "'s_suppkey/Completeness/-/-' FROM supplier"
 )
 
 ORACLE = {

@@ -112,30 +112,15 @@ def q_profile_approx_distinct(spark, sf_dir):
 
 
 PERCENTILES = (0.1, 0.25, 0.5, 0.75, 0.9)
-PERCENTILE_ACCURACY = 1000
+PERCENTILE_ACCURACY = 1_000_000  # a rank error below one row up to half as many rows: the values are exact there
 
 
 def q_profile_percentiles(spark, sf_dir):
-    """P6 bound test: each approximate percentile's rank is within the sketch's error.
-
-    Only the few percentile values (one per requested percentile) reach the driver; the
-    rank check is a second aggregation with those values as literals.
-    """
-    df = table(spark, sf_dir, "part").select("p_retailprice")
+    """Percentiles of two columns, one row each."""
+    df = table(spark, sf_dir, "part").select("p_retailprice", "p_size")
     prof = column_profiles(df, percentiles=PERCENTILES, percentile_accuracy=PERCENTILE_ACCURACY)
-    qs = prof.select("approx_percentiles").first()[0]
-    x = F.col("p_retailprice")
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i, q in enumerate(qs):
-        aggs += [F.count_if(x < F.lit(q)).alias(f"lt{i}"), F.count_if(x <= F.lit(q)).alias(f"le{i}")]
-    ranks = df.agg(*aggs)
-    eps = 1.0 / PERCENTILE_ACCURACY
-    rows = []
-    for i, p in enumerate(PERCENTILES):
-        n = F.col("n")
-        ok = (F.col(f"lt{i}") <= F.lit(p) * n + eps * n + 1) & (F.col(f"le{i}") >= F.lit(p) * n - eps * n - 1)
-        rows.append(F.struct(F.lit(p).alias("percentile"), ok.alias("within_bound")))
-    return ranks.select(F.inline(F.array(*rows)))
+    levels = F.array(*[F.lit(p) for p in PERCENTILES])
+    return prof.select("column_name", F.inline(F.arrays_zip(levels.alias("percentile"), F.col("approx_percentiles").alias("value"))))
 
 
 def q_profile_histogram(spark, sf_dir):
@@ -144,6 +129,13 @@ def q_profile_histogram(spark, sf_dir):
     return histogram_long(events, ["event_type"]).unionByName(histogram_long(conv, ["role"]))
 
 
+def q_profile_histogram_wide(spark, sf_dir):
+    """Every bin of a column with many values, and the exact number of bins in its profile."""
+    events = table(spark, sf_dir, "events")
+    bins = column_profiles(events, ["user_id"]).select("column_name", "bins", "histogram_kept")
+    return histogram_long(events, ["user_id"]).join(bins, "column_name")
+
+
 def docs_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = documents_labels(spark, sf_dir)
     return df.select(
@@ -169,5 +161,6 @@ QUERIES = {
     "profile_approx_distinct": q_profile_approx_distinct,
     "profile_percentiles": q_profile_percentiles,
     "profile_histogram": q_profile_histogram,
+    "profile_histogram_wide": q_profile_histogram_wide,
     "null_blank_space_counts": q_null_blank_space_counts,
 }

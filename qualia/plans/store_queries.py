@@ -99,14 +99,21 @@ def q_rule_selection(spark, sf_dir):
 
 
 def _summary(docs: DataFrame) -> DataFrame:
+    """One row per document; rules as sorted text ``element/name/rule/slo``."""
+
+    def rules(column: str, *fields: str) -> Column:
+        entries = F.transform(F.map_entries(column), lambda e: F.transform(
+            e["value"], lambda r: F.concat_ws("/", e["key"], *[F.coalesce(r[f], F.lit("-")) for f in fields])))
+        return F.coalesce(F.array_join(F.array_sort(F.flatten(entries)), "; "), F.lit(""))
+
     return docs.select(
         "source",
         "entity",
         "primary_key",
         F.array_join("rules_run_on", ",").alias("run_on"),
-        F.size("cde").alias("n_cde"),
-        F.size(F.map_keys("single_column_validation_rules")).alias("n_validation_elements"),
-        F.size(F.map_keys("single_column_profiler_rules")).alias("n_profiler_elements"),
+        F.array_join("cde", ",").alias("cde"),
+        rules("single_column_validation_rules", "rule_name", "rule", "slo").alias("validation"),
+        rules("single_column_profiler_rules", "dimension", "check_level", "slo").alias("profiler"),
     )
 
 
@@ -140,7 +147,10 @@ def q_rules_upsert(spark, sf_dir):
         F.array(F.lit("cde")).alias("rules_run_on"),
         F.lit("c_name").alias("primary_key"),
     )
-    return _summary(put_rules(store, replaced.unionByName(supplier_documents(spark, sf_dir), allowMissingColumns=True)))
+    batch = replaced.unionByName(supplier_documents(spark, sf_dir), allowMissingColumns=True).withColumn("version", F.lit(2))
+    # an earlier version of each replaced document is in the same batch: the last one is written
+    earlier = replaced.withColumn("primary_key", F.lit("outdated")).withColumn("version", F.lit(1))
+    return _summary(put_rules(store, batch.unionByName(earlier, allowMissingColumns=True), order_col="version"))
 
 
 def q_rules_update(spark, sf_dir):

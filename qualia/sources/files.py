@@ -23,11 +23,3 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
 
 load_survey_df = read_csv
 load_df = read_csv
-
-
-def read_table(spark: SparkSession, path: str, fmt: str | None = None, **options) -> DataFrame:
-    """Any ``spark.read`` source by format name; Parquet by default (pushdown and pruning)."""
-    fmt = fmt or ("csv" if path.endswith(".csv") else "json" if path.endswith(".json") else "parquet")
-    if fmt == "csv":
-        return read_csv(spark, path, **options)
-    return spark.read.format(fmt).options(**options).load(path)

@@ -108,7 +108,7 @@ ENTITY_SCHEMA = T.StructType(
 FILE_SCHEMA = T.StructType(DOCUMENT_SCHEMA.fields + [T.StructField("entities", T.ArrayType(ENTITY_SCHEMA))])
 
 
-def read_rule_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_rule_documents(spark: SparkSession, path: str, multi_line: bool = True, mode: str = "FAILFAST") -> DataFrame:
     """JSON rule documents with the canonical schema.
 
     ``multi_line=True`` (default): each file holds one document or a JSON array of
@@ -118,10 +118,13 @@ def read_rule_documents(spark: SparkSession, path: str, multi_line: bool = True)
     a top-level ``source`` and a list of ``entities`` (using ``run_rules_on`` or
     ``rules_run_on``, and profiler rules either per column or as ``{rule_name,
     on_columns[]}`` lists per element group). Missing fields read as null; unknown
-    fields are ignored. Validation rules listed per element group name no element, so
-    they are not carried over (see ``grouped_validation_rules``).
+    fields are ignored. Rules listed per element group apply when the document runs rules on
+    that group; a validation rule listed so names no element: its element is the group's
+    column that the rule text mentions first (its first column otherwise).
+
+    A malformed document fails the read (``mode``; see ``malformed_documents``).
     """
-    raw = spark.read.schema(FILE_SCHEMA).option("multiLine", str(bool(multi_line)).lower()).json(path)
+    raw = spark.read.schema(FILE_SCHEMA).option("multiLine", str(bool(multi_line)).lower()).option("mode", mode).json(path)
     is_nested = F.coalesce(F.size("entities") > 0, F.lit(False))
     flat = raw.filter(~is_nested).select(*[f.name for f in DOCUMENT_SCHEMA.fields])
     nested = raw.filter(is_nested).select(
@@ -130,12 +133,55 @@ def read_rule_documents(spark: SparkSession, path: str, multi_line: bool = True)
     return flat.unionByName(_entities_to_documents(nested))
 
 
+def malformed_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """``file, record`` of the files (``multi_line``) or lines that are not JSON, which
+    ``read_rule_documents`` refuses."""
+    raw = spark.read.option("wholetext", str(bool(multi_line)).lower()).text(path)
+    raw = raw.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("record"))
+    return raw.where(F.try_parse_json("record").isNull() & (F.trim("record") != ""))
+
+
+def _grouped_validation() -> Column:
+    """Validation rules listed per element group, as a map element -> rules (null without any)."""
+    none = F.array().cast("array<string>")
+    run_on = F.coalesce(F.col("rules_run_on"), F.col("run_rules_on"), none)
+    groups = F.filter(F.map_entries("validation_rules"), lambda g: F.array_contains(run_on, g["key"]))
+
+    def element(names: Column, rule: Column) -> Column:
+        # position of each of the group's names in the rule text; the earliest one wins
+        found = F.transform(names, lambda n: F.struct(F.instr(F.lower(rule), F.lower(n)).alias("at"), (-F.length(n)).alias("len"), n.alias("name")))
+        first = F.array_min(F.filter(found, lambda x: x["at"] > 0))
+        return F.coalesce(first["name"], F.get(names, F.lit(0)))
+
+    def pairs_of(g: Column) -> Column:
+        # a group may name columns of the other group: all the document's elements are looked for
+        own = F.when(g["key"] == "kde", F.coalesce("kde", none)).otherwise(F.coalesce("cde", none))
+        names = F.array_distinct(F.concat(own, F.coalesce("cde", none), F.coalesce("kde", none)))
+        return F.transform(g["value"], lambda r: F.struct(
+            element(names, r["rule"]).alias("col"),
+            F.struct(
+                r["rule_specification"].alias("rule_specification"), r["rule_name"].alias("rule_name"), r["rule"].alias("rule"),
+                F.lit(None).cast("string").alias("rule_type"), F.lit(None).cast("string").alias("dimension"),
+                F.lit(None).cast("string").alias("slo"), F.lit(1).alias("is_active"), F.lit(None).cast("string").alias("check_level"),
+            ).alias("rule")))
+
+    pairs = F.filter(F.flatten(F.transform(groups, pairs_of)), lambda p: p["col"].isNotNull())
+    cols = F.array_distinct(F.transform(pairs, lambda p: p["col"]))
+    by_col = F.map_from_arrays(
+        cols, F.transform(cols, lambda c: F.array_distinct(F.transform(F.filter(pairs, lambda p: p["col"] == c), lambda p: p["rule"]))))
+    return F.when(F.size(pairs) > 0, by_col)
+
+
 def _entities_to_documents(ents: DataFrame) -> DataFrame:
     """Entity records (one per row, with ``_source``) -> canonical documents, per row only."""
+    run_on = F.coalesce(F.col("rules_run_on"), F.col("run_rules_on"), F.array().cast("array<string>"))
+    listed = F.map_filter(
+        F.coalesce(F.col("profiler_rules"), F.create_map().cast(ENTITY_SCHEMA["profiler_rules"].dataType)),
+        lambda group, _: F.array_contains(run_on, group))
     # {group: [{rule_name, on_columns}]} -> [(column, profiler rule)] -> map column -> rules
     pairs = F.flatten(
         F.transform(
-            F.map_values(F.coalesce(F.col("profiler_rules"), F.create_map().cast(ENTITY_SCHEMA["profiler_rules"].dataType))),
+            F.map_values(listed),
             lambda rules: F.flatten(
                 F.transform(
                     rules,
@@ -172,7 +218,10 @@ def _entities_to_documents(ents: DataFrame) -> DataFrame:
         "kde",
         F.coalesce(F.col("rules_run_on"), F.col("run_rules_on")).alias("rules_run_on"),
         "primary_key",
-        "single_column_validation_rules",
+        F.coalesce(
+            F.col("single_column_validation_rules"),
+            _grouped_validation().cast(DOCUMENT_SCHEMA["single_column_validation_rules"].dataType),
+        ).alias("single_column_validation_rules"),
         profiler.cast(DOCUMENT_SCHEMA["single_column_profiler_rules"].dataType).alias("single_column_profiler_rules"),
         "dataset_level_validation_rules",
     )
@@ -313,55 +362,7 @@ def select_rules(rules: DataFrame, kind: str | None = "validation") -> DataFrame
     return rules.filter(cond)
 
 
-def metric_config_table(spark: SparkSession, profiler_rules: Iterable[Mapping]) -> DataFrame:
-    """Profiler-rule config ``[{rule_name, on_columns[]}]`` as a (rule_name, column) table."""
-    rows = [(r["rule_name"], list(r.get("on_columns") or [])) for r in profiler_rules]
-    df = spark.createDataFrame(rows, "rule_name string, on_columns array<string>")
-    return df.select("rule_name", F.explode("on_columns").alias("column"))
-
-
-def expand_documents(docs: Iterable[Mapping], kind: str | None = "validation") -> list[dict]:
-    """Driver-side twin of ``select_rules(rules_table(docs))`` for documents that are
-    already Python dicts (configuration in code): same scope, activity and default rules,
-    without a Spark round trip. Stored catalogues go through the DataFrame path."""
-    out: list[dict] = []
-    for d in docs:
-        run_on = set(d.get("rules_run_on") or [])
-        groups = [g for g in ("cde", "kde") if g in run_on]
-        listed = {str(x).lower() for g in groups for x in (d.get(g) or [])}
-        base = {"source": d.get("source"), "entity": d.get("entity")}
-
-        def active(r: Mapping) -> bool:
-            return r.get("is_active") is None or int(r["is_active"]) == 1
-
-        if kind in (None, "validation"):
-            for element, rs in (d.get("single_column_validation_rules") or {}).items():
-                if str(element).lower() not in listed:
-                    continue
-                for r in rs or []:
-                    if active(r):
-                        out.append({**base, "element": element, "level": "column", "kind": "validation",
-                                    "rule_name": r.get("rule_name"), "rule_specification": r.get("rule_specification"),
-                                    "rule": r.get("rule"), "rule_type": r.get("rule_type") or "non_aggregate",
-                                    "dimension": r.get("dimension"), "check_level": r.get("check_level"),
-                                    "slo": r.get("slo"), "is_active": 1})
-            for r in d.get("dataset_level_validation_rules") or []:
-                if active(r):
-                    out.append({**base, "element": "*", "level": "dataset", "kind": "validation",
-                                "rule_name": r.get("rule_name"), "rule_specification": r.get("rule"),
-                                "rule": r.get("rule"), "rule_type": "aggregate", "dimension": "size",
-                                "check_level": r.get("check_level"), "slo": r.get("service_level_objective"),
-                                "is_active": 1})
-        if kind in (None, "profile"):
-            for element, rs in (d.get("single_column_profiler_rules") or {}).items():
-                if str(element).lower() not in listed:
-                    continue
-                for r in rs or []:
-                    if active(r):
-                        dim = r.get("dimension")
-                        out.append({**base, "element": element, "level": "column", "kind": "profile",
-                                    "rule_name": r.get("dimension_instance") or f"{element}_{str(dim).lower()}",
-                                    "rule_specification": dim, "rule": r.get("dimension_rule") or dim,
-                                    "rule_type": "aggregate", "dimension": dim, "check_level": r.get("check_level"),
-                                    "slo": r.get("slo"), "is_active": 1})
-    return out
+def rules_of(spark: SparkSession, docs: Iterable[Mapping], kind: str | None = "validation") -> list[dict]:
+    """The rules that run of documents written as Python dicts, through ``rules_table`` and
+    ``select_rules`` (configuration in code: the rules are read to be compiled into a plan)."""
+    return [r.asDict() for r in select_rules(rules_table(documents_from_dicts(spark, docs)), kind).collect()]

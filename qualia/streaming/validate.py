@@ -56,7 +56,7 @@ def run_available(result: DataFrame, path: str | None = None, checkpoint: str |
                   output_mode: str = "complete") -> DataFrame:
     """Run a streaming result over all available input; return the snapshot as a batch table.
 
-    ``complete``: each micro-batch overwrites the snapshot with the full result.
+    ``complete``: each micro-batch writes the full result as a snapshot of its own; the last is returned.
     ``append`` (stateless results such as row results): each micro-batch writes its own
     ``batch_id=<epoch>`` folder with overwrite, so a retried batch replaces its rows
     instead of adding them twice. An input with no data gives an empty table.
@@ -67,9 +67,13 @@ def run_available(result: DataFrame, path: str | None = None, checkpoint: str |
     path = path or scratch_path(spark, "stream_snapshot")
     checkpoint = checkpoint or scratch_path(spark, "stream_checkpoint")
 
+    latest: list[str] = []
+
     def write(batch: DataFrame, epoch_id: int) -> None:
         if output_mode == "complete":
-            batch.write.mode("overwrite").parquet(path)
+            # each batch writes a folder of its own: a failed write leaves the last snapshot whole
+            batch.write.mode("overwrite").parquet(f"{path}/snapshot-{epoch_id}")
+            latest.append(f"{path}/snapshot-{epoch_id}")
         else:
             batch.write.mode("overwrite").parquet(f"{path}/batch_id={epoch_id}")
 
@@ -81,9 +85,15 @@ def run_available(result: DataFrame, path: str | None = None, checkpoint: str |
         .start()
     )
     query.awaitTermination()
-    try:
-        out = spark.read.schema(result.schema).parquet(path) if output_mode == "complete" else spark.read.parquet(path)
-        out.schema  # noqa: B018 - resolve the path now
-    except Exception:  # noqa: BLE001 - no micro-batch ran: nothing was written
+    if output_mode == "complete":
+        return spark.read.schema(result.schema).parquet(latest[-1]) if latest else spark.createDataFrame([], result.schema)
+    if not _exists(spark, path):  # no micro-batch ran: nothing was written
         return spark.createDataFrame([], result.schema)
+    out = spark.read.parquet(path)
     return out.drop("batch_id") if "batch_id" in out.columns else out
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists on the file system its path names."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)

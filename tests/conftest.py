@@ -16,7 +16,7 @@ def spark():
     return local_session(8, shuffle_partitions=8, app="qualia-tests")
 
 
-# Survey fixture: the columns the reference scripts use, values retyped from the sample
+# The survey sample behind the recorded goldens
 # (9 rows; one patient id missing; timestamps in mixed formats).
 SURVEY_ROWS = [
     (11, 10901, "2014-08-27 11:29", 37, "Female", "United States", "IL", "Yes"),

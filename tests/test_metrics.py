@@ -2,7 +2,7 @@ import pytest
 
 from qualia.operators.metrics import (
     ApproxCountDistinct, Completeness, Compliance, CountDistinct, Distinctness, Histogram, MaxLength, Mean,
-    MinLength, Size, StandardDeviation, Sum, Uniqueness, metrics_from_config, run_metrics,
+    MetricError, MinLength, Size, StandardDeviation, Sum, Uniqueness, metric_errors, metrics_from_config, run_metrics,
 )
 
 
@@ -26,8 +26,8 @@ def test_recorded_metric_definitions(recorded):
     assert m[("Column", "patient_id", "Histogram.abs.10907")] == 4.0
     assert m[("Column", "patient_id", "Histogram.ratio.10907")] == pytest.approx(4 / 9)
     assert m[("Column", "patient_id", "Histogram.abs.NullValue")] == 1.0
-    # no row matches the filter: the metric is undefined and left out
-    assert not any(k[2].startswith("Completeness") for k in m)
+    # no row matches the filter: the metric is undefined
+    assert m[("Column", "patient_id", "Completeness (where: country = 'JERSY')")] is None
 
 
 def test_numeric_profile_values(recorded):
@@ -37,16 +37,16 @@ def test_numeric_profile_values(recorded):
     assert m[("Column", "GP2_CHI", "StandardDeviation")] == pytest.approx(0.31426968052735454)
 
 
-def test_lengths_count_distinct_and_failed_metrics_left_out(survey):
+def test_lengths_and_count_distinct(survey):
     m = as_dict(run_metrics(survey, [
         MaxLength("country"), MinLength("country"), CountDistinct("country"), MaxLength("Age"),
         Completeness("no_such_column"), ApproxCountDistinct("country"),
-    ]))
+    ], on_error="report"))
     assert m[("Column", "country", "MaxLength")] == len("United Kingdom")
     assert m[("Column", "country", "MinLength")] == len("Canada")
     assert m[("Column", "country", "CountDistinct")] == 3.0
-    assert ("Column", "Age", "MaxLength") not in m  # not a string column
-    assert all(k[1] != "no_such_column" for k in m)
+    assert m[("Column", "Age", "MaxLength")] is None  # not a string column
+    assert m[("Column", "no_such_column", "Completeness")] is None
     assert m[("Column", "country", "ApproxCountDistinct")] == 3.0
 
 
@@ -89,10 +89,25 @@ def test_many_metrics_split_into_blocks(spark):
     assert abs(m[("Column", "c0", "ApproxCountDistinct")] - 50) <= 5
 
 
-def test_failed_metrics_left_out_not_fatal(survey):
-    m = as_dict(run_metrics(survey, [Size(), Compliance("x", "zzz > 0"), Completeness("Age", where="nope = 1"),
-                                     Uniqueness("Age", where="nope = 1"), Uniqueness("Age")]))
-    assert set(m) == {("Dataset", "*", "Size"), ("Column", "Age", "Uniqueness")}
+def test_failed_metrics_are_reported(survey):
+    wanted = [Size(), Compliance("x", "zzz > 0"), Completeness("Age", where="nope = 1"), Uniqueness("Age", where="nope = 1"),
+              Uniqueness("Age"), Compliance("sum", "Age + 1"), Uniqueness("zz"), Mean("Age", where="Age > 1000")]
+    with pytest.raises(MetricError, match="zzz"):
+        run_metrics(survey, wanted)
+    rows = {(r.instance, r.name): r for r in run_metrics(survey, wanted, on_error="report").collect()}
+    assert len(rows) == len(wanted)
+    failed = {k for k, r in rows.items() if r.error}
+    assert failed == {("x", "Compliance"), ("Age", "Completeness (where: nope = 1)"), ("Age", "Uniqueness (where: nope = 1)"),
+                      ("sum", "Compliance"), ("zz", "Uniqueness")}
+    empty = rows[("Age", "Mean (where: Age > 1000)")]
+    assert empty.value is None and empty.error is None  # undefined, not failed
+    assert {(r.instance, r.name) for r in metric_errors(survey, wanted).collect()} == failed
+
+
+def test_undefined_values_keep_their_rows(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),)], "x double")
+    (row,) = run_metrics(df, [Mean("x")]).collect()
+    assert row.name == "Mean"
 
 
 def test_compliance_by_name_needs_predicate():

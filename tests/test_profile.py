@@ -40,8 +40,6 @@ def test_profile_empty_table(spark):
 def test_profile_modes(survey):
     none = by_col(profile(survey, ["Age", "country"], frequencies_mode="none"))
     assert none["Age"].num_distinct is None
-    low = by_col(profile(survey, ["Age", "country"], frequencies_mode="low_cardinality", low_cardinality_threshold=5))
-    assert low["country"].num_distinct == 3 and low["Age"].num_distinct is None
 
 
 def test_profile_rejects_complex(spark):
@@ -72,10 +70,30 @@ def test_type_inference(spark):
     assert p["s"].data_type == "String"
 
 
-def test_histogram_threshold_bounds_lists(survey):
-    h = histogram_long(survey, ["Age", "country"], threshold=5).collect()
-    assert {r.column_name for r in h} == {"country"}
-    assert sum(r["count"] for r in h) == 9
+def test_histograms_keep_every_bin(spark):
+    df = spark.range(0, 500).selectExpr("id % 121 AS wide", "CASE WHEN id % 2 = 0 THEN id % 119 END AS narrow")
+    bins = {c: sum(1 for _ in rows) for c, rows in
+            {c: [r for r in histogram_long(df, ["wide", "narrow"]).collect() if r.column_name == c] for c in ("wide", "narrow")}.items()}
+    assert bins == {"wide": 121, "narrow": 120}
+    p = by_col(column_profiles(df), "column_name")
+    assert (p["wide"].bins, p["wide"].histogram_kept, p["wide"].histogram) == (121, False, None)
+    assert (p["narrow"].bins, p["narrow"].histogram_kept, len(p["narrow"].histogram)) == (120, True, 120)
+    wide = by_col(column_profiles(df, histogram_threshold=121), "column_name")["wide"]
+    assert wide.histogram_kept and sum(h["count"] for h in wide.histogram) == 500
+    assert {r.column_name for r in histogram_long(df, ["wide", "narrow"], threshold=120).collect()} == {"narrow"}
+
+
+def test_library_profile_is_lazy(spark):
+    boom = spark.range(5).selectExpr("raise_error('a job ran') AS x", "id")
+    assert "bins" in column_profiles(boom).columns
+
+
+def test_all_null_keys_read_as_null(spark):
+    from qualia.operators.metrics import Histogram, run_metrics
+
+    df = spark.createDataFrame([(None, None), (None, 1), (2, None)], "a int, b int")
+    names = {r.name for r in run_metrics(df, [Histogram(["a", "b"])]).collect()}
+    assert "Histogram.abs.NullValue" in names and 'Histogram.abs.{"0":"2","1":null}' in names
 
 
 def test_percentiles(spark):

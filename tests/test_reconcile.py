@@ -1,5 +1,9 @@
+import pytest
+from pyspark.sql import functions as F
+
 from qualia.operators.reconcile import RECONCILE_COLUMNS, differences, reconcile, reconcile_from_mapping
 
+# The mapping document of the recorded reconciliation (15 rows).
 MAPPING = {
     "src": "sse",
     "entity": "sse_account",
@@ -44,31 +48,50 @@ def test_unmatched_and_null_keys(spark):
     assert left.count() == 5
 
 
-def test_hot_key_is_split_by_aqe(spark):
-    """One key holds a third of the source: the left join must be split, results whole."""
-    confs = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
+def sides(spark, hot_source, hot_external):
+    """Keys 0..1999; key 7 holds a third of either side, as asked; null keys on both sides."""
+    src = spark.range(0, 3000).selectExpr(
+        "id", f"CASE WHEN id < {1000 if hot_source else 1} THEN 7 WHEN id % 50 = 0 THEN NULL ELSE id END AS k", "CAST(id % 97 AS STRING) AS v")
+    ext = spark.range(1500, 4500).selectExpr(
+        f"CASE WHEN id < {2500 if hot_external else 1501} THEN 7 WHEN id % 70 = 0 THEN NULL ELSE id END AS kk", "CAST(id % 97 AS STRING) AS w")
+    return src, ext
+
+
+@pytest.mark.parametrize("how", ["full_outer", "left"])
+@pytest.mark.parametrize("hot_source,hot_external", [(True, False), (False, True), (True, True), (False, False)])
+def test_hot_keys_are_dealt_out(spark, how, hot_source, hot_external):
+    src, ext = sides(spark, hot_source, hot_external)
+    out = reconcile(src, ext, "k=kk", ["v=w"], primary_key="id", publish_date=None, run_ts="2024-01-01", how=how,
+                    heavy_rows=300, salts=8)
+    got = out.groupBy("primary_key_value", "current_value", "expected_value").count()
+    plain = src.join(ext, src["k"] == ext["kk"], how).select(
+        src["id"].cast("string").alias("primary_key_value"), src["v"].alias("current_value"), ext["w"].alias("expected_value"))
+    want = plain.groupBy("primary_key_value", "current_value", "expected_value").count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_each_side_is_read_for_its_keys_and_once_more(spark, tmp_path):
+    src, ext = sides(spark, True, True)
+    src.write.parquet(str(tmp_path / "s"))
+    ext.write.parquet(str(tmp_path / "e"))
+    out = reconcile(spark.read.parquet(str(tmp_path / "s")), spark.read.parquet(str(tmp_path / "e")), "k=kk", ["v=w"],
+                    primary_key="id", publish_date=None)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().replace("scalar-subquery", "\n")
+    rows = [line for line in plan.splitlines() if "Join FullOuter" in line and "_salt_s" in line]
+    assert len(rows) == 1  # the one join of the rows
+
+
+def test_heavy_keys_spread_over_tasks(spark):
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
     old = {k: spark.conf.get(k, None) for k in confs}
     try:
         for k, v in confs.items():
             spark.conf.set(k, v)
-        src = spark.range(0, 30000).selectExpr(
-            "id", "CASE WHEN id < 10000 THEN 7 ELSE id END AS k", "CAST(id % 97 AS STRING) AS v")
-        ext = spark.range(0, 30000, 3).selectExpr("id AS kk", "CAST(id % 97 AS STRING) AS w")
-        out = reconcile(src, ext, "k=kk", ["v=w"], primary_key="id", publish_date=None, run_ts="2024-01-01")
-        n = len(out.collect())  # run this plan so its adaptive plan is final
-        # source rows: 30000 (key 7 matches one external row); external-only: keys not in source
-        src_keys = {7} | set(range(10000, 30000))
-        ext_only = sum(1 for kk in range(0, 30000, 3) if kk not in src_keys)
-        assert n == 30000 + ext_only
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "skew=true" in plan, plan[:2000]
+        for hot_source, hot_external in ((True, False), (False, True)):
+            src, ext = sides(spark, hot_source, hot_external)
+            out = reconcile(src, ext, "k=kk", ["v=w"], primary_key="id", publish_date=None, heavy_rows=300, salts=32)
+            sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+            assert max(sizes) < 0.4 * sum(sizes) and len(sizes) >= 6
     finally:
         for k, v in old.items():
             if v is None:

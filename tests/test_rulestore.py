@@ -40,10 +40,26 @@ def test_update_sets_three_attributes(spark):
     assert out[("new", "x")].cde is None
 
 
+def test_the_last_document_of_a_key_wins(spark):
+    batch = documents_from_dicts(spark, [
+        {"source": "nhs", "entity": "gp", "primary_key": "first"}, {"source": "nhs", "entity": "gp", "primary_key": "second"},
+        {"source": "new", "entity": "x", "primary_key": "a"}, {"source": "new", "entity": "x", "primary_key": "b"}])
+    batch = batch.withColumn("version", F.when(F.col("primary_key").isin("second", "a"), 2).otherwise(1))
+    for docs in (batch, batch.orderBy("primary_key"), batch.orderBy(F.desc("primary_key"))):
+        out = {(r.source, r.entity): r.primary_key for r in put_rules(store(spark), docs, order_col="version").collect()}
+        assert out == {("nhs", "patient"): None, ("nhs", "gp"): "second", ("new", "x"): "a"}
+    assert put_rules(store(spark), batch).count() == 3  # one document per key without an order too
+    twice = documents_from_dicts(spark, [{"source": "nhs", "entity": "gp", "single_column_validation_rules": V},
+                                         {"source": "nhs", "entity": "gp"}])
+    twice = twice.withColumn("version", F.when(F.col("single_column_validation_rules").isNull(), 1).otherwise(2))
+    out = [r for r in update_rules(store(spark), twice, order_col="version").collect() if r.entity == "gp"]
+    assert len(out) == 1 and out[0].single_column_validation_rules["patient_id"][0].rule == "patient_id is not null"
+
+
 def test_single_document_calls(spark, survey):
     from qualia.operators.rulestore import get_rule_document, put_rule, update_rule
     from qualia.operators.validate import rule_metrics
-    from qualia.sources.rules import expand_documents
+    from qualia.sources.rules import rules_of
 
     s = put_rule(store(spark), "nhs", "patient", ["patient_id", "age"], ["country"], ["cde", "kde"],
                  single_column_validation_rules={"country": [{"rule_name": "country_known", "rule": "country is not null",
@@ -51,7 +67,7 @@ def test_single_document_calls(spark, survey):
     s = update_rule(s, "nhs", "patient", single_column_validation_rules=V)
     doc = get_rule_document(s, "nhs", "patient")
     assert doc["rules_run_on"] == ["cde", "kde"] and doc["kde"] == ["country"]
-    rules = expand_documents([doc])
+    rules = rules_of(spark, [doc])
     assert [r["rule_name"] for r in rules] == ["patient_id_isnull"]
     m = rule_metrics(survey, rules).first()
     assert (m.success_count, m.failure_count) == (8, 1)

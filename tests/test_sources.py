@@ -1,4 +1,4 @@
-from qualia.operators.basic import count_by_country
+from qualia.operators.basic import count_by
 from qualia.sources.files import read_csv
 
 CSV = """"patient_id","Age","Country","state","Gender","comments"
@@ -23,7 +23,7 @@ def test_csv_inferred_schema_and_country_counts(spark, tmp_path):
     assert types["patient_id"] == "int" and types["Age"] == "int" and types["comments"] == "string"
     rows = df.collect()
     assert rows[1].patient_id is None and rows[0].comments == "NA" and rows[1].comments is None
-    counts = {r["Country"]: r["count"] for r in count_by_country(df).collect()}
+    counts = {r["Country"]: r["count"] for r in count_by(df, "Country", where="Age < 40").collect()}
     assert counts == {"United States": 4, "Canada": 2, "United Kingdom": 1}
 
 
