@@ -8,10 +8,13 @@ chunks are encoded together. The ids are those of encoding the whole text (tests
 from __future__ import annotations
 
 import os
+import struct
 import unicodedata
 
 import numpy as np
 
+from qualia.llm.pair_bpe import byte_letters
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 from tokenizers import Tokenizer  # noqa: E402
 
@@ -25,6 +28,15 @@ def _one_word(stem: str) -> bool:
     return stem.isalpha() and (stem.isascii() or unicodedata.normalize("NFC", stem).lower().isalpha())
 
 
+def _latin(word: str) -> bool:
+    """Whether all characters are in Latin-1: they are composed, and each has one lower-case letter there."""
+    try:
+        word.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class WordBpe:
     """Encoder with a bounded cache of chunk -> ids as little-endian unsigned 32-bit integers."""
 
@@ -37,7 +49,7 @@ class WordBpe:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def __init__(self, path: str, max_chunks: int = 400_000):
+    def __init__(self, path: str, max_chunks: int = 600_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -45,9 +57,15 @@ class WordBpe:
         self.word_end = np.zeros(max(vocab.values()) + 1, dtype=bool)
         for token, i in vocab.items():
             self.word_end[i] = token.endswith("</w>")
+        self.letters = {b: c for b, c in byte_letters().items() if chr(b) != c}
+        self.packers = [struct.Struct(f"<{n}I").pack for n in range(64)]
         self.max_chunks = max_chunks
         self.cache: dict[str, bytes] = {"": b""}
 
+    def pack(self, ids: list[int]) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        return self.packers[len(ids)](*ids) if len(ids) < 64 else np.asarray(ids, dtype="<u4").tobytes()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each whole text (null: empty)."""
         if len(self.cache) > self.max_chunks:
@@ -62,7 +80,7 @@ class WordBpe:
         for chunk in chunks:
             stem = chunk.rstrip(_TAIL)
             if len(stem) < 200 and _one_word(stem):
-                low = stem.lower() if stem.isascii() else stem
+                low = stem.lower() if stem.isascii() or _latin(stem) else stem
                 tail = chunk[len(stem):]
                 parts[chunk] = (low, tail)
                 words.add(low)
@@ -82,8 +100,19 @@ class WordBpe:
         return {c: np.asarray(e.ids, dtype="<u4").tobytes() for c, e in zip(chunks, found)}
 
     def _words(self, words: list[str]) -> dict[str, bytes]:
-        """Words of one pre-token each: many joined in one call, cut after each word-end token."""
+        """Words of one pre-token each. Words of Latin-1 letters, already lower-cased, go to the model
+        as they are (each byte as its letter of the vocabulary); of the others many are joined in
+        one call and cut after each word-end token."""
         out: dict[str, bytes] = {}
+        tokenize, pack, rest = self.tokenizer.model.tokenize, self.pack, []
+        for w in words:
+            if w.isascii():
+                out[w] = pack([t.id for t in tokenize(w)])
+            elif _latin(w):
+                out[w] = pack([t.id for t in tokenize(w.encode().decode("latin-1").translate(self.letters))])
+            else:
+                rest.append(w)
+        words = rest
         groups = [words[i:i + _JOINED] for i in range(0, len(words), _JOINED)]
         found = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False) if groups else []
         for group, e in zip(groups, found):
