@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from qualia.session import ensure_checkpoint_dir
+
 
 def _union_find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     above: dict[int, int] = {}
@@ -38,6 +40,7 @@ def _union_find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def connected_components(links: DataFrame, max_steps: int = 60, local_links: int = 1_000_000) -> DataFrame:
     """node, label (the smallest node of its component) for all nodes of ``links`` (a, b: long).
     Lineage is cut by checkpoint()."""
+    ensure_checkpoint_dir(links.sparkSession)
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().checkpoint()
     if edges.count() <= local_links:
         return edges.coalesce(1).mapInArrow(_union_find, "node long, label long").checkpoint()

@@ -23,6 +23,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from qualia.session import ensure_checkpoint_dir
+
 # href or src with an absolute or scheme-relative url; group 1 is the host with its port
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
@@ -61,6 +63,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 def propagate(edges: DataFrame, seeds: DataFrame, steps: int = 10, damping: float = 0.85, cut_every: int = 5) -> DataFrame:
     """host, trust, distrust from ``edges`` (src, dst, n) and ``seeds`` (host, allowed, blocked)."""
+    ensure_checkpoint_dir(edges.sparkSession)
     both = edges.select(F.lit("trust").alias("kind"), "src", "dst", "n").unionAll(
         edges.select(F.lit("distrust"), F.col("dst"), F.col("src"), "n"))
     out_n = both.groupBy("kind", "src").agg(F.sum("n").alias("total"))

@@ -96,7 +96,7 @@ def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, bits: int, smoothing
 
 
 def judge(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 16,
-          threshold: float = -0.2, trusted_rows: int = 20_000) -> DataFrame:
+          threshold: float = -0.16, trusted_rows: int = 20_000) -> DataFrame:
     """Per document: doc_id, n_words, the base columns, base_failed, score and kept. ``trusted_ids``
     has the ids of trusted documents in its first column."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
