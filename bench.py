@@ -110,6 +110,43 @@ def naive_rules(spark: SparkSession, sf_dir: str) -> None:
     out.collect()
 
 
+def naive_reconcile(spark: SparkSession, sf_dir: str) -> None:
+    """One outer join per mapped attribute, unioned."""
+    src, ext = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    ext = ext.select([F.col(c).alias(f"x_{c}") for c in ext.columns])
+    parts = []
+    for a, b in (("c_name", "x_n_name"), ("c_nationkey", "x_n_nationkey"), ("c_mktsegment", "x_n_name")):
+        joined = src.join(ext, src["c_nationkey"] == ext["x_n_nationkey"], "full_outer")
+        parts.append(joined.select(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("now"), F.col(b).cast("string").alias("expected")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    out.collect()
+
+
+def naive_metrics(spark: SparkSession, sf_dir: str) -> None:
+    """One action per configured metric."""
+    df = table(spark, sf_dir, "customer")
+    for c in ("c_custkey", "c_name", "c_mktsegment", "c_nationkey"):
+        df.agg(F.count(c), F.count("*")).collect()
+    for c in ("c_nationkey", "c_mktsegment", "c_name", "c_custkey"):
+        df.groupBy(c).count().agg(F.count("*"), F.sum("count")).collect()
+    for c in ("c_name", "c_mktsegment"):
+        df.agg(F.max(F.length(c)), F.min(F.length(c))).collect()
+
+
+def naive_checks(spark: SparkSession, sf_dir: str) -> None:
+    """One action per constraint of the orders suite."""
+    df = table(spark, sf_dir, "orders")
+    df.groupBy("o_custkey").count().count()
+    df.where("o_totalprice > 300000").agg(F.count("o_orderpriority"), F.count("*")).collect()
+    df.groupBy("o_orderkey", "o_custkey").count().where("count = 1").count()
+    df.count()
+    df.where("coalesce(o_totalprice, 0.0) >= 0").count()
+    df.where("o_orderstatus <> 'F' and o_totalprice < 480000").count()
+    df.select("o_orderstatus").distinct().count()
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -125,6 +162,9 @@ def main() -> None:
     naive = {
         "profile_basic_per_column_actions": timed(lambda: naive_profile(spark, sf_dir), repeat),
         "rule_metrics_orders_per_rule_plans": timed(lambda: naive_rules(spark, sf_dir), repeat),
+        "reconcile_per_attribute_joins": timed(lambda: naive_reconcile(spark, sf_dir), repeat),
+        "metrics_from_config_per_metric_actions": timed(lambda: naive_metrics(spark, sf_dir), repeat),
+        "check_suite_per_constraint_actions": timed(lambda: naive_checks(spark, sf_dir), repeat),
     }
     total = round(sum(times.values()), 3)
     print(
@@ -139,10 +179,14 @@ def main() -> None:
                 "repeat": repeat,
                 "naive": naive,
                 "speedup_vs_naive": {
-                    "profile_basic": round(naive["profile_basic_per_column_actions"] / max(times["profile_basic"], 1e-9), 2),
-                    "rule_metrics_orders": round(
-                        naive["rule_metrics_orders_per_rule_plans"] / max(times["rule_metrics_orders"], 1e-9), 2
-                    ),
+                    name: round(naive[loop] / max(times[name], 1e-9), 2)
+                    for name, loop in (
+                        ("profile_basic", "profile_basic_per_column_actions"),
+                        ("rule_metrics_orders", "rule_metrics_orders_per_rule_plans"),
+                        ("reconcile_accounts", "reconcile_per_attribute_joins"),
+                        ("metrics_from_config", "metrics_from_config_per_metric_actions"),
+                        ("check_suite", "check_suite_per_constraint_actions"),
+                    )
                 },
                 "spark": spark.version,
                 "notes": (

@@ -31,12 +31,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder from the session.
+    """Return the shared checkpoint folder from the session; called where one is needed.
 
     Only a local-mode session (tests, the bench) without one gets a private temporary
     folder; on a cluster the folder must be configured (a machine-local folder is not
@@ -68,5 +67,5 @@ def checkpoint_dir(spark: SparkSession, required: bool = True) -> str | None:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared checkpoint dir."""
-    base = checkpoint_dir(spark)
+    base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "qualia", f"{name}-{uuid.uuid4().hex}")
