@@ -28,6 +28,7 @@ columns are not read by ``components`` and kept by ``keep_first``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -232,7 +233,12 @@ class JaccardJoin:
                         [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets)))],
                         names=["node", "shingles"])
 
-        return self._written(self.texts.mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"]), "sets")
+        # bucketed by node: the joins of each round read it in place and shuffle their pairs only
+        name, buckets = f"shingle_sets_{uuid.uuid4().hex}", int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        found = self.texts.mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"]).repartition(buckets, "node")
+        found.write.format("parquet").bucketBy(buckets, "node").sortBy("node").option(
+            "path", scratch_path(self.spark, "jaccard-sets")).saveAsTable(name)
+        return self.spark.table(name)
 
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs (a, b) whose whole sets are similar."""
