@@ -20,4 +20,19 @@ SELECT k.doc_id, count(*) AS n_lines, count(hot.key) AS n_dropped,
 FROM k LEFT JOIN hot ON k.key = hot.key GROUP BY k.doc_id
 """
 
-ORACLE = {"op8_line_runs": OP8, "op10_digest_index": OP10}
+OP3 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) >= 5
+        THEN list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(list_slice(ws, i, i + 4), chr(1))))
+        WHEN len(ws) > 0 THEN [array_to_string(ws, chr(1))] ELSE [] END AS sh FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS t FROM s),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) + any_value(b.n) AS n, count(*) AS c
+          FROM e a JOIN e b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs WHERE 100 * c >= 75 * (n - c) UNION ALL SELECT b, a FROM pairs WHERE 100 * c >= 75 * (n - c)),
+reach AS (SELECT doc_id AS d, doc_id AS r FROM s UNION SELECT reach.d, links.b FROM reach JOIN links ON reach.r = links.a)
+SELECT s.doc_id, any_value(len(sh)) AS n_shingles, min(r) AS component_id FROM s JOIN reach ON s.doc_id = reach.d GROUP BY s.doc_id
+"""
+
+ORACLE = {"op3_jaccard_join": OP3, "op8_line_runs": OP8, "op10_digest_index": OP10}

@@ -53,7 +53,7 @@ def op2_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's near-duplicate component: five-word shingles, similarity of 0.75 or more."""
-    return jaccard_join.JaccardJoin(_documents(spark, sf_dir)).components().drop("first", "at")
+    return jaccard_join.JaccardJoin(_documents(spark, sf_dir)).components().select("doc_id", "n_shingles", "component_id")
 
 
 def op4_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
