@@ -12,8 +12,8 @@ and pairs of frequent prefix tokens of one class; m follows the set size (the sm
 step), which keeps the number of pairs linear in the prefix, and pairs carry that size step. A set
 without frequent tokens in its plain prefix (k = 1) needs no more than that prefix.
 
-Equal sets are one node. Sets that share an index entry are candidates, but not all pairs of them
-are made: in a few rounds each set of an entry is compared with one hub of it, verified links are
+Equal sets are one node, and entries with equal nodes are one entry. Sets that share an index entry
+are candidates, but not all pairs of them are made: in a few rounds each set of an entry is compared with one hub of it, verified links are
 contracted to components, and only entries that still hold several components go on. At the end,
 pairs of such an entry are compared only across components and only if sizes and the parity bitmaps
 of both sets (a bound on their difference) allow the similarity. Verification counts the common
@@ -42,7 +42,7 @@ from qualia.llm.components import connected_components
 from qualia.llm.sketch import bucket_counts
 from qualia.session import scratch_path
 
-PARITY = 8  # 64-bit words of a set's parity bitmap
+PARITY = 32  # 64-bit words of a set's parity bitmap
 CLASS_SIZE = 8  # frequent prefix tokens of a class, about
 
 
@@ -276,6 +276,11 @@ class JaccardJoin:
         wanted = self._filter(shared, "entry")
         members = self._written(
             self._index(scheme, wanted).join(shared, "entry").select("entry", "node", "hub").distinct(), "members")
+        # Of entries with the same nodes (as most of a family of near copies are) one is enough.
+        alike = members.groupBy("entry", "hub").agg(
+            F.bit_xor(F.xxhash64("node")).alias("x"), F.count(F.lit(1)).alias("k"), F.max("node").alias("last"))
+        alike = alike.groupBy("hub", "last", "k", "x").agg(F.min("entry").alias("entry")).select("entry")
+        members = self._written(members.join(alike, "entry", "left_semi"), "distinct-members")
         tested = members.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         tested = self._written(self._possible(tested, nodes), "tested")
         sets = self._sets(members.select("node"))
