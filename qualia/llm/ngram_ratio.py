@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from qualia.session import scratch_path
+
 # Fixed value: the white space that separates words.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
@@ -84,8 +86,10 @@ def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, bits: int, smoothing
     """bucket, weight (long, units of 2**-20) from rows (doc_id, text) and distinct trusted ids ``id``."""
     flagged = docs.join(F.broadcast(trusted_ids), F.col("doc_id") == F.col("id"), "left").select(
         "text", F.col("id").isNotNull().cast("long").alias("trusted"))
-    counts = grams(flagged, bits, "trusted").groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("target"))
+    path = scratch_path(docs.sparkSession, "gram-counts")
+    grams(flagged, bits, "trusted").groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("target")).write.parquet(path)
+    counts = docs.sparkSession.read.schema("bucket int, raw long, target long").parquet(path)
     sums = counts.agg(F.sum("raw").alias("n_raw"), F.sum("target").alias("n_target")).first()
     n_raw, n_target, cells = sums["n_raw"] or 0, sums["n_target"] or 0, 1 << bits
     if not n_target:
