@@ -31,26 +31,26 @@ def text_digest(text: Column) -> Column:
 
 
 class DigestIndex:
-    """A persistent index; ``name`` is a table of the session's catalog, files are under ``path``."""
+    """A persistent index: files under ``path``, bucketed by digest, read as table ``name`` of the
+    session. A path that holds an index is opened again (with the number of buckets it was made with)."""
 
-    def __init__(self, spark: SparkSession, name: str | None = None, path: str | None = None, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None, name: str | None = None):
         self.spark = spark
         self.name = name or f"digest_index_{uuid.uuid4().hex}"
         self.path = path or scratch_path(spark, "digest-index")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        location = self.path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT, keep_at BIGINT, n BIGINT) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{location}'")
 
     def read(self) -> DataFrame:
         """Rows of the index: digest, keep_id, keep_at, n."""
-        if not self.spark.catalog.tableExists(self.name):
-            return self.spark.createDataFrame([], "digest binary, keep_id long, keep_at long, n long")
         return self.spark.table(self.name)
 
     def append(self, groups: DataFrame) -> None:
         """Add groups (digest, keep_id, keep_at, n) that the index does not hold."""
-        (
-            groups.select("digest", "keep_id", "keep_at", "n").write.mode("append").format("parquet")
-            .bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.path).saveAsTable(self.name)
-        )
+        groups.select("digest", "keep_id", "keep_at", "n").write.mode("append").insertInto(self.name)
 
     def decide(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """Deduplicate one batch and append its new digests.

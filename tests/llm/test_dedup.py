@@ -181,11 +181,13 @@ def test_a_later_batch_is_deduplicated_against_the_index(spark, tmp_path):
     assert {r.doc_id for r in index.keep(first).collect()} == {2, 3}
     kept = index.keep(second)
     assert {r.doc_id for r in kept.collect()} == {5, 6} and kept.columns == ["doc_id", "text", *EXTRA]
-    third = {r.doc_id: r for r in index.decide(second).collect()}
+    again = DigestIndex(spark, path=index.path, buckets=3)  # opened from its files
+    assert again.read().count() == 4
+    third = {r.doc_id: r for r in again.decide(second).collect()}
     assert not any(r.kept for r in third.values()) and third[9].keep_id == 3 and third[4].keep_id == 5
 
 
 def test_digests_of_an_empty_table(spark, tmp_path):
     docs = table(spark, tmp_path, [])
-    index = DigestIndex(spark, buckets=2)
+    index = DigestIndex(spark, path=str(tmp_path / "it's"), buckets=2)
     assert index.decide(docs).count() == 0 and index.keep(docs).count() == 0
