@@ -8,6 +8,7 @@ catalogue of any size stays distributed.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -362,7 +363,15 @@ def select_rules(rules: DataFrame, kind: str | None = "validation") -> DataFrame
     return rules.filter(cond)
 
 
+_CONFIGURED: dict[str, list[dict]] = {}
+
+
 def rules_of(spark: SparkSession, docs: Iterable[Mapping], kind: str | None = "validation") -> list[dict]:
     """The rules that run of documents written as Python dicts, through ``rules_table`` and
-    ``select_rules`` (configuration in code: the rules are read to be compiled into a plan)."""
-    return [r.asDict() for r in select_rules(rules_table(documents_from_dicts(spark, docs)), kind).collect()]
+    ``select_rules`` (configuration in code: the rules are read to be compiled into a plan).
+    Equal documents have equal rules, so each is flattened once per process."""
+    docs = list(docs)
+    key = json.dumps([docs, kind], sort_keys=True)
+    if key not in _CONFIGURED:
+        _CONFIGURED[key] = [r.asDict() for r in select_rules(rules_table(documents_from_dicts(spark, docs)), kind).collect()]
+    return [dict(r) for r in _CONFIGURED[key]]
