@@ -233,15 +233,16 @@ class JaccardJoin:
                         [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets)))],
                         names=["node", "shingles"])
 
-        # bucketed by node: the joins of each round read it in place and shuffle their pairs only
+        # bucketed by node: the joins read it in place and shuffle their pairs only
         name, buckets = f"shingle_sets_{uuid.uuid4().hex}", int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        found = self.texts.mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"]).repartition(buckets, "node")
+        found = self.texts.mapInArrow(run, "node long, shingles array<long>").repartition(buckets, "node").dropDuplicates(["node"])
         found.write.format("parquet").bucketBy(buckets, "node").sortBy("node").option(
             "path", scratch_path(self.spark, "jaccard-sets")).saveAsTable(name)
         return self.spark.table(name)
 
-    def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose whole sets are similar."""
+    def _verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose whole sets are similar; the texts of their nodes are hashed again."""
+        sets = self._sets(pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")))
         a, b = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
         both = pairs.join(b, "b").join(a, "a")
         common = F.size(F.array_intersect("sa", "sb"))
@@ -283,8 +284,7 @@ class JaccardJoin:
         members = self._written(members.join(alike, "entry", "left_semi"), "distinct-members")
         tested = members.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         tested = self._written(self._possible(tested, nodes), "tested")
-        sets = self._sets(members.select("node"))
-        links = self._verified(tested, sets)
+        links = self._verified(tested)
         labels = connected_components(links)
         for turn in range(1, self.hub_rounds + 1):
             open_ = self._open(members, labels)
@@ -303,7 +303,7 @@ class JaccardJoin:
             if pairs.isEmpty():
                 continue
             tested = tested.unionAll(pairs)
-            more = self._verified(pairs, sets)
+            more = self._verified(pairs)
             links = links.unionAll(more)
             labels = connected_components(links)
         return self._result(rows, links, labels)
