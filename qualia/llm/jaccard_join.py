@@ -18,7 +18,9 @@ contracted to components, and only entries that still hold several components go
 pairs of such an entry are compared only across components and only if sizes and the parity bitmaps
 of both sets (a bound on their difference) allow the similarity. Verification counts the common
 shingles of the whole sets. No link between different components is left out, so components are exact
-(up to collisions of 64-bit hashes).
+(up to collisions of 64-bit hashes). For the links themselves (``n_links`` and ``links``) the pairs of an
+entry inside of one component that were not tested yet are verified too, as far as the same bound
+allows them; their number grows with the square of a family's different texts, as that of its links.
 
 Defined results: null or empty text, or text without words: empty set, linked with nothing. Fewer
 words than ``words``: the sequence is the one shingle. Repeated rows are equal sets. Null doc_ids
@@ -150,6 +152,7 @@ class JaccardJoin:
         self.docs = docs.select(
             F.monotonically_increasing_id().alias("at"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
         self.texts = self.docs.select("text")
+        self.joined = self.all_links = None
 
     def _written(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"jaccard-{name}")
@@ -262,8 +265,46 @@ class JaccardJoin:
         return _similar_sizes(self.num, self.den, n_a, n_b) & (differ * (self.den + self.num) <= (n_a + n_b) * (self.den - self.num))
 
     def components(self) -> DataFrame:
-        """Per document: doc_id, n_shingles, component_id, n_links (verified links of its set), first
-        (whether it is the component's first row: smallest doc_id, then input position) and ``at``."""
+        """Per document: doc_id, n_shingles, component_id, n_links (different sets that its set is similar
+        to), first (whether it is the component's first row: smallest doc_id, then input position) and ``at``."""
+        rows, _, _, _, _, labels = self._joined()
+        return self._result(rows, self._links(), labels)
+
+    def links(self) -> DataFrame:
+        """a_id, b_id: all pairs of different sets that are similar, each set by its first document (smallest
+        doc_id, then input position); the set with the smaller id of its hash is a."""
+        rows = self._joined()[0]
+        first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "at"))
+        names = rows.where("node IS NOT NULL").groupBy("node").agg(first.alias("first")).select("node", F.col("first.doc_id").alias("id"))
+        return self._links().join(names.toDF("a", "a_id"), "a").join(names.toDF("b", "b_id"), "b").select("a_id", "b_id")
+
+    def _links(self) -> DataFrame:
+        """All links (a, b): those that made the components and those of pairs inside of a component."""
+        if self.all_links is None:
+            _, nodes, members, tested, links, labels = self._joined()
+            # A component's pairs are made entry by entry, or once from all its nodes if those are fewer pairs.
+            known = self._written(members.select("entry", "node").join(labels, "node"), "inside-members")
+            pairs_of = F.col("k") * (F.col("k") - 1)
+            by_entry = known.groupBy("label", "entry").agg(F.count(F.lit(1)).alias("k")).groupBy("label").agg(F.sum(pairs_of).alias("by_entry"))
+            at_once = labels.groupBy("label").agg(F.count(F.lit(1)).alias("k")).select("label", pairs_of.alias("at_once"))
+            group = F.when(F.col("by_entry") <= F.col("at_once"), F.col("entry")).otherwise(F.lit(0))
+            full = known.join(by_entry.join(at_once, "label"), "label").select(
+                "label", group.alias("group"), "node").distinct().join(nodes, "node")
+            columns = [c for c in nodes.columns if c != "node"]
+            left, right = (full.select("label", "group", *(F.col(c).alias(f"{side}_{c}") for c in ["node", *columns])) for side in ("a", "b"))
+            inside = left.join(right, ["label", "group"]).where((F.col("a_node") < F.col("b_node")) & self._bound("a_", "b_"))
+            pairs = inside.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+            pairs = self._written(pairs.join(tested, ["a", "b"], "left_anti"), "inside")
+            self.all_links = links if pairs.isEmpty() else links.unionAll(self._verified(pairs))
+        return self.all_links
+
+    def _joined(self) -> tuple[DataFrame, ...]:
+        """rows, nodes, members, tested pairs, links found between components, and labels; made once."""
+        if self.joined is None:
+            self.joined = self._join()
+        return self.joined
+
+    def _join(self) -> tuple[DataFrame, ...]:
         rows = self._written(self.rows(), "rows")
         parity = [f"p{w}" for w in range(PARITY)]
         nodes = self._written(
@@ -306,7 +347,7 @@ class JaccardJoin:
             more = self._verified(pairs)
             links = links.unionAll(more)
             labels = connected_components(links)
-        return self._result(rows, links, labels)
+        return rows, nodes, members, tested, links, labels
 
     def _open(self, members: DataFrame, labels: DataFrame) -> DataFrame:
         """entry, node, label of the entries that hold several components."""
@@ -320,7 +361,8 @@ class JaccardJoin:
         """The first row of each component, with all columns. ``docs`` must be re-readable in the same
         row order (files or a checkpoint), since rows are told apart by their input position."""
         at = free_name(self.source.columns, "at")
-        kept = self.components().where("first").select(F.col("at").alias(at))
+        rows, _, _, _, links, labels = self._joined()  # the links inside of components change nothing here
+        kept = self._result(rows, links, labels).where("first").select(F.col("at").alias(at))
         return self.source.withColumn(at, F.monotonically_increasing_id()).join(kept, at, "left_semi").drop(at)
 
     def _result(self, rows: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame:

@@ -74,6 +74,31 @@ def test_components_match_brute_force(spark, tmp_path, hot):
     assert found == Counter(brute_components(rows))
 
 
+def brute_links(rows):
+    """Pairs of different sets that are similar, each as its first document's id."""
+    first = {}
+    for i, text in rows:
+        if shingles(text):
+            first.setdefault(shingles(text), []).append(i)
+    sets = {s: min((i for i in ids if i is not None), default=None) for s, ids in first.items()}
+    keys = list(sets)
+    return [(keys[i], keys[j]) for i in range(len(keys)) for j in range(i)
+            if 100 * len(keys[i] & keys[j]) >= 75 * len(keys[i] | keys[j])], sets
+
+
+@pytest.mark.parametrize("hot", [0.0, 0.7])
+def test_links_match_brute_force(spark, tmp_path, hot):
+    rows = near_rows(8, hot)
+    body = prose(random.Random(12), 80)
+    rows += [(1000 + i, f"{body} tail{i}") for i in range(5)] + [(1005, f"{body} tail0")]  # five similar texts, one twice
+    join = JaccardJoin(table(spark, tmp_path, rows), sketch_bits=12, rare_excess=-10**6 if hot else 0, filter_bits=14)
+    links, ids = brute_links(rows)
+    degree = Counter(s for link in links for s in link)
+    assert {r.doc_id: r.n_links for r in join.components().collect()} == {i: degree[shingles(t)] for i, t in rows}
+    assert degree[shingles(f"{body} tail3")] == 4
+    assert Counter(frozenset((r.a_id, r.b_id)) for r in join.links().collect()) == Counter(frozenset((ids[a], ids[b])) for a, b in links)
+
+
 def test_join_edge_cases(spark, tmp_path):
     rows = edge_rows()
     docs = table(spark, tmp_path, rows)
