@@ -6,8 +6,8 @@ the mean over its n-grams of log p_target - log p_raw, in integer units of 2**-2
 not depend on row order; it is kept if it passes the base rules and its score is at least
 ``threshold``. Every row is counted and judged.
 
-The trusted set is a bounded sample (``trusted_rows`` ids, the smallest by hash) and is broadcast,
-as is the table of bucket weights (``2 ** bits`` rows).
+All trusted documents are counted: their ids, of any number, are joined by doc_id. Only the table of
+bucket weights (``2 ** bits`` rows) is broadcast.
 
 Base rules: n_words, word_chars (code points in words), n_symbols (characters of #*$%&|<>),
 n_dup_lines (lines with a word that equal an earlier line), n_repeat_words (words in 8-word windows
@@ -84,7 +84,7 @@ def grams(docs: DataFrame, bits: int, *keep: str) -> DataFrame:
 
 def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, bits: int, smoothing: float = 1.0) -> DataFrame:
     """bucket, weight (long, units of 2**-20) from rows (doc_id, text) and distinct trusted ids ``id``."""
-    flagged = docs.join(F.broadcast(trusted_ids), F.col("doc_id") == F.col("id"), "left").select(
+    flagged = docs.join(trusted_ids, F.col("doc_id") == F.col("id"), "left").select(
         "text", F.col("id").isNotNull().cast("long").alias("trusted"))
     path = scratch_path(docs.sparkSession, "gram-counts")
     grams(flagged, bits, "trusted").groupBy("bucket").agg(
@@ -100,12 +100,11 @@ def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, bits: int, smoothing
 
 
 def judge(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 16,
-          threshold: float = -0.16, trusted_rows: int = 20_000) -> DataFrame:
+          threshold: float = -0.16) -> DataFrame:
     """Per document: doc_id, n_words, the base columns, base_failed, score and kept. ``trusted_ids``
     has the ids of trusted documents in its first column."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ids = trusted_ids.select(F.col(trusted_ids.columns[0]).cast("long").alias("id")).dropna().distinct()
-    ids = ids.orderBy(F.xxhash64("id"), "id").limit(trusted_rows)
     weights = bucket_weights(src, ids, bits)
     tokens = grams(src.withColumn("h", F.xxhash64("text")), bits, "doc_id", "h")
     # at most 2 ** bits weights are broadcast

@@ -206,6 +206,12 @@ def test_scores_tell_trusted_prose_from_junk(spark, tmp_path):
     assert ngram_ratio.judge(table(spark, tmp_path, [], "empty"), trusted, bits=12).count() == 0
 
 
+def test_every_trusted_document_is_counted(spark):
+    docs = spark.range(0, 20_500, 1, 4).selectExpr("id AS doc_id", "concat('a b c w', id % 7, ' x', id) AS text")
+    found = ngram_ratio.judge(docs, docs.select("doc_id"), bits=12)  # the target is the whole corpus: no n-gram is told apart
+    assert found.count() == 20_500 and found.where("score <> 0").count() == 0
+
+
 def test_the_ratio_rules_run_no_python(spark, tmp_path):
     docs = table(spark, tmp_path, edge_rows())
     plan = ngram_ratio.judge(docs, spark.createDataFrame([(1,)], "id long"))._jdf.queryExecution().toString()
