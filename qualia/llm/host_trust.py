@@ -9,7 +9,9 @@ blocked seeds against them. A page without a rule is allowed if its host's trust
 
 Edges are the distinct host pairs of absolute links in the pages' html, weighted by pages; a host's
 links to itself are left out, and the mass of hosts without links returns to the seeds. Both
-directions advance in one job per step; lineage is cut by checkpoint().
+directions advance together; every ``cut_every`` steps lineage is cut by checkpoint(), and propagation
+ends when no new host was reached since the last cut and the summed change since then is at most
+``tolerance`` (1e-9) of the seeds' mass, for trust and distrust each.
 
 Defined results: null url or no "://": host and path are empty and no rule fits. Null html has no
 links. Repeated pages each get a row and count twice as seeds and links. An empty table gives no
@@ -61,8 +63,8 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return out.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, steps: int = 10, damping: float = 0.85, cut_every: int = 5) -> DataFrame:
-    """host, trust, distrust from ``edges`` (src, dst, n) and ``seeds`` (host, allowed, blocked)."""
+def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float = 1e-9, damping: float = 0.85, cut_every: int = 5) -> DataFrame:
+    """host, trust, distrust from ``edges`` (src, dst, n) and ``seeds`` (host, allowed, blocked), converged."""
     ensure_checkpoint_dir(edges.sparkSession)
     both = edges.select(F.lit("trust").alias("kind"), "src", "dst", "n").unionAll(
         edges.select(F.lit("distrust"), F.col("dst"), F.col("src"), "n"))
@@ -71,15 +73,20 @@ def propagate(edges: DataFrame, seeds: DataFrame, steps: int = 10, damping: floa
     start = seeds.select(F.lit("trust").alias("kind"), "host", F.col("allowed").alias("seed")).unionAll(
         seeds.select(F.lit("distrust"), "host", F.col("blocked"))).where("seed > 0")
     start = start.select("kind", "host", F.col("seed").cast("double").alias("value")).checkpoint()
-    rank = start
-    for step in range(1, steps + 1):
-        moved = both.join(rank.select("kind", F.col("host").alias("src"), "value"), ["kind", "src"]).select(
-            "kind", F.col("dst").alias("host"), (damping * F.col("share") * F.col("value")).alias("value"))
-        stay = start.select("kind", "host", ((1 - damping) * F.col("value")).alias("value"))
-        rank = moved.unionAll(stay).groupBy("kind", "host").agg(F.sum("value").alias("value"))
-        if step % cut_every == 0 and step < steps:
-            rank = rank.checkpoint()
-    rank = rank.checkpoint()
+    mass = {r["kind"]: r["n"] for r in start.groupBy("kind").agg(F.sum("value").alias("n")).collect()}
+    rank, settled = start, not mass
+    while not settled:
+        before = rank
+        for _ in range(cut_every):
+            moved = both.join(rank.select("kind", F.col("host").alias("src"), "value"), ["kind", "src"]).select(
+                "kind", F.col("dst").alias("host"), (damping * F.col("share") * F.col("value")).alias("value"))
+            stay = start.select("kind", "host", ((1 - damping) * F.col("value")).alias("value"))
+            rank = moved.unionAll(stay).groupBy("kind", "host").agg(F.sum("value").alias("value"))
+        rank = rank.checkpoint()
+        moves = before.withColumnRenamed("value", "old").join(rank, ["kind", "host"], "full").groupBy("kind").agg(
+            F.sum(F.abs(F.coalesce("value", F.lit(0.0)) - F.coalesce("old", F.lit(0.0)))).alias("change"),
+            F.count_if(F.col("old").isNull()).alias("reached")).collect()
+        settled = all(r["reached"] == 0 and r["change"] <= tolerance * mass[r["kind"]] for r in moves)
     # Mass that reached a host without links is missing: returning it to the seeds only scales the ranks.
     total = {r["kind"]: r["n"] for r in rank.groupBy("kind").agg(F.sum("value").alias("n")).collect()}
     share = {kind: F.sum(F.when(F.col("kind") == kind, F.col("value")).otherwise(0.0)) / F.lit(total.get(kind) or 1.0)
@@ -88,7 +95,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, steps: int = 10, damping: floa
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url",
-               html_col: str = "html", steps: int = 10, ratio: float = 1.0) -> DataFrame:
+               html_col: str = "html", tolerance: float = 1e-9, ratio: float = 1.0) -> DataFrame:
     """Per page: page_id, host, path, rule, verdict (allow or block), trust and distrust of its host."""
     host, path = url_parts(F.col(url_col))
     src = pages.select(F.col(id_col).cast("long").alias("page_id"), host.alias("host"), path.alias("path"), F.col(html_col).alias("html"))
@@ -96,7 +103,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "pa
     judged = src.select("page_id", "host", "path", rule.alias("rule"), said.alias("said"))
     seeds = judged.where("host != ''").groupBy("host").agg(
         F.count_if(F.col("said") == "allow").alias("allowed"), F.count_if(F.col("said") == "block").alias("blocked"))
-    hosts = propagate(host_edges(src), seeds, steps).select(F.col("host").alias("on"), "trust", "distrust")
+    hosts = propagate(host_edges(src), seeds, tolerance).select(F.col("host").alias("on"), "trust", "distrust")
     trust, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust"))
     method = F.when(trust >= ratio * distrust, F.lit("allow")).otherwise(F.lit("block"))
     return judged.join(hosts, judged["host"] == hosts["on"], "left").select(

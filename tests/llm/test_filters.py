@@ -115,6 +115,23 @@ def test_urls_match_brute_force(spark):
     assert host_trust.judge_urls(df.where("page_id < 0"), URL_RULES).count() == 0
 
 
+def test_trust_converges_on_long_chains_and_cycles(spark):
+    pages = [(0, "http://x.com/de/0", '<a href="http://c0.net/">')] + [
+        (i + 1, f"http://c{i}.net/", f'<a href="http://c{i + 1}.net/"> <a href="http://r{i % 3}.net/">') for i in range(16)]
+    pages += [(30 + i, f"http://r{i}.net/", f'<a href="http://r{(i + 1) % 3}.net/">') for i in range(3)]
+    pages += [(40, "http://c16.net/", '<a href="http://x.com/">'), (41, "http://x.com/fr/1", "")]
+    found = {r.host: r for r in host_trust.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), URL_RULES).collect()}
+    edges = Counter()
+    for _, url, html in pages:
+        for to in set(re.findall(host_trust.LINK, html)):
+            edges[brute_url(url)[0], to] += 1
+    trust = brute_rank(edges, {"x.com": 1}, steps=600)
+    distrust = brute_rank(Counter({(b, a): n for (a, b), n in edges.items()}), {"x.com": 1}, steps=600)
+    for host, row in found.items():
+        assert row.trust == pytest.approx(trust.get(host, 0.0), abs=1e-8) and row.distrust == pytest.approx(distrust.get(host, 0.0), abs=1e-8)
+    assert found["c2.net"].distrust > 0 and found["c14.net"].trust > 0  # 15 links from the seed, either way
+
+
 # --- language
 
 
