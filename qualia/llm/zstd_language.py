@@ -5,7 +5,12 @@ texts. All of a text is compressed with every dictionary, in blocks of ``BLOCK``
 dictionary and not the text's own beginning tells it; the language with the smallest total is
 predicted, and the relative saving over the second smallest is its score. Where the two smallest
 are equal, another compression level decides. A prediction is accepted if the saving is
-``min_margin`` bytes or more.
+``min_margin`` bytes or more and the score is the model's ``margin`` or more.
+
+The margin is learned: further labelled texts, the ``sample_rows`` next by hash that no dictionary has
+seen, are predicted (their first ``piece`` characters), and the score that all but ``lost`` of those
+rightly predicted reach is the margin. A learned model asks for MIN_BYTES bytes too, since in short
+texts a byte is a large share. A plain dict of dictionaries has margin 0 and asks for 1 byte.
 
 The sample: per language ``sample_rows`` texts, the smallest by a hash of the text, of which the
 first ``piece`` characters are used; at most ``max_langs`` languages, those with the most rows. The
@@ -31,30 +36,48 @@ from qualia.llm.batches import slices
 UNKNOWN = "und"
 BLOCK = 1500
 LEVELS = (6, 3, 12)
+MIN_BYTES = 3
 _LETTER = regex.compile(r"\p{L}")
 
 
+class Model(dict):
+    """Language -> dictionary content, with the margin (least score) and bytes that a prediction needs."""
+
+    margin, min_bytes = 0.0, 1
+
+
+def _accepted(model: dict[str, bytes], lang: str, score: float, saved: int, min_margin: int) -> bool:
+    return (lang != UNKNOWN and saved >= max(min_margin, getattr(model, "min_bytes", 1))
+            and score >= getattr(model, "margin", 0.0))
+
+
 def learn_dictionaries(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_rows: int = 160,
-                       piece: int = 800, max_langs: int = 64) -> dict[str, bytes]:
-    """Language -> dictionary content, from the labelled ``rows``."""
+                       piece: int = 800, max_langs: int = 64, lost: float = 0.01) -> Model:
+    """Language -> dictionary content and the learned margin, from the labelled ``rows``."""
     src = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     langs = src.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
     if not langs:
-        return {}
-    # Twice the share that gives sample_rows, so that the exact top rows are among few candidates.
+        return Model()
+    # Twice the share that gives both samples, so that the exact top rows are among few candidates.
     share = F.lit(None).cast("double")
     for row in langs:
-        share = F.when(F.col("lang") == row["lang"], F.lit(min(1.0, (2.0 * sample_rows + 50) / row["count"]))).otherwise(share)
+        share = F.when(F.col("lang") == row["lang"], F.lit(min(1.0, (4.0 * sample_rows + 50) / row["count"]))).otherwise(share)
     src = src.withColumn("h", F.xxhash64("text"))
     near = src.where((F.col("h").cast("double") / 2.0**64 + 0.5) <= share)
     near = near.select("lang", "h", F.substring("text", 1, piece).alias("text")).dropDuplicates(["lang", "h"])
     order = Window.partitionBy("lang").orderBy("h", "text")
-    best = near.withColumn("i", F.row_number().over(order)).where(F.col("i") <= sample_rows).orderBy("lang", "i").collect()
+    best = near.withColumn("i", F.row_number().over(order)).where(F.col("i") <= 2 * sample_rows).orderBy("lang", "i").collect()
     parts: dict[str, list[str]] = {}
     for row in best:
         parts.setdefault(row["lang"], []).append(row["text"])
-    return {lang: _normal("\n".join(texts)).encode() for lang, texts in sorted(parts.items())}
+    model = Model({lang: _normal("\n".join(texts[:sample_rows])).encode() for lang, texts in sorted(parts.items())})
+    model.min_bytes = MIN_BYTES
+    compressors = Compressors(model)
+    found = [(lang, compressors.predict(t)) for lang, texts in parts.items() for t in texts[sample_rows:]]
+    scores = sorted(score for lang, (said, score, _) in found if said == lang)
+    model.margin = scores[int(len(scores) * lost)] if scores else 0.0
+    return model
 
 
 def _normal(text: str) -> str:
@@ -102,7 +125,7 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_
             lang, score, saved = zip(*found)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(saved, pa.int64()),
-                 pa.array([a != UNKNOWN and s >= min_margin for a, s in zip(lang, saved)])],
+                 pa.array([_accepted(model.value, *f, min_margin) for f in found], pa.bool_())],
                 names=["doc_id", "lang_pred", "score", "saved_bytes", "accepted"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -117,6 +140,6 @@ def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: s
         compressors = Compressors(model.value)
         for batch in slices(batches, text_col):
             found = [compressors.predict(t) for t in batch.column(text_col).to_pylist()]
-            yield batch.filter(pa.array([a != UNKNOWN and s >= min_margin for a, _, s in found], pa.bool_()))
+            yield batch.filter(pa.array([_accepted(model.value, *f, min_margin) for f in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -155,6 +155,28 @@ def test_language_is_learned_and_predicted(spark, tmp_path):
     assert right >= 0.97 * 150 and all(0 <= r.score <= 1 for r in found.values())
 
 
+def test_narrow_margins_are_rejected(spark):
+    rng = random.Random(3)
+    rows = language_rows(rng, 1500)
+    model = zstd_language.learn_dictionaries(spark.createDataFrame(rows[:1200], "doc_id long, text string, lang string"), sample_rows=60)
+    assert model.margin > 0.02
+    clean = [(i, t) for i, t, _ in rows[1200:]]
+    noise = [(i, " ".join("".join(rng.choices("bdfgjpqvwxyz", k=4)) for _ in range(rng.choice([60, 2000])))) for i in range(2000, 2040)]
+    unlearned = [(i, " ".join("".join(rng.choices(["zu", "py", "vox"], k=2)) for _ in range(80))) for i in range(3000, 3040)]
+    half = {c: " ".join("".join(rng.choices(s, k=2)) for _ in range(60)) for c, s in (("a", ["ka", "lo", "mi"]), ("b", ["straß", "und", "ich"]))}
+    mixed = []
+    for i in range(4000, 4040):  # as many bytes of one language as of the other
+        a, b = (" ".join(rng.sample(half[c].split(), 60))[:200] for c in "ab")
+        mixed.append((i, a + " " + b))
+    odd = spark.createDataFrame(clean + noise + unlearned + mixed, "doc_id long, text string")
+    kept = {r.doc_id // 1000 for r in zstd_language.predict(odd, model).where("accepted and doc_id >= 2000").collect()}
+    assert not kept & {2, 3}
+    accepted = {r.doc_id for r in zstd_language.predict(odd, model).where("accepted").collect()}
+    assert len([i for i, _ in clean if i in accepted]) >= 0.95 * len(clean)
+    assert len([i for i, _ in mixed if i in accepted]) <= 0.1 * len(mixed)
+    assert zstd_language.keep_identified(odd, model).count() == len(accepted)
+
+
 def test_language_edge_cases(spark, tmp_path):
     rows = edge_rows()
     docs = table(spark, tmp_path, rows)
