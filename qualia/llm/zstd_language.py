@@ -23,6 +23,7 @@ an empty table gives no rows; ``predict`` reads two columns, ``keep_identified``
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -56,18 +57,19 @@ def learn_dictionaries(rows: DataFrame, text_col: str = "text", lang_col: str =
     """Language -> dictionary content and the learned margin, from the labelled ``rows``."""
     src = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    langs = src.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    src = src.withColumn("h", F.xxhash64("text"))
+    langs = src.groupBy("lang").agg(F.approx_count_distinct("h").alias("texts"), F.count(F.lit(1)).alias("n")).orderBy(
+        F.desc("n"), "lang").limit(max_langs).collect()
     if not langs:
         return Model()
-    # Twice the share that gives both samples, so that the exact top rows are among few candidates.
-    share = F.lit(None).cast("double")
-    for row in langs:
-        share = F.when(F.col("lang") == row["lang"], F.lit(min(1.0, (4.0 * sample_rows + 50) / row["count"]))).otherwise(share)
-    src = src.withColumn("h", F.xxhash64("text"))
-    near = src.where((F.col("h").cast("double") / 2.0**64 + 0.5) <= share)
-    near = near.select("lang", "h", F.substring("text", 1, piece).alias("text")).dropDuplicates(["lang", "h"])
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    best = near.withColumn("i", F.row_number().over(order)).where(F.col("i") <= 2 * sample_rows).orderBy("lang", "i").collect()
+    # Twice the share of distinct texts that gives both samples, so that the exact top ones are among few candidates.
+    shares = {row["lang"]: min(1.0, (4.0 * sample_rows + 50) / max(1, row["texts"])) for row in langs}
+    best = _smallest(src, shares, 2 * sample_rows, piece)
+    found = Counter(row["lang"] for row in best)
+    # The distinct counts are approximate: a language whose candidates did not suffice is taken whole.
+    short = {lang: 1.0 for lang, share in shares.items() if share < 1 and found[lang] < 2 * sample_rows}
+    if short:
+        best = [row for row in best if row["lang"] not in short] + _smallest(src, short, 2 * sample_rows, piece)
     parts: dict[str, list[str]] = {}
     for row in best:
         parts.setdefault(row["lang"], []).append(row["text"])
@@ -80,6 +82,15 @@ def learn_dictionaries(rows: DataFrame, text_col: str = "text", lang_col: str =
     return model
 
 
+def _smallest(src: DataFrame, shares: dict[str, float], rows: int, piece: int) -> list:
+    """Per language of ``shares`` the ``rows`` texts with the smallest hashes, of those in that share of all hashes."""
+    share = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))[F.col("lang")]
+    near = src.where((F.col("h").cast("double") / 2.0**64 + 0.5) <= share)
+    near = near.select("lang", "h", F.substring("text", 1, piece).alias("text")).dropDuplicates(["lang", "h"])
+    order = Window.partitionBy("lang").orderBy("h", "text")
+    return near.withColumn("i", F.row_number().over(order)).where(F.col("i") <= rows).orderBy("lang", "i").collect()
+
+
 def _normal(text: str) -> str:
     return text.lower()
 

@@ -177,6 +177,16 @@ def test_narrow_margins_are_rejected(spark):
     assert zstd_language.keep_identified(odd, model).count() == len(accepted)
 
 
+def test_languages_of_copies_are_learned_in_full(spark):
+    rng = random.Random(9)
+    texts = {lang: [" ".join("".join(rng.choices(s, k=3)) for _ in range(20)) for _ in range(50)] for lang, s in
+             (("aa", ["ka", "lo", "mi"]), ("bb", ["straß", "und", "ich"]))}
+    rows = [(t, "aa") for t in texts["aa"] for _ in range(1000)] + [(t, "bb") for t in texts["bb"]]
+    model = zstd_language.learn_dictionaries(spark.createDataFrame(rows, "text string, lang string"))
+    for lang, own in texts.items():  # fewer texts than the sample has: all are learned, whatever their copies
+        assert sorted(model[lang].decode().split("\n")) == sorted(own)
+
+
 def test_language_edge_cases(spark, tmp_path):
     rows = edge_rows()
     docs = table(spark, tmp_path, rows)
