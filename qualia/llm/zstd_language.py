@@ -13,8 +13,8 @@ rightly predicted reach is the margin. A learned model asks for MIN_BYTES bytes
 texts a byte is a large share. A plain dict of dictionaries has margin 0 and asks for 1 byte.
 
 The sample: per language ``sample_rows`` texts, the smallest by a hash of the text, of which the
-first ``piece`` characters are used; at most ``max_langs`` languages, those with the most rows. The
-model is at most ``max_langs * sample_rows * piece`` characters. Prediction reads whole texts.
+first ``piece`` characters are used. Every labelled language is learned; the model is at most
+``sample_rows * piece`` characters for each of them. Prediction reads whole texts.
 
 Defined results: null text, or text without a letter: ``und``, score 0, not accepted. Equal sizes: the
 first language by name. No labelled rows: every text is ``und``. Repeated rows give equal results;
@@ -53,13 +53,12 @@ def _accepted(model: dict[str, bytes], lang: str, score: float, saved: int, min_
 
 
 def learn_dictionaries(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_rows: int = 160,
-                       piece: int = 800, max_langs: int = 64, lost: float = 0.01) -> Model:
+                       piece: int = 800, lost: float = 0.01) -> Model:
     """Language -> dictionary content and the learned margin, from the labelled ``rows``."""
     src = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     src = src.withColumn("h", F.xxhash64("text"))
-    langs = src.groupBy("lang").agg(F.approx_count_distinct("h").alias("texts"), F.count(F.lit(1)).alias("n")).orderBy(
-        F.desc("n"), "lang").limit(max_langs).collect()
+    langs = src.groupBy("lang").agg(F.approx_count_distinct("h").alias("texts")).collect()
     if not langs:
         return Model()
     # Twice the share of distinct texts that gives both samples, so that the exact top ones are among few candidates.

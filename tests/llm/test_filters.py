@@ -187,6 +187,11 @@ def test_languages_of_copies_are_learned_in_full(spark):
         assert sorted(model[lang].decode().split("\n")) == sorted(own)
 
 
+def test_every_labelled_language_is_learned(spark):
+    rows = [(f"wort{i} tal{i}", f"l{i:02}") for i in range(70)]
+    assert sorted(zstd_language.learn_dictionaries(spark.createDataFrame(rows, "text string, lang string"))) == [x for _, x in rows]
+
+
 def test_language_edge_cases(spark, tmp_path):
     rows = edge_rows()
     docs = table(spark, tmp_path, rows)
