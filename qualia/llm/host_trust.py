@@ -8,7 +8,7 @@ blocked seeds against them. A page without a rule is allowed if its host's trust
 ``ratio`` times its distrust (a host that neither reaches is allowed).
 
 Edges are the distinct host pairs of absolute links in the pages' html, weighted by pages; a host's
-links to itself are left out, and the mass of hosts without links returns to the seeds. Both
+links to itself are left out (hosts are compared without user part and port; the output keeps both), and the mass of hosts without links returns to the seeds. Both
 directions advance together; every ``cut_every`` steps lineage is cut by checkpoint(), and propagation
 ends when no new host was reached since the last cut and the summed change since then is at most
 ``tolerance`` (1e-9) of the seeds' mass, for trust and distrust each.
@@ -54,11 +54,16 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[
     return rule, verdict
 
 
+def plain_host(host: Column) -> Column:
+    """A host without its user part and port."""
+    return F.regexp_extract(F.regexp_replace(host, r"^[^@]*@", ""), r"^([^:]*)", 1)
+
+
 def host_edges(pages: DataFrame) -> DataFrame:
     """src, dst, n (pages of src that link to dst) from rows (host, html)."""
     links = F.array_distinct(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(LINK), F.lit(1)))
     out = pages.select(F.col("host").alias("src"), F.explode(links).alias("to"))
-    target = ascii_lower(F.regexp_extract(F.regexp_replace("to", r"^[^@]*@", ""), r"^([^:]*)", 1))
+    target = ascii_lower(plain_host(F.col("to")))
     out = out.select("src", target.alias("dst")).where((F.col("src") != "") & (F.col("dst") != "") & (F.col("src") != F.col("dst")))
     return out.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
@@ -100,12 +105,12 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "pa
     host, path = url_parts(F.col(url_col))
     src = pages.select(F.col(id_col).cast("long").alias("page_id"), host.alias("host"), path.alias("path"), F.col(html_col).alias("html"))
     rule, said = rule_for(F.col("host"), F.col("path"), rules)
-    judged = src.select("page_id", "host", "path", rule.alias("rule"), said.alias("said"))
-    seeds = judged.where("host != ''").groupBy("host").agg(
+    judged = src.select("page_id", "host", "path", rule.alias("rule"), said.alias("said"), plain_host(F.col("host")).alias("plain"))
+    seeds = judged.where("plain != ''").groupBy(F.col("plain").alias("host")).agg(
         F.count_if(F.col("said") == "allow").alias("allowed"), F.count_if(F.col("said") == "block").alias("blocked"))
-    hosts = propagate(host_edges(src), seeds, tolerance).select(F.col("host").alias("on"), "trust", "distrust")
+    hosts = propagate(host_edges(src.select(plain_host(F.col("host")).alias("host"), "html")), seeds, tolerance).select(F.col("host").alias("on"), "trust", "distrust")
     trust, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust"))
     method = F.when(trust >= ratio * distrust, F.lit("allow")).otherwise(F.lit("block"))
-    return judged.join(hosts, judged["host"] == hosts["on"], "left").select(
+    return judged.join(hosts, judged["plain"] == hosts["on"], "left").select(
         "page_id", "host", "path", "rule", F.coalesce("said", method).alias("verdict"),
         trust.alias("trust"), distrust.alias("distrust"))

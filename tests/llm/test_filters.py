@@ -132,6 +132,13 @@ def test_trust_converges_on_long_chains_and_cycles(spark):
     assert found["c2.net"].distrust > 0 and found["c14.net"].trust > 0  # 15 links from the seed, either way
 
 
+def test_ports_do_not_split_a_host(spark):
+    pages = [(1, "http://x.com/fr/1", '<a href="http://shop.net:8080/">'), (2, "http://shop.net:8080/a", '<a href="http://u@shop.net:8080/b">'),
+             (3, "http://shop.net/", '<a href="http://x.com/">'), (4, "http://x.com/de/1", "")]
+    found = {r.page_id: r for r in host_trust.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), URL_RULES).collect()}
+    assert found[2].host == "shop.net:8080" and found[2].trust == found[3].trust > 0 and found[2].distrust == found[3].distrust > 0
+
+
 # --- language
 
 
