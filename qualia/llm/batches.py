@@ -65,9 +65,10 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words of all rows, and the words' bounds per row (rows + 1)."""
-    solid = ~SPACE[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of all rows, and the words' bounds per row (rows + 1); ``between`` flags the
+    bytes that separate words."""
+    solid = ~between[data]
     before = np.empty_like(solid)
     before[:1] = False
     before[1:] = solid[:-1]

@@ -35,4 +35,24 @@ reach AS (SELECT doc_id AS d, doc_id AS r FROM s UNION SELECT reach.d, links.b F
 SELECT s.doc_id, any_value(len(sh)) AS n_shingles, min(r) AS component_id FROM s JOIN reach ON s.doc_id = reach.d GROUP BY s.doc_id
 """
 
-ORACLE = {"op3_jaccard_join": OP3, "op8_line_runs": OP8, "op10_digest_index": OP10}
+OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS row_id, doc_id,
+                  regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents WHERE text IS NOT NULL),
+     c AS (SELECT row_id, doc_id, len(ws) AS n, ws FROM d WHERE len(ws) > 0),
+     total AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM c),
+     tf AS (SELECT row_id, any_value(doc_id) AS doc_id, any_value(n)::BIGINT AS n, term, count(*)::BIGINT AS tf
+            FROM (SELECT row_id, doc_id, n, unnest(ws) AS term FROM c) GROUP BY row_id, term),
+     w AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+           FROM tf, total GROUP BY term),
+     i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark WHERE text IS NOT NULL),
+     s AS (SELECT item_id, row_id, any_value(doc_id) AS doc_id,
+                  sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+           FROM i JOIN tf USING (term) JOIN w USING (term), total GROUP BY item_id, row_id),
+     r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+           FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
+ORACLE = {"op11_lexical_search": OP11, "op3_jaccard_join": OP3, "op8_line_runs": OP8, "op10_digest_index": OP10}

@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from qualia.llm import (
     digest_index,
+    feistel_shards,
     host_trust,
     jaccard_join,
+    lexical_search,
     line_runs,
     ngram_ratio,
     ordinal_quality,
     pair_bpe,
     ss_pack,
     token_store,
+    whitening,
     zstd_language,
 )
 from qualia.session import scratch_path
@@ -107,6 +110,24 @@ def op10_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_index.DigestIndex(spark).decide(_documents(spark, sf_dir)).drop("at")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item's 50 best documents."""
+    return lexical_search.search(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"), top=50)
+
+
+def op12_polarisation_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the four leading whitened components."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors, components=4))
+
+
+def op13_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in 40 shards of equal row counts."""
+    placed = feistel_shards.assign(_documents(spark, sf_dir), shards=40, seed=20)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row")
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_host_trust": op2_host_trust,
@@ -118,4 +139,7 @@ QUERIES = {
     "op8_line_runs": op8_line_runs,
     "op9_ordinal_quality": op9_ordinal_quality,
     "op10_digest_index": op10_digest_index,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_polarisation_whitening": op12_polarisation_whitening,
+    "op13_feistel_shards": op13_feistel_shards,
 }
