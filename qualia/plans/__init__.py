@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualia.plans import check_queries, metric_queries, misc_queries, oracle_misc, oracle_store, store_queries, oracle_checks, oracle_metrics, oracle_profile, oracle_rules, profile_queries
+from qualia.plans import check_queries, metric_queries, misc_queries, oracle_misc, oracle_states, oracle_store, state_queries, store_queries, oracle_checks, oracle_metrics, oracle_profile, oracle_rules, profile_queries
 from qualia.plans.rules_queries import (
     q_rule_aggregate_uniqueness,
     q_rule_documents_json,
@@ -28,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **check_queries.QUERIES,
     **misc_queries.QUERIES,
     **store_queries.QUERIES,
+    **state_queries.QUERIES,
 }
 
 ORACLE: dict[str, str] = {
@@ -42,4 +43,5 @@ ORACLE: dict[str, str] = {
     **oracle_checks.ORACLE,
     **oracle_misc.ORACLE,
     **oracle_store.ORACLE,
+    **oracle_states.ORACLE,
 }
