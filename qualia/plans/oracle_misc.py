@@ -42,7 +42,29 @@ SELECT 'account_id' AS primary_key, CAST(account_id AS VARCHAR) AS primary_key_v
 FROM r
 """
 
+SHIPMENTS = """
+WITH src AS (SELECT l_orderkey AS order_no, CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE l_linenumber END AS line_no,
+                    CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE l_returnflag END AS region, CAST(trunc(l_quantity) AS INT) AS quantity,
+                    CAST(l_shipdate AS DATE) AS shipped, TRUE AS here
+             FROM lineitem WHERE l_linenumber % 7 <> 3),
+ext AS (SELECT l_orderkey AS consignment, l_linenumber AS position,
+               CASE WHEN l_suppkey % 3 = 0 OR l_suppkey % 7 = 0 THEN NULL ELSE l_returnflag END AS depot,
+               CAST(CAST(trunc(l_quantity + CASE WHEN l_tax > 0.07 THEN 1 ELSE 0 END) AS INT) AS VARCHAR) AS pieces,
+               CAST(l_shipdate AS DATE) + 2 AS dispatched, DATE '2020-01-31' AS publish_date
+        FROM lineitem WHERE l_partkey % 10 <> 1),
+j AS (SELECT * FROM src FULL OUTER JOIN ext
+      ON order_no = consignment AND line_no = position AND region IS NOT DISTINCT FROM depot),
+r AS (SELECT *, CASE WHEN here THEN '["' || order_no || '",' || coalesce('"' || line_no || '"', 'null') || ']' END AS pk FROM j)
+SELECT 'order_no,line_no' AS primary_key, pk AS primary_key_value, a.attribute_name, a.current_value, a.expected_value,
+       'carrier' AS external_data_source, publish_date AS external_data_publish_date, TIMESTAMP '2024-01-01 00:00:00' AS run_date,
+       2024 AS year, 1 AS month, 1 AS day
+FROM (SELECT pk, publish_date, unnest([
+        {'attribute_name': 'quantity', 'current_value': CAST(quantity AS VARCHAR), 'expected_value': pieces},
+        {'attribute_name': 'shipped', 'current_value': CAST(shipped AS VARCHAR), 'expected_value': CAST(dispatched AS VARCHAR)}]) AS a FROM r)
+"""
+
 ORACLE = {
+    "reconcile_composite": SHIPMENTS,
     "group_count_filtered": GROUP_COUNT,
     "csv_roundtrip_count": GROUP_COUNT,
     "regex_check": (

@@ -106,3 +106,66 @@ def test_awkward_names(spark):
     out = reconcile(src, ext, ("key col", "k.k"), [("v.1", "w w")], primary_key="id.x", publish_date=None)
     got = sorted((r.primary_key_value or "", r.current_value or "", r.expected_value or "") for r in out.collect())
     assert got == [("", "", "z"), ("1", "a", "a"), ("2", "b", "")]
+
+
+def plain_pairs(src, ext, on, how="full_outer"):
+    return src.join(ext, on, how).select(
+        src["id"].cast("string").alias("primary_key_value"), src["v"].alias("current_value"), ext["w"].alias("expected_value"))
+
+
+def found_pairs(out):
+    return out.select("primary_key_value", "current_value", "expected_value")
+
+
+@pytest.mark.parametrize("how", ["full_outer", "left"])
+@pytest.mark.parametrize("key,safe", [(["a=x", "b=y"], False), (["a=x", "b<=>y"], True), ([("a", "x"), ("b", "y", True)], True)])
+def test_composite_keys_follow_the_null_rule_of_each_part(spark, how, key, safe):
+    # (7, null) is hot on the source side, (7, 'k') on the external side
+    src = spark.range(0, 2000).selectExpr(
+        "id", "IF(id < 700, 7, IF(id % 40 = 0, NULL, id % 300)) AS a", "IF(id < 700, NULL, IF(id % 3 = 0, 'k', 'l')) AS b", "CAST(id % 97 AS STRING) AS v")
+    ext = spark.range(0, 1500).selectExpr(
+        "CAST(IF(id < 500, 7, IF(id % 30 = 0, NULL, id % 400)) AS INT) AS x", "IF(id < 490, 'k', IF(id % 2 = 0, NULL, 'l')) AS y",
+        "CAST(id % 89 AS STRING) AS w")
+    out = reconcile(src, ext, key, ["v=w"], primary_key="id", publish_date=None, run_ts="2024-01-01", how=how, heavy_rows=100, salts=8)
+    second = src["b"].eqNullSafe(ext["y"]) if safe else src["b"] == ext["y"]
+    want = plain_pairs(src, ext, (src["a"] == ext["x"]) & second, how)
+    got = found_pairs(out)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_keys_of_different_types_meet_when_heavy(spark):
+    src = spark.range(0, 900).selectExpr("id", "CAST(IF(id < 500, 5, id) AS STRING) AS k", "CAST(id AS STRING) AS v")
+    ext = spark.range(0, 600).selectExpr("CAST(IF(id < 3, 5, id) AS INT) AS kk", "CAST(id AS STRING) AS w")
+    floats = spark.createDataFrame([(i, -0.0 if i % 2 else 0.0, str(i)) for i in range(300)], "id long, k double, v string")
+    zeros = spark.createDataFrame([(0.0, "z"), (-0.0, "y"), (1.0, "n")], "kk float, w string")
+    for a, b in ((src, ext), (floats, zeros)):
+        out = found_pairs(reconcile(a, b, "k=kk", ["v=w"], primary_key="id", publish_date=None, heavy_rows=50, salts=4))
+        want = plain_pairs(a, b, a["k"] == b["kk"])
+        assert out.exceptAll(want).count() == 0 and want.exceptAll(out).count() == 0
+
+
+def test_composite_primary_key_is_shown_whole(spark):
+    src = spark.createDataFrame([(1, None, "a"), (2, "p", "b")], "k int, part string, v string")
+    ext = spark.createDataFrame([(1, None, "a"), (3, "q", "c")], "kk int, piece string, w string")
+    out = reconcile(src, ext, ["k=kk", "part<=>piece"], ["v=w"], publish_date=None)
+    got = sorted((r.primary_key, r.primary_key_value or "", r.current_value or "", r.expected_value or "") for r in out.collect())
+    assert got == [("k,part", "", "", "c"), ("k,part", '["1",null]', "a", "a"), ("k,part", '["2","p"]', "b", "")]
+
+
+def test_heavy_keys_are_found_without_shuffling_keys(spark):
+    from qualia.operators import reconcile as module
+
+    df = spark.range(0, 50_000).selectExpr("IF(id < 20000, 3, id) AS k")
+    found = module._heavy_hashes(df, F.xxhash64("k"), F.col("k").isNotNull(), 1000)
+    assert found == [spark.range(1).select(F.xxhash64(F.lit(3).cast("long"))).first()[0]]
+    top = F.call_function("approx_top_k", F.xxhash64("k"), F.lit(1000), F.lit(32768))
+    plan = df.agg(top)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SinglePartition" in plan
+
+
+def test_no_key_and_empty_sides(spark):
+    src = spark.createDataFrame([], "id int, k int, v string")
+    ext = spark.createDataFrame([(1, "x")], "kk int, w string")
+    assert [r.expected_value for r in reconcile(src, ext, "k=kk", ["v=w"], publish_date=None).collect()] == ["x"]
+    with pytest.raises(ValueError, match="no key"):
+        reconcile(src, ext, [], ["v=w"], publish_date=None)
