@@ -34,6 +34,7 @@ from qualia.functions.predicates import (
     sql_literal,
     str_lit,
 )
+from qualia.operators.extremes import frequency_extremes
 from qualia.operators.frequencies import frequencies
 from qualia.functions.blocks import codegen_field_limit, pack
 
@@ -104,18 +105,19 @@ def profile(
 ) -> DataFrame:
     """One row per profiled column (see ``PROFILE_COLUMNS``).
 
-    ``frequencies_mode``: ``exact`` (every column) or ``none`` (null ``num_distinct`` and
-    most/least frequent values).
+    ``frequencies_mode``: ``exact`` (every column), ``extremes`` (the same most and least frequent values,
+    found by ``frequency_extremes`` without counting every value; null ``num_distinct``) or ``none`` (null
+    ``num_distinct`` and most/least frequent values).
     """
     columns = _columns(df, cols)
     data = df.select(*[qcol(c) for c, _ in columns])
     # Columns that get a frequency table (step 2).
-    if frequencies_mode == "none":
+    if frequencies_mode in ("none", "extremes"):
         chosen = []
     elif frequencies_mode == "exact":
         chosen = list(range(len(columns)))
     else:
-        raise ValueError("frequencies_mode must be exact or none")
+        raise ValueError("frequencies_mode must be exact, extremes or none")
     # String min/max come from the frequency table when the column has one (its values are
     # the strings themselves): step 1 then holds only fixed-width aggregation buffers and
     # stays a code-generated hash aggregation instead of a sort-based one.
@@ -204,6 +206,9 @@ def profile(
                 "least_freq_value_count": F.coalesce("least_freq_value_count", zero),
             }
         )
+    elif frequencies_mode == "extremes":
+        found = frequency_extremes(data).withColumnRenamed("column_name", "column_names")  # one row per column
+        joined = per_col.join(F.broadcast(found), "column_names").withColumn("num_distinct", F.lit(None).cast("long"))
     else:
         joined = per_col.select(
             "*",

@@ -89,6 +89,22 @@ ORACLE["profile_frequencies"] = (
     + ")"
 )
 
+_KEYED = "(SELECT *, l_orderkey || '-' || l_linenumber AS l_comment_key FROM lineitem)"
+ORACLE["profile_extremes"] = (
+    "SELECT column_names AS column_name, most_freq_value, most_freq_value_count, least_freq_value, least_freq_value_count FROM ("
+    + _u(
+        [
+            _profile_row(c, "", src, "other")
+            for c, src in [
+                *[(c, _KEYED) for c in ["l_returnflag", "l_linenumber", "l_suppkey", "l_shipdate", "l_orderkey", "l_extendedprice",
+                                        "l_comment_key"]],
+                *[(c, ORDERS_DIRTY) for c in ["o_orderkey", "o_orderpriority", "o_custkey"]],
+            ]
+        ]
+    )
+    + ")"
+)
+
 ORACLE["profile_numeric"] = _u(
     [
         f"SELECT '{c}' AS column_name, CAST(count({c}) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS completeness, "

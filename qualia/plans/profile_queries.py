@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qualia.operators.extremes import frequency_extremes
 from qualia.operators.metrics import CountDistinct, run_metrics
 from qualia.operators.profile import column_profiles, histogram_long, profile
 from qualia.plans.common import table
@@ -151,7 +152,16 @@ def q_null_blank_space_counts(spark, sf_dir):
     return out.select("column_names", "num_rows", "num_null", "num_spaces", "num_blank", "count")
 
 
+def q_profile_extremes(spark, sf_dir):
+    """Most and least frequent values by pruning, for columns of few values and for unique ones."""
+    li = table(spark, sf_dir, "lineitem").withColumn("l_comment_key", F.expr("concat(l_orderkey, '-', l_linenumber)"))
+    wanted = ["l_returnflag", "l_linenumber", "l_suppkey", "l_shipdate", "l_orderkey", "l_extendedprice", "l_comment_key"]
+    orders = orders_dirty(spark, sf_dir)
+    return frequency_extremes(li, wanted).unionByName(frequency_extremes(orders, ["o_orderkey", "o_orderpriority", "o_custkey"]))
+
+
 QUERIES = {
+    "profile_extremes": q_profile_extremes,
     "profile_basic": q_profile_basic,
     "profile_frequencies": q_profile_frequencies,
     "profile_numeric": q_profile_numeric,
