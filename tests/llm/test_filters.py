@@ -1,12 +1,15 @@
 """Host trust (2), language ID (4), n-gram ratio rules (6), quality classifier (9) and the bucket sketch."""
 
+import math
 import random
 import re
+import struct
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from helpers import EXTRA, WORD, edge_rows, prose, table
 
 from qualia.llm import host_trust, ngram_ratio, ordinal_quality, zstd_language
@@ -267,6 +270,55 @@ def test_scores_tell_trusted_prose_from_junk(spark, tmp_path):
     assert ngram_ratio.judge(table(spark, tmp_path, [], "empty"), trusted, bits=12).count() == 0
 
 
+def brute_scores(rows, trusted, bits):
+    """Scores in units of 2**-20 and the threshold, in plain Python."""
+
+    def signed(h):
+        return struct.pack("<Q", h)
+
+    def buckets(text):
+        words = [xxhash.xxh64_intdigest(w.encode(), 42) for w in WORD.findall(text or "")]
+        pairs = [xxhash.xxh64_intdigest(signed(b), xxhash.xxh64_intdigest(signed(a), 42)) for a, b in zip(words, words[1:])]
+        return [h >> (64 - bits) for h in words + pairs]
+
+    def half(i):
+        h = xxhash.xxh64_intdigest(b"half", xxhash.xxh64_intdigest(struct.pack("<q", i), 42))
+        return (h - (1 << 64) if h >> 63 else h) % 2
+
+    raw = Counter(b for _, t in rows for b in buckets(t))
+    halves = [Counter(b for i, t in rows if i in trusted and half(i) == k for b in buckets(t)) for k in (0, 1)]
+
+    def weights(target):
+        n_raw, n_target, cells = sum(raw.values()), sum(target.values()), 1 << bits
+        return {b: round((math.log(target[b] + 1) - math.log(n_target + cells) - math.log(n + 1) + math.log(n_raw + cells)) * 2**20)
+                if n_target else 0 for b, n in raw.items()}
+
+    def mean(weight, text):
+        found = buckets(text)
+        return sum(weight[b] for b in found) / len(found) if found else 0.0
+
+    whole, other = weights(halves[0] + halves[1]), [weights(halves[1]), weights(halves[0])]
+    steps = sorted(math.floor(mean(other[half(i)], t) * 1000 / 2**20) for i, t in rows if i in trusted and buckets(t))
+    quantile = lambda q: steps[max(0, math.ceil(q * len(steps)) - 1)] / 1000
+    return [mean(whole, t) / 2**20 for _, t in rows], quantile(0.05) - 2.0 * (quantile(0.5) - quantile(0.05))
+
+
+def test_scores_and_threshold_match_brute_force(spark, tmp_path):
+    rng = random.Random(9)
+    rows = edge_rows() + [(400 + i, " ".join(f"{rng.choice('gh')}{rng.randrange(60)}" for _ in range(rng.randrange(1, 80)))) for i in range(120)]
+    trusted = {i for i, _ in rows if i is not None and i % 3 == 0}
+    ids = spark.createDataFrame([(i,) for i in trusted] + [(None,), (99999,)], "id long")
+    scores, threshold = brute_scores(rows, trusted, 9)
+    for filter_bits in (6, 22):  # a full bitmap changes nothing
+        found = ngram_ratio.judge(table(spark, tmp_path, rows, f"docs{filter_bits}"), ids, bits=9, filter_bits=filter_bits).collect()
+        assert found[0].threshold == pytest.approx(threshold, abs=1e-12) and len({r.threshold for r in found}) == 1
+        got = sorted((r.doc_id is None, r.doc_id or 0, r.n_words, r.score) for r in found)
+        want = sorted((i is None, i or 0, len(WORD.findall(t or "")), s) for (i, t), s in zip(rows, scores))
+        assert [g[:3] for g in got] == [w[:3] for w in want]
+        assert [g[3] for g in got] == pytest.approx([w[3] for w in want], abs=1e-5)
+        assert all(r.kept == (not r.base_failed and r.score >= r.threshold) for r in found)
+
+
 def test_every_trusted_document_is_counted(spark):
     docs = spark.range(0, 20_500, 1, 4).selectExpr("id AS doc_id", "concat('a b c w', id % 7, ' x', id) AS text")
     found = ngram_ratio.judge(docs, docs.select("doc_id"), bits=12)  # the target is the whole corpus: no n-gram is told apart
