@@ -54,8 +54,17 @@ def _chain(hashes: str, step: int) -> Column:
     return F.zip_with(F.col(hashes), moved, lambda a, b: F.xxhash64(a, b))
 
 
-def base_rules(docs: DataFrame, bits: int) -> DataFrame:
-    """doc_id, grams (buckets of the n-grams, with repeats) and the base columns, for rows (doc_id, text)."""
+def _grams(h1: str, h2: str) -> Column:
+    """Hashes of all words and pairs of adjacent words, from those of words and the chain of pairs."""
+    return F.concat(h1, F.slice(h2, F.lit(1), F.greatest(F.size(h2) - 1, F.lit(0))))
+
+
+def bucket_of(gram: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(gram, 64 - bits).cast("int")
+
+
+def base_rules(docs: DataFrame) -> DataFrame:
+    """doc_id, grams (hashes of the n-grams, with repeats) and the base columns, for rows (doc_id, text)."""
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(WORD))
     out = docs.select(
         "doc_id", split_words(F.col("text")).alias("words"), lines.alias("lines"),
@@ -67,10 +76,8 @@ def base_rules(docs: DataFrame, bits: int) -> DataFrame:
         F.transform("words", lambda w: F.xxhash64(w)).alias("h1"))
     keep = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines"]
     out = out.select(*keep, "h1", _chain("h1", 1).alias("h2"))
-    pairs = F.slice("h2", 1, F.greatest(F.size("h2") - 1, F.lit(0)))
-    buckets = F.transform(F.concat("h1", pairs), lambda g: F.shiftrightunsigned(g, 64 - bits).cast("int"))
     keep.append("grams")
-    out = out.select(*keep[:-1], buckets.alias("grams"), _chain("h2", 2).alias("h4"))
+    out = out.select(*keep[:-1], _grams("h1", "h2").alias("grams"), _chain("h2", 2).alias("h4"))
     out = out.select(*keep, _chain("h4", 4).alias("h8"))
     out = out.select(*keep, F.slice("h8", 1, F.greatest(F.col("n_words") - (WINDOW - 1), F.lit(0)).cast("int")).alias("w"))
     # Only texts with a repeated window take the steps below.
@@ -87,11 +94,10 @@ def base_rules(docs: DataFrame, bits: int) -> DataFrame:
     return out.withColumn("base_failed", failed)
 
 
-def gram_lists(docs: DataFrame, bits: int, *keep: str) -> DataFrame:
-    """The ``keep`` columns and ``grams``: the buckets of all words and pairs of adjacent words, with repeats."""
+def gram_lists(docs: DataFrame, *keep: str) -> DataFrame:
+    """The ``keep`` columns and ``grams``: hashes of all words and pairs of adjacent words, with repeats."""
     out = docs.select(*keep, F.transform(split_words(F.col("text")), lambda w: F.xxhash64(w)).alias("h1"))
-    pairs = F.slice(_chain("h1", 1), 1, F.greatest(F.size("h1") - 1, F.lit(0)))
-    return out.select(*keep, F.transform(F.concat("h1", pairs), lambda g: F.shiftrightunsigned(g, 64 - bits).cast("int")).alias("grams"))
+    return out.select(*keep, "h1", _chain("h1", 1).alias("h2")).select(*keep, _grams("h1", "h2").alias("grams"))
 
 
 def _array(rows: DataFrame, size: int, value: str) -> Column:
@@ -117,12 +123,20 @@ def _half(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id, F.lit("half")), F.lit(2)).cast("int")
 
 
+def trusted_grams(docs: DataFrame, ids: DataFrame, filter_bits: int) -> DataFrame:
+    """half, grams of the trusted rows, written: they are read for the counts and for the threshold."""
+    path = scratch_path(docs.sparkSession, "trusted-grams")
+    trusted = trusted_rows(docs, ids, filter_bits).withColumn("half", _half(F.col("doc_id")))
+    gram_lists(trusted, "half").write.parquet(path)
+    return docs.sparkSession.read.schema("half int, grams array<long>").parquet(path)
+
+
 def gram_counts(docs: DataFrame, trusted: DataFrame, bits: int) -> DataFrame:
     """bucket, raw, half0, half1 (counts in all documents and in the two halves of the trusted ones), written."""
     spark = docs.sparkSession
-    raw = gram_lists(docs, bits).select(F.explode("grams").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"))
-    halves = gram_lists(trusted.withColumn("half", _half(F.col("doc_id"))), bits, "half").select("half", F.explode("grams").alias("b"))
-    halves = halves.groupBy("b").agg(F.count_if(F.col("half") == 0).alias("half0"), F.count_if(F.col("half") == 1).alias("half1"))
+    raw = gram_lists(docs).select(F.explode("grams").alias("g")).groupBy(bucket_of(F.col("g"), bits).alias("bucket")).agg(F.count(F.lit(1)).alias("raw"))
+    halves = trusted.select("half", F.explode("grams").alias("g")).groupBy(bucket_of(F.col("g"), bits).alias("b"))
+    halves = halves.agg(F.count_if(F.col("half") == 0).alias("half0"), F.count_if(F.col("half") == 1).alias("half1"))
     path = scratch_path(spark, "gram-counts")
     zero = F.lit(0).cast("long")
     raw.join(halves, F.col("bucket") == F.col("b"), "left").select(
@@ -141,9 +155,9 @@ def weights(counts: DataFrame, target: Column, bits: int, smoothing: float = 1.0
     return _array(one.select(F.col("bucket").alias("at"), weight.alias("weight")), 1 << bits, "weight")
 
 
-def mean_weight(grams: str, weight: Column) -> Column:
+def mean_weight(grams: str, weight: Column, bits: int) -> Column:
     """Mean weight of a row's n-grams in units of 2**-20 (no n-gram: 0)."""
-    total = F.aggregate(F.col(grams), F.lit(0).cast("long"), lambda t, b: t + F.get(weight, b))
+    total = F.aggregate(F.col(grams), F.lit(0).cast("long"), lambda t, g: t + F.get(weight, bucket_of(g, bits)))
     return F.when(F.size(grams) > 0, total.cast("double") / F.size(grams)).otherwise(0.0)
 
 
@@ -154,9 +168,9 @@ _STEPS = 1000
 
 def threshold_of(trusted: DataFrame, counts: DataFrame, bits: int) -> float:
     """The least score that is kept; minus infinity without trusted n-grams in both halves."""
-    other = F.when(F.col("half") == 0, mean_weight("grams", weights(counts, F.col("half1"), bits))).otherwise(
-        mean_weight("grams", weights(counts, F.col("half0"), bits)))
-    scored = gram_lists(trusted.withColumn("half", _half(F.col("doc_id"))), bits, "half").where(F.size("grams") > 0)
+    other = F.when(F.col("half") == 0, mean_weight("grams", weights(counts, F.col("half1"), bits), bits)).otherwise(
+        mean_weight("grams", weights(counts, F.col("half0"), bits), bits))
+    scored = trusted.where(F.size("grams") > 0)
     steps = scored.select(F.floor(other * _STEPS / UNIT).alias("step")).groupBy("step").agg(F.count(F.lit(1)).alias("n"))
     found = sorted((r.step, r.n) for r in steps.collect())  # log ratios in thousandths: some ten thousand values
     both = counts.agg(F.sum("half0"), F.sum("half1")).first()
@@ -182,11 +196,11 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_
     has the ids of trusted documents in its first column. ``threshold`` replaces the one found from them."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ids = trusted_ids.select(F.col(trusted_ids.columns[0]).cast("long").alias("id")).dropna().distinct()
-    trusted = trusted_rows(src, ids, filter_bits)
+    trusted = trusted_grams(src, ids, filter_bits)
     counts = gram_counts(src, trusted, bits)
     least = threshold_of(trusted, counts, bits) if threshold is None else threshold
     weight = weights(counts, F.col("half0") + F.col("half1"), bits)
-    score = mean_weight("grams", weight) / UNIT
-    return base_rules(src, bits).select(
+    score = mean_weight("grams", weight, bits) / UNIT
+    return base_rules(src).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", score.alias("score"),
         (~F.col("base_failed") & (score >= F.lit(least))).alias("kept"), F.lit(least).alias("threshold"))
