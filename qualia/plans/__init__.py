@@ -14,6 +14,7 @@ from qualia.plans.rules_queries import (
     q_rule_metrics_orders,
     q_rule_row_results,
     q_stream_rule_metrics,
+    q_stream_window_uniqueness,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_row_results": q_rule_row_results,
     "rule_aggregate_uniqueness": q_rule_aggregate_uniqueness,
     "stream_rule_metrics": q_stream_rule_metrics,
+    "stream_window_uniqueness": q_stream_window_uniqueness,
     "rule_documents_json": q_rule_documents_json,
     **metric_queries.QUERIES,
     **profile_queries.QUERIES,
@@ -37,6 +39,7 @@ ORACLE: dict[str, str] = {
     "rule_row_results": oracle_rules.rule_row_results(),
     "rule_aggregate_uniqueness": oracle_rules.rule_aggregate_uniqueness(),
     "stream_rule_metrics": oracle_rules.stream_rule_metrics(),
+    "stream_window_uniqueness": oracle_rules.STREAM_WINDOW_UNIQUENESS,
     "rule_documents_json": oracle_rules.rule_documents_json(),
     **oracle_metrics.ORACLE,
     **oracle_profile.ORACLE,

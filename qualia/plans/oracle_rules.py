@@ -153,3 +153,19 @@ def rule_documents_json() -> str:
         f"s AS success_count, f AS failure_count, n AS count, {pct} AS pass_percentage, CAST(NULL AS BOOLEAN) AS constraint_status "
         f"FROM ({named} UNION ALL {balance})"
     )
+
+
+STREAM_WINDOW_UNIQUENESS = """
+WITH e AS (SELECT *, date_trunc('day', ts)::TIMESTAMP AS w, CASE WHEN event_type <> 'error' THEN value END AS v FROM events),
+d AS (SELECT w, count(*) AS n, count(DISTINCT user_id) AS users, count(event_type) AS typed, count(DISTINCT event_type) AS types,
+             count(v) AS valued
+      FROM e GROUP BY w HAVING w + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)),
+r AS (SELECT w, 'user_id' AS rule_applied_on, 'uniqueness' AS rule, 'users_per_event' AS rule_name, 'uniqueness' AS dimension, users AS s, n AS t FROM d
+      UNION ALL SELECT w, 'event_type', 'distinctness', 'types_per_event', 'uniqueness', types, typed FROM d
+      UNION ALL SELECT w, 'value', 'completeness', 'valued', 'completeness', valued, n FROM d),
+p AS (SELECT *, CASE WHEN t > 0 THEN ((20000 * s + t) // (2 * t)) / 100.0 END AS pct FROM r)
+SELECT w AS window_start, w + INTERVAL 1 DAY AS window_end, 'web' AS source, 'events' AS entity, rule_applied_on, rule, rule_name, dimension,
+       s AS success_count, t - s AS failure_count, t AS count, CAST(pct AS DOUBLE) AS pass_percentage,
+       CASE rule_name WHEN 'users_per_event' THEN pct >= 40 WHEN 'types_per_event' THEN pct < 1.5 END AS constraint_status
+FROM p
+"""

@@ -70,7 +70,18 @@ RULES_UPDATE = (
     "'s_suppkey/Completeness/-/-' FROM supplier"
 )
 
+_SUPPLY = f"SELECT 'supply' AS source, {_SUPPLIER} AS entity, 's_suppkey' AS primary_key, 'cde' AS run_on, 's_suppkey' AS cde, {_SUPPLIED} AS validation, '' AS profiler FROM supplier"
+_TOUCHED = "entity LIKE '%1'"
+RULES_VERSIONS = (
+    f"WITH a AS (SELECT {_SUMMARY} FROM ({_STORE})), s AS ({_SUPPLY}),\n"
+    f"t AS (SELECT source, entity, primary_key, CASE WHEN {_TOUCHED} THEN 'cde,kde' ELSE run_on END AS run_on, cde, validation, profiler FROM s)\n"
+    "SELECT *, v AS version, 1 AS refused FROM a, (SELECT unnest([1, 2, 3]) AS v)\n"
+    "UNION ALL SELECT *, 2, 2, 1 FROM s UNION ALL SELECT *, 3, 3, 1 FROM t"
+)
+RULES_VERSIONS = f"SELECT {_SUMMARY}, version, refused FROM ({RULES_VERSIONS})"
+
 ORACLE = {
+    "rules_versions": RULES_VERSIONS,
     "rule_selection": RULE_SELECTION,
     "rules_get": RULES_GET,
     "rules_upsert": RULES_UPSERT,

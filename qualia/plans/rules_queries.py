@@ -191,6 +191,26 @@ def q_stream_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_available(stream_rule_metrics(stream, rules_of(spark, [ORDERS_STREAM_DOC])))
 
 
+EVENT_WINDOW_RULES = [
+    {"element": "user_id", "rule": "uniqueness", "rule_name": "users_per_event", "rule_type": "aggregate", "dimension": "uniqueness",
+     "slo": "ge(40)", "source": "web", "entity": "events"},
+    {"element": "event_type", "rule": "distinctness", "rule_name": "types_per_event", "rule_type": "aggregate",
+     "dimension": "uniqueness", "slo": "lt(1.5)", "source": "web", "entity": "events"},
+    {"element": "value", "rule": "completeness", "rule_name": "valued", "rule_type": "aggregate", "dimension": "completeness",
+     "source": "web", "entity": "events"},
+]
+
+
+def q_stream_window_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct rules over events as a stream, day by day: every day that the watermark has closed."""
+    from qualia.streaming.distinct import run_windows, window_rule_metrics
+    from qualia.streaming.validate import read_stream
+
+    stream = read_stream(spark, sf_dir, table(spark, sf_dir, "events").schema, pattern="events.parquet")
+    stream = stream.withColumn("value", F.expr("CASE WHEN event_type <> 'error' THEN value END"))
+    return run_windows(window_rule_metrics(stream, EVENT_WINDOW_RULES, "ts", "1 day", "1 hour", id_col="event_id")).results
+
+
 def q_rule_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule documents end to end: one document per customer segment is written as JSON, read back,
     flattened and selected; the documents' rules then run on the customers of each segment."""

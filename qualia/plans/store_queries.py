@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qualia.operators.rule_versions import RuleConflict, RuleVersions
 from qualia.operators.rulestore import get_rule, put_rules, update_rules
 from qualia.plans.common import table
+from qualia.session import scratch_path
 from qualia.sources.rules import rules_table, select_rules
 
 
@@ -181,7 +183,27 @@ def q_rules_update(spark, sf_dir):
     return _summary(update_rules(store, updates.unionByName(new_keys)))
 
 
+def q_rules_versions(spark, sf_dir):
+    """A published store: the catalogue is put, changed twice from the same version (the second change is
+    refused), then read at each version."""
+    store = RuleVersions(spark, scratch_path(spark, "rule-versions"))
+    first = store.put(account_catalogue(spark, sf_dir))
+    second = store.put(supplier_documents(spark, sf_dir), base=first)
+    refused = 0
+    try:
+        store.put(supplier_documents(spark, sf_dir).withColumn("primary_key", F.lit("lost")), base=first)
+    except RuleConflict:
+        refused = 1
+    third = store.update(supplier_documents(spark, sf_dir).where("entity LIKE '%1'"), base=second)
+    out = None
+    for version in (first, second, third):
+        part = _summary(store.read(version)).withColumns({"version": F.lit(version), "refused": F.lit(refused)})
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 QUERIES = {
+    "rules_versions": q_rules_versions,
     "rule_selection": q_rule_selection,
     "rules_get": q_rules_get,
     "rules_upsert": q_rules_upsert,
