@@ -12,6 +12,7 @@ from qualia.plans.rules_queries import (
     q_rule_documents_json,
     q_rule_metrics_lineitem,
     q_rule_metrics_orders,
+    q_rule_packed_results,
     q_rule_row_results,
     q_stream_rule_metrics,
     q_stream_window_uniqueness,
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_metrics_orders": q_rule_metrics_orders,
     "rule_metrics_lineitem": q_rule_metrics_lineitem,
     "rule_row_results": q_rule_row_results,
+    "rule_packed_results": q_rule_packed_results,
     "rule_aggregate_uniqueness": q_rule_aggregate_uniqueness,
     "stream_rule_metrics": q_stream_rule_metrics,
     "stream_window_uniqueness": q_stream_window_uniqueness,
@@ -37,6 +39,7 @@ ORACLE: dict[str, str] = {
     "rule_metrics_orders": oracle_rules.rule_metrics_orders(),
     "rule_metrics_lineitem": oracle_rules.rule_metrics_lineitem(),
     "rule_row_results": oracle_rules.rule_row_results(),
+    "rule_packed_results": oracle_rules.rule_row_results(),
     "rule_aggregate_uniqueness": oracle_rules.rule_aggregate_uniqueness(),
     "stream_rule_metrics": oracle_rules.stream_rule_metrics(),
     "stream_window_uniqueness": oracle_rules.STREAM_WINDOW_UNIQUENESS,

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from qualia.functions.predicates import FULL_TIMESTAMP_REGEX, format_check, matches
 from qualia.operators.basic import count_by
+from qualia.operators.metrics import CountDistinct, Mean, Size, run_metrics
 from qualia.operators.reconcile import differences, reconcile_from_mapping
+from qualia.operators.results import history, read_results, write_results
 from qualia.plans.common import RUN_TS, table
 from qualia.session import scratch_path
-from qualia.sources.files import read_csv
+from qualia.sources.files import quarantine, read_csv, read_csv_checked
 
 
 def q_group_count_filtered(spark, sf_dir):
@@ -133,7 +135,41 @@ def q_reconcile_composite(spark, sf_dir):
     return reconcile_from_mapping(src, ext, SHIPMENTS_MAPPING, run_ts=RUN_TS)
 
 
+def q_csv_quarantine(spark, sf_dir):
+    """Customers as CSV lines, some with a word for a number, too few or too many fields; every line is
+    either a typed row or refused with its reasons."""
+    path = scratch_path(spark, "csv_broken")
+    line = F.concat_ws(
+        ",", F.col("c_custkey").cast("string"), F.when(F.col("c_custkey") % 11 == 0, F.lit("")).otherwise(F.col("c_name")),
+        F.when(F.col("c_custkey") % 10 == 0, F.lit("n/a")).otherwise(F.col("c_nationkey").cast("string")),
+        F.when(F.col("c_custkey") % 15 == 0, F.lit("many")).otherwise(F.col("c_acctbal").cast("string")))
+    line = F.when(F.col("c_custkey") % 21 == 0, F.concat(line, F.lit(",extra"))).when(F.col("c_custkey") % 26 == 0, F.substring_index(line, ",", 2)).otherwise(line)
+    table(spark, sf_dir, "customer").select(line.alias("value")).write.text(path)
+    checked = read_csv_checked(spark, path, "custkey long, name string, nation int, balance double", header="false")
+    good, refused = quarantine(checked, scratch_path(spark, "csv_quarantine"))
+    return good.select("custkey", "name", "nation", "balance", F.lit("").alias("errors")).unionByName(
+        refused.select(
+            F.coalesce(F.get_json_object("_record", "$.custkey"), F.substring_index("_record", ",", 1)).cast("long").alias("custkey"),
+            F.lit(None).cast("string").alias("name"), F.lit(None).cast("int").alias("nation"), F.lit(None).cast("double").alias("balance"),
+            F.array_join("_errors", "; ").alias("errors")))
+
+
+def q_results_history(spark, sf_dir):
+    """Metrics of orders up to a year stored as runs, one run twice and with more columns later, and
+    each value beside that of the run before."""
+    path = scratch_path(spark, "results")
+    orders = table(spark, sf_dir, "orders")
+    for year, run in ((1996, "run-1"), (1997, "run-2"), (2000, "run-3"), (1998, "run-2")):
+        found = run_metrics(orders.where(F.year("o_orderdate") <= year), [Size(), Mean("o_totalprice"), CountDistinct("o_custkey")])
+        write_results(found if run == "run-1" else found.withColumn("until", F.lit(year)), path, run)
+    out = history(read_results(spark, path), ["entity", "instance", "name"])
+    rounded = {c: F.round(c, 4) for c in ("value", "previous", "change")}
+    return out.withColumns(rounded).select("run_id", "run_number", "instance", "name", "value", "previous", "change", "until")
+
+
 QUERIES = {
+    "csv_quarantine": q_csv_quarantine,
+    "results_history": q_results_history,
     "reconcile_composite": q_reconcile_composite,
     "group_count_filtered": q_group_count_filtered,
     "csv_roundtrip_count": q_csv_roundtrip_count,

@@ -206,3 +206,47 @@ ORACLE["rule_profile_checks"] = _suite(
          None, False),
     ],
 )
+
+_RANK = "CASE WHEN c_custkey % 37 = 0 THEN 'gold' WHEN c_custkey % 5 = 1 THEN 'silver' ELSE 'plain' END AS rank"
+_TRAIN = f"(SELECT *, {_RANK} FROM {_CS} WHERE c_custkey % 5 <> 0)"
+_HELD = f"(SELECT *, {_RANK} FROM {_CS} WHERE c_custkey % 5 = 0)"
+_SIZE = f"(SELECT count(*) FROM {_HELD})"
+
+
+def _evaluated(suggestion, value, least="1.0"):
+    return (f"SELECT column_name, \"constraint\", description, round(v, 6) AS holdout_value, {_SIZE} AS holdout_rows, v >= {least} AS holds "
+            f"FROM ({suggestion}), (SELECT {value} AS v FROM {_HELD})")
+
+
+def _seen(c, src):
+    return f"(SELECT DISTINCT CAST({c} AS VARCHAR) FROM {src} WHERE {c} IS NOT NULL)"
+
+
+def _uniqueness_of(c):
+    return (f"any_value((SELECT CAST(count_if(n = 1) AS DOUBLE) / sum(n) FROM (SELECT count(*) AS n FROM {_HELD} WHERE {c} IS NOT NULL GROUP BY {c})))")
+
+
+_FREQ = f"(SELECT rank AS v, count(*) AS n FROM {_TRAIN} GROUP BY rank)"
+_RUN = f"(SELECT v, n, sum(n) OVER (ORDER BY n DESC, v ROWS UNBOUNDED PRECEDING) - n AS before, sum(n) OVER () AS total FROM {_FREQ})"
+_TOP = f"(SELECT * FROM {_RUN} WHERE before < 0.9 * total)"
+_COVER = (f"(SELECT sum(n) / CAST(max(total) AS DOUBLE) AS cov, max(total) AS t, "
+          f"string_agg({Q * 4} || v || {Q * 4}, ', ' ORDER BY n DESC, v) AS vs FROM {_TOP})")
+_SHARE = "floor((cov - 1.96 * sqrt(cov * (1.0 - cov) / t)) * 100) / 100.0"
+_COMPLETE = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "nation_text", "rank")
+ORACLE["suggest_evaluated"] = "\nUNION ALL\n".join(
+    [
+        *[_evaluated(_complete(c, _TRAIN), f"count({c}) / CAST(count(*) AS DOUBLE)") for c in (*_COMPLETE, "c_mktsegment")],
+        _evaluated(_row("c_mktsegment", "hasCompleteness", "''", f"'has completeness of at least ' || CAST({_TARGET} AS VARCHAR)", "''", "''",
+                        f"FROM {_TRAIN} HAVING {_P} > 0.2 AND {_P} < 1.0"), _P, f"(SELECT {_TARGET} FROM {_TRAIN})"),
+        _evaluated(_row("nation_text", "hasDataType", "''", "'has type Integral'", "''", "''", f"FROM (SELECT 1)"),
+                   "count_if(nation_text IS NULL OR regexp_matches(nation_text, '^[+-]?\\d+$')) / CAST(count(*) AS DOUBLE)"),
+        *[_evaluated(_unique(c, _TRAIN), _uniqueness_of(c)) for c in (*_COMPLETE, "c_mktsegment")],
+        *[_evaluated(_contained(c, _TRAIN), f"count_if({c} IS NULL OR CAST({c} AS VARCHAR) IN {_seen(c, _TRAIN)}) / CAST(count(*) AS DOUBLE)")
+          for c in ("c_nationkey", "c_mktsegment", "nation_text", "rank")],
+        *[_evaluated(_nonneg(c, _TRAIN), f"count_if({c} IS NULL OR {c} >= 0) / CAST(count(*) AS DOUBLE)")
+          for c in ("c_custkey", "c_nationkey", "c_acctbal")],
+        _evaluated(_row("rank", "isContainedIn", "''", f"'has value range ' || vs || ' for at least ' || CAST({_SHARE} AS VARCHAR) || ' of values'",
+                        "''", "''", f"FROM {_COVER}"),
+                   f"count_if(rank IN (SELECT v FROM {_TOP})) / CAST(count(*) AS DOUBLE)", f"(SELECT {_SHARE} FROM {_COVER})"),
+    ]
+)

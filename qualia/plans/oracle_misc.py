@@ -63,7 +63,31 @@ FROM (SELECT pk, publish_date, unnest([
         {'attribute_name': 'shipped', 'current_value': CAST(shipped AS VARCHAR), 'expected_value': CAST(dispatched AS VARCHAR)}]) AS a FROM r)
 """
 
+QUARANTINE = """
+WITH c AS (SELECT *, c_custkey % 21 = 0 OR c_custkey % 26 = 0 AS malformed, c_custkey % 10 = 0 AS no_nation, c_custkey % 15 = 0 AS no_balance FROM customer),
+e AS (SELECT *, CASE WHEN malformed THEN 'malformed' ELSE concat_ws('; ', CASE WHEN no_nation THEN 'nation: not a int' END,
+                CASE WHEN no_balance THEN 'balance: not a double' END) END AS errors FROM c)
+SELECT c_custkey AS custkey, CASE WHEN errors = '' AND c_custkey % 11 <> 0 THEN c_name END AS name, CASE WHEN errors = '' THEN c_nationkey END AS nation,
+       CASE WHEN errors = '' THEN c_acctbal END AS balance, errors
+FROM e
+"""
+
+HISTORY = """
+WITH runs AS (SELECT unnest(['run-1', 'run-2', 'run-3']) AS run_id, unnest([1996, 1998, 2000]) AS until, unnest([1, 2, 3]) AS run_number),
+m AS (SELECT run_id, run_number, until, CAST(count(*) AS DOUBLE) AS size, avg(o_totalprice) AS mean, CAST(count(DISTINCT o_custkey) AS DOUBLE) AS dist
+      FROM runs JOIN orders ON year(o_orderdate) <= until GROUP BY ALL),
+l AS (SELECT run_id, run_number, until, '*' AS instance, 'Size' AS name, size AS value FROM m
+      UNION ALL SELECT run_id, run_number, until, 'o_totalprice', 'Mean', mean FROM m
+      UNION ALL SELECT run_id, run_number, until, 'o_custkey', 'CountDistinct', dist FROM m),
+h AS (SELECT *, lag(value) OVER (PARTITION BY name ORDER BY run_id) AS previous FROM l)
+SELECT run_id, CAST(run_number AS INT) AS run_number, instance, name, round(value, 4) AS value, round(previous, 4) AS previous,
+       round(value - previous, 4) AS change, CASE WHEN run_id <> 'run-1' THEN until END AS until
+FROM h
+"""
+
 ORACLE = {
+    "csv_quarantine": QUARANTINE,
+    "results_history": HISTORY,
     "reconcile_composite": SHIPMENTS,
     "group_count_filtered": GROUP_COUNT,
     "csv_roundtrip_count": GROUP_COUNT,

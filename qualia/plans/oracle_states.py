@@ -3,7 +3,7 @@
 from qualia.plans.oracle_metrics import _completeness, _count_distinct, _distinctness, _m, _ratio, _u, _uniqueness
 
 LI = "(SELECT *, nullif(l_linestatus, 'F') AS l_shipmode_seen FROM lineitem)"
-SOME = "(SELECT *, nullif(l_linestatus, 'F') AS l_shipmode_seen FROM lineitem WHERE year(l_shipdate) <= 1993 OR year(l_shipdate) > 1996)"
+SOME = "(SELECT *, nullif(l_linestatus, 'F') AS l_shipmode_seen FROM lineitem WHERE year(l_shipdate) <= 1996 OR year(l_shipdate) > 1998)"
 
 _HISTOGRAM = [
     f"SELECT 'Column' AS entity, 'l_shipmode_seen' AS instance, 'Histogram.bins' AS name, "

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qualia.operators.by_entity import rule_metrics_by_entity
+from qualia.operators.packed import packed_row_results
 from qualia.operators.validate import row_results, rule_metrics
 from qualia.plans.common import RUN_TS, table
 from qualia.session import scratch_path
@@ -226,9 +228,12 @@ def q_rule_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "rule-documents")
     docs.write.json(path)
     rules = select_rules(rules_table(read_rule_documents(spark, path, multi_line=False)))
-    segments = sorted(r["entity"] for r in rules.select("entity").distinct().collect())  # one per segment
-    out = None
-    for segment in segments:
-        part = rule_metrics(customer.where(F.lower("c_mktsegment") == segment), rules.where(F.col("entity") == segment))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return rule_metrics_by_entity(customer, rules, "lower(c_mktsegment)")
+
+
+def q_rule_packed_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row results kept as one row per order (written and read again), unpacked."""
+    packed = packed_row_results(table(spark, sf_dir, "orders"), rules_of(spark, [ORDERS_DOC]), pass_through=["o_orderkey"])
+    path = scratch_path(spark, "packed-results")
+    packed.rows.write.parquet(path)
+    return packed.unpack(spark.read.schema(packed.rows.schema).parquet(path), run_ts=RUN_TS)

@@ -43,7 +43,7 @@ def lineitem_slices(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Lineitem by year of shipment, as batches arrive: three slices and a last one that is sent again."""
     df = lineitem_flagged(spark, sf_dir)
     year = F.year("l_shipdate")
-    return {"to_1993": df.where(year <= 1993), "to_1996": df.where((year > 1993) & (year <= 1996)), "later": df.where(year > 1996)}
+    return {"to_1996": df.where(year <= 1996), "to_1998": df.where((year > 1996) & (year <= 1998)), "later": df.where(year > 1998)}
 
 
 def stored_lineitem_states(spark: SparkSession, sf_dir: str, analyzers, name: str) -> str:
@@ -66,7 +66,7 @@ def q_metric_states_some(spark, sf_dir):
     """Metrics of two of three slices: the rows they cover are never read again."""
     wanted = [Size(), Mean("l_quantity"), StandardDeviation("l_quantity"), CountDistinct("l_partkey"), Completeness("l_shipmode_seen")]
     path = stored_lineitem_states(spark, sf_dir, wanted, "metric-states")
-    some = stored_states(spark, path, ["to_1993", "later"])
+    some = stored_states(spark, path, ["to_1996", "later"])
     return metrics_from_states(some, wanted, lineitem_flagged(spark, sf_dir).schema).withColumn("value", F.round("value", 6))
 
 
