@@ -226,12 +226,22 @@ def _uniqueness_of(c):
     return (f"any_value((SELECT CAST(count_if(n = 1) AS DOUBLE) / sum(n) FROM (SELECT count(*) AS n FROM {_HELD} WHERE {c} IS NOT NULL GROUP BY {c})))")
 
 
-_FREQ = f"(SELECT rank AS v, count(*) AS n FROM {_TRAIN} GROUP BY rank)"
-_RUN = f"(SELECT v, n, sum(n) OVER (ORDER BY n DESC, v ROWS UNBOUNDED PRECEDING) - n AS before, sum(n) OVER () AS total FROM {_FREQ})"
-_TOP = f"(SELECT * FROM {_RUN} WHERE before < 0.9 * total)"
-_COVER = (f"(SELECT sum(n) / CAST(max(total) AS DOUBLE) AS cov, max(total) AS t, "
-          f"string_agg({Q * 4} || v || {Q * 4}, ', ' ORDER BY n DESC, v) AS vs FROM {_TOP})")
 _SHARE = "floor((cov - 1.96 * sqrt(cov * (1.0 - cov) / t)) * 100) / 100.0"
+
+
+def _fractional(c):
+    """The most common values that cover 90 % of the non-null rows, if they are not all."""
+    freq = f"(SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {_TRAIN} WHERE {c} IS NOT NULL GROUP BY 1)"
+    run = f"(SELECT v, n, sum(n) OVER (ORDER BY n DESC, v ROWS UNBOUNDED PRECEDING) - n AS before, sum(n) OVER () AS total FROM {freq})"
+    top = f"(SELECT * FROM {run} WHERE before < 0.9 * total)"
+    cover = (f"(SELECT sum(n) / CAST(max(total) AS DOUBLE) AS cov, max(total) AS t, string_agg({Q * 4} || v || {Q * 4}, ', ' ORDER BY n DESC, v) AS vs, "
+             f"count(*) AS k FROM {top})")
+    return _evaluated(
+        _row(c, "isContainedIn", "''", f"'has value range ' || vs || ' for at least ' || CAST({_SHARE} AS VARCHAR) || ' of values'", "''", "''",
+             f"FROM {cover} WHERE k < (SELECT count(*) FROM {freq})"),
+        f"count_if({c} IS NULL OR CAST({c} AS VARCHAR) IN (SELECT v FROM {top})) / CAST(count(*) AS DOUBLE)", f"(SELECT {_SHARE} FROM {cover})")
+
+
 _COMPLETE = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "nation_text", "rank")
 ORACLE["suggest_evaluated"] = "\nUNION ALL\n".join(
     [
@@ -245,8 +255,6 @@ ORACLE["suggest_evaluated"] = "\nUNION ALL\n".join(
           for c in ("c_nationkey", "c_mktsegment", "nation_text", "rank")],
         *[_evaluated(_nonneg(c, _TRAIN), f"count_if({c} IS NULL OR {c} >= 0) / CAST(count(*) AS DOUBLE)")
           for c in ("c_custkey", "c_nationkey", "c_acctbal")],
-        _evaluated(_row("rank", "isContainedIn", "''", f"'has value range ' || vs || ' for at least ' || CAST({_SHARE} AS VARCHAR) || ' of values'",
-                        "''", "''", f"FROM {_COVER}"),
-                   f"count_if(rank IN (SELECT v FROM {_TOP})) / CAST(count(*) AS DOUBLE)", f"(SELECT {_SHARE} FROM {_COVER})"),
+        *[_fractional(c) for c in ("c_nationkey", "c_mktsegment", "nation_text", "rank")],
     ]
 )
