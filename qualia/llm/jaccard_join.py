@@ -15,16 +15,16 @@ without frequent tokens in its plain prefix (k = 1) needs no more than that pref
 Equal sets are one node, and entries with equal nodes are one entry. Sets that share an index entry
 are candidates, but not all pairs of them are made: in a few rounds each set of an entry is compared with one hub of it, verified links are
 contracted to components, and only entries that still hold several components go on. At the end,
-pairs of such an entry are compared only across components and only if sizes and the parity bitmaps
-of both sets (a bound on their difference) allow the similarity. Verification counts the common
+pairs of such an entry are compared only across components, in the first entry that both have, and only
+if sizes and the parity bitmaps of both sets (a bound on their difference) allow the similarity. Verification counts the common
 shingles of the whole sets. No link between different components is left out, so components are exact
-(up to collisions of 64-bit hashes). For the links themselves (``n_links`` and ``links``) the pairs of an
+(up to collisions of 64-bit hashes). For the links themselves (``link_counts`` and ``links``) the pairs of an
 entry inside of one component that were not tested yet are verified too, as far as the same bound
 allows them; their number grows with the square of a family's different texts, as that of its links.
 
 Defined results: null or empty text, or text without words: empty set, linked with nothing. Fewer
 words than ``words``: the sequence is the one shingle. Repeated rows are equal sets. Null doc_ids
-take part; a component's id is its smallest non-null doc_id. An empty table gives no rows; other
+take part; a component's id is its smallest non-null doc_id. Very long texts are sets like others, read whole. An empty table gives no rows; other
 columns are not read by ``components`` and kept by ``keep_first``.
 """
 
@@ -265,10 +265,18 @@ class JaccardJoin:
         return _similar_sizes(self.num, self.den, n_a, n_b) & (differ * (self.den + self.num) <= (n_a + n_b) * (self.den - self.num))
 
     def components(self) -> DataFrame:
-        """Per document: doc_id, n_shingles, component_id, n_links (different sets that its set is similar
-        to), first (whether it is the component's first row: smallest doc_id, then input position) and ``at``."""
+        """Per document: doc_id, n_shingles, component_id, first (whether it is the component's first row: smallest
+        doc_id, then input position) and ``at``. Links inside of a component change nothing here and are not made."""
         rows, _, _, _, _, labels = self._joined()
-        return self._result(rows, self._links(), labels)
+        return self._result(rows, labels)
+
+    def link_counts(self) -> DataFrame:
+        """``components`` with n_links: the number of different sets that a document's set is similar to."""
+        ends = self._links()
+        ends = ends.select(F.col("a").alias("node")).unionAll(ends.select("b"))
+        degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+        rows = self._joined()[0].select("at", "node").join(degree, "node", "left").select("at", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        return self.components().join(rows, "at")
 
     def links(self) -> DataFrame:
         """a_id, b_id: all pairs of different sets that are similar, each set by its first document (smallest
@@ -335,10 +343,14 @@ class JaccardJoin:
                     F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b")).distinct()
                 pairs = self._possible(pairs, nodes)
             else:
-                full = open_.join(nodes, "node")
-                left = full.select("entry", *(F.col(c).alias(f"a_{c}") for c in ["node", "label", "n", *parity]))
-                right = full.select("entry", *(F.col(c).alias(f"b_{c}") for c in ["node", "label", "n", *parity]))
-                across = left.join(right, "entry").where((F.col("a_label") != F.col("b_label")) & (F.col("a_node") < F.col("b_node")) & self._bound("a_", "b_"))
+                # A pair that shares many entries is made in the first of them only.
+                lists = open_.groupBy("node").agg(F.collect_list("entry").alias("entries"))
+                full = open_.join(nodes, "node").join(lists, "node")
+                columns = ["node", "label", "n", "entries", *parity]
+                left, right = (full.select("entry", *(F.col(c).alias(f"{side}_{c}") for c in columns)) for side in ("a", "b"))
+                once = F.array_min(F.array_intersect("a_entries", "b_entries")) == F.col("entry")
+                across = left.join(right, "entry").where(
+                    (F.col("a_label") != F.col("b_label")) & (F.col("a_node") < F.col("b_node")) & self._bound("a_", "b_") & once)
                 pairs = across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
             pairs = self._written(pairs.join(tested, ["a", "b"], "left_anti"), "more")
             if pairs.isEmpty():
@@ -361,23 +373,20 @@ class JaccardJoin:
         """The first row of each component, with all columns. ``docs`` must be re-readable in the same
         row order (files or a checkpoint), since rows are told apart by their input position."""
         at = free_name(self.source.columns, "at")
-        rows, _, _, _, links, labels = self._joined()  # the links inside of components change nothing here
-        kept = self._result(rows, links, labels).where("first").select(F.col("at").alias(at))
+        rows, _, _, _, _, labels = self._joined()
+        kept = self._result(rows, labels).where("first").select(F.col("at").alias(at))
         return self.source.withColumn(at, F.monotonically_increasing_id()).join(kept, at, "left_semi").drop(at)
 
-    def _result(self, rows: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame:
+    def _result(self, rows: DataFrame, labels: DataFrame) -> DataFrame:
         rows = rows.select("at", "doc_id", "n", "node")
-        ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b")))
-        degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
         first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "at"))
         per_node = rows.where("node IS NOT NULL").groupBy("node").agg(first.alias("first"))
         per_node = per_node.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         first = per_node.groupBy("label").agg(F.min("first").alias("top"))
-        named = per_node.join(first, "label").join(degree, "node", "left").select(
-            "node", F.col("top.doc_id").alias("component_id"), F.col("top.at").alias("top_at"),
-            F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        named = per_node.join(first, "label").select(
+            "node", F.col("top.doc_id").alias("component_id"), F.col("top.at").alias("top_at"))
         alone = F.col("node").isNull()
         return rows.join(named, "node", "left").select(
             "doc_id", F.col("n").alias("n_shingles"),
             F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-            F.coalesce("n_links", F.lit(0)).alias("n_links"), (alone | (F.col("at") == F.col("top_at"))).alias("first"), "at")
+            (alone | (F.col("at") == F.col("top_at"))).alias("first"), "at")

@@ -94,7 +94,7 @@ def test_links_match_brute_force(spark, tmp_path, hot):
     join = JaccardJoin(table(spark, tmp_path, rows), sketch_bits=12, rare_excess=-10**6 if hot else 0, filter_bits=14)
     links, ids = brute_links(rows)
     degree = Counter(s for link in links for s in link)
-    assert {r.doc_id: r.n_links for r in join.components().collect()} == {i: degree[shingles(t)] for i, t in rows}
+    assert {r.doc_id: r.n_links for r in join.link_counts().collect()} == {i: degree[shingles(t)] for i, t in rows}
     assert degree[shingles(f"{body} tail3")] == 4
     assert Counter(frozenset((r.a_id, r.b_id)) for r in join.links().collect()) == Counter(frozenset((ids[a], ids[b])) for a, b in links)
 
