@@ -30,6 +30,8 @@ the base rules pass). An empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,19 +125,21 @@ def _half(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id, F.lit("half")), F.lit(2)).cast("int")
 
 
-def trusted_grams(docs: DataFrame, ids: DataFrame, filter_bits: int) -> DataFrame:
-    """half, grams of the trusted rows, written: they are read for the counts and for the threshold."""
+def trusted_grams(docs: DataFrame, ids: DataFrame, bits: int, filter_bits: int) -> DataFrame:
+    """half, buckets (of the n-grams, with repeats) of the trusted rows, written: they are read for the counts and
+    for the threshold."""
     path = scratch_path(docs.sparkSession, "trusted-grams")
     trusted = trusted_rows(docs, ids, filter_bits).withColumn("half", _half(F.col("doc_id")))
-    gram_lists(trusted, "half").write.parquet(path)
-    return docs.sparkSession.read.schema("half int, grams array<long>").parquet(path)
+    buckets = F.transform("grams", lambda g: bucket_of(g, bits))
+    gram_lists(trusted, "half").select("half", buckets.alias("buckets")).write.parquet(path)
+    return docs.sparkSession.read.schema("half int, buckets array<int>").parquet(path)
 
 
 def gram_counts(docs: DataFrame, trusted: DataFrame, bits: int) -> DataFrame:
     """bucket, raw, half0, half1 (counts in all documents and in the two halves of the trusted ones), written."""
     spark = docs.sparkSession
     raw = gram_lists(docs).select(F.explode("grams").alias("g")).groupBy(bucket_of(F.col("g"), bits).alias("bucket")).agg(F.count(F.lit(1)).alias("raw"))
-    halves = trusted.select("half", F.explode("grams").alias("g")).groupBy(bucket_of(F.col("g"), bits).alias("b"))
+    halves = trusted.select("half", F.explode("buckets").alias("b")).groupBy("b")
     halves = halves.agg(F.count_if(F.col("half") == 0).alias("half0"), F.count_if(F.col("half") == 1).alias("half1"))
     path = scratch_path(spark, "gram-counts")
     zero = F.lit(0).cast("long")
@@ -155,10 +159,10 @@ def weights(counts: DataFrame, target: Column, bits: int, smoothing: float = 1.0
     return _array(one.select(F.col("bucket").alias("at"), weight.alias("weight")), 1 << bits, "weight")
 
 
-def mean_weight(grams: str, weight: Column, bits: int) -> Column:
-    """Mean weight of a row's n-grams in units of 2**-20 (no n-gram: 0)."""
-    total = F.aggregate(F.col(grams), F.lit(0).cast("long"), lambda t, g: t + F.get(weight, bucket_of(g, bits)))
-    return F.when(F.size(grams) > 0, total.cast("double") / F.size(grams)).otherwise(0.0)
+def mean_weight(items: str, weight: Column, bucket: Callable[[Column], Column]) -> Column:
+    """Mean weight of a row's n-grams in units of 2**-20 (no n-gram: 0); ``bucket`` gives an item's bucket."""
+    total = F.aggregate(F.col(items), F.lit(0).cast("long"), lambda t, x: t + F.get(weight, bucket(x)))
+    return F.when(F.size(items) > 0, total.cast("double") / F.size(items)).otherwise(0.0)
 
 
 FENCE = 2.0
@@ -168,9 +172,9 @@ _STEPS = 1000
 
 def threshold_of(trusted: DataFrame, counts: DataFrame, bits: int) -> float:
     """The least score that is kept; minus infinity without trusted n-grams in both halves."""
-    other = F.when(F.col("half") == 0, mean_weight("grams", weights(counts, F.col("half1"), bits), bits)).otherwise(
-        mean_weight("grams", weights(counts, F.col("half0"), bits), bits))
-    scored = trusted.where(F.size("grams") > 0)
+    other = F.when(F.col("half") == 0, mean_weight("buckets", weights(counts, F.col("half1"), bits), lambda b: b)).otherwise(
+        mean_weight("buckets", weights(counts, F.col("half0"), bits), lambda b: b))
+    scored = trusted.where(F.size("buckets") > 0)
     steps = scored.select(F.floor(other * _STEPS / UNIT).alias("step")).groupBy("step").agg(F.count(F.lit(1)).alias("n"))
     found = sorted((r.step, r.n) for r in steps.collect())  # log ratios in thousandths: some ten thousand values
     both = counts.agg(F.sum("half0"), F.sum("half1")).first()
@@ -196,11 +200,11 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_
     has the ids of trusted documents in its first column. ``threshold`` replaces the one found from them."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ids = trusted_ids.select(F.col(trusted_ids.columns[0]).cast("long").alias("id")).dropna().distinct()
-    trusted = trusted_grams(src, ids, filter_bits)
+    trusted = trusted_grams(src, ids, bits, filter_bits)
     counts = gram_counts(src, trusted, bits)
     least = threshold_of(trusted, counts, bits) if threshold is None else threshold
     weight = weights(counts, F.col("half0") + F.col("half1"), bits)
-    score = mean_weight("grams", weight, bits) / UNIT
+    score = mean_weight("grams", weight, lambda g: bucket_of(g, bits)) / UNIT
     return base_rules(src).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", score.alias("score"),
         (~F.col("base_failed") & (score >= F.lit(least))).alias("kept"), F.lit(least).alias("threshold"))
