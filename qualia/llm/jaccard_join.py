@@ -8,9 +8,10 @@ stands far out of the mean are *frequent*, the rest *rare*.
 Two sets x, y with |x & y| >= t |x | y| share at least k tokens in their prefixes of length
 |x| - ceil(t |x|) + k. Frequent tokens are dealt into m classes by hash; with k = m + 1 either a rare
 token is shared, or two frequent tokens of one class. So the index holds rare prefix tokens singly
-and pairs of frequent prefix tokens of one class; m follows the set size (the smaller set's size
-step), which keeps the number of pairs linear in the prefix, and pairs carry that size step. A set
-without frequent tokens in its plain prefix (k = 1) needs no more than that prefix.
+and pairs of frequent prefix tokens of one class, and pairs carry the smaller set's size step, which
+sets m. With c plain prefix tokens p to a class, m = p / c and the prefix is p (1 + 1 / c) long, so there are about
+p (c + 1)^2 / 2c pairs: fewest, 2p, for c = 1. So m = p, prefixes are twice as long, and a candidate has more than p
+of them in common. A set without frequent tokens in its plain prefix (k = 1) needs no more than that prefix.
 
 Equal sets are one node, and entries with equal nodes are one entry. Sets that share an index entry
 are candidates, but not all pairs of them are made: in a few rounds each set of an entry is compared with one hub of it, verified links are
@@ -45,7 +46,7 @@ from qualia.llm.sketch import bucket_counts
 from qualia.session import scratch_path
 
 PARITY = 32  # 64-bit words of a set's parity bitmap
-CLASS_SIZE = 8  # frequent prefix tokens of a class, about
+CLASS_SIZE = 1  # plain prefix tokens to a class of frequent tokens, about
 
 
 def shingle_sets(column: pa.Array, words: int, distinct: bool = True) -> list[np.ndarray]:
@@ -96,7 +97,8 @@ class Scheme:
 
     def classes(self, step: int) -> int:
         """Frequent-token classes for pairs whose smaller set is in a size step."""
-        return max(1, -(-self.prefix(self.steps[step]) // CLASS_SIZE))
+        least = -(-self.steps[step] * self.num // self.den)  # tokens that similar sets of that size share
+        return max(1, min(-(-self.prefix(self.steps[step]) // CLASS_SIZE), least - 1))
 
     def entries(self, shingles: np.ndarray) -> np.ndarray:
         """Index entries of a set; none for sets that only an equal set can reach."""
