@@ -8,13 +8,13 @@ are equal, another compression level decides. A prediction is accepted if the sa
 ``min_margin`` bytes or more and the score is the model's ``margin`` or more.
 
 The margin is learned: further labelled texts, the ``sample_rows`` next by hash that no dictionary has
-seen, are predicted (their first ``piece`` characters), and the score that all but ``lost`` of those
+seen, are predicted whole, and the score that all but ``lost`` of those
 rightly predicted reach is the margin. A learned model asks for MIN_BYTES bytes too, since in short
 texts a byte is a large share. A plain dict of dictionaries has margin 0 and asks for 1 byte.
 
-The sample: per language ``sample_rows`` texts, the smallest by a hash of the text, of which the
-first ``piece`` characters are used. Every labelled language is learned; the model is at most
-``sample_rows * piece`` characters for each of them. Prediction reads whole texts.
+The sample: per language ``sample_rows`` texts, the smallest by a hash of the text. Each gives ``piece``
+characters to the dictionary, from a place anywhere in the text that another hash of it tells. Every labelled
+language is learned; the model is at most ``sample_rows * piece`` characters for each of them.
 
 Defined results: null text, or text without a letter: ``und``, score 0, not accepted. Equal sizes: the
 first language by name. No labelled rows: every text is ``und``. Repeated rows give equal results;
@@ -71,25 +71,42 @@ def learn_dictionaries(rows: DataFrame, text_col: str = "text", lang_col: str =
         best = [row for row in best if row["lang"] not in short] + _smallest(src, short, 2 * sample_rows, piece)
     parts: dict[str, list[str]] = {}
     for row in best:
-        parts.setdefault(row["lang"], []).append(row["text"])
-    model = Model({lang: _normal("\n".join(texts[:sample_rows])).encode() for lang, texts in sorted(parts.items())})
+        if row["i"] <= sample_rows:
+            parts.setdefault(row["lang"], []).append(row["text"])
+    model = Model({lang: _normal("\n".join(texts)).encode() for lang, texts in sorted(parts.items())})
     model.min_bytes = MIN_BYTES
-    compressors = Compressors(model)
-    found = [(lang, compressors.predict(t)) for lang, texts in parts.items() for t in texts[sample_rows:]]
-    scores = sorted(score for lang, (said, score, _) in found if said == lang)
+    unseen = [(row["lang"], row["h"]) for row in best if row["i"] > sample_rows]
+    scores = _right_scores(src, unseen, model) if unseen else []
     model.margin = scores[int(len(scores) * lost)] if scores else 0.0
     return model
 
 
 def _smallest(src: DataFrame, shares: dict[str, float], rows: int, piece: int) -> list:
-    """Per language of ``shares`` the ``rows`` texts with the smallest hashes, of those in that share of all hashes."""
+    """Per language of ``shares`` a piece of each of the ``rows`` texts with the smallest hashes, of those in that share of all hashes."""
     share = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))[F.col("lang")]
     near = src.where((F.col("h").cast("double") / 2.0**64 + 0.5) <= share)
-    near = near.select("lang", "h", F.substring("text", 1, piece).alias("text")).dropDuplicates(["lang", "h"])
+    place = F.pmod(F.xxhash64(F.lit("place"), "text"), F.greatest(F.lit(1), F.length("text") - piece + 1))
+    near = near.select("lang", "h", F.substring("text", (place + 1).cast("int"), F.lit(piece)).alias("text")).dropDuplicates(["lang", "h"])
     order = Window.partitionBy("lang").orderBy("h", "text")
     return near.withColumn("i", F.row_number().over(order)).where(F.col("i") <= rows).orderBy("lang", "i").collect()
 
 
+def _right_scores(src: DataFrame, chosen: list[tuple[str, int]], model: Model) -> list[float]:
+    """Ascending scores of the rightly predicted ones of ``chosen`` (language, hash) labelled texts, each read whole."""
+    wanted = F.broadcast(src.sparkSession.createDataFrame(chosen, "lang string, h long"))
+    texts = src.join(wanted, ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"])
+    model = src.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressors = Compressors(model.value)
+        for batch in slices(batches):
+            found = [compressors.predict(t) for t in batch.column("text").to_pylist()]
+            right = [score for lang, (said, score, _) in zip(batch.column("lang").to_pylist(), found) if said == lang]
+            yield pa.RecordBatch.from_arrays([pa.array(right, pa.float64())], names=["score"])
+
+    return sorted(row["score"] for row in texts.mapInArrow(run, "score double").collect())  # one of each chosen text at most
+
+
 def _normal(text: str) -> str:
     return text.lower()
 

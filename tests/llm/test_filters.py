@@ -10,11 +10,12 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+import zstandard
 from helpers import EXTRA, WORD, edge_rows, prose, table
 
 from qualia.llm import host_trust, ngram_ratio, ordinal_quality, zstd_language
 from qualia.llm.batches import hashed_words
-from qualia.llm.queries import URL_RULES, grades
+from qualia.llm.queries import URL_RULES, grades, op4_zstd_language
 from qualia.llm.sketch import bucket_counts
 
 
@@ -202,6 +203,56 @@ def test_every_labelled_language_is_learned(spark):
     assert sorted(zstd_language.learn_dictionaries(spark.createDataFrame(rows, "text string, lang string"))) == [x for _, x in rows]
 
 
+def test_languages_are_learned_from_all_of_a_text(spark):
+    """Texts that begin alike in all languages: only what comes later tells them apart."""
+    rng = random.Random(31)
+    words = {lang: [f"{lang}{rng.randrange(10**6)}" for _ in range(300)] for lang in ("aa", "bb")}
+    head = " ".join(f"head{rng.randrange(10**6)}" for _ in range(300))
+
+    def tail(lang):
+        return " ".join(rng.choice(words[lang]) for _ in range(900))
+
+    rows = [(f"{head} {tail(lang)}", lang) for lang in words for _ in range(60)]
+    model = zstd_language.learn_dictionaries(spark.createDataFrame(rows, "text string, lang string"), sample_rows=40)
+    assert all(sum(w in content.decode() for w in words[lang]) > 200 for lang, content in model.items())
+    assert model.margin > 0
+    plain = zstd_language.Compressors(model)
+    assert all(plain.predict(tail(lang))[0] == lang for lang in words for _ in range(20))
+
+
+def test_predictions_match_plain_compression(spark):
+    """The least total of compressed blocks over all dictionaries, recomputed with the library alone."""
+    rng = random.Random(32)
+    model = {lang: " ".join(f"{lang}{rng.randrange(400)}" for _ in range(800)).encode() for lang in ("cc", "aa", "bb")}
+    texts = [" ".join(f"{rng.choice(['aa', 'bb', 'cc'])}{rng.randrange(400)}" for _ in range(n)) for n in (1, 3, 40, 700, 3000)]
+
+    def size(text, lang):
+        params = zstandard.ZstdCompressionParameters.from_level(6, write_content_size=0, write_checksum=0, write_dict_id=0)
+        used = zstandard.ZstdCompressionDict(model[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        raw = text.lower().encode()
+        return sum(len(zstandard.ZstdCompressor(dict_data=used, compression_params=params).compress(raw[i:i + 1500]))
+                   for i in range(0, len(raw), 1500))
+
+    found = {r.doc_id: r for r in zstd_language.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, text in enumerate(texts):
+        sizes = sorted((size(text, lang), lang) for lang in model)
+        if sizes[0][0] < sizes[1][0]:
+            assert found[i].lang_pred == sizes[0][1]
+            assert found[i].saved_bytes == sizes[1][0] - sizes[0][0]
+            assert found[i].score == pytest.approx(1 - sizes[0][0] / sizes[1][0])
+    assert sum(r.saved_bytes > 0 for r in found.values()) >= 3  # short texts may tie
+
+
+def test_language_query_defines_documents_without_id(spark, tmp_path):
+    rows = [(i, f"{'uno dos tres' if i % 2 else 'one two three'} {i}", "es" if i % 2 else "en", "s") for i in range(40)]
+    rows += [(None, "only here a language of its own", "xx", "s")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = op4_zstd_language(spark, str(tmp_path)).collect()
+    assert len(found) == 41 and {r.held_out for r in found} == {True, False}
+    assert [r.held_out for r in found if r.doc_id is None] == [False]
+    assert "xx" not in {r.lang_pred for r in found}
+
+
 def test_language_edge_cases(spark, tmp_path):
     rows = edge_rows()
     docs = table(spark, tmp_path, rows)
