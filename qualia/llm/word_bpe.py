@@ -2,11 +2,12 @@
 
 White space never reaches the model of such a file and no pre-token spans it, so a text's ids are
 the ids of its space-separated chunks in order. A worker keeps the ids of chunks it has met; new
-chunks are encoded together. The ids are those of encoding the whole text (tests/llm/test_word_bpe.py).
+chunks are encoded together. The ids are those of encoding the whole text (tests/llm/test_encoders.py).
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import struct
 import unicodedata
@@ -69,31 +70,30 @@ class WordBpe:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each whole text (null: empty)."""
         if len(self.cache) > self.max_chunks:
-            self.cache = {"": b""}
-        cache = self.cache
+            # the chunks met first are the most frequent ones, by and large
+            self.cache = dict(itertools.islice(self.cache.items(), self.max_chunks // 3))
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        self._learn({c for chunks in split for c in chunks if c not in cache})
-        return [b"".join(map(cache.__getitem__, chunks)) for chunks in split]
+        found = [list(map(self.cache.get, chunks)) for chunks in split]
+        self._learn({c for chunks, ids in zip(split, found) for c, i in zip(chunks, ids) if i is None})
+        known = self.cache.__getitem__
+        return [b"".join(map(known, chunks)) if None in ids else b"".join(ids) for chunks, ids in zip(split, found)]
 
     def _learn(self, chunks: set[str]) -> None:
-        parts, words, others = {}, set(), []
+        stems, words, others, cache = {}, set(), [], self.cache
         for chunk in chunks:
             stem = chunk.rstrip(_TAIL)
             if len(stem) < 200 and _one_word(stem):
                 low = stem.lower() if stem.isascii() or _latin(stem) else stem
-                tail = chunk[len(stem):]
-                parts[chunk] = (low, tail)
+                if low != chunk:
+                    stems[chunk] = low
+                    words.add(chunk[len(stem):])
                 words.add(low)
-                if tail:
-                    words.add(tail)
             else:
                 others.append(chunk)
-        ids = self._words([w for w in words if w not in self.cache])
-        for chunk, (low, tail) in parts.items():
-            known = ids.get(low) or self.cache[low]
-            self.cache[chunk] = known + (ids.get(tail) or self.cache[tail]) if tail else known
-        self.cache.update(ids)
-        self.cache.update(self._each(others))
+        cache.update(self._words([w for w in words if w not in cache]))
+        for chunk, low in stems.items():
+            cache[chunk] = cache[low] + cache[chunk[len(low):]] if len(low) < len(chunk) else cache[low]
+        cache.update(self._each(others))
 
     def _each(self, chunks: list[str]) -> dict[str, bytes]:
         found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False) if chunks else []
