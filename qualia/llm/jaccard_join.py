@@ -16,8 +16,8 @@ of them in common. A set without frequent tokens in its plain prefix (k = 1) nee
 Equal sets are one node, and entries with equal nodes are one entry. Sets that share an index entry
 are candidates, but not all pairs of them are made: in a few rounds each set of an entry is compared with one hub of it, verified links are
 contracted to components, and only entries that still hold several components go on. At the end,
-pairs of such an entry are compared only across components, in the first entry that both have, and only
-if sizes and the parity bitmaps of both sets (a bound on their difference) allow the similarity. Verification counts the common
+pairs of such an entry are compared only across components, not again where both sets have a smaller entry among their
+first ``FIRST_ENTRIES`` ones, and only if sizes and the parity bitmaps of both sets (a bound on their difference) allow the similarity. Verification counts the common
 shingles of the whole sets. No link between different components is left out, so components are exact
 (up to collisions of 64-bit hashes). For the links themselves (``link_counts`` and ``links``) the pairs of an
 entry inside of one component that were not tested yet are verified too, as far as the same bound
@@ -33,11 +33,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qualia.llm.batches import combine, free_name, hashed_words, mix, slices
@@ -46,6 +47,8 @@ from qualia.llm.sketch import bucket_counts
 from qualia.session import scratch_path
 
 PARITY = 32  # 64-bit words of a set's parity bitmap
+FOLDED = 16  # words of it, folded by xor, that go with a set's rows of open entries
+FIRST_ENTRIES = 16  # a set's smallest open entries that go with each of its rows
 CLASS_SIZE = 1  # plain prefix tokens to a class of frequent tokens, about
 
 
@@ -119,12 +122,15 @@ class Scheme:
             m = self.classes(at)
             near = order[:min(n, plain + m)][~rare[:min(n, plain + m)]]
             tokens = np.sort(shingles[near])
-            kind = (mix(tokens) % np.uint64(m)).astype(np.int64)
-            for c in range(m):
-                own = tokens[kind == c]
-                if len(own) > 1:
-                    i, j = np.triu_indices(len(own), 1)
-                    out.append(combine([own[i], own[j], np.full(len(i), at + 1, np.uint64)]))
+            kind = mix(tokens) % np.uint64(m)
+            by_class = np.argsort(kind, kind="stable")
+            tokens, kind = tokens[by_class], kind[by_class]
+            for apart in range(1, len(tokens)):  # pairs of a class that are so far apart, for all classes at once
+                same = kind[apart:] == kind[:-apart]
+                if not same.any():
+                    break
+                first = tokens[:-apart][same]
+                out.append(combine([first, tokens[apart:][same], np.full(len(first), at + 1, np.uint64)]))
         return np.unique(np.concatenate(out))
 
 
@@ -138,6 +144,13 @@ def parity_bitmaps(sets: list[np.ndarray]) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _of_keys(batches: Iterable[pa.RecordBatch], wanted: np.ndarray, shift: np.uint64) -> Iterator[pa.RecordBatch]:
+    """The rows whose key falls on a flag of ``wanted``."""
+    for batch in batches:
+        keys = batch.column("key").to_numpy().view(np.uint64)
+        yield batch.filter(pa.array(wanted[mix(keys) >> shift]))
+
+
 def _similar_sizes(num: int, den: int, a: Column, b: Column) -> Column:
     return F.least(a, b) * den >= F.greatest(a, b) * num
 
@@ -152,9 +165,10 @@ class JaccardJoin:
         self.rare_excess = rare_excess  # a bucket count this far (and 8 deviations) over the mean is frequent
         self.source = docs
         self.docs = docs.select(
-            F.monotonically_increasing_id().alias("at"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+            F.monotonically_increasing_id().alias("at"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+            F.xxhash64(text_col).alias("key"))
         self.texts = self.docs.select("text")
-        self.joined = self.all_links = None
+        self.joined = self.all_links = self.keys = None
 
     def _written(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"jaccard-{name}")
@@ -162,7 +176,8 @@ class JaccardJoin:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def rows(self) -> DataFrame:
-        """at (input position), doc_id, n (set size), node (null for the empty set) and the parity words p0.. of its set."""
+        """at (input position), doc_id, key (hash of the text), n (set size), node (null for the empty set) and the parity
+        words p0.. of its set."""
         words = self.words
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,12 +185,12 @@ class JaccardJoin:
                 sets = shingle_sets(batch.column("text"), words)
                 parity = parity_bitmaps(sets)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("at"), batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                    [batch.column("at"), batch.column("doc_id"), batch.column("key"), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
                      *(pa.array(parity[:, w]) for w in range(PARITY))],
-                    names=["at", "doc_id", "n", "node", *(f"p{w}" for w in range(PARITY))])
+                    names=["at", "doc_id", "key", "n", "node", *(f"p{w}" for w in range(PARITY))])
 
-        return self.docs.mapInArrow(run, "at long, doc_id long, n long, node long, " + ", ".join(f"p{w} long" for w in range(PARITY)))
+        return self.docs.mapInArrow(run, "at long, doc_id long, key long, n long, node long, " + ", ".join(f"p{w} long" for w in range(PARITY)))
 
     def _counts(self) -> np.ndarray:
         words, shift = self.words, np.uint64(64 - self.sketch_bits)
@@ -217,21 +232,21 @@ class JaccardJoin:
 
         return self.spark.sparkContext.broadcast(bucket_counts(rows.select(column), buckets, self.filter_bits) > 0)
 
-    def _sets(self, nodes: DataFrame) -> DataFrame:
-        """node, shingles: the whole sets of ``nodes`` (and of few others, whose hash buckets are the same)."""
+    def _sets(self, keys: DataFrame) -> DataFrame:
+        """node, shingles: the whole sets of the texts with these keys (and of few others, whose hash buckets are the
+        same). Other texts are passed over before their words are hashed."""
         words, shift = self.words, np.uint64(64 - self.filter_bits)
-        wanted = self._filter(nodes, "node")
+        wanted = self._filter(keys, "key")
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
-            for batch in slices(batches):
+            for batch in slices(_of_keys(batches, wanted.value, shift)):
                 nodes, sets = [], []
                 for shingles in shingle_sets(batch.column("text"), words):
                     if len(shingles) and (node := node_of(shingles)) not in seen:
-                        if wanted.value[int(mix(np.array([node]).view(np.uint64))[0] >> shift)]:
-                            seen.add(node)
-                            nodes.append(node)
-                            sets.append(shingles.view(np.int64))
+                        seen.add(node)
+                        nodes.append(node)
+                        sets.append(shingles.view(np.int64))
                 if nodes:
                     at = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
@@ -240,14 +255,15 @@ class JaccardJoin:
 
         # bucketed by node: the joins read it in place and shuffle their pairs only
         name, buckets = f"shingle_sets_{uuid.uuid4().hex}", int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        found = self.texts.mapInArrow(run, "node long, shingles array<long>").repartition(buckets, "node").dropDuplicates(["node"])
+        found = self.docs.select("text", "key").mapInArrow(run, "node long, shingles array<long>").repartition(buckets, "node").dropDuplicates(["node"])
         found.write.format("parquet").bucketBy(buckets, "node").sortBy("node").option(
             "path", scratch_path(self.spark, "jaccard-sets")).saveAsTable(name)
         return self.spark.table(name)
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose whole sets are similar; the texts of their nodes are hashed again."""
-        sets = self._sets(pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")))
+        """The pairs (a, b) whose whole sets are similar; one text of each of their nodes is hashed again."""
+        ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
+        sets = self._sets(self.keys.join(ends, "node", "left_semi"))
         a, b = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
         both = pairs.join(b, "b").join(a, "a")
         common = F.size(F.array_intersect("sa", "sb"))
@@ -260,8 +276,8 @@ class JaccardJoin:
             pairs = pairs.join(nodes.select(F.col("node").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in nodes.columns if c != "node")), side)
         return pairs.where(self._bound("a_", "b_")).select("a", "b")
 
-    def _bound(self, a: str, b: str) -> Column:
-        differ = sum((F.bit_count(F.col(f"{a}p{w}").bitwiseXOR(F.col(f"{b}p{w}"))) for w in range(PARITY)), F.lit(0))
+    def _bound(self, a: str, b: str, parity: int = PARITY) -> Column:
+        differ = sum((F.bit_count(F.col(f"{a}p{w}").bitwiseXOR(F.col(f"{b}p{w}"))) for w in range(parity)), F.lit(0))
         n_a, n_b = F.col(f"{a}n"), F.col(f"{b}n")
         # |a ^ b| <= (|a| + |b|) (1 - t) / (1 + t)
         return _similar_sizes(self.num, self.den, n_a, n_b) & (differ * (self.den + self.num) <= (n_a + n_b) * (self.den - self.num))
@@ -318,7 +334,9 @@ class JaccardJoin:
         rows = self._written(self.rows(), "rows")
         parity = [f"p{w}" for w in range(PARITY)]
         nodes = self._written(
-            rows.where(F.col("n") * self.den >= (F.col("n") + 1) * self.num).groupBy("node").agg(*(F.first(c).alias(c) for c in ["n", *parity])), "nodes")
+            rows.where(F.col("n") * self.den >= (F.col("n") + 1) * self.num).groupBy("node").agg(
+                *(F.first(c).alias(c) for c in ["key", "n", *parity])), "nodes")
+        self.keys, nodes = nodes.select("node", "key"), nodes.drop("key")
         counts = self._counts()
         mean = float(counts.mean()) if len(counts) else 0.0
         scheme = self.spark.sparkContext.broadcast(Scheme(self.num, self.den, counts, mean + 8 * mean**0.5 + self.rare_excess))
@@ -343,17 +361,21 @@ class JaccardJoin:
                 hubs = open_.groupBy("entry").agg(F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(turn))).alias("h"))
                 pairs = open_.join(hubs, "entry").where("label <> h.label").select(
                     F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b")).distinct()
-                pairs = self._possible(pairs, nodes)
             else:
-                # A pair that shares many entries is made in the first of them only.
-                lists = open_.groupBy("node").agg(F.collect_list("entry").alias("entries"))
-                full = open_.join(nodes, "node").join(lists, "node")
-                columns = ["node", "label", "n", "entries", *parity]
+                # A pair that shares many entries is not made in one if both sets have a smaller one among their first;
+                # the few pairs made more often are made distinct below.
+                place = F.row_number().over(Window.partitionBy("node").orderBy("entry"))
+                lists = open_.withColumn("place", place).where(F.col("place") <= FIRST_ENTRIES).groupBy("node").agg(
+                    F.collect_list("entry").alias("entries"))
+                fold = (reduce(Column.bitwiseXOR, (F.col(f"p{v}") for v in range(w, PARITY, FOLDED))).alias(f"p{w}") for w in range(FOLDED))
+                full = open_.join(nodes.select("node", "n", *fold), "node").join(lists, "node")
+                columns = ["node", "label", "n", "entries", *(f"p{w}" for w in range(FOLDED))]
                 left, right = (full.select("entry", *(F.col(c).alias(f"{side}_{c}") for c in columns)) for side in ("a", "b"))
-                once = F.array_min(F.array_intersect("a_entries", "b_entries")) == F.col("entry")
+                once = F.coalesce(F.array_min(F.array_intersect("a_entries", "b_entries")) >= F.col("entry"), F.lit(True))
                 across = left.join(right, "entry").where(
-                    (F.col("a_label") != F.col("b_label")) & (F.col("a_node") < F.col("b_node")) & self._bound("a_", "b_") & once)
+                    (F.col("a_label") != F.col("b_label")) & (F.col("a_node") < F.col("b_node")) & self._bound("a_", "b_", FOLDED) & once)
                 pairs = across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+            pairs = self._possible(pairs, nodes)
             pairs = self._written(pairs.join(tested, ["a", "b"], "left_anti"), "more")
             if pairs.isEmpty():
                 continue
