@@ -47,6 +47,7 @@ from qualia.llm.sketch import bucket_counts
 from qualia.session import scratch_path
 
 PARITY = 32  # 64-bit words of a set's parity bitmap
+SLICE = 1 << 20  # bytes of text that are hashed at once
 FOLDED = 16  # words of it, folded by xor, that go with a set's rows of open entries
 FIRST_ENTRIES = 16  # a set's smallest open entries that go with each of its rows
 CLASS_SIZE = 1  # plain prefix tokens to a class of frequent tokens, about
@@ -181,7 +182,7 @@ class JaccardJoin:
         words = self.words
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches):
+            for batch in slices(batches, max_bytes=SLICE):
                 sets = shingle_sets(batch.column("text"), words)
                 parity = parity_bitmaps(sets)
                 yield pa.RecordBatch.from_arrays(
@@ -196,7 +197,7 @@ class JaccardJoin:
         words, shift = self.words, np.uint64(64 - self.sketch_bits)
 
         def buckets(batch: pa.RecordBatch) -> np.ndarray:
-            found = [s for part in slices([batch]) for s in shingle_sets(part.column("text"), words, distinct=False)]
+            found = [s for part in slices([batch], max_bytes=SLICE) for s in shingle_sets(part.column("text"), words, distinct=False)]
             return (np.concatenate(found) >> shift).astype(np.int64) if found else np.zeros(0, np.int64)
 
         return bucket_counts(self.texts, buckets, self.sketch_bits)
@@ -207,7 +208,7 @@ class JaccardJoin:
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
-            for batch in slices(batches):
+            for batch in slices(batches, max_bytes=SLICE):
                 entries, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
                 for shingles in shingle_sets(batch.column("text"), words):
                     if not scheme.value.reachable(len(shingles)) or (node := node_of(shingles)) in seen:
@@ -240,7 +241,7 @@ class JaccardJoin:
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
-            for batch in slices(_of_keys(batches, wanted.value, shift)):
+            for batch in slices(_of_keys(batches, wanted.value, shift), max_bytes=SLICE):
                 nodes, sets = [], []
                 for shingles in shingle_sets(batch.column("text"), words):
                     if len(shingles) and (node := node_of(shingles)) not in seen:
@@ -258,6 +259,7 @@ class JaccardJoin:
         found = self.docs.select("text", "key").mapInArrow(run, "node long, shingles array<long>").repartition(buckets, "node").dropDuplicates(["node"])
         found.write.format("parquet").bucketBy(buckets, "node").sortBy("node").option(
             "path", scratch_path(self.spark, "jaccard-sets")).saveAsTable(name)
+        wanted.unpersist()
         return self.spark.table(name)
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
@@ -346,6 +348,8 @@ class JaccardJoin:
         wanted = self._filter(shared, "entry")
         members = self._written(
             self._index(scheme, wanted).join(shared, "entry").select("entry", "node", "hub").distinct(), "members")
+        scheme.unpersist()
+        wanted.unpersist()
         # Of entries with the same nodes (as most of a family of near copies are) one is enough.
         alike = members.groupBy("entry", "hub").agg(
             F.bit_xor(F.xxhash64("node")).alias("x"), F.count(F.lit(1)).alias("k"), F.max("node").alias("last"))
