@@ -61,6 +61,7 @@ STATE_COLUMNS = {
 STATE_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in STATE_COLUMNS.items())
 _HLL_BITS = 14  # standard error of about 0.8 %
 _KLL_SIZE = 400  # rank error of about 0.7 %
+_ROWS_A_TASK = 1_000_000  # key counts one task adds up: some hundred bytes each in memory, a few in files
 
 
 @dataclass(frozen=True, init=False)
@@ -195,10 +196,14 @@ def _kind(state: Column) -> Column:
     return F.get_json_object(state, "$[0]")
 
 
-def merge_states(*states: DataFrame, part: str = "all") -> DataFrame:
-    """The states of all rows that ``states`` (any number of tables, of any number of parts) are about, as part ``part``."""
+def merge_states(*states: DataFrame, part: str = "all", tasks: int | None = None) -> DataFrame:
+    """The states of all rows that ``states`` (any number of tables, of any number of parts) are about, as part ``part``.
+    Key counts are dealt out by key before they are added (to ``tasks`` tasks; None: as many as the session shuffles to):
+    a part has each key once, so adding up before that only fills a reading task's memory."""
     rows = _union(states).withColumn("kind", _kind(F.col("state")))
-    keyed = rows.where("kind = 'values'").groupBy("state", "key", "nn").agg(F.sum("n").alias("n"))
+    key = ["state", "key", "nn"]
+    keyed = rows.where("kind = 'values'").select(*key, "n")
+    keyed = (keyed.repartition(tasks, *key) if tasks else keyed.repartition(*key)).groupBy(*key).agg(F.sum("n").alias("n"))
     # few rows: scan states x parts
     moment = F.when(F.col("total").isNotNull(), F.struct(F.col("n").cast("double").alias("n"), "total", "spread"))
     fixed = rows.where("kind <> 'values'").groupBy("kind", "state").agg(
@@ -211,6 +216,11 @@ def merge_states(*states: DataFrame, part: str = "all") -> DataFrame:
     return out.withColumn("part", F.lit(part)).select(*[F.col(c).cast(kind).alias(c) for c, kind in STATE_COLUMNS.items()])
 
 
+def _key_tasks(rows: Iterable[int]) -> int:
+    """Number of tasks that add up so many stored rows."""
+    return sum(rows) // _ROWS_A_TASK + 1
+
+
 def _pooled(moments: str) -> Column:
     """Squared deviations of all rows from those of the parts: each step adds the distance of the two means."""
 
@@ -257,13 +267,13 @@ def metrics_from_states(states: DataFrame, analyzers: Sequence[Analyzer], schema
     the table (column names and types; no rows are read). A state that was not stored is an error."""
     spark = states.sparkSession
     empty = spark.createDataFrame([], schema)
-    merged = merge_states(states)
+    known = {r.state: r.n for r in states.groupBy("state").agg(F.count(F.lit(1)).alias("n")).collect()}  # names of states, not data
+    merged = merge_states(states, tasks=_key_tasks(known.values()))
     distinct = list(dict.fromkeys(analyzers))
     scan = [a for a in distinct if not a.grouping]
     grouped = [a for a in distinct if a.grouping]
     wanted = {s.name for a in scan for s in _scan_specs(empty, a)} | {_key_state(empty, a)[0] for a in grouped}
-    known = {r.state for r in states.select("state").distinct().collect()}  # names of states, not data
-    missing = sorted(n for n in wanted - known if json.loads(n)[0] != "values")  # a part without rows has no key counts
+    missing = sorted(n for n in wanted - known.keys() if json.loads(n)[0] != "values")  # a part without rows has no key counts
     if missing:
         raise ValueError(f"no such states: {missing}")
     parts = []
@@ -297,8 +307,8 @@ def metrics_from_states(states: DataFrame, analyzers: Sequence[Analyzer], schema
 
 def save_states(states: DataFrame, path: str) -> None:
     """Store states under ``path``, partitioned by part. A part that is there is replaced as a whole, so a
-    repeated batch counts once."""
-    states.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+    repeated batch counts once. A part's key counts are dealt out by key: they grow with the data."""
+    states.repartition("part", "state", "key").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
 
 
 def stored_states(spark: SparkSession, path: str, parts: Sequence[str] | None = None) -> DataFrame:
@@ -310,4 +320,5 @@ def stored_states(spark: SparkSession, path: str, parts: Sequence[str] | None =
 
 def compact_states(spark: SparkSession, path: str, target: str, part: str, parts: Sequence[str] | None = None) -> None:
     """Merge stored parts into one part of another state table (the source stays as it is)."""
-    save_states(merge_states(stored_states(spark, path, parts), part=part), target)
+    stored = stored_states(spark, path, parts)
+    save_states(merge_states(stored, part=part, tasks=_key_tasks([stored.count()])), target)

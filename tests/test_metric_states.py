@@ -4,7 +4,9 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from qualia.operators import metric_states as states_module
 from qualia.operators.metric_states import (
     ApproxQuantile,
     compact_states,
@@ -134,3 +136,29 @@ def test_wrong_metrics_and_missing_states_are_told(spark, rows):
     states = metric_states(df, [Size()], "p")
     with pytest.raises(ValueError, match="no such states"):
         metrics_from_states(states, [Mean("score")], df.schema)
+
+
+def test_key_counts_of_a_part_are_in_several_files(spark, tmp_path):
+    df = spark.range(0, 40_000).selectExpr("id AS k")
+    path = str(tmp_path / "states")
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small parts are put together
+    try:
+        save_states(metric_states(df, [Uniqueness("k")], "a"), path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    rows = [r["count"] for r in stored_states(spark, path).groupBy(F.input_file_name()).count().collect()]
+    assert sum(rows) == 40_000 and max(rows) < 20_000
+
+
+def test_stored_key_counts_are_added_in_tasks_of_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(states_module, "_ROWS_A_TASK", 100)
+    df = spark.range(0, 1000).selectExpr("id AS k")
+    path = str(tmp_path / "states")
+    for part, rows in (("a", df), ("b", df.where("k < 500"))):
+        save_states(metric_states(rows, [Uniqueness("k")], part), path)
+    found = metrics_from_states(stored_states(spark, path), [Uniqueness("k")], df.schema)
+    assert [round(r.value, 6) for r in found.collect()] == [round(500 / 1500, 6)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # 1500 rows, dealt out before they are added up
+    assert ", 16), REPARTITION_BY_NUM" in plan
