@@ -4,7 +4,8 @@ The store is a DataFrame of rule documents keyed by ``(source, entity)`` (schema
 ``DOCUMENT_SCHEMA``); a catalogue of any size stays distributed. Lookups are filters,
 whole-document writes are an anti join plus a union, and partial updates a full outer
 join on the key. Write the result with ``df.write`` (for example into a table
-partitioned by ``source``).
+partitioned by ``source``). Writes count their documents when they are called and deal them out by key, so many
+to a task: what a task holds does not grow with the store.
 """
 
 from __future__ import annotations
@@ -20,6 +21,15 @@ KEYS = ["source", "entity"]
 # Fixed value: the element groups a partial update always sets.
 UPDATE_RUN_ON = ["cde", "kde"]
 
+# Documents that one task sorts (some kilobytes each). Stored documents and the rows they are made from are
+# many times smaller, so neither file splits nor shuffled bytes bound this.
+DOCS_A_TASK = 50_000
+
+
+def document_tasks(*docs: DataFrame) -> int:
+    """Number of tasks for all documents of ``docs`` (which are counted)."""
+    return sum(d.count() for d in docs) // DOCS_A_TASK + 1
+
 
 def _by_name(c, src: T.DataType, dst: T.DataType):
     """Convert ``c`` from ``src`` to ``dst`` matching struct fields BY NAME (a plain cast
@@ -63,11 +73,15 @@ def get_rule(store: DataFrame, source: str, entity: str | None = None) -> DataFr
     return store.filter(cond)
 
 
-def _last_per_key(docs: DataFrame, order_col: str | None) -> DataFrame:
+def _last_per_key(docs: DataFrame, order_col: str | None, tasks: int) -> DataFrame:
     """One document per key, conformed: the last by ``order_col`` (ties and no order column: the
-    greatest by its JSON text, so the choice does not depend on the input's row order)."""
+    greatest by its JSON text, so the choice does not depend on the input's row order). Dealt out by key
+    to ``tasks`` tasks first: input tasks do not sort their documents."""
     text = F.to_json(F.struct(*[F.col(f.name) for f in DOCUMENT_SCHEMA.fields]))
-    rows = _conform(docs, order_col).withColumn("_text", text)
+    # documents of one literal source: a key that the optimizer takes for a constant is left out of the joins' keys,
+    # which then shuffle the whole store again
+    rows = _conform(docs, order_col).withColumn("source", F.concat("source", F.substring(F.coalesce("entity", F.lit("")), 1, 0)))
+    rows = rows.repartition(tasks, *KEYS).withColumn("_text", text)
     key = F.struct(*([F.col("_order")] if order_col else []), F.col("_text"))
     best = rows.groupBy(*KEYS).agg(F.max_by(F.struct(*[F.col(f.name) for f in DOCUMENT_SCHEMA.fields if f.name not in KEYS]), key).alias("d"))
     return best.select(*KEYS, "d.*").select(*[f.name for f in DOCUMENT_SCHEMA.fields])
@@ -76,8 +90,9 @@ def _last_per_key(docs: DataFrame, order_col: str | None) -> DataFrame:
 def put_rules(store: DataFrame, docs: DataFrame, order_col: str | None = None) -> DataFrame:
     """R2: whole-document replace by key; new keys are inserted. Of several documents for one
     key the last by ``order_col`` is written."""
-    new = _last_per_key(docs, order_col)
-    kept = _conform(store).join(new.select(*KEYS), KEYS, "left_anti")
+    tasks = document_tasks(store, docs)
+    new = _last_per_key(docs, order_col, tasks)
+    kept = _conform(store).repartition(tasks, *KEYS).join(new.select(*KEYS), KEYS, "left_anti")
     return kept.unionByName(new)
 
 
@@ -86,14 +101,15 @@ def update_rules(store: DataFrame, updates: DataFrame, order_col: str | None = N
     ``rules_run_on = ['cde', 'kde']`` on matching keys; other attributes keep their
     values. A key missing from the store is inserted with only those attributes. Of several
     updates of one key the last by ``order_col`` is applied."""
-    conformed = _last_per_key(updates, order_col)
+    tasks = document_tasks(store, updates)
+    conformed = _last_per_key(updates, order_col, tasks)
     upd = conformed.select(
         *KEYS,
         F.lit(True).alias("_upd"),
         F.col("single_column_profiler_rules").alias("_p"),
         F.col("single_column_validation_rules").alias("_v"),
     )
-    joined = _conform(store).join(upd, KEYS, "full_outer")
+    joined = _conform(store).repartition(tasks, *KEYS).join(upd, KEYS, "full_outer")
     matched = F.coalesce(F.col("_upd"), F.lit(False))
     run_on = F.array(*[F.lit(x) for x in UPDATE_RUN_ON])
     return joined.select(

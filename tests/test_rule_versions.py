@@ -1,7 +1,9 @@
 """Published rule versions: snapshots, conflicts, reading as of a version."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from qualia.operators import rulestore
 from qualia.operators.rule_versions import RuleConflict, RuleVersions
 from qualia.sources.rules import documents_from_dicts
 
@@ -58,3 +60,17 @@ def test_a_lookup_reads_one_source(spark, store):
     plan = store.get("s2")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source" in plan
     assert keys(store.get("s2")) == {("s2", "e2"): "k"}
+
+
+def test_documents_are_dealt_out_in_tasks_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(rulestore, "DOCS_A_TASK", 10)
+    old = documents_from_dicts(spark, [doc(f"e{i}", "old") for i in range(60)])
+    new = spark.range(40).selectExpr("'shop' AS source", "concat('e', id + 40) AS entity", "'new' AS primary_key").coalesce(1)
+    for change in (rulestore.put_rules, rulestore.update_rules):
+        out = change(old, new)
+        assert out.count() == 80 and out.where("primary_key = 'old'").count() == (40 if change is rulestore.put_rules else 60)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert dealt and all(", 11), REPARTITION_BY_NUM" in line for line in dealt)  # (60 + 40) documents, and no other shuffle
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 30
