@@ -64,10 +64,23 @@ def _counts_together(df: DataFrame, texts: Sequence[Column], first: int, bits: i
     per_column = size // block
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(size * width, dtype=np.uint64)
+        counts = np.zeros(size * width, dtype=np.int64)
+        waiting: list[pa.RecordBatch] = []
+
+        def flush() -> None:
+            for k in range(width if waiting else 0):
+                own = np.concatenate([b.column(k).to_numpy() for b in waiting])
+                counts[k * size:(k + 1) * size] += np.bincount(own, minlength=size)
+            waiting.clear()
+
+        rows = 0
         for batch in batches:
-            for k in range(width):
-                counts[k * size:(k + 1) * size] += np.bincount(batch.column(k).to_numpy(), minlength=size).astype(np.uint64)
+            waiting.append(batch)
+            rows += batch.num_rows
+            if rows >= size:  # a pass over the array takes as long as counting some hundred batches
+                flush()
+                rows = 0
+        flush()
         for b in np.unique(np.flatnonzero(counts) // block).tolist():
             yield _packed_block(b, counts[b * block:(b + 1) * block])
 
@@ -142,15 +155,14 @@ def least_frequent(df: DataFrame, text: Column, walk_rows: int, walks: int) -> t
         near = rest.orderBy(F.asc_nulls_first("v")).limit(walk_rows)
         seen = near.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
         order = F.struct(F.col("v").isNotNull().alias("set"), F.col("v").alias("v"), F.col("n").alias("n"))
-        one = seen.agg(F.max(order).alias("last"), F.sum("n").alias("rows")).first()
+        # in one job: the table is read once a walk
+        one = seen.agg(F.max(order).alias("last"), F.sum("n").alias("rows"), F.min(F.when(F.col("n") == 1, order)).alias("single")).first()
         if not one.rows:
             break
         whole = one.rows < walk_rows  # the walk met the end
-        last, settled = one.last, F.lit(True)
-        if not whole and last.n == 1:  # more rows of the last value may follow
-            settled = F.lit(False) if last.v is None else F.coalesce(F.col("v") < F.lit(last.v), F.lit(True))
-        single = seen.where((F.col("n") == 1) & settled).agg(F.min(order).alias("first")).first().first
-        if single is not None:
+        last, single = one.last, one.single
+        # more rows of the last value may follow; if the smallest single value is the last one, no other is single
+        if single is not None and (whole or single != last):
             return single.v, 1
         if whole or last.v is None and last.n == 1:
             break

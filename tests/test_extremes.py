@@ -81,3 +81,16 @@ def test_a_favourite_leaves_only_its_bucket(spark):
 def test_complex_columns_are_refused(spark):
     with pytest.raises(TypeError, match="complex"):
         frequency_extremes(spark.range(1).selectExpr("array(id) AS a"))
+
+
+def test_a_walk_reads_the_table_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(0, 600, 1, 3).selectExpr("CAST(id DIV 2 AS STRING) AS v").mapInArrow(counted, "v string")
+    assert least_frequent(df, F.col("v"), 50, 2) == ("0", 2)
+    assert read.value == 3 * 600  # two walks without a single value, and the count
