@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qualia.llm.batches import slices
-from qualia.llm.word_bpe import WordBpe
+from qualia.llm.word_bpe import SLICE, WordBpe
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -143,8 +143,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1, id_
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-        for batch in slices(batches):
-            for row, ids in zip(batch.column("doc_id").to_pylist(), bpe.encode(batch.column("text").to_pylist())):
+        for batch in slices(batches, max_bytes=SLICE):
+            for row, ids in zip(batch.column("doc_id").to_pylist(), bpe.encode(batch.column("text"))):
                 ids += end
                 n = len(ids) // 4
                 for start in range(0, n, size):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qualia.llm.batches import slices
-from qualia.llm.word_bpe import WordBpe
+from qualia.llm.word_bpe import SLICE, WordBpe
 
 STORED = "doc_id long, part int, part_start long, n_tokens int, ids array<int>"
 
@@ -41,17 +41,16 @@ def write_token_store(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     order = ["doc_id", "h", "at"]
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, end = WordBpe.of(tokenizer), np.asarray([end_id], dtype="<u4").tobytes()
+        bpe = WordBpe.of(tokenizer)
         part, start = TaskContext.get().partitionId(), 0
-        for batch in slices(batches):
-            rows = [ids + end for ids in bpe.encode(batch.column("text").to_pylist())]
-            sizes = np.array([len(r) // 4 for r in rows], dtype=np.int64)
-            offsets = np.concatenate([[0], np.cumsum(sizes)])
-            values = pa.array(np.frombuffer(b"".join(rows), dtype="<i4"))
+        for batch in slices(batches, max_bytes=SLICE):
+            ids, bounds = bpe.encode_column(batch.column("text"))
+            sizes, offsets = np.diff(bounds) + 1, bounds + np.arange(len(bounds))
+            values = pa.array(np.insert(ids, bounds[1:], end_id).view(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array(np.full(len(rows), part, dtype=np.int32)),
+                    pa.array(np.full(len(sizes), part, dtype=np.int32)),
                     pa.array(start + offsets[:-1]),
                     pa.array(sizes.astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values),

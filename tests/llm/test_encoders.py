@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from qualia.llm import word_bpe
 from qualia.llm.pair_bpe import PairBpe
 from qualia.llm.word_bpe import WordBpe
 
@@ -66,3 +67,32 @@ def test_invalid_bytes_decode_as_the_library(byte_level):
     for _ in range(300):
         ids = [rng.randrange(0, 50257) for _ in range(rng.randrange(8))]
         assert ours.decode(ids) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_a_plain_word_is_learned_once_in_all_its_forms(word_level):
+    path, library = public_tokenizers.path("word_bpe_49k.json"), word_level[1]
+    ours, asked = WordBpe(path), []
+    text = "Naïve, naïve NAÏVE. word\nWord!? WORD;word word-word ×word wo÷rd H\u0331a A\u0301, é\u0327"
+    plain = ours._plain
+    ours._plain = lambda piece: asked.append(piece.decode()) or plain(piece)
+    assert ours.encode([text, text]) == 2 * [raw(library.encode(text, add_special_tokens=False).ids)]
+    assert sorted(asked) == sorted(["naïve", "word", ",", ".", "!?", ";", "-"])
+
+
+def test_pieces_with_equal_hashes_are_told_apart(word_level, monkeypatch):
+    ours, library = WordBpe(public_tokenizers.path("word_bpe_49k.json"), max_chunks=40), word_level[1]
+    monkeypatch.setattr(word_bpe, "hash_words", lambda data, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(2))
+    rng = random.Random(5)
+    for _ in range(20):
+        some = ["".join(rng.choice(ODD + ["one, ", "two. ", "twelve letters "]) for _ in range(20)) for _ in range(5)]
+        assert ours.encode(some) == [raw(library.encode(t, add_special_tokens=False).ids) for t in some]
+
+
+def test_known_pieces_take_little_memory(word_level):
+    ours, library = WordBpe(public_tokenizers.path("word_bpe_49k.json"), max_chunks=5000), word_level[1]
+    rng = random.Random(6)
+    some = [" ".join("".join(rng.choice("abcdeé") for _ in range(8)) for _ in range(500)) for _ in range(24)]
+    for at in range(0, len(some), 4):
+        assert ours.encode(some[at:at + 4]) == [raw(library.encode(t, add_special_tokens=False).ids) for t in some[at:at + 4]]
+    held = sum(x.nbytes for x in vars(ours.table).values())
+    assert 0 < len(ours.table) <= 5000 + 2000 and held / len(ours.table) < 80
