@@ -197,10 +197,9 @@ class JaccardJoin:
         words, shift = self.words, np.uint64(64 - self.sketch_bits)
 
         def buckets(batch: pa.RecordBatch) -> np.ndarray:
-            found = [s for part in slices([batch], max_bytes=SLICE) for s in shingle_sets(part.column("text"), words, distinct=False)]
-            return (np.concatenate(found) >> shift).astype(np.int64) if found else np.zeros(0, np.int64)
+            return (np.concatenate(shingle_sets(batch.column("text"), words, distinct=False)) >> shift).astype(np.int64)
 
-        return bucket_counts(self.texts, buckets, self.sketch_bits)
+        return bucket_counts(self.texts, buckets, self.sketch_bits, lambda batches: slices(batches, max_bytes=SLICE))
 
     def _index(self, scheme, wanted=None) -> DataFrame:
         """entry, node for each distinct set of a partition; only entries in buckets of ``wanted``."""

@@ -31,6 +31,7 @@ from qualia.llm.batches import LOWER, combine, hash_words, slices, text_bytes, w
 
 # A feature says that at least 0.5 ** k of the words equal the word before them.
 REPEATS = (1, 2, 3, 4, 5, 6)
+SLICE = 1 << 20  # bytes of text whose features are made at once
 
 
 @dataclass
@@ -136,7 +137,7 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
     sample = texts.join(F.broadcast(rated), "id").select("id", "grade", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, max_bytes=SLICE):
             rows, buckets = features(batch.column("text"), bits)
             at = np.searchsorted(rows, np.arange(batch.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -156,7 +157,7 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, max_bytes=SLICE):
             tails = shared.value.tails(scores_of(batch.column("text"), shared.value))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(tails.sum(axis=1)), pa.array(tails[:, -1]), pa.array(tails[:, -1] >= least_tail)],
@@ -171,7 +172,7 @@ def keep_good(docs: DataFrame, model: OrdinalModel, text_col: str = "text", leas
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, text_col, SLICE):
             tails = shared.value.tails(scores_of(batch.column(text_col), shared.value))
             yield batch.filter(pa.array(tails[:, -1] >= least_tail))
 

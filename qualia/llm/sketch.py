@@ -14,8 +14,10 @@ _BLOCK_BITS = 14
 _SALTS = 16
 
 
-def bucket_counts(rows: DataFrame, buckets_of: Callable[[pa.RecordBatch], np.ndarray], bits: int = 20) -> np.ndarray:
-    """``2 ** bits`` counts (4 bytes each, saturating) of the buckets ``buckets_of`` gives for each batch.
+def bucket_counts(rows: DataFrame, buckets_of: Callable[[pa.RecordBatch], np.ndarray], bits: int = 20,
+                  split: Callable[[Iterable[pa.RecordBatch]], Iterable[pa.RecordBatch]] = iter) -> np.ndarray:
+    """``2 ** bits`` counts (4 bytes each, saturating) of the buckets ``buckets_of`` gives for each batch; ``split``
+    may cut batches smaller first.
 
     Each task counts into an array of its own; arrays travel in compressed blocks and are added while they
     stream, first per (block, salt) and then per block, so no task holds more than the array.
@@ -31,8 +33,8 @@ def bucket_counts(rows: DataFrame, buckets_of: Callable[[pa.RecordBatch], np.nda
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, dtype=np.uint64)
-        for batch in batches:
-            counts += np.bincount(buckets_of(batch), minlength=len(counts)).astype(np.uint64)
+        for batch in split(batches):
+            np.add.at(counts, buckets_of(batch), np.uint64(1))
         yield from emit(counts, np.unique(np.flatnonzero(counts) // block))
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -112,11 +112,16 @@ def _normal(text: str) -> str:
 
 
 class Compressors:
-    """One compressor per language and level."""
+    """One compressor per language and level; those of a level are made when a text first needs them."""
 
     def __init__(self, dictionaries: dict[str, bytes], levels: tuple[int, ...] = LEVELS):
-        self.langs = sorted(dictionaries)
-        self.by_level = [[_compressor(dictionaries[lang], level) for lang in self.langs] for level in levels]
+        self.langs, self.dictionaries, self.levels = sorted(dictionaries), dictionaries, levels
+        self.by_level: dict[int, list[zstandard.ZstdCompressor]] = {}
+
+    def of_level(self, level: int) -> list[zstandard.ZstdCompressor]:
+        if level not in self.by_level:
+            self.by_level[level] = [_compressor(self.dictionaries[lang], level) for lang in self.langs]
+        return self.by_level[level]
 
     def predict(self, text: str | None) -> tuple[str, float, int]:
         """Language, score in 0..1, and bytes saved against the second smallest."""
@@ -124,8 +129,8 @@ class Compressors:
             return UNKNOWN, 0.0, 0
         raw = _normal(text).encode()
         blocks = [raw[i:i + BLOCK] for i in range(0, len(raw), BLOCK)]
-        for compressors in self.by_level:
-            sizes = [sum(len(c.compress(b)) for b in blocks) for c in compressors]
+        for level in self.levels:
+            sizes = [sum(len(c.compress(b)) for b in blocks) for c in self.of_level(level)]
             best = min(range(len(sizes)), key=sizes.__getitem__)
             second = min((s for i, s in enumerate(sizes) if i != best), default=len(raw) + 16)
             if second > sizes[best]:

@@ -14,7 +14,7 @@ import zstandard
 from helpers import EXTRA, WORD, edge_rows, prose, table
 
 from qualia.llm import host_trust, ngram_ratio, ordinal_quality, zstd_language
-from qualia.llm.batches import hashed_words
+from qualia.llm.batches import hashed_words, slices
 from qualia.llm.queries import URL_RULES, grades, op4_zstd_language
 from qualia.llm.sketch import bucket_counts
 
@@ -26,6 +26,27 @@ def test_bucket_counts_cover_every_row(spark):
     assert bucket_counts(df.where("id < 0"), lambda b: b.column("id").to_numpy(), bits=4).sum() == 0
 
 
+def test_counting_may_cut_batches_smaller(spark):
+    df = spark.range(0, 5000, 1, 2).selectExpr("repeat('x', 100) AS text")
+    plain = bucket_counts(df, lambda b: np.full(b.num_rows, b.num_rows <= 10, np.int64), bits=1)
+    cut = bucket_counts(df, lambda b: np.full(b.num_rows, b.num_rows <= 10, np.int64), bits=1,
+                        split=lambda batches: slices(batches, max_bytes=1000))
+    assert plain.tolist() == [5000, 0] and cut.tolist() == [0, 5000]
+
+
+def test_features_are_made_of_small_slices():
+    texts = pa.RecordBatch.from_pydict({"text": ["good words here " * 4000] * 100 + [None]})
+    sizes = [b.column("text").nbytes for b in slices([texts], max_bytes=ordinal_quality.SLICE)]
+    assert max(sizes) < 1.2 * 2**20 and sum(len(x) for x in slices([texts], max_bytes=ordinal_quality.SLICE)) == 101
+
+
+def test_compressors_of_a_level_are_made_when_needed():
+    ours = zstd_language.Compressors({"a": b"one two three " * 20, "b": b"eins zwei drei " * 20})
+    assert ours.predict("one two three one two")[0] == "a" and list(ours.by_level) == [zstd_language.LEVELS[0]]
+    ours.predict("§ä§")
+    assert len(ours.by_level) > 1
+
+
 def test_word_hashes_follow_words():
     texts = [t for _, t in edge_rows()] + ["x" * 500 + " " + "x" * 499, "A a", "tab\tA", "eightchr eightchrs"]
     hashes, bounds = hashed_words(pa.array(texts, pa.string()))
