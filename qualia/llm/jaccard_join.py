@@ -50,6 +50,8 @@ PARITY = 32  # 64-bit words of a set's parity bitmap
 SLICE = 1 << 20  # bytes of text that are hashed at once
 FOLDED = 16  # words of it, folded by xor, that go with a set's rows of open entries
 FIRST_ENTRIES = 16  # a set's smallest open entries that go with each of its rows
+GROUP = 1000  # about as many members of an entry meet as many others at once
+GROUPS = 32  # groups of an entry at most, so that a row is dealt out that often at most
 CLASS_SIZE = 1  # plain prefix tokens to a class of frequent tokens, about
 
 
@@ -372,12 +374,20 @@ class JaccardJoin:
                     F.collect_list("entry").alias("entries"))
                 fold = (reduce(Column.bitwiseXOR, (F.col(f"p{v}") for v in range(w, PARITY, FOLDED))).alias(f"p{w}") for w in range(FOLDED))
                 full = open_.join(nodes.select("node", "n", *fold), "node").join(lists, "node")
+                # The members of a long entry are dealt into groups, and each two groups i <= j meet under a key of their own:
+                # the join is even, where splitting long entries by itself took thousands of tasks that the driver keeps.
+                groups = F.least(F.ceil(F.col("k") / GROUP), F.lit(GROUPS)).cast("int")
+                full = full.withColumn("groups", groups).withColumn("group", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
                 columns = ["node", "label", "n", "entries", *(f"p{w}" for w in range(FOLDED))]
-                left, right = (full.select("entry", *(F.col(c).alias(f"{side}_{c}") for c in columns)) for side in ("a", "b"))
+                left = full.select("entry", F.col("group").alias("i"), F.explode(F.sequence(F.col("group"), F.col("groups") - 1)).alias("j"),
+                                   *(F.col(c).alias(f"a_{c}") for c in columns))
+                right = full.select("entry", F.explode(F.sequence(F.lit(0), F.col("group"))).alias("i"), F.col("group").alias("j"),
+                                    *(F.col(c).alias(f"b_{c}") for c in columns))
                 once = F.coalesce(F.array_min(F.array_intersect("a_entries", "b_entries")) >= F.col("entry"), F.lit(True))
-                across = left.join(right, "entry").where(
-                    (F.col("a_label") != F.col("b_label")) & (F.col("a_node") < F.col("b_node")) & self._bound("a_", "b_", FOLDED) & once)
-                pairs = across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+                across = left.join(right, ["entry", "i", "j"]).where(
+                    (F.col("a_label") != F.col("b_label")) & ((F.col("i") < F.col("j")) | (F.col("a_node") < F.col("b_node")))
+                    & self._bound("a_", "b_", FOLDED) & once)
+                pairs = across.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
             pairs = self._possible(pairs, nodes)
             pairs = self._written(pairs.join(tested, ["a", "b"], "left_anti"), "more")
             if pairs.isEmpty():
@@ -389,11 +399,12 @@ class JaccardJoin:
         return rows, nodes, members, tested, links, labels
 
     def _open(self, members: DataFrame, labels: DataFrame) -> DataFrame:
-        """entry, node, label of the entries that hold several components."""
+        """entry, node, label, k (rows of the entry) of the entries that hold several components."""
         known = members.select("entry", "node").join(labels, "node", "left").select(
             "entry", "node", F.coalesce("label", "node").alias("label"))
         known = self._written(known, "known")
-        several = known.groupBy("entry").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("entry")
+        several = known.groupBy("entry").agg(
+            F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo <> hi").select("entry", "k")
         return self._written(known.join(several, "entry"), "open")
 
     def keep_first(self) -> DataFrame:

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,10 +146,13 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
                 names=["id", "grade", "buckets"])
 
     found = sample.mapInArrow(run, "id long, grade int, buckets array<int>").dropDuplicates(["id"]).toArrow().sort_by("id")
-    sizes = np.array([len(x) for x in found["buckets"]], dtype=np.int64)
-    buckets = np.concatenate([x.values.to_numpy() for x in found["buckets"]]) if len(sizes) else np.zeros(0, np.int64)
+    # the driver holds the sample once, four bytes a number
+    sizes = pc.list_value_length(found["buckets"]).to_numpy()
     grades = found["grade"].to_numpy().astype(np.int64)
-    return fit_ordinal(np.repeat(np.arange(len(sizes)), sizes), buckets.astype(np.int64), grades, bits)
+    buckets = pc.list_flatten(found["buckets"]).to_numpy()
+    del found
+    pa.default_memory_pool().release_unused()
+    return fit_ordinal(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), buckets, grades, bits)
 
 
 def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text",

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from helpers import EXTRA, WORD, edge_rows, prose, table
 
+from qualia.llm import jaccard_join
 from qualia.llm.components import connected_components
 from qualia.llm.digest_index import DigestIndex
 from qualia.llm.jaccard_join import JaccardJoin, Scheme
@@ -216,3 +217,30 @@ def test_digests_of_an_empty_table(spark, tmp_path):
     docs = table(spark, tmp_path, [])
     index = DigestIndex(spark, path=str(tmp_path / "it's"), buckets=2)
     assert index.decide(docs).count() == 0 and index.keep(docs).count() == 0
+
+
+def test_long_entries_meet_group_by_group(spark, tmp_path, monkeypatch):
+    # All texts share a passage's token in their prefixes: one entry of 80 sets, half of them in pairs of similar ones.
+    monkeypatch.setattr(jaccard_join, "GROUP", 7)
+    rng = random.Random(11)
+    passage, rows = prose(rng, 20), []
+    for k in range(0, 80, 2):
+        end = [f"x{rng.randrange(10**6)}" for _ in range(5)]
+        rows.append((k, f"{passage} {' '.join(end)}"))
+        rows.append((k + 1, f"{passage} {' '.join(end[:4] if k % 4 else end[::-1])} y{k}"))
+    join = JaccardJoin(table(spark, tmp_path, rows), sketch_bits=16, rare_excess=10**6, filter_bits=14, hub_rounds=1)
+    written, plans = join._written, {}
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return written(df, name)
+
+    monkeypatch.setattr(join, "_written", watched)
+    found = Counter((r.doc_id, r.n_shingles, r.component_id) for r in join.components().collect())
+    assert found == Counter(brute_components(rows))
+    assert len({c for _, _, c in found}) == 60
+    known = spark.createDataFrame([], "node long, label long")
+    sizes = join._open(join._joined()[2], known).groupBy("entry", "k").count().collect()
+    assert max(r.k for r in sizes) > 5 * 7 and all(r.k == r["count"] for r in sizes)
+    # its members met under keys of (entry, group, group), so that no key holds all of them
+    assert any("Join Inner" in line and "(i#" in line and "(j#" in line for line in plans["open"].split("\n") + plans["more"].split("\n"))
