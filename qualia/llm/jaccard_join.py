@@ -15,8 +15,10 @@ of them in common. A set without frequent tokens in its plain prefix (k = 1) nee
 
 Equal sets are one node, and entries with equal nodes are one entry. Sets that share an index entry
 are candidates, but not all pairs of them are made: in a few rounds each set of an entry is compared with one hub of it, verified links are
-contracted to components, and only entries that still hold several components go on. At the end,
-pairs of such an entry are compared only across components, not again where both sets have a smaller entry among their
+contracted to components, and only entries that still hold several components go on. At the end, those
+with the same min-hash of their sets become one entry of all their sets where that makes no more pairs (a family of near
+copies shares hundreds of entries, each with most of it), and
+pairs of an entry are compared only across components, not again where both sets have a smaller entry among their
 first ``FIRST_ENTRIES`` ones, and only if sizes and the parity bitmaps of both sets (a bound on their difference) allow the similarity. Verification counts the common
 shingles of the whole sets. No link between different components is left out, so components are exact
 (up to collisions of 64-bit hashes). For the links themselves (``link_counts`` and ``links``) the pairs of an
@@ -50,8 +52,8 @@ PARITY = 32  # 64-bit words of a set's parity bitmap
 SLICE = 1 << 20  # bytes of text that are hashed at once
 FOLDED = 16  # words of it, folded by xor, that go with a set's rows of open entries
 FIRST_ENTRIES = 16  # a set's smallest open entries that go with each of its rows
-GROUP = 1000  # about as many members of an entry meet as many others at once
-GROUPS = 32  # groups of an entry at most, so that a row is dealt out that often at most
+GROUP = 1000  # entries of k > GROUP members are dealt into about sqrt(k / GROUP) groups, so that k * GROUP pairs meet at once
+GROUPS = 8  # groups of an entry at most, so that a row is dealt out that often at most
 CLASS_SIZE = 1  # plain prefix tokens to a class of frequent tokens, about
 
 
@@ -369,15 +371,18 @@ class JaccardJoin:
             else:
                 # A pair that shares many entries is not made in one if both sets have a smaller one among their first;
                 # the few pairs made more often are made distinct below.
+                met = self._merged(open_)
                 place = F.row_number().over(Window.partitionBy("node").orderBy("entry"))
-                lists = open_.withColumn("place", place).where(F.col("place") <= FIRST_ENTRIES).groupBy("node").agg(
+                lists = met.withColumn("place", place).where(F.col("place") <= FIRST_ENTRIES).groupBy("node").agg(
                     F.collect_list("entry").alias("entries"))
                 fold = (reduce(Column.bitwiseXOR, (F.col(f"p{v}") for v in range(w, PARITY, FOLDED))).alias(f"p{w}") for w in range(FOLDED))
-                full = open_.join(nodes.select("node", "n", *fold), "node").join(lists, "node")
+                full = met.join(nodes.select("node", "n", *fold), "node").join(lists, "node")
                 # The members of a long entry are dealt into groups, and each two groups i <= j meet under a key of their own:
-                # the join is even, where splitting long entries by itself took thousands of tasks that the driver keeps.
-                groups = F.least(F.ceil(F.col("k") / GROUP), F.lit(GROUPS)).cast("int")
-                full = full.withColumn("groups", groups).withColumn("group", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
+                # the join is even, where splitting long entries by itself took thousands of tasks that the driver keeps. A row is dealt
+                # out at most GROUPS times, however long its entry is.
+                long_ = met.groupBy("entry").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > GROUP).select(
+                    "entry", F.least(F.ceil(F.sqrt(F.col("k") / GROUP)), F.lit(GROUPS)).cast("int").alias("groups"))
+                full = full.join(F.broadcast(long_), "entry", "left").withColumn("groups", F.coalesce("groups", F.lit(1))).withColumn("group", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
                 columns = ["node", "label", "n", "entries", *(f"p{w}" for w in range(FOLDED))]
                 left = full.select("entry", F.col("group").alias("i"), F.explode(F.sequence(F.col("group"), F.col("groups") - 1)).alias("j"),
                                    *(F.col(c).alias(f"a_{c}") for c in columns))
@@ -407,6 +412,20 @@ class JaccardJoin:
             F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo <> hi").select("entry", "k")
         return self._written(known.join(several, "entry"), "open")
 
+    def _merged(self, open_: DataFrame) -> DataFrame:
+        """entry, node, label of the open entries, where those of a family (entries with the same smallest hash of a node, as
+        entries with mostly the same nodes often have) are one entry of all their nodes, named by that hash, if it has no more
+        pairs than they have. No pair of an entry is left out."""
+        pairs_of = F.col("k") * (F.col("k") - 1)
+        family = self._written(open_.groupBy("entry", "k").agg(F.min(F.xxhash64("node")).alias("family")), "families")
+        by_entry = family.groupBy("family").agg(F.sum(pairs_of).alias("by_entry"), F.count(F.lit(1)).alias("entries")).where("entries > 1")
+        nodes = open_.select("entry", "node").join(family.join(by_entry, "family").select("entry", "family"), "entry").select("family", "node")
+        at_once = nodes.distinct().groupBy("family").agg(F.count(F.lit(1)).alias("k")).select("family", pairs_of.alias("at_once"))
+        one = by_entry.join(at_once, "family").where("at_once <= by_entry").select("family")
+        names = family.join(one, "family").select("entry", "family")
+        merged = open_.join(names, "entry", "left").select(F.coalesce("family", "entry").alias("entry"), "node", "label").distinct()
+        return self._written(merged, "merged")
+
     def keep_first(self) -> DataFrame:
         """The first row of each component, with all columns. ``docs`` must be re-readable in the same
         row order (files or a checkpoint), since rows are told apart by their input position."""

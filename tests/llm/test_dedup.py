@@ -244,3 +244,55 @@ def test_long_entries_meet_group_by_group(spark, tmp_path, monkeypatch):
     assert max(r.k for r in sizes) > 5 * 7 and all(r.k == r["count"] for r in sizes)
     # its members met under keys of (entry, group, group), so that no key holds all of them
     assert any("Join Inner" in line and "(i#" in line and "(j#" in line for line in plans["open"].split("\n") + plans["more"].split("\n"))
+
+
+def near_family(rng, size):
+    """Texts of one passage with some words replaced: some are similar to many others, some to none."""
+    words = prose(rng, 60).split()
+    rows = []
+    for k in range(size):
+        own = list(words)
+        for at in rng.sample(range(60), rng.randrange(1, 4)):
+            own[at] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(own)))
+    return rows
+
+
+def test_entries_of_a_family_meet_once(spark, tmp_path, monkeypatch):
+    # A family of near copies shares many entries that hold most of it each: its rows were joined once for each of them.
+    rows = near_family(random.Random(5), 60)
+    join = JaccardJoin(table(spark, tmp_path, rows), sketch_bits=16, rare_excess=0, filter_bits=14, hub_rounds=1)
+    written, seen = join._written, {}
+
+    def watched(df, name):
+        seen[name] = written(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(join, "_written", watched)
+    found = Counter((r.doc_id, r.n_shingles, r.component_id) for r in join.components().collect())
+    assert found == Counter(brute_components(rows)) and 1 < len({c for _, _, c in found}) < 60
+    assert 4 * seen["merged"].count() < seen["open"].count()
+
+
+def test_merged_entries_lose_no_pair(spark, tmp_path):
+    rng = random.Random(6)
+    join = JaccardJoin(table(spark, tmp_path, []))
+    label = {n: rng.choice([1, 1, n]) for n in range(1, 40)}
+    own = {-e: rng.sample(range(1, 15), 11) for e in range(1, 9)}  # of few nodes: one entry of several has fewer pairs
+    own |= {-e: [1, n, 40 + e] for e, n in zip(range(20, 30), range(15, 25))}  # of many
+    label |= {n: n for ns in own.values() for n in ns if n > 39}
+    open_ = spark.createDataFrame([(e, n, label[n], len(ns)) for e, ns in own.items() for n in ns], "entry long, node long, label long, k long")
+    merged = join._merged(open_).collect()
+    assert len(merged) == len(set(merged)) < sum(map(len, own.values())) and all(r.label == label[r.node] for r in merged)
+    entries = defaultdict(set)
+    for r in merged:
+        entries[r.entry].add(r.node)
+    assert all(any(set(ns) <= held for held in entries.values()) for ns in own.values())
+    assert sum(len(held) * (len(held) - 1) for held in entries.values()) <= sum(len(ns) * (len(ns) - 1) for ns in own.values())
+
+
+def test_a_family_without_fewer_pairs_stays_apart(spark, tmp_path):
+    join = JaccardJoin(table(spark, tmp_path, []))
+    own = {-e: [1, 10 + 2 * e, 11 + 2 * e] for e in range(1, 9)}  # m of them: 6 m pairs by entry, (2 m + 1) 2 m at once
+    open_ = spark.createDataFrame([(e, n, n, 3) for e, ns in own.items() for n in ns], "entry long, node long, label long, k long")
+    assert sorted((r.entry, r.node) for r in join._merged(open_).collect()) == sorted((e, n) for e, ns in own.items() for n in ns)
